@@ -125,7 +125,8 @@ def test_small_text_functions(values):
 
 
 def test_first_nonblank_on_map(spark):
-    df = spark.createDataFrame([({"Host ": "", "HOST": "pig", "Organism": "rat"},)], "m map<string,string>")
+    entries = [F.lit(v) for v in ("Host ", "", "HOST", "pig", "Organism", "rat")]
+    df = spark.range(1).select(F.create_map(*entries).alias("m"))
     row = df.select(S.first_nonblank(S.lower_keys(F.col("m")), ["host", "organism"]).alias("v"))
     assert row.first().v == "pig"
 
