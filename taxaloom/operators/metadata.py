@@ -65,7 +65,7 @@ def pick_handle(df: DataFrame, keys: Sequence[str], sample: str, levels: Sequenc
     counted = long.groupBy(*keys, "level", "label").agg(F.count(F.lit(1)).alias("_n"))
     judged = counted.groupBy(*keys, "level").agg(F.bool_and(F.col("label").isNotNull() & (F.col("_n") == 1)).alias("_ok"))
     names = F.array(*[F.lit(c) for c in levels])
-    best = judged.groupBy(*keys).agg(F.min(F.when("_ok", F.col("level"))).alias("_level"))
+    best = judged.groupBy(*keys).agg(F.min(F.when(F.col("_ok"), F.col("level"))).alias("_level"))
     return best.select(*keys, F.try_element_at(names, F.col("_level") + 1).alias("handle"))
 
 
