@@ -9,9 +9,10 @@ and only the rows of one (key, range) meet in a task.
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import letter_suffix
@@ -19,20 +20,36 @@ from ..functions.text import letter_suffix
 RANGES = 64
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """Folder for intermediate tables that outlive executors: the session's ``spark.checkpoint.dir``.
+
+    Only a local session without that setting gets a temporary folder of its own.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a shared folder")
+        folder = tempfile.mkdtemp(prefix="spark-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint into the folder the session names; only a local session may fall back to a temporary one."""
-    spark = df.sparkSession
-    context = spark.sparkContext
+    """Checkpoint of an iterative job."""
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise ValueError("spark.checkpoint.dir must name a shared folder")
-            folder = tempfile.mkdtemp(prefix="spark-")
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Write an intermediate table once where several outputs read it; readers prune columns and survive lost executors."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def _row_struct(df: DataFrame, keys: Sequence[str]) -> Column:
     return F.struct(*[c for c in df.columns if c not in keys])
 
