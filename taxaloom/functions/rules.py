@@ -52,14 +52,14 @@ def matching_labels(c: Column, rules: Rules, ignore_case: bool = True) -> Column
 
 def all_matches(c: Column, rules: Rules, default: str = "", sep: str = ";", ignore_case: bool = True) -> Column:
     """Every matching label joined in rule order, or the default when nothing matches."""
-    joined = F.array_join(matching_labels(c, rules, ignore_case), sep)
-    return F.when(joined == "", F.lit(default)).otherwise(joined)
+    # replacing the empty text keeps this one evaluation of the patterns
+    return F.regexp_replace(F.array_join(matching_labels(c, rules, ignore_case), sep), "^$", default)
 
 
 def exactly_one(c: Column, rules: Rules) -> Column:
     """The matching label if one rule and no other matches, else NULL."""
-    hits = matching_labels(c, rules, ignore_case=False)
-    return F.when(F.size(hits) == 1, F.try_element_at(hits, F.lit(1)))
+    single = F.filter(F.array(matching_labels(c, rules, ignore_case=False)), lambda hits: F.size(hits) == 1)
+    return F.try_element_at(F.try_element_at(single, F.lit(1)), F.lit(1))
 
 
 def strip_pattern(c: Column, pattern: str) -> Column:

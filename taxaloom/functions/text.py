@@ -11,19 +11,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import fixed_values as V
-from .rules import case_when
+from .rules import blank, case_when
 
-_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+_NUMBER = r"(?U)^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+_WHITE_SPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 
 
 def trim_ws(c: Column) -> Column:
     """Strip all white space, not only blanks."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    return F.btrim(c, F.lit(_WHITE_SPACE))
 
 
 def nonblank(c: Column) -> Column:
     """Trimmed text, NULL when nothing is left."""
-    return F.nullif(trim_ws(c), F.lit(""))
+    return F.when(~blank(c), trim_ws(c))
 
 
 def first_of(*cols: Column) -> Column:
@@ -33,8 +34,7 @@ def first_of(*cols: Column) -> Column:
 
 def lenient_double(c: Column) -> Column:
     """Number in a text cell, NULL otherwise; type suffixes such as ``5d`` and words such as ``nan`` are not numbers."""
-    text = trim_ws(c)
-    return F.when(text.rlike(_NUMBER), text.try_cast("double"))
+    return F.when(c.rlike(_NUMBER), trim_ws(c).try_cast("double"))
 
 
 def lenient_int(c: Column, default: int = 0) -> Column:

@@ -59,33 +59,31 @@ def archive_values(df: DataFrame, key: str, columns: Sequence[str], sep: str = "
     return df.groupBy(key).agg(*[F.array_join(F.array_sort(F.collect_set(nonblank(F.col(c)))), sep).alias(c) for c in columns])
 
 
-def screen_columns(text: Column, publication_type: Column, community: str = V.SCREEN_COMMUNITY, assays=V.SCREEN_ASSAYS,
-                   product: str = V.SCREEN_PRODUCT, data: str = V.SCREEN_DATA, not_primary: str = V.SCREEN_NOT_PRIMARY,
-                   isolate: str = V.SCREEN_ISOLATE, host_only: str = V.SCREEN_HOST_ONLY) -> dict[str, Column]:
-    """Screening verdict of one paper: exclusion beats relevance, relevance needs community words and an assay."""
-    is_community = matches(text, community, True)
-    assay = all_matches(text, assays)
-    review = matches(text, not_primary, True) | matches(publication_type, not_primary, True)
-    single, host = matches(text, isolate, True), matches(text, host_only, True) & ~is_community
-    return {
+def screen(df: DataFrame, text: Column, publication_type: Column, community: str = V.SCREEN_COMMUNITY, assays=V.SCREEN_ASSAYS,
+           product: str = V.SCREEN_PRODUCT, data: str = V.SCREEN_DATA, not_primary: str = V.SCREEN_NOT_PRIMARY,
+           isolate: str = V.SCREEN_ISOLATE, host_only: str = V.SCREEN_HOST_ONLY, diseases=V.DISEASE_MENTIONS) -> DataFrame:
+    """Screening verdict per paper: exclusion beats relevance, relevance needs community words and an assay.
+
+    The patterns run once, in a projection of their own; the verdict columns only combine their answers.
+    """
+    hits = {
+        "_community": matches(text, community, True), "_assay": all_matches(text, assays), "_product": matches(text, product, True),
+        "_data": matches(text, data, True), "_review": matches(text, not_primary, True) | matches(publication_type, not_primary, True),
+        "_isolate": matches(text, isolate, True), "_host": matches(text, host_only, True),
+    }
+    if diseases:
+        hits["disease"] = all_matches(text, diseases, "unknown")
+    community_hit, assay, host = F.col("_community"), F.col("_assay"), F.col("_host") & ~F.col("_community")
+    excluded = F.col("_review") | F.col("_isolate") | host
+    return df.withColumns(hits).withColumns({
         "screen_status": case_when(
-            [(review | single | host, F.lit("exclude_likely")), (is_community & (assay != ""), F.lit("likely_relevant")),
-             (is_community, F.lit("manual_review"))], F.lit("low_priority")),
+            [(excluded, F.lit("exclude_likely")), (community_hit & (assay != ""), F.lit("likely_relevant")), (community_hit, F.lit("manual_review"))], F.lit("low_priority")),
         "assay_prediction": F.when(assay == "", F.lit("unknown")).otherwise(assay),
-        "processed_data_hint": matches(text, product, True),
-        "data_link_hint": matches(text, data, True),
-        "screen_evidence": reasons([
-            (is_community, "community_terms"), (assay != "", F.concat(F.lit("assay:"), assay)),
-            (matches(text, product, True), "abundance_terms"), (matches(text, data, True), "data_terms")]),
-        "screen_reason": reasons([(review, "review_or_non_primary"), (single, "isolate_or_single_genome"), (host, "host_only_assay")]),
-    }
-
-
-def screen(df: DataFrame, text: Column, publication_type: Column, **rules) -> DataFrame:
-    """Add the screening columns and the named diseases."""
-    out = df.withColumn("_text", text)
-    diseases = all_matches(F.col("_text"), V.DISEASE_MENTIONS, "unknown")
-    return out.withColumns({**screen_columns(F.col("_text"), publication_type, **rules), "disease": diseases}).drop("_text")
+        "processed_data_hint": F.col("_product"),
+        "data_link_hint": F.col("_data"),
+        "screen_evidence": reasons([(community_hit, "community_terms"), (assay != "", F.concat(F.lit("assay:"), assay)), (F.col("_product"), "abundance_terms"), (F.col("_data"), "data_terms")]),
+        "screen_reason": reasons([(F.col("_review"), "review_or_non_primary"), (F.col("_isolate"), "isolate_or_single_genome"), (host, "host_only_assay")]),
+    }).drop(*[c for c in hits if c.startswith("_")])
 
 
 def dataset_status(df: DataFrame, files: str = "listed_files", abundance: str = V.ABUNDANCE_FILE, reads: str = V.READ_FILE, table: str = V.TABLE_FILE,

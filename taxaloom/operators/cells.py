@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
-from ..functions.rules import case_when, matches
+from ..functions.rules import blank, case_when, matches
 from ..functions.taxa import looks_taxonomic
 from ..functions.text import lenient_double, nonblank, trim_ws
 
@@ -46,9 +46,9 @@ def table_sizes(cells: DataFrame) -> DataFrame:
 
 def column_stats(cells: DataFrame) -> DataFrame:
     """Per column: filled and numeric cells, extremes, sum, whether all numbers are whole."""
-    number = lenient_double(F.col("value"))
+    number = F.col("_number")
     whole = F.abs(number - F.round(number)) <= 1e-8 + 1e-5 * F.abs(F.round(number))
-    return cells.groupBy("table_id", "col_idx", "col_name").agg(
+    return cells.withColumn("_number", lenient_double(F.col("value"))).groupBy("table_id", "col_idx", "col_name").agg(
         F.count("value").alias("n_filled"), F.count(number).alias("n_numeric"), F.sum(number).alias("total"),
         F.min(number).alias("lowest"), F.max(number).alias("highest"), F.bool_and(whole).alias("whole"))
 
@@ -72,7 +72,7 @@ def numeric_columns(cells: DataFrame, min_frac: float, of_filled: bool = False)
 def first_values(cells: DataFrame, k: int) -> DataFrame:
     """First k filled values of every column in row order, with their position."""
     spot = F.row_number().over(Window.partitionBy(*COL).orderBy("row_idx"))
-    return cells.where(nonblank(F.col("value")).isNotNull()).withColumn("spot", spot).where(F.col("spot") <= k)
+    return cells.where(~blank(F.col("value"))).withColumn("spot", spot).where(F.col("spot") <= k)
 
 
 def _pathlike(spot: Column, value: Column, k: int = 50) -> Column:

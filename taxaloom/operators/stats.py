@@ -127,9 +127,9 @@ def _entries(row: Column, pattern: str) -> Column:
     return F.filter(F.map_entries(row), wanted)
 
 
-def _first_found(row: Column, pattern: str, read) -> Column:
-    """First non-NULL reading among the matching columns."""
-    return F.try_element_at(F.filter(F.transform(_entries(row, pattern), lambda e: read(e["value"])), lambda v: v.isNotNull()), F.lit(1))
+def _first_found(row: Column, pattern: str, read, found=lambda v: v.isNotNull()) -> Column:
+    """First reading among the matching columns that says something."""
+    return F.try_element_at(F.filter(F.transform(_entries(row, pattern), lambda e: read(e["value"])), found), F.lit(1))
 
 
 def rank_pattern(rank: str) -> str:
@@ -139,18 +139,20 @@ def rank_pattern(rank: str) -> str:
 def feature_domain_rows(rows: DataFrame, papers: DataFrame) -> DataFrame:
     """Domain of each feature and what it rests on: kingdom column, lineage, name, else the paper. papers: paper_folder, paper_domain."""
     named = lambda v: F.when(v.contains(";") | v.contains("__"), feature_domain(v))
-    by_kingdom = _first_found(F.col("row"), KINGDOM_COLUMN, feature_domain)
-    by_lineage = _first_found(F.col("row"), LINEAGE_COLUMN, feature_domain)
-    by_name = _first_found(F.col("row"), NAME_COLUMN, named)
-    evidence = case_when(
-        [(by_kingdom.isNotNull(), F.lit("kingdom column")), (by_lineage.isNotNull(), F.lit("lineage string")), (by_name.isNotNull(), F.lit("feature name"))],
-        F.lit("paper-level fallback"))
+
+    def stated(pattern: str, read, evidence: str) -> Column:
+        answer = lambda v: F.struct(read(v).alias("domain"), F.lit(evidence).alias("evidence"))
+        return _first_found(F.col("row"), pattern, answer, lambda s: s["domain"].isNotNull())
+
+    # each source is read only where the ones before it say nothing
+    answer = F.coalesce(
+        stated(KINGDOM_COLUMN, feature_domain, "kingdom column"), stated(LINEAGE_COLUMN, feature_domain, "lineage string"), stated(NAME_COLUMN, named, "feature name"),
+        F.struct(F.coalesce("paper_domain", F.lit("Unclassified")).alias("domain"), F.lit("paper-level fallback").alias("evidence")))
     ranks = _entries(F.col("row"), RANK_COLUMN)
     first_rank = F.try_element_at(F.filter(ranks, lambda e: ~blank(e["value"])), F.lit(1))["value"]
     row_rank = F.when(F.size(ranks) > 0, F.coalesce(bucket(first_rank, V.ROW_RANKS, "Other / mixed", "Other / mixed"), F.lit("Other / mixed")))
     out = rows.join(papers.select("paper_folder", "paper_domain"), "paper_folder", "left")
-    return out.select("*", F.coalesce(by_kingdom, by_lineage, by_name, F.col("paper_domain"), F.lit("Unclassified")).alias("domain"),
-                      evidence.alias("evidence"), row_rank.alias("row_rank"))
+    return out.select("*", answer.alias("_a"), row_rank.alias("row_rank")).select(*out.columns, "_a.domain", "_a.evidence", "row_rank")
 
 
 def lineage_fill(rows: DataFrame, ranks: Sequence[str] = V.LINEAGE_RANKS) -> DataFrame:

@@ -69,7 +69,8 @@ def _known_ids(t: Tables) -> DataFrame:
 def _verdicts(t: Tables) -> tuple[DataFrame, DataFrame]:
     found = _all_cells(t)
     ids = _known_ids(t).select(F.lit("bare_ids").alias("table_id"), "taxon_id")
-    return found, cells.sniff(found, ids)
+    # one row per table, read by every later step
+    return found, ordering.stored(cells.sniff(found, ids))
 
 
 _NUM = r"'^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$'"

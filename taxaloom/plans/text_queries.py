@@ -73,8 +73,9 @@ SELECT CASE WHEN r OR i OR h THEN 'exclude_likely' WHEN c AND a <> '' THEN 'like
   count(*) AS n FROM g GROUP BY ALL
 """)
 def screen_documents(t: Tables):
-    columns = candidates.screen_columns(F.col("text"), F.col("source"), **SCREEN)
-    return t.documents.withColumns(columns).groupBy(*columns).agg(n_rows())
+    screened = candidates.screen(t.documents, F.col("text"), F.col("source"), **SCREEN, diseases=None)
+    columns = ["screen_status", "assay_prediction", "processed_data_hint", "data_link_hint", "screen_evidence", "screen_reason"]
+    return screened.groupBy(*columns).agg(n_rows())
 
 
 KEYWORDS = [("license", "licen[sc]e"), ("mail", "@"), ("the", " the "), ("les", " les "), ("digits", "[0-9]{4}")]
