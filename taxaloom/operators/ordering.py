@@ -136,7 +136,7 @@ def running_total(df: DataFrame, keys: Sequence[str], order: str, weight: Column
     groups = [*keys, "_range"]
     sums = cut.groupBy(*groups).agg(F.sum("_weight").alias("_sum"))
     # at most `ranges` rows per key meet in this window
-    before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*keys or [F.lit(0)]).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.withColumn("_offset", F.coalesce(F.sum("_sum").over(before), F.lit(0))).drop("_sum")
     renamed = sums.select(*[F.col(k).alias(f"_k_{k}") for k in groups], "_offset")
     match = None
@@ -198,9 +198,9 @@ def exclusive_quantiles(df: DataFrame, keys: Sequence[str], value: str, percents
     if not keys:
         whole = exclusive_quantiles(df.withColumn("_all", F.lit(0)), ["_all"], value, percents)
         return whole.drop("_all")
-    counted = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
+    counted = df.select(*keys, F.col(value).alias("_v")).where("_v IS NOT NULL").groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
     sizes = counted.groupBy(*keys).agg(F.sum("_c").alias("n"))
-    placed = running_total(counted, keys, value, F.col("_c"), name="_before")
+    placed = running_total(counted, keys, "_v", F.col("_c"), name="_before")
     m = F.col("n") + 1
     spots = F.array(*[
         F.struct(F.lit(p).alias("percent"), F.greatest(F.lit(1), F.least(F.floor(F.lit(p) * m / 100), F.col("n") - 1)).alias("j"))
@@ -215,7 +215,7 @@ def exclusive_quantiles(df: DataFrame, keys: Sequence[str], value: str, percents
     asked = ends.groupBy(*keys).agg(F.collect_list(F.struct("n", "percent", "d", "spot", "side")).alias("_asked"))
     joined = placed.join(asked, list(keys), "inner")
     hit = F.filter("_asked", lambda a: (a["spot"] > F.col("_before")) & (a["spot"] <= F.col("_before") + F.col("_c")))
-    picked = joined.select(*keys, F.col(value).alias("_v"), F.explode(hit).alias("a")).select(*keys, "_v", "a.*")
+    picked = joined.select(*keys, "_v", F.explode(hit).alias("a")).select(*keys, "_v", "a.*")
     lo = F.max(F.when(F.col("side") == 0, F.col("_v")))
     hi = F.max(F.when(F.col("side") == 1, F.col("_v")))
     out = picked.groupBy(*keys, "percent").agg(lo.alias("_lo"), hi.alias("_hi"), F.max("d").alias("_d"), F.max("n").alias("n"))

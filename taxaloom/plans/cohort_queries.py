@@ -420,22 +420,22 @@ def paper_risks(t: Tables):
 
 
 @query("""
-WITH b AS (SELECT DISTINCT user_id, event_type FROM events WHERE value > 480)
+WITH b AS (SELECT DISTINCT user_id, ts::date AS day, event_type FROM events)
 SELECT CASE event_type WHEN 'view' THEN '16s_paired' WHEN 'click' THEN 'viral_mapping' ELSE 'missing:rna' END AS method, count(*) AS n FROM b WHERE event_type IN ('view', 'click', 'purchase') GROUP BY 1
 """)
 def method_rows(t: Tables):
     pick = lambda i: case_when([(F.col("event_type") == r[0], F.lit(r[i])) for r in _BRANCH_OF], F.lit(None).cast("string"))
-    plans = t.events.where("value > 480").select(F.col("user_id").alias("paper"), pick(1).alias("branch"), pick(2).alias("status"))
+    plans = t.events.select(F.concat_ws("/", "user_id", _day()).alias("paper"), pick(1).alias("branch"), pick(2).alias("status"))
     return ledger.method_rows(plans).groupBy("method").agg(n_rows())
 
 
 @query("""
-WITH b AS (SELECT user_id, bool_or(event_type = 'signup') AS s, bool_or(event_type = 'purchase') AS p, bool_or(event_type = 'error') AS e, bool_or(event_type = 'view') AS v FROM events WHERE value > 470 GROUP BY 1)
+WITH b AS (SELECT user_id, bool_or(event_type = 'signup') AS s, bool_or(event_type = 'purchase') AS p, bool_or(event_type = 'error') AS e, bool_or(event_type = 'view') AS v FROM events GROUP BY user_id, ts::date)
 SELECT s::int + p::int AS n_deferred, e::int AS n_fatal, CASE WHEN e OR NOT v THEN 'blocked' ELSE 'runs' END AS verdict, count(*) AS n FROM b GROUP BY ALL
 """)
 def deferred_branches(t: Tables):
     has = lambda v: F.bool_or(F.col("event_type") == v)
-    b = t.events.where("value > 470").groupBy(F.col("user_id").alias("paper")).agg(has("signup").alias("s"), has("purchase").alias("p"), has("error").alias("e"), has("view").alias("v"))
+    b = t.events.groupBy(F.concat_ws("/", "user_id", _day()).alias("paper")).agg(has("signup").alias("s"), has("purchase").alias("p"), has("error").alias("e"), has("view").alias("v"))
     branch = lambda flag, name, status: F.when(F.col(flag), F.struct(F.lit(name).alias("branch"), F.lit(status).alias("status")))
     plan = b.select("paper", F.array_compact(F.array(branch("s", "dna_shotgun", "missing_dependencies"), branch("p", "rna", "unsupported"), branch("v", "viral_mapping", "ready"))).alias("branches"),
                     F.array_compact(F.array(F.when(F.col("s"), F.lit("branch 'dna_shotgun' has no database")), F.when(F.col("p"), F.lit("branch 'rna' is not implemented")),

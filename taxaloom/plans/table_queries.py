@@ -136,6 +136,7 @@ def sniff_tables(t: Tables):
 WITH {_CELLS_SQL}, l AS (
 SELECT 'taxa_rows' AS table_id, lineage AS taxon, split_part(split_part(lineage, ';', 1), '__', 2) AS kingdom, value FROM lin JOIN cells ON cells.table_id = 'taxa_rows' AND row_idx = k AND col_idx > 0
 UNION ALL SELECT 'taxa_cols', col_name, split_part(split_part(col_name, ';', 1), '__', 2), value FROM cells WHERE table_id = 'taxa_cols' AND col_idx > 0
+  AND col_name IN (SELECT col_name FROM cells WHERE table_id = 'taxa_cols' GROUP BY 1 HAVING count(value) > 0.5 * (SELECT count(DISTINCT row_idx) FROM cells WHERE table_id = 'taxa_cols'))
 UNION ALL SELECT 'long_form', p_type, '', p_size::varchar FROM part
 UNION ALL SELECT 'bare_ids', 'TAX' || s_nationkey, '', value FROM supplier JOIN cells ON table_id = 'bare_ids' AND row_idx = s_suppkey AND col_idx > 0)
 SELECT table_id, taxon, kingdom, 'unknown' AS domain, count(*) AS n, count(*) FILTER (value IS NULL) AS n_missing, round(sum(value::double), 4) AS total FROM l GROUP BY ALL

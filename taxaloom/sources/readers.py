@@ -182,7 +182,7 @@ def read_rows_as_map(spark: SparkSession, path: Paths, key: Column | None = None
                     header = next(reader, [])
                     chunk: list[tuple] = []
                     for i, row in enumerate(reader):
-                        chunk.append((file_path, i, list(dict(zip(header, row)).items())))
+                        chunk.append((file_path, i, dict(zip(header, row))))
                         if len(chunk) == 5000:
                             yield pd.DataFrame(chunk, columns=["path", "row_idx", "row"])
                             chunk = []

@@ -10,7 +10,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     from taxaloom.session import local_session
 
-    session = local_session(cores=8, partitions=8)
+    session = local_session(cores=8, partitions=2)
     yield session
     session.stop()
 
