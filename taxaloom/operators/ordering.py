@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ..functions.text import letter_suffix
 
 RANGES = 64
+ROWS_PER_RANGE = 2_000_000
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -118,24 +119,36 @@ def _range_of(c: Column, splits: list[float]) -> Column:
     return F.coalesce(node(0, len(splits)), F.lit(0))
 
 
-def with_range(df: DataFrame, order: str, name: str = "_range", ranges: int = RANGES) -> DataFrame:
-    """Add the range a row's order value falls in.
+def with_range(df: DataFrame, order: str, name: str = "_range", ranges: int = RANGES, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+    """Add the range a row's order value falls in; ranges grow with the data so that one range fits a task.
 
-    The split points are a bounded number of approximate quantiles; where they lie affects balance, never the result.
+    A bounded number of approximate quantiles splits the values; large tables split every quantile range again by linear
+    position. Where the borders lie affects balance, never the result.
     """
     position = F.col(order).cast("double")
-    found = df.agg(F.percentile_approx(position, [i / ranges for i in range(1, ranges)], 10 * ranges)).first()[0] or []
-    return df.withColumn(name, _range_of(position, sorted(set(found))))
+    quantiles = F.percentile_approx(position, [i / ranges for i in range(1, ranges)], 10 * ranges)
+    found = df.agg(quantiles.alias("q"), F.min(position).alias("lo"), F.max(position).alias("hi"), F.count(F.lit(1)).alias("n")).first()
+    splits = sorted(set(found.q or []))
+    coarse = _range_of(position, splits)
+    parts = min(1024, -(-found.n // (ranges * rows_per_range)))
+    if parts <= 1 or not splits:
+        return df.withColumn(name, coarse)
+    borders = F.array(*[F.lit(float(b)) for b in (found.lo, *splits, found.hi)])
+    placed = df.withColumn("_coarse", coarse)
+    low, high = F.element_at(borders, F.col("_coarse") + 1), F.element_at(borders, F.col("_coarse") + 2)
+    fine = F.coalesce(F.floor(F.try_divide(position - low, high - low) * parts), F.lit(0))
+    fine = F.greatest(F.lit(0), F.least(F.lit(parts - 1), fine))
+    return placed.withColumn(name, F.col("_coarse") * parts + fine).drop("_coarse")
 
 
 def running_total(df: DataFrame, keys: Sequence[str], order: str, weight: Column | None = None, name: str = "total_before",
-                  ties: Sequence[str] = (), ranges: int = RANGES) -> DataFrame:
+                  ties: Sequence[str] = (), ranges: int = RANGES, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """Sum of ``weight`` over the rows of the key that come before this row (``order`` is a number or a time)."""
     weight = F.lit(1) if weight is None else weight
-    cut = with_range(df.withColumn("_weight", weight), order, ranges=ranges)
+    cut = with_range(df.withColumn("_weight", weight), order, ranges=ranges, rows_per_range=rows_per_range)
     groups = [*keys, "_range"]
     sums = cut.groupBy(*groups).agg(F.sum("_weight").alias("_sum"))
-    # at most `ranges` rows per key meet in this window
+    # one row per range of a key meets in this window, never the rows themselves
     before = Window.partitionBy(*keys or [F.lit(0)]).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.withColumn("_offset", F.coalesce(F.sum("_sum").over(before), F.lit(0))).drop("_sum")
     renamed = sums.select(*[F.col(k).alias(f"_k_{k}") for k in groups], "_offset")
@@ -150,9 +163,9 @@ def running_total(df: DataFrame, keys: Sequence[str], order: str, weight: Column
 
 
 def ranked(df: DataFrame, keys: Sequence[str], order: str, ties: Sequence[str] = (), name: str = "ordinal",
-           ranges: int = RANGES) -> DataFrame:
+           ranges: int = RANGES, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """1-based position of a row within its key."""
-    out = running_total(df, keys, order, name=name, ties=ties, ranges=ranges)
+    out = running_total(df, keys, order, name=name, ties=ties, ranges=ranges, rows_per_range=rows_per_range)
     return out.withColumn(name, F.col(name).cast("bigint") + 1)
 
 

@@ -174,7 +174,7 @@ WITH l AS (SELECT DISTINCT page_id, regexp_replace(unnest(regexp_extract_all(htm
 SELECT url, count(*) AS n_pages FROM l GROUP BY url
 """)
 def regex_mine_links(t: Tables):
-    found = links.mine_urls(t.pages, "page_id", "html", hosts=None, pattern=HREF, group=1)
+    found = links.mine_urls(t.pages, "page_id", "html", hosts=None, pattern=HREF, group=1, unique_keys=True)
     return found.groupBy("url").agg(F.count(F.lit(1)).alias("n_pages"))
 
 
@@ -183,9 +183,9 @@ SITES = [("com", r"\.com$", None), ("net", r"\.net$", None), ("org", r"\.org$",
 
 def _page_links(t: Tables):
     """Links of pages as datasets: repository = kind of site, target = path of the link."""
-    found = links.mine_urls(t.pages, "page_id", "html", hosts=None, pattern=HREF, group=1)
-    site = t.pages.select("page_id", links.platform_of(F.col("url"), SITES).alias("repository"))
-    named = found.join(site, "page_id").select(
+    pages = t.pages.select("page_id", "html", links.platform_of(F.col("url"), SITES).alias("repository"))
+    found = links.mine_urls(pages, "page_id", "html", hosts=None, pattern=HREF, group=1, keep=["repository"], unique_keys=True)
+    named = found.select(
         F.col("page_id").alias("paper_id"), "repository", F.col("url").alias("accession"), F.lit("").alias("raw_url"), F.lit(None).cast("string").alias("pmid"))
     return named.withColumn("dataset_id", F.concat_ws(":", "repository", "accession"))
 
@@ -410,7 +410,7 @@ def archive_of(t: Tables):
                     F.concat(F.lit("SRP"), k + 100000))
     note = F.concat(F.when(F.col("o_orderstatus") == "F", "Reads are in the SRA under ").otherwise("See "), acc, F.lit("."))
     sentences = t.orders.select("o_orderkey", note.alias("note"))
-    mined = links.mine_accessions(sentences, "o_orderkey", "note").join(sentences, "o_orderkey")
+    mined = links.mine_accessions(sentences, "o_orderkey", "note", keep=["note"], unique_keys=True)
     a = links.archive_of(F.col("accession"), F.col("note"))
     return mined.select("repository", a["platform"].alias("platform"), a["link"].alias("link")).groupBy("repository", "platform").agg(
         n_rows(), F.min("link").alias("first_link"), F.max("link").alias("last_link"))

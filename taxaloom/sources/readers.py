@@ -103,15 +103,13 @@ def _fields(line: Column, sep: str) -> Column:
 def _lines(spark: SparkSession, path: Paths) -> DataFrame:
     """Lines of all files with a position that grows along each file.
 
-    Files are split as usual. A line's position is the start of its block plus its number within the block; since a line
-    takes at least one byte, positions of different blocks cannot meet.
+    Files are split as usual. The position is the block a line lies in (in units no block is smaller than), then the line's
+    number within its task, so that the order needs no second pass over the files.
     """
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("table_id"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_n"), "value")
-    starts = lines.groupBy("table_id", "_block").agg(F.min("_n").alias("_first"))
-    placed = lines.join(starts, ["table_id", "_block"])
-    text = F.regexp_replace(F.regexp_replace("value", "\r$", ""), "^﻿", "")
-    return placed.select("table_id", (F.col("_block") + F.col("_n") - F.col("_first")).alias("line_idx"), text.alias("line"))
+    number = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    block = F.shiftright(F.col("_metadata.file_block_start"), 12)
+    text = F.regexp_replace(F.regexp_replace("value", "\r$", ""), "^\ufeff", "")
+    return spark.read.text(path).select(F.col("_metadata.file_path").alias("table_id"), (F.shiftleft(block, 33) + number).alias("line_idx"), text.alias("line"))
 
 
 def _headers(lines: DataFrame) -> DataFrame:
@@ -141,27 +139,31 @@ def _headers(lines: DataFrame) -> DataFrame:
     return counted.where(F.size("h") > 0).select("table_id", F.try_element_at(usable, F.lit(1)).alias("o")).where("o IS NOT NULL").select("table_id", "o.*")
 
 
+def _parsed(spark: SparkSession, path: Paths, max_rows: int | None = None) -> DataFrame:
+    """Body lines with the header of their file and their own fields: table_id, line_idx, line, header, f."""
+    from ..operators.ordering import top_k
+
+    lines = _lines(spark, path)
+    body = lines.where("line <> ''").join(_headers(lines), "table_id").where("line_idx > header_idx")
+    if max_rows is not None:
+        body = top_k(body, ["table_id"], max_rows, [F.col("line_idx").asc()])
+    split = F.when(F.col("sep") == ",", _fields(F.col("line"), ",")).when(F.col("sep") == "\t", _fields(F.col("line"), "\t")).otherwise(_fields(F.col("line"), ";"))
+    return body.select("table_id", "line_idx", "line", "header", split.alias("f"))
+
+
 def read_table_cells(spark: SparkSession, path: Paths, max_rows: int | None = None, missing: Sequence[str] | None = V.MISSING_TEXT) -> tuple[DataFrame, DataFrame]:
     """(cells, malformed lines) of delimited files of any dialect, parsed in parallel inside and across files.
 
     Short lines are padded with missing cells; lines with too many fields are reported, not guessed at. ``max_rows`` is
     the preview mode: only the first rows of each file.
     """
-    lines = _lines(spark, path)
-    headers = _headers(lines)
-    body = lines.where("line <> ''").join(headers, "table_id").where("line_idx > header_idx")
-    if max_rows is not None:
-        from ..operators.ordering import top_k
-
-        body = top_k(body, ["table_id"], max_rows, [F.col("line_idx").asc()])
-    split = F.when(F.col("sep") == ",", _fields(F.col("line"), ",")).when(F.col("sep") == "\t", _fields(F.col("line"), "\t")).otherwise(_fields(F.col("line"), ";"))
-    parsed = body.withColumn("f", split).withColumn("extra", F.size("f") > F.size("header"))
-    bad = parsed.where("extra").select("table_id", "line_idx", "line")
-    cells = parsed.where("NOT extra").select("table_id", F.col("line_idx").alias("row_idx"), "f", F.posexplode("header").alias("col_idx", "col_name"))
+    parsed = _parsed(spark, path, max_rows)
+    extra = F.size("f") > F.size("header")
+    cells = parsed.where(~extra).select("table_id", F.col("line_idx").alias("row_idx"), "f", F.posexplode("header").alias("col_idx", "col_name"))
     value = F.try_element_at("f", F.col("col_idx") + 1)
     if missing is not None:
         value = F.when(~value.isin(list(missing)), value)
-    return cells.select("table_id", "row_idx", "col_idx", "col_name", value.alias("value")), bad
+    return cells.select("table_id", "row_idx", "col_idx", "col_name", value.alias("value")), parsed.where(extra).select("table_id", "line_idx", "line")
 
 
 def read_rows_as_map(spark: SparkSession, path: Paths, key: Column | None = None, multi_line: bool = False) -> DataFrame:
@@ -190,11 +192,11 @@ def read_rows_as_map(spark: SparkSession, path: Paths, key: Column | None = None
 
         rows = files.mapInPandas(parse, "path string, row_idx bigint, row map<string,string>")
         return rows.select(folder.alias("paper_folder"), "row_idx", "row")
-    cells, _ = read_table_cells(spark, path, missing=None)
-    # a row has as many entries as its header
-    entries = F.array_sort(F.collect_list(F.struct("col_idx", "col_name", F.coalesce("value", F.lit("")).alias("value"))))
-    packed = cells.where("col_name <> ''").dropDuplicates(["table_id", "row_idx", "col_name"]).groupBy(F.col("table_id").alias("path"), "row_idx").agg(entries.alias("e"))
-    return packed.select(folder.alias("paper_folder"), "row_idx", F.map_from_entries(F.transform("e", lambda x: F.struct(x["col_name"], x["value"]))).alias("row"))
+    # a line already holds its whole row, so the map is built in place; of repeated headers the first counts
+    pairs = F.transform("header", lambda h, i: F.struct(h.alias("key"), F.coalesce(F.try_element_at("f", i + 1), F.lit("")).alias("value"), i.alias("i")))
+    kept = F.filter(pairs, lambda p: (p["key"] != "") & (F.array_position("header", p["key"]) == p["i"] + 1))
+    row = F.map_from_entries(F.transform(kept, lambda p: F.struct(p["key"], p["value"])))
+    return _parsed(spark, path).withColumn("path", F.col("table_id")).select(folder.alias("paper_folder"), F.col("line_idx").alias("row_idx"), row.alias("row"))
 
 
 def read_fastq(spark: SparkSession, path: Paths, n: int | None = None) -> DataFrame:

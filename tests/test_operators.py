@@ -46,6 +46,8 @@ def test_ranks_and_running_totals(events):
         want[i] = spot[k]
     got = ordering.ranked(df, ["k"], "n", ["id"], ranges=8).select("id", "ordinal")
     assert dict(got.collect()) == want
+    fine = ordering.ranked(df, ["k"], "n", ["id"], ranges=4, rows_per_range=10).select("id", "ordinal")
+    assert dict(fine.collect()) == want
     before, total = {}, Counter()
     for i, k, _, n in sorted(data, key=lambda r: r[0]):
         before[i] = total[k]
