@@ -21,18 +21,21 @@ RANGES = 64
 ROWS_PER_RANGE = 2_000_000
 
 
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder for intermediate tables that outlive executors: the session's ``spark.checkpoint.dir``.
 
     Only a local session without that setting gets a temporary folder of its own.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a shared folder")
-        folder = tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if folder is None and not context.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a shared folder")
+    if folder is None and context.applicationId not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="spark-")
+    return folder or _LOCAL_FOLDERS[context.applicationId]
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -203,33 +206,34 @@ def systematic_sample(df: DataFrame, k: int, keys: Sequence[str], order: str) ->
     return placed.join(wanted, [*keys, "_spot"], "left_semi").select(*df.columns)
 
 
+def counted_positions(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Distinct values of a key with how many rows hold them (_c), how many come before (_before) and the key's rows (n)."""
+    counted = df.select(*keys, F.col(value).alias("_v")).where("_v IS NOT NULL").groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    placed = running_total(counted, keys, "_v", F.col("_c"), name="_before")
+    if not keys:
+        return placed.withColumn("n", counted.agg(F.sum("_c")).scalar())
+    return placed.join(counted.groupBy(*keys).agg(F.sum("_c").alias("n")), list(keys))
+
+
+def value_at(spot: Column) -> Column:
+    """Aggregate over ``counted_positions``: the value at a 1-based position of the sorted rows."""
+    return F.max(F.when((spot > F.col("_before")) & (spot <= F.col("_before") + F.col("_c")), F.col("_v")))
+
+
 def exclusive_quantiles(df: DataFrame, keys: Sequence[str], value: str, percents: Sequence[int]) -> DataFrame:
     """Quantiles by the exclusive method (position i*(n+1)/100, clamped to the data), one row per (key, percent).
 
-    Equal values are counted first, so what is ordered is the distinct values.
+    Equal values are counted first, so what is ordered is the distinct values; keys with a single value have no quantile.
     """
-    if not keys:
-        whole = exclusive_quantiles(df.withColumn("_all", F.lit(0)), ["_all"], value, percents)
-        return whole.drop("_all")
-    counted = df.select(*keys, F.col(value).alias("_v")).where("_v IS NOT NULL").groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    sizes = counted.groupBy(*keys).agg(F.sum("_c").alias("n"))
-    placed = running_total(counted, keys, "_v", F.col("_c"), name="_before")
-    m = F.col("n") + 1
-    spots = F.array(*[
-        F.struct(F.lit(p).alias("percent"), F.greatest(F.lit(1), F.least(F.floor(F.lit(p) * m / 100), F.col("n") - 1)).alias("j"))
-        for p in percents
-    ])
-    wanted = sizes.where(F.col("n") >= 2).select(*keys, "n", F.explode(spots).alias("s")).select(*keys, "n", "s.*")
-    wanted = wanted.withColumn("d", F.col("percent") * m - 100 * F.col("j"))
-    ends = wanted.select(*keys, "n", "percent", "d", F.explode(F.array(
-        F.struct(F.col("j").alias("spot"), F.lit(0).alias("side")), F.struct((F.col("j") + 1).alias("spot"), F.lit(1).alias("side"))
-    )).alias("e")).select(*keys, "n", "percent", "d", "e.*")
-    # a key has only 2 * len(percents) wanted positions; gather them per key so that the join stays an equi-join
-    asked = ends.groupBy(*keys).agg(F.collect_list(F.struct("n", "percent", "d", "spot", "side")).alias("_asked"))
-    joined = placed.join(asked, list(keys), "inner")
-    hit = F.filter("_asked", lambda a: (a["spot"] > F.col("_before")) & (a["spot"] <= F.col("_before") + F.col("_c")))
-    picked = joined.select(*keys, "_v", F.explode(hit).alias("a")).select(*keys, "_v", "a.*")
-    lo = F.max(F.when(F.col("side") == 0, F.col("_v")))
-    hi = F.max(F.when(F.col("side") == 1, F.col("_v")))
-    out = picked.groupBy(*keys, "percent").agg(lo.alias("_lo"), hi.alias("_hi"), F.max("d").alias("_d"), F.max("n").alias("n"))
-    return out.select(*keys, "percent", "n", ((F.col("_lo") * (100 - F.col("_d")) + F.col("_hi") * F.col("_d")) / 100).alias("quantile"))
+    def spot(p: int) -> Column:
+        return F.greatest(F.lit(1), F.least(F.floor(F.lit(p) * (F.col("n") + 1) / 100), F.col("n") - 1))
+
+    ends = [agg for p in percents for agg in (value_at(spot(p)).alias(f"_lo{p}"), value_at(spot(p) + 1).alias(f"_hi{p}"))]
+    found = counted_positions(df, keys, value).where("n >= 2").groupBy(*keys).agg(F.max("n").alias("n"), *ends)
+
+    def between(p: int) -> Column:
+        d = F.lit(p) * (F.col("n") + 1) - 100 * spot(p)
+        return (F.col(f"_lo{p}") * (100 - d) + F.col(f"_hi{p}") * d) / 100
+
+    pairs = F.array(*[F.struct(F.lit(p).alias("percent"), between(p).alias("quantile")) for p in percents])
+    return found.select(*keys, "n", F.inline(pairs)).where("quantile IS NOT NULL")

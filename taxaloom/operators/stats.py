@@ -17,7 +17,7 @@ from ..functions.taxa import (
     disease_bucket, feature_domain, host_of, ictv_rank, known_taxon, normalise_disease, paper_domain, unit_bucket,
 )
 from ..functions.text import clip, first_nonblank, lenient_int, lower_keys, nonblank, share
-from .ordering import dominant, running_total, top_k
+from .ordering import counted_positions, dominant, top_k, value_at
 
 NOT_A_HOST_COLUMN = r"(^|_)host(_|$)"
 KINGDOM_COLUMN = r"(^|_)(realm|kingdom|domain|superkingdom)(_|$)"
@@ -43,18 +43,8 @@ def counter_table(df: DataFrame, key: str, value: str = "n", weight: str | None
 
 def median_of(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Exact median per key from counted distinct values (no per-key list of all rows)."""
-    counted = df.select(*keys, F.col(value).alias("_v")).where("_v IS NOT NULL").groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    if not keys:
-        counted, keys = counted.withColumn("_all", F.lit(0)), ["_all"]
-    sizes = counted.groupBy(*keys).agg(F.sum("_c").alias("n"))
-    placed = running_total(counted, keys, "_v", F.col("_c"), name="_before").join(sizes, list(keys))
     lo, hi = F.floor((F.col("n") + 1) / 2), F.floor(F.col("n") / 2) + 1
-
-    def at(spot: Column) -> Column:
-        return F.max(F.when((spot > F.col("_before")) & (spot <= F.col("_before") + F.col("_c")), F.col("_v")))
-
-    out = placed.groupBy(*keys).agg(((at(lo) + at(hi)) / 2).alias("median"), F.max("n").alias("n"))
-    return out.drop("_all")
+    return counted_positions(df, keys, value).groupBy(*keys).agg(((value_at(lo) + value_at(hi)) / 2).alias("median"), F.max("n").alias("n"))
 
 
 # ---------------------------------------------------------------------------

@@ -274,7 +274,7 @@ def amplicon_facts(found: DataFrame, pairs: DataFrame) -> dict[str, DataFrame]:
     base = F.regexp_replace("region", "^primer_like_", "")
     size = lambda i: F.coalesce(F.try_element_at(F.create_map(*[x for k, p in V.PRIMERS.items() for x in (F.lit(k), F.lit(len(p[i])))]), base), F.lit(0))
     trims = agreed.select("paper", "region", size(0).alias("trim_f"), size(1).alias("trim_r"))
-    inserts = reads.insert_summary(reads.insert_lengths(pairs), ["paper"])
+    inserts = reads.insert_summary(ordering.stored(reads.insert_lengths(pairs).select("paper", "insert_length")), ["paper"])
     share = pairs.groupBy("paper").agg(F.avg(F.col("read_through").cast("double")).alias("share_through"))
     facts = trims.join(lengths, "paper").join(inserts.select("paper", F.round("p99").cast("int").alias("insert_p99")), "paper", "left").join(share, "paper", "left").na.fill(0)
     return {"calls": calls, "agreement": agreed, "inserts": inserts, "budget": reads.merge_budget(reads.trunc_caps(facts))}

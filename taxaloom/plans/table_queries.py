@@ -62,7 +62,7 @@ def _all_cells(t: Tables) -> DataFrame:
 def _known_ids(t: Tables) -> DataFrame:
     """Ids a lookup table of the same deposit gives a lineage to, found by the lookup operators themselves."""
     table = _lineage(t).select("k", F.concat(F.lit("TAX"), "k").alias("id"), "lineage")
-    lookup = cells.cells_of(table, "lookup", "k", ["id", "lineage"])
+    lookup = ordering.stored(cells.cells_of(table, "lookup", "k", ["id", "lineage"]))
     return cells.id_to_lineage(lookup, cells.lookup_tables(lookup))
 
 
@@ -456,7 +456,8 @@ def insert_lengths(t: Tables):
     shift = (F.col("label") % 10 + 8).cast("int")
     pairs = t.embeddings.select(F.when(F.col("label") < 5, "low").otherwise("high").alias("grp"), letters.alias("seq1"), shift.alias("k"))
     turned = F.concat(F.substring("seq1", F.col("k") + 1, F.length("seq1")), F.reverse(F.substring("seq1", F.lit(1), F.col("k"))))
-    return reads.insert_summary(reads.insert_lengths(pairs.withColumn("seq2_rc", turned)), ["grp"])
+    measured = reads.insert_lengths(pairs.select("grp", "seq1", turned.alias("seq2_rc"))).select("grp", "insert_length")
+    return reads.insert_summary(ordering.stored(measured), ["grp"])
 
 
 @query("""
@@ -495,7 +496,7 @@ def retention_track(t: Tables):
     day = F.to_date("ts").cast("string").alias("day")
     step = case_when([(F.col("event_type") == k, F.lit(v)) for k, v in _STEP_OF], F.lit("other"))
     counts = t.events.groupBy(day, "user_id", step.alias("step")).agg(n_rows())
-    track = reads.track_reads(t.events.select(day, "user_id"), counts, ["day", "user_id"])
+    track = ordering.stored(reads.track_reads(t.events.select(day, "user_id"), counts, ["day", "user_id"]))
     out = reads.merge_verdict(track, "day", min_reads=1).join(reads.chimera_retention(track, "day"), "day")
     return out.withColumns({c: F.round(c, 8) for c in ("median_retention", "share_empty", "chimera_retention")})
 
