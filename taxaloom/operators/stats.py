@@ -109,17 +109,19 @@ def repeats_of(df: DataFrame, keys: Sequence[str], subject: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 # features
 # ---------------------------------------------------------------------------
-def _entries(row: Column, pattern: str) -> Column:
-    """Map entries whose header matches and is no host annotation, in header order."""
-    def wanted(e: Column) -> Column:
-        return matches(F.trim(e["key"]), pattern, True) & ~matches(F.trim(e["key"]), NOT_A_HOST_COLUMN, True)
+def own_entries(row: Column) -> Column:
+    """Map entries in header order with lower-cased headers, without the annotations of a host."""
+    lowered = F.transform(F.map_entries(row), lambda e: F.struct(F.lower(F.trim(e["key"])).alias("key"), e["value"].alias("value")))
+    return F.filter(lowered, lambda e: ~matches(e["key"], NOT_A_HOST_COLUMN))
 
-    return F.filter(F.map_entries(row), wanted)
 
+def _entries(own: Column, pattern: str) -> Column:
+    return F.filter(own, lambda e: matches(e["key"], pattern))
 
-def _first_found(row: Column, pattern: str, read, found=lambda v: v.isNotNull()) -> Column:
+
+def _first_found(own: Column, pattern: str, read, found=lambda v: v.isNotNull()) -> Column:
     """First reading among the matching columns that says something."""
-    return F.try_element_at(F.filter(F.transform(_entries(row, pattern), lambda e: read(e["value"])), found), F.lit(1))
+    return F.try_element_at(F.filter(F.transform(_entries(own, pattern), lambda e: read(e["value"])), found), F.lit(1))
 
 
 def rank_pattern(rank: str) -> str:
@@ -132,30 +134,42 @@ def feature_domain_rows(rows: DataFrame, papers: DataFrame) -> DataFrame:
 
     def stated(pattern: str, read, evidence: str) -> Column:
         answer = lambda v: F.struct(read(v).alias("domain"), F.lit(evidence).alias("evidence"))
-        return _first_found(F.col("row"), pattern, answer, lambda s: s["domain"].isNotNull())
+        return _first_found(F.col("_own"), pattern, answer, lambda s: s["domain"].isNotNull())
 
     # each source is read only where the ones before it say nothing
     answer = F.coalesce(
         stated(KINGDOM_COLUMN, feature_domain, "kingdom column"), stated(LINEAGE_COLUMN, feature_domain, "lineage string"), stated(NAME_COLUMN, named, "feature name"),
         F.struct(F.coalesce("paper_domain", F.lit("Unclassified")).alias("domain"), F.lit("paper-level fallback").alias("evidence")))
-    ranks = _entries(F.col("row"), RANK_COLUMN)
+    ranks = _entries(F.col("_own"), RANK_COLUMN)
     first_rank = F.try_element_at(F.filter(ranks, lambda e: ~blank(e["value"])), F.lit(1))["value"]
     row_rank = F.when(F.size(ranks) > 0, F.coalesce(bucket(first_rank, V.ROW_RANKS, "Other / mixed", "Other / mixed"), F.lit("Other / mixed")))
     out = rows.join(papers.select("paper_folder", "paper_domain"), "paper_folder", "left")
-    return out.select("*", answer.alias("_a"), row_rank.alias("row_rank")).select(*out.columns, "_a.domain", "_a.evidence", "row_rank")
+    read = out.withColumn("_own", own_entries(F.col("row"))).select(*out.columns, answer.alias("_a"), row_rank.alias("row_rank"))
+    return read.select(*out.columns, "_a.domain", "_a.evidence", "row_rank")
 
 
 def lineage_fill(rows: DataFrame, ranks: Sequence[str] = V.LINEAGE_RANKS) -> DataFrame:
     """One row per filled rank: paper_folder, row_idx, column_rank, true_rank, name. A viral name overrides its column."""
-    picks = [F.struct(F.lit(r).alias("column_rank"), _first_found(F.col("row"), rank_pattern(r), known_taxon).alias("name")) for r in ranks]
-    long = rows.select("paper_folder", "row_idx", F.explode(F.array(*picks)).alias("p")).select("paper_folder", "row_idx", "p.*").where("name IS NOT NULL")
+    # names are cleaned once per cell, then every rank takes its first filled column
+    any_rank = "|".join(f"({rank_pattern(r)})" for r in ranks)
+    named = F.transform(_entries(own_entries(F.col("row")), any_rank), lambda e: F.struct(e["key"].alias("key"), known_taxon(e["value"]).alias("value")))
+    cleaned = rows.select("paper_folder", "row_idx", F.filter(named, lambda e: e["value"].isNotNull()).alias("_named"))
+    picks = [F.struct(F.lit(r).alias("column_rank"), F.try_element_at(_entries(F.col("_named"), rank_pattern(r)), F.lit(1))["value"].alias("name")) for r in ranks]
+    long = cleaned.select("paper_folder", "row_idx", F.explode(F.array(*picks)).alias("p")).select("paper_folder", "row_idx", "p.*").where("name IS NOT NULL")
     return long.withColumn("true_rank", F.coalesce(ictv_rank(F.col("name")), F.col("column_rank")))
 
 
 def lineage_columns(rows: DataFrame, ranks: Sequence[str] = V.LINEAGE_RANKS) -> DataFrame:
     """Ranks a paper's table has a column for."""
-    has = [F.when(F.size(_entries(F.col("row"), rank_pattern(r))) > 0, F.lit(r)) for r in ranks]
-    return rows.select("paper_folder", F.explode(F.array_compact(F.array(*has))).alias("rank")).distinct()
+    # the distinct headers of a paper come first: the patterns then run per header, not per row
+    headers = rows.select("paper_folder", F.map_keys("row").alias("_k")).distinct()
+    own = F.filter(F.transform("_k", lambda k: F.lower(F.trim(k))), lambda k: ~matches(k, NOT_A_HOST_COLUMN))
+
+    def has_column(pattern: str) -> Column:
+        return F.exists(own, lambda k: matches(k, pattern))
+
+    has = [F.when(has_column(rank_pattern(r)), F.lit(r)) for r in ranks]
+    return headers.select("paper_folder", F.explode(F.array_compact(F.array(*has))).alias("rank")).distinct()
 
 
 def feature_facts(features: DataFrame, lineage: DataFrame) -> DataFrame:

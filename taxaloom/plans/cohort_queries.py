@@ -160,7 +160,7 @@ l AS (SELECT paper_folder, p_partkey, 'kingdom' AS column_rank, CASE p_type WHEN
 """
 
 
-def _part_features(t: Tables):
+def _part_rows(t: Tables):
     pick = lambda pairs, other="": case_when([(F.col("p_type") == k, v) for k, v in pairs], F.lit(other))
     second = F.element_at(F.split("p_name", " "), 2)
     row = F.create_map(
@@ -170,11 +170,17 @@ def _part_features(t: Tables):
         F.lit("taxonomic_rank"), F.when(F.col("p_size") < 10, "species-level").when(F.col("p_size") < 25, "97% OTU").otherwise(" "),
         F.lit("silva_genus"), F.when(second == "ring", "Ringviridae").when(second == "rod", "uncultured").otherwise(second),
         F.lit("phylum"), F.element_at(F.split("p_name", " "), 1))
-    rows = t.part.select(F.col("p_brand").alias("paper_folder"), F.col("p_partkey").alias("row_idx"), row.alias("row"))
+    return t.part.select(F.col("p_brand").alias("paper_folder"), F.col("p_partkey").alias("row_idx"), row.alias("row"))
+
+
+def _part_features(t: Tables):
+    """Classified features, written once because several aggregates read them."""
     papers = t.part.select(F.col("p_brand").alias("paper_folder")).distinct().withColumn("paper_domain", F.lit("Unclassified"))
-    # several aggregates read the classified rows, so the patterns run once
-    features = ordering.stored(stats.feature_domain_rows(rows, papers).drop("row"))
-    return features, ordering.stored(stats.lineage_fill(rows)), stats.lineage_columns(rows)
+    return ordering.stored(stats.feature_domain_rows(_part_rows(t), papers).drop("row"))
+
+
+def _part_lineage(t: Tables):
+    return ordering.stored(stats.lineage_fill(_part_rows(t)))
 
 
 @query("WITH " + _PART_FEATURES + """, e AS (SELECT paper_folder, evidence, row_number() OVER (PARTITION BY paper_folder ORDER BY count(*) DESC, min(p_partkey)) AS r FROM f GROUP BY 1, 2),
@@ -187,8 +193,7 @@ SELECT f.paper_folder, count(*) AS n_feature_rows, count(*) FILTER (f.evidence <
 FROM f JOIN e ON f.paper_folder = e.paper_folder AND e.r = 1 JOIN k ON f.paper_folder = k.paper_folder AND k.r = 1 JOIN n ON f.paper_folder = n.paper_folder GROUP BY 1
 """)
 def feature_facts(t: Tables):
-    features, lineage, _ = _part_features(t)
-    return stats.feature_facts(features, lineage)
+    return stats.feature_facts(_part_features(t), _part_lineage(t))
 
 
 @query("WITH " + _PART_FEATURES + """, c AS (SELECT row_rank AS rank, count(*) AS n_features FROM f GROUP BY 1),
@@ -198,7 +203,7 @@ SELECT rank, n_features, coalesce(n_papers_dominant, 0) AS n_papers_dominant, CA
   round(n_features / sum(n_features) OVER (), 6) AS share_of_features, round(coalesce(n_papers_dominant, 0) / sum(n_papers_dominant) OVER (), 6) AS share_of_papers FROM c LEFT JOIN p USING (rank)
 """)
 def row_rank_table(t: Tables):
-    features, _, _ = _part_features(t)
+    features = _part_features(t)
     top = ordering.dominant(features, ["paper_folder"], "row_rank", ["row_idx"]).select("paper_folder", F.col("row_rank").alias("dominant_row_rank"))
     overview = top.withColumns({"paper_rank": F.lit("Genus"), "n_features": F.lit(1).cast("bigint")})
     out = stats.row_rank_table(overview, features)
@@ -212,7 +217,7 @@ SELECT rank, coalesce(n_papers_with_column, 0) AS n_papers_with_column, coalesce
 FROM c FULL JOIN v USING (rank)
 """)
 def lineage_depth(t: Tables):
-    _, lineage, columns = _part_features(t)
+    lineage, columns = _part_lineage(t), stats.lineage_columns(_part_rows(t))
     n_papers, n_features = stats.whole(t.part, F.count_distinct("p_brand")), stats.whole(t.part, F.count(F.lit(1)))
     out = stats.lineage_depth(lineage, columns, n_papers, n_features)
     return out.withColumns({c: F.round(c, 6) for c in ("share_of_features", "share_of_papers")})
