@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality
+from . import ngram_join, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -22,6 +22,12 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op1_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Class and number of links of every document, over five-word shingles at 0.8."""
+    return ngram_join.join(_table(spark, folder, "documents"))
+
+
 @query
 def op8_quality_cascade(spark: SparkSession, folder: str) -> DataFrame:
     """Measures and verdict of the quality cascade for every document."""
