@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ngram_join, quality
+from . import ngram_join, quality, suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -32,3 +32,10 @@ def op1_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 def op8_quality_cascade(spark: SparkSession, folder: str) -> DataFrame:
     """Measures and verdict of the quality cascade for every document."""
     return quality.judge(_table(spark, folder, "documents"))
+
+
+@query
+def op10_run_length_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left of every document without the 50-byte strings of earlier documents."""
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    return suffix_dedup.dedup(docs).select("doc_id", "cut.*")
