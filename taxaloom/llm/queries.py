@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import ngram_join, quality, suffix_dedup
+from . import mixing, ngram_join, quality, suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -28,6 +29,13 @@ def op1_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.join(_table(spark, folder, "documents"))
 
 
+@query
+def op4_source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    """Words that the mix takes of every document."""
+    found = mixing.taken(mixing.mix(_table(spark, folder, "documents")))
+    return found.select(F.col("key").alias("doc_id"), "size", "source_size", "target", "taken", "source", "draws")
+
+
 @query
 def op8_quality_cascade(spark: SparkSession, folder: str) -> DataFrame:
     """Measures and verdict of the quality cascade for every document."""
