@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, ngram_join, quality, suffix_dedup
+from . import common, mixing, ngram_join, packing, quality, suffix_dedup, wavelet
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -29,6 +30,14 @@ def op1_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.join(_table(spark, folder, "documents"))
 
 
+@query
+def op3_wavelet_shards(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens of every document, read back from wavelet-matrix files in the shared folder."""
+    files = f"{common.shared_folder(spark)}/wavelet/{uuid.uuid4().hex}"
+    wavelet.write(_table(spark, folder, "documents"), files)
+    return wavelet.read(spark, files)
+
+
 @query
 def op4_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     """Words that the mix takes of every document."""
@@ -47,3 +56,9 @@ def op10_run_length_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """What is left of every document without the 50-byte strings of earlier documents."""
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     return suffix_dedup.dedup(docs).select("doc_id", "cut.*")
+
+
+@query
+def op9_histogram_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Place of every piece of every document in sequences of at most 4096 tokens."""
+    return packing.pack(_table(spark, folder, "documents"))
