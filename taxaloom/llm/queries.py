@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, mixing, ngram_join, packing, quality, suffix_dedup, wavelet
+from . import common, line_dedup, mixing, ngram_join, packing, quality, suffix_dedup, vp_search, wavelet
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -45,6 +45,38 @@ def op4_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(F.col("key").alias("doc_id"), "size", "source_size", "target", "taken", "source", "draws")
 
 
+@query
+def op5_vantage_point_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 vectors of largest inner product for every twentieth vector."""
+    return vp_search.search(_table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query
+def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Repeated lines of every document, with their places, and a digest of the text without them."""
+    cut = line_dedup.dedup(_table(spark, folder, "documents").select("doc_id", "text")).select("doc_id", "cut.*")
+    return cut.select("doc_id", "n_units", "n_removed", "removed_chars", "spans", F.md5("kept_text").alias("kept_md5"))
+
+
+SQL["op7_line_dedup"] = """
+WITH given AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+lines AS (
+  SELECT doc_id, line, pos, length(line) AS n,
+         lower(trim(regexp_replace(line, '[ \t\n\v\f\r]+', ' ', 'g'), ' ')) AS plain
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM given)),
+placed AS (
+  SELECT *, coalesce(sum(n + 1) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start,
+         plain <> '' AND length(plain) - length(replace(plain, ' ', '')) >= 4 AS counted
+  FROM lines),
+judged AS (SELECT *, counted AND row_number() OVER (PARTITION BY counted, plain ORDER BY doc_id, pos) > 1 AS gone FROM placed)
+SELECT doc_id, count(*) FILTER (WHERE counted) AS n_units, count(*) FILTER (WHERE gone) AS n_removed,
+       coalesce(sum(n) FILTER (WHERE gone), 0)::BIGINT AS removed_chars,
+       coalesce(string_agg(start::BIGINT || '-' || (start + n)::BIGINT, ';' ORDER BY pos) FILTER (WHERE gone), '') AS spans,
+       md5(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_md5
+FROM judged GROUP BY doc_id
+"""
+
+
 @query
 def op8_quality_cascade(spark: SparkSession, folder: str) -> DataFrame:
     """Measures and verdict of the quality cascade for every document."""
