@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, line_dedup, mixing, ngram_join, packing, quality, suffix_dedup, vp_search, wavelet
+from . import common, line_dedup, mixing, ngram_join, packing, page_diff, quality, suffix_dedup, toxicity, vp_search, wavelet
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -30,6 +30,12 @@ def op1_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.join(_table(spark, folder, "documents"))
 
 
+@query
+def op2_nearest_url_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    return page_diff.extract(_table(spark, folder, "pages"))
+
+
 @query
 def op3_wavelet_shards(spark: SparkSession, folder: str) -> DataFrame:
     """Tokens of every document, read back from wavelet-matrix files in the shared folder."""
@@ -51,6 +57,12 @@ def op5_vantage_point_search(spark: SparkSession, folder: str) -> DataFrame:
     return vp_search.search(_table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+@query
+def op6_noisy_channel_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity score of every document."""
+    return toxicity.score(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 @query
 def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Repeated lines of every document, with their places, and a digest of the text without them."""
