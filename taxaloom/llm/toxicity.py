@@ -91,7 +91,7 @@ class Restorer:
     def __init__(self, model: np.ndarray) -> None:
         self.model, self.known = model.tolist(), {}
         usual = -float((np.exp(model) * model).sum(axis=2).mean())
-        self.limit = -1.6 * usual          # mean log probability a letter below which a reading is no word
+        self.limit = -2.8 * usual          # mean log probability a letter below which a reading is no word
 
     def __call__(self, text: str) -> str:
         return _DISGUISED.sub(lambda m: self.read(m.group(0)), text)
@@ -113,7 +113,7 @@ class Restorer:
             elif c in READINGS:
                 letters = READINGS[c]
                 options = [(x * k, -0.5 - math.log(len(letters)) - 0.3 * (k - 1)) for x in letters for k in ((1, 2) if len(run) > 1 else (1,))]
-                out.append(options + ([("", -2.0)] if c in GAPS else [("", -4.0)]))
+                out.append(options + ([("", -2.0)] if c in GAPS else [("", -9.0)]))
             elif c in GAPS:
                 out.append([("", -0.2)])
             else:
