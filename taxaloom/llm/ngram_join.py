@@ -1,16 +1,15 @@
 """Similarity self-join on word n-gram sets: MinHash bands for candidates, exact Jaccard on the full sets for links.
 
-Texts with one set of n-grams are one class, joined once; the class counts its members.  Band hashes of the classes are shuffled;
-classes that share a band are candidates.  Large groups are not expanded into pairs: with d(A, B) the size of the symmetric
-difference, J(A, B) >= t is d(A, B) <= c (|A| + |B|), c = (1 - t) / (1 + t), and d is a metric.  All classes of a group within
-d(A, P) <= c |A| of the group's pivot P are therefore linked to each other without being compared (a *cell*).  What lies in
-different cells is compared through the pivots first: d(A, P) + d(B, P) proves a link, their difference disproves one, and only what
-stays open is compared itself.  No cap: a class takes part in every group it belongs to.
-
-The band count is chosen for ``RECALL`` at the threshold, links above it are found with higher probability still; found links are
-exact.  Texts of one to four words have one n-gram, the whole word sequence; texts without words (null, empty, blank) link to
-nothing.  Rows with a null key are returned with null class and no links.  Repeated rows are copies of each other.  An empty table
-gives an empty result; only the key and the text column are read, so other columns may have any name.
+Texts with one set of n-grams are one class, joined once; the class counts its members.  Band hashes of the classes are shuffled, and
+classes that share a band are candidates.  A band that at most ``PAIRED`` classes share gives pairs, each compared once.  Larger bands are
+not expanded into pairs: the classes that they connect form a group, the group is dealt into blocks of about ``BLOCK`` classes, and every
+two blocks meet in a task that counts common n-grams as a matrix product and returns one row a class: how many rows it is linked to, and a
+class it hangs together with.  So rows grow with the classes of a group times its blocks, not with its pairs, and no link is left out.
+
+The band count is chosen for ``RECALL`` at the threshold; links above it are found with higher probability still.  Found links are exact.
+Texts of one to four words have one n-gram, the whole word sequence; texts without words (null, empty, blank) link to nothing.  Rows with a
+null key are returned with null class and no links.  Repeated rows are copies of each other.  An empty table gives an empty result; only
+the key and the text column are read, so other columns may have any name.
 """
 
 from __future__ import annotations
@@ -31,6 +30,9 @@ N = 5
 THRESHOLD = 0.8
 RECALL = 0.9999
 MOST_HASHES = 128
+PAIRED = 32
+BLOCK = 256
+COLUMNS = 4096
 
 
 def choose_bands(threshold: float = THRESHOLD, recall: float = RECALL, most: int = MOST_HASHES) -> tuple[int, int]:
@@ -38,11 +40,9 @@ def choose_bands(threshold: float = THRESHOLD, recall: float = RECALL, most: int
     best = (most, 1)
     for rows in range(1, most + 1):
         hit = threshold ** rows
-        if hit <= 0 or hit >= 1:
-            break
-        bands = math.ceil(math.log(1 - recall) / math.log(1 - hit))
+        bands = max(1, math.ceil(math.log1p(-recall) / math.log1p(-hit))) if 1e-12 < hit < 1 else most + 1
         if bands * rows <= most:
-            best = (max(1, bands), rows)
+            best = (bands, rows)
     return best
 
 
@@ -133,79 +133,112 @@ def _differences(batch: pa.RecordBatch, n: int) -> pa.RecordBatch:
 
 
 def _measured(pairs: DataFrame, texts: DataFrame, n: int) -> DataFrame:
-    """Exact d of every pair (a, b) of classes; the longer list of partners is streamed past the text of ``b``."""
+    """Exact d of every pair (a, b) of classes."""
     left = pairs.join(texts.select(F.col("cid").alias("a"), F.col("text").alias("text_a")), "a")
     both = left.join(texts.select(F.col("cid").alias("b"), F.col("text").alias("text_b")), "b")
     return both.select("a", "b", "text_a", "text_b").mapInArrow(in_batches(_differences, n), "a binary, b binary, d long")
 
 
-def join(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = N, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
+def _block_links(table: pa.Table, n: int, near: int, far: int) -> pa.Table:
+    """Links between the two blocks of a task (or inside one): per class the linked rows, and the smallest class it hangs together with."""
+    order = np.argsort(table.column("cid").to_numpy(zero_copy_only=False))
+    table = table.take(pa.array(order))
+    flat, borders = kernels.text_bytes(table.column("text"))
+    owners, hashes = [], []
+    for lo, hi in kernels.slices(borders):
+        words = kernels.Words(flat[borders[lo]:borders[hi]], borders[lo:hi + 1] - borders[lo])
+        owner, h = shingles(words, n)
+        owners.append(owner + lo)
+        hashes.append(h)
+    owner, rows = np.concatenate(owners), table.num_rows
+    sizes = np.bincount(owner, minlength=rows)
+    _, column, held = np.unique(np.concatenate(hashes), return_inverse=True, return_counts=True)
+    common = held > 1                                     # n-grams of one text alone take no part in an intersection
+    place = np.cumsum(common) - 1
+    owner, column = owner[common[column]], place[column[common[column]]]
+    by_column = np.argsort(column, kind="stable")
+    owner, column = owner[by_column], column[by_column]
+    shared = np.zeros((rows, rows), np.float32)
+    for lo in range(0, int(common.sum()), COLUMNS):
+        part = slice(*np.searchsorted(column, [lo, lo + COLUMNS]))
+        held_by = np.zeros((rows, COLUMNS), np.float32)
+        held_by[owner[part], column[part] - lo] = 1
+        shared += held_by @ held_by.T
+    both = sizes[:, None] + sizes[None, :]
+    linked = far * (both - 2 * shared.astype(np.int64)) <= near * both
+    np.fill_diagonal(linked, False)
+    block, one, two = (table.column(c).to_numpy() for c in ("block", "one", "two"))
+    if one[0] != two[0]:                                  # pairs inside a block belong to the task of that block alone
+        linked &= block[:, None] != block[None, :]
+    reach = linked @ table.column("m").to_numpy()
+    label, before = np.arange(rows), None
+    while before is None or (label != before).any():
+        before = label
+        label = np.minimum(label, np.where(linked, label[None, :], rows).min(axis=1))
+    cids = table.column("cid").combine_chunks()
+    some = np.flatnonzero(reach)
+    return pa.table({"cid": cids.take(pa.array(some)), "k": pa.array(reach[some], pa.int64()), "near": cids.take(pa.array(label[some]))})
+
+
+def join(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = N, threshold: float = THRESHOLD, recall: float = RECALL,
+         paired: int = PAIRED, block: int = BLOCK) -> DataFrame:
     """One row per input row: key, class_id (smallest key of its component of links), copy_id (smallest key with the same n-gram set),
     n_links (rows linked to it, copies included), n_grams."""
     prepare(docs.sparkSession)
     bands, rows = choose_bands(threshold, recall)
     t = Fraction(threshold).limit_denominator(10_000)
-    near, far = int(t.denominator - t.numerator), int(t.denominator + t.numerator)  # J >= t: far * d <= near * (|A| + |B|)
+    near, far = int(t.denominator - t.numerator), int(t.denominator + t.numerator)  # J >= t: far * d <= near * (|A| + |B|), d the symmetric difference
     narrow = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     kind = narrow.schema["key"].dataType.simpleString()
     signed = stored(narrow.mapInArrow(in_batches(_signed, n, bands, rows, True), f"key {kind}, cid binary, size long, bands array<long>"))
     named = signed.where("cid IS NOT NULL AND key IS NOT NULL")
     classes = stored(named.groupBy("cid").agg(F.min("key").alias("rep"), F.count(F.lit(1)).alias("m"), F.first("size").alias("size")))
 
-    # groups: classes that share a band
+    # candidates: classes that share a band
     heads = named.join(classes.select("cid", F.col("rep").alias("key")), ["cid", "key"], "left_semi").dropDuplicates(["cid"])
-    listed = heads.select("cid", F.explode("bands").alias("band"))
-    groups = listed.groupBy("band").agg(F.min("cid").alias("pivot"), F.count(F.lit(1)).alias("c")).where("c > 1")
-    placed = stored(listed.join(groups.select("band", "pivot"), "band"))
-    texts = narrow.join(placed.select("cid").distinct().join(classes, "cid").select(F.col("rep").alias("key")).distinct(), "key", "left_semi")
+    listed = heads.select("cid", "size", F.explode("bands").alias("band"))
+    bands_of = listed.groupBy("band").agg(F.min("cid").alias("pivot"), F.count(F.lit(1)).alias("c")).where("c > 1")
+    placed = stored(listed.join(bands_of, "band"))
+    groups = stored(components(placed.where(F.col("c") > paired), "cid", "pivot"))
+    few = placed.where(F.col("c") <= paired)
+    one, two = few.select("band", F.col("cid").alias("a"), F.col("size").alias("size_a")), few.select("band", F.col("cid").alias("b"), F.col("size").alias("size_b"))
+    fits = F.lit(t.numerator) * F.greatest("size_a", "size_b") <= F.lit(t.denominator) * F.least("size_a", "size_b")
+    pairs = one.join(two, "band").where("a < b").where(fits).select("a", "b").distinct()
+    of = [groups.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}")) for c in ("a", "b")]
+    pairs = pairs.join(of[0], "a", "left").join(of[1], "b", "left").where("root_a IS NULL OR root_b IS NULL OR root_a <> root_b").select("a", "b")
+    pairs = stored(pairs)
+
+    # whole texts of the candidates
+    wanted = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).union(groups.select("node")).distinct()
+    # the keys grow with the corpus, so they are never broadcast, however few they are
+    keys = wanted.join(classes, "cid").select(F.col("rep").alias("key")).distinct().hint("merge")
+    texts = narrow.join(keys, "key", "left_semi")
     texts = stored(texts.mapInArrow(in_batches(_signed, n, bands, rows, False), f"key {kind}, cid binary, size long, text string")
                    .where("cid IS NOT NULL").select("cid", "text").dropDuplicates(["cid"]))
     sizes = classes.select("cid", "size", "m")
 
-    # cells: everything within reach of the smallest pivot
-    pivots = placed.groupBy(F.col("cid").alias("a")).agg(F.min("pivot").alias("b"))
-    reached = _measured(pivots.where("a <> b"), texts, n).join(sizes.select(F.col("cid").alias("a"), "size"), "a")
-    inside = reached.where(F.lit(far) * F.col("d") <= F.lit(near) * F.col("size")).select(F.col("a").alias("cid"), F.col("b").alias("cell"), F.col("d").alias("r"))
-    cells = stored(placed.select("cid").distinct().join(inside, "cid", "left").join(sizes, "cid")
-                   .select("cid", F.coalesce("cell", "cid").alias("cell"), F.coalesce("r", F.lit(0)).alias("r"), "size", "m"))
-
-    # cells that share a band; within a group only different cells meet, each once
-    spread = cells.groupBy("cell").agg(F.min("size").alias("low"), F.max("size").alias("high"), F.count(F.lit(1)).alias("members"))
-    seen = placed.join(cells.select("cid", "cell"), "cid").select("band", "cell").distinct().join(spread, "cell")
-    one, two = (seen.select("band", *[F.col(c).alias(f"{c}_{i}") for c in ("cell", "low", "high", "members")]) for i in (1, 2))
-    fits = (F.lit(t.numerator) * F.col("low_1") <= F.lit(t.denominator) * F.col("high_2")) & (F.lit(t.numerator) * F.col("low_2") <= F.lit(t.denominator) * F.col("high_1"))
-    met = one.join(two, "band").where("cell_1 < cell_2").where(fits)
-    larger = F.col("members_1") >= F.col("members_2")
-    met = met.select(F.when(larger, F.col("cell_1")).otherwise(F.col("cell_2")).alias("ball"), F.when(larger, F.col("cell_2")).otherwise(F.col("cell_1")).alias("cell")).distinct()
-
-    # every class of the smaller cell against the pivot of the larger one
-    probes = met.join(cells.select("cell", F.col("cid").alias("a")), "cell").select("a", F.col("ball").alias("b"))
-    probed = _measured(probes.where("a <> b"), texts, n).union(probes.where("a = b").select("a", "b", F.lit(0).cast("long").alias("d")))
-    ends = probed.join(cells.select(F.col("cid").alias("a"), F.col("size").alias("size_a"), F.col("m").alias("m_a"), F.col("cell").alias("cell_a")), "a")
-    limit = F.lit(near) * (F.col("size_a") + F.col("size_x"))
-    against = cells.select(F.col("cell").alias("b"), F.col("cid").alias("x"), "r", F.col("size").alias("size_x"), F.col("m").alias("m_x"))
-    possible = stored(ends.join(against, "b").where(F.lit(far) * F.abs(F.col("d") - F.col("r")) <= limit)
-                      .withColumn("sure", F.lit(far) * (F.col("d") + F.col("r")) <= limit))
-    opened = possible.where("NOT sure")
-    closed = _measured(opened.select("a", F.col("x").alias("b")).distinct(), texts, n).select("a", F.col("b").alias("x"), F.col("d").alias("exact"))
-    tested = opened.join(closed, ["a", "x"]).where(F.lit(far) * F.col("exact") <= limit)
-    columns = ["a", "x", "m_a", "m_x", "cell_a", F.col("b").alias("cell_x")]
-    links = stored(possible.where("sure").select(*columns).union(tested.select(*columns)))
+    # links of pairs, and of blocks
+    side = [sizes.select(F.col("cid").alias(c), F.col("size").alias(f"size_{c}"), F.col("m").alias(f"m_{c}")) for c in ("a", "b")]
+    close = _measured(pairs, texts, n).join(side[0], "a").join(side[1], "b").where(F.lit(far) * F.col("d") <= F.lit(near) * (F.col("size_a") + F.col("size_b")))
+    close = stored(close.select("a", "b", "m_a", "m_b"))
+    spread = groups.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
+    dealt = groups.join(spread, "root").select("root", "blocks", F.col("node").alias("cid"), F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"))
+    dealt = dealt.join(texts, "cid").join(sizes.select("cid", "m"), "cid")
+    met = dealt.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    met = met.select("root", "cid", "m", "text", "block", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"))
+    inside = stored(met.groupBy("root", "one", "two").applyInArrow(lambda x: _block_links(x, n, near, far), "cid binary, k long, near binary"))
 
     # results by class, then by row
-    across = links.select(F.col("a").alias("cid"), F.col("m_x").alias("k")).union(links.select(F.col("x").alias("cid"), F.col("m_a").alias("k"))).groupBy("cid").agg(F.sum("k").alias("across"))
-    totals = cells.groupBy("cell").agg(F.sum("m").alias("within"))
-    roots = components(links.select("cell_a", "cell_x").distinct(), "cell_a", "cell_x")
-    grouped = cells.join(totals, "cell").join(across, "cid", "left").join(roots.withColumnRenamed("node", "cell"), "cell", "left").select(
-        "cid", F.coalesce("root", "cell").alias("root"), (F.col("within") + F.coalesce("across", F.lit(0))).alias("reach"))
-    rooted = classes.join(grouped, "cid", "left").select("cid", "rep", F.coalesce("root", "cid").alias("root"), F.coalesce("reach", "m").alias("reach"))
-    tops = rooted.groupBy("root").agg(F.min("rep").alias("class_id"))
-    final = rooted.join(tops, "root").select("cid", "rep", "class_id", "reach")
-    out = signed.select("key", "cid", "size").join(final, "cid", "left")
+    counts = inside.select("cid", "k").union(close.select("a", "m_b")).union(close.select("b", "m_a")).groupBy("cid").agg(F.sum("k").alias("k"))
+    roots = components(inside.select(F.col("cid").alias("a"), F.col("near").alias("b")).union(close.select("a", "b")), "a", "b")
+    linked = classes.join(counts, "cid", "left").join(roots.withColumnRenamed("node", "cid"), "cid", "left")
+    linked = linked.select("cid", "rep", F.coalesce("root", "cid").alias("root"), (F.col("m") + F.coalesce("k", F.lit(0)) - 1).alias("n_links"))
+    tops = linked.groupBy("root").agg(F.min("rep").alias("class_id"))
+    found = signed.select("key", "cid", "size").join(linked.join(tops, "root").drop("root"), "cid", "left")
     known = F.col("key").isNotNull()
-    return out.select(
+    return found.select(
         F.col("key").alias(key), F.when(known, F.coalesce("class_id", "key")).alias("class_id"), F.when(known, F.coalesce("rep", "key")).alias("copy_id"),
-        F.when(known, F.coalesce(F.col("reach") - 1, F.lit(0))).otherwise(F.lit(0)).cast("long").alias("n_links"), F.col("size").alias("n_grams"))
+        F.when(known, F.coalesce("n_links", F.lit(0))).otherwise(F.lit(0)).cast("long").alias("n_links"), F.col("size").alias("n_grams"))
 
 
 def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
