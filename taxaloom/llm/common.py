@@ -46,3 +46,10 @@ def text_bytes_total(docs: DataFrame, text: str = "text") -> int:
 def parts_for(total: int, each: int, least: int = 1) -> int:
     """How many groups of ``each`` a total needs."""
     return max(least, -(-total // each))
+
+
+def free_name(columns: list[str], wanted: str) -> str:
+    """``wanted``, with underscores before it while a column's name begins like that."""
+    while any(c.startswith(wanted) for c in columns):
+        wanted = "_" + wanted
+    return wanted

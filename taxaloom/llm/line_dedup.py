@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import in_batches, prepare, stored
+from .common import free_name, in_batches, prepare, stored
 
 MIN_WORDS = 5
 _BREAKS = {"line": re.compile("\n"), "paragraph": re.compile("\n(?:[ \t]*\n)+")}
@@ -82,7 +82,7 @@ def _without(text: str, spans: list[tuple[int, int]], out: set[int]) -> str:
 
 
 def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", unit: str = "line", min_words: int = MIN_WORDS) -> DataFrame:
-    """All columns of ``docs`` and a struct ``cut``: units counted, units and characters removed, their spans ("start-end;..."), the text kept."""
+    """All columns of ``docs`` and a struct ``cut`` (the last column): units counted, units and characters removed, their spans ("start-end;..."), the text kept."""
     prepare(docs.sparkSession)
     seal = F.xxhash64(F.col(text))
     kind = docs.schema[key].dataType.simpleString()
@@ -103,4 +103,4 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", unit: str =
         schema = schema.add(f"c{n + i}", field.dataType)
     out = met.mapInArrow(in_batches(_cut, docs.columns.index(text), n, unit, min_words), schema)
     cut = F.struct(*[F.col(f"c{n + i}").alias(f.name) for i, f in enumerate(report.fields)])
-    return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)], cut.alias("cut"))
+    return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)], cut.alias(free_name(docs.columns, "cut")))

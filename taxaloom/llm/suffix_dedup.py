@@ -32,15 +32,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from . import kernels
-from .common import parts_for, prepare, text_bytes_total
+from .common import free_name, parts_for, prepare, text_bytes_total
 
 U = np.uint64
 LENGTH = 50
 GRAM = 20
 SPAN = LENGTH - GRAM          # bytes of a string that can lie on one side of its anchor
 WIDE = LENGTH + SPAN          # bytes of a context
-BATCH_BYTES = 3 << 20
-BUCKET_ANCHORS = 500_000
+BATCH_BYTES = 1 << 20
+BUCKET_ANCHORS = 250_000
 HOT = 20_000
 CHUNK = 100_000
 END = 0xFF                    # never a byte of UTF-8
@@ -57,7 +57,7 @@ class Batch:
         self.keys = keys.combine_chunks().fill_null(NO_KEY).cast(pa.int64()).to_numpy(zero_copy_only=False)
         sizes = np.diff(self.borders)
         row = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
-        room = np.repeat(self.borders[1:], sizes) - np.arange(n)        # bytes left in the document
+        room = (np.repeat(self.borders[1:], sizes) - np.arange(n)).astype(np.int32)   # bytes left in the document
         room[np.repeat(self.keys == NO_KEY, sizes)] = 0
         if n < LENGTH:
             self.at = np.zeros(0, np.int64)
@@ -71,6 +71,7 @@ class Batch:
             held = kernels.sliding(np.concatenate([none, low, none]), SPAN + 1, np.maximum)
             self.at = np.flatnonzero((held == grams) & (room >= GRAM))
             self.hash = grams[self.at] & U(2**64 - 256)                 # the low byte is used for counts
+            del grams, low, held
         self.row, self.room = row, room
         self.known, self.slot = np.unique(self.hash, return_inverse=True)
 
@@ -404,11 +405,9 @@ def _cut(table: pa.Table, replies: pa.Table, names: tuple[str, str, str], bits:
 
 
 def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", wanted: tuple[str, ...] = ("n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"), hot: int = HOT) -> DataFrame:
-    """All columns of ``docs`` and a struct column ``cut`` with the wanted fields of ``REPORT`` (keys are integers)."""
+    """All columns of ``docs`` and a struct column ``cut`` (the last one) with the wanted fields of ``REPORT`` (keys are integers)."""
     prepare(docs.sparkSession)
-    number = "_batch"
-    while any(c.startswith(number) for c in docs.columns):
-        number = "_" + number
+    number = free_name(docs.columns, "_batch")
     total = text_bytes_total(docs, text)
     batches, bits = parts_for(total, BATCH_BYTES), (parts_for(total // 15, BUCKET_ANCHORS) - 1).bit_length()
     names = (key, text, number)
@@ -425,7 +424,7 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", wanted: tupl
     schema = StructType([*docs.schema.fields, *[StructField(f"{number}_{f.name}", f.dataType) for f in fields]])
     cut = texts.cogroup(replies).applyInArrow(lambda t, r: _cut(t, r, names, bits, list(wanted)), schema)
     report = F.struct(*[F.col(f"{number}_{f.name}").alias(f.name) for f in fields])
-    return cut.select(*docs.columns, report.alias("cut" if "cut" not in docs.columns else number + "_cut"))
+    return cut.select(*docs.columns, report.alias(free_name(docs.columns, "cut")))
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: str | None = "n_chars") -> DataFrame:

@@ -53,11 +53,9 @@ _SIGN = np.zeros(256, bool)
 _SIGN[[ord(c) for c in READINGS]] = True
 
 _SIGNS = "".join(map(re.escape, READINGS))
-_DISGUISED = re.compile(
-    rf"(?<![^\W\d_])(?:[^\W\d_][ .\-_*]){{3,}}[^\W\d_](?![^\W\d_])"         # single letters in a row
-    rf"|[^\W\d_{_SIGNS}]*[{_SIGNS}](?=[^\W\d_])[^\W_{_SIGNS}{_SIGNS}]*[\w{_SIGNS}]*"         # a sign before a letter
-    rf"|[^\W\d_]+[{_SIGNS}]+(?![\w])"                                       # signs at the end
-    rf"|\b\w*([^\W\d_])\1\1\w*\b", re.I)
+_SPELLED = rf"(?<![^\W\d_])(?:[^\W\d_][ .\-_*]){{3,}}[^\W\d_](?![^\W\d_])"     # single letters in a row
+_TOKEN = re.compile(rf"(?P<spelled>{_SPELLED})|[\w{_SIGNS}]++")
+_DISGUISED = re.compile(rf"[^\W\d_][{_SIGNS}]|[{_SIGNS}][^\W\d_]|([^\W\d_])\1\1", re.I)
 
 
 def _trigram_cells(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -94,7 +92,7 @@ class Restorer:
         self.limit = -2.8 * usual          # mean log probability a letter below which a reading is no word
 
     def __call__(self, text: str) -> str:
-        return _DISGUISED.sub(lambda m: self.read(m.group(0)), text)
+        return _TOKEN.sub(lambda m: self.read(m.group(0)) if m["spelled"] or _DISGUISED.search(m.group(0)) else m.group(0), text)
 
     def read(self, word: str) -> str:
         if word not in self.known:
@@ -121,7 +119,8 @@ class Restorer:
         return out
 
     def _decode(self, word: str) -> str:
-        lattice = self._lattice(word) if len(word) <= 60 else []
+        numeric = len(word) > 8 and 2 * sum(c.isalpha() for c in word) < len(word)      # a number or a code
+        lattice = self._lattice(word) if len(word) <= 60 and not numeric else []
         if not lattice:
             return word
         states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
