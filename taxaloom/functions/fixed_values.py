@@ -292,12 +292,10 @@ DEPOSIT_SENTENCE = (
     r"\b(?:deposited|submitted|archived)\b|sequenc(?:e|ing) data .{0,60}available (?:at|from|in)\b|\baccession codes?\b"
 )
 SUPPORTING_TITLE = r"supporting\s+information|supplementary\s+(?:information|materials?|data)"
-AVAILABILITY_TEXT_LIMIT = 20000
 SKIPPED_PRODUCT_CHUNK = r"previous study|isolate genome|isolate 16s|not abundance|reference genome|assembled genome|genbank"
 SUPPORTED_ACCESSION = r"\b(?:PRJNA\d+|PRJEB\d+|PRJDB\d+|SRP\d+|ERP\d+|DRP\d+|SRR\d+|ERR\d+|DRR\d+|SAMN\d+|SAMEA\d+|SAMD\d+)\b"
 UNSUPPORTED_ACCESSION = r"\b(?:CRA\d+|PRJCA\d+|SUB\d+)\b"
 ACCESSION_RANGE = r"\b(PRJNA|PRJEB|PRJDB|SRR|ERR|DRR)(\d+)-(?:\1)?(\d+)\b"
-ACCESSION_RANGE_LIMIT = 10000
 
 # --------------------------------------------------------------------------
 # Dataset and paper candidates (case-insensitive)
@@ -400,8 +398,6 @@ TRIAGE_TEXT = [
     ("sequencing_summary", r"clean reads|filtered reads|q20|q30|sequencing depth"),
 ]
 TRIAGE_ABUNDANCE = r"abundance|otu|asv|rpkm|tpm|count.matrix|taxonomic.profile"
-MATRIX_CELL_CAP = 20_000_000
-LONG_ROW_CAP = 2_000_000
 
 # --------------------------------------------------------------------------
 # Viral dataset

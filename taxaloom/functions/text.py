@@ -106,25 +106,27 @@ def ascii_surname(c: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(plain, r"(^|\s)[A-Z]{1,3}$", ""), "[^A-Za-z]", "")
 
 
+def _range_parts(text: Column) -> Column:
+    pattern = "(?i)" + V.ACCESSION_RANGE
+    part = lambda i: F.regexp_extract(text, pattern, i)
+    return F.struct(text.alias("text"), F.upper(part(1)).alias("prefix"), part(2).try_cast("bigint").alias("lo"), part(3).try_cast("bigint").alias("hi"))
+
+
+def accession_ranges(c: Column) -> Column:
+    """Accession ranges of a cell (``SRR10-12`` or ``SRR10-SRR12``): array of (text, prefix, lo, hi). hi < lo or a blank bound marks a range nobody can expand."""
+    return F.transform(F.regexp_extract_all(c, F.lit("(?i)" + V.ACCESSION_RANGE), F.lit(0)), _range_parts)
+
+
 def expand_ranges(c: Column) -> Column:
-    """Accession ranges of a cell (``SRR10-12`` or ``SRR10-SRR12``) as an array of single accessions.
+    """Single accessions of a cell's ranges as one array, for cells of ordinary size; ``links.expand_range_rows`` makes rows of ranges of any size.
 
-    A reversed range and a range of more than 10,000 numbers raise an error.
+    A reversed range gives nothing, so that one bad cell does not stop a job; ``accession_ranges`` still shows it.
     """
-    pattern = "(?i)" + V.ACCESSION_RANGE
+    def expand(r: Column) -> Column:
+        numbers = F.when(r["hi"] >= r["lo"], F.sequence(r["lo"], F.greatest(r["lo"], r["hi"]))).otherwise(F.array().cast("array<bigint>"))
+        return F.transform(numbers, lambda n: F.concat(r["prefix"], n.cast("string")))
 
-    def expand(text: Column) -> Column:
-        prefix = F.upper(F.regexp_extract(text, pattern, 1))
-        lo = F.regexp_extract(text, pattern, 2).cast("bigint")
-        hi = F.regexp_extract(text, pattern, 3).cast("bigint")
-        bad = (hi < lo) | (hi - lo > V.ACCESSION_RANGE_LIMIT)
-        numbers = F.when(
-            bad, F.raise_error(F.concat(F.lit("invalid or excessive accession range: "), text)).cast("array<bigint>")
-        ).otherwise(F.sequence(lo, F.greatest(lo, hi)))
-        return F.transform(numbers, lambda n: F.concat(prefix, n.cast("string")))
-
-    found = F.regexp_extract_all(c, F.lit(pattern), F.lit(0))
-    return F.flatten(F.transform(found, expand))
+    return F.flatten(F.transform(accession_ranges(c), expand))
 
 
 def parse_accessions(c: Column) -> Column:

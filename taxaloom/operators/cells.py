@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
@@ -45,12 +45,17 @@ def table_sizes(cells: DataFrame) -> DataFrame:
 
 
 def column_stats(cells: DataFrame) -> DataFrame:
-    """Per column: filled and numeric cells, extremes, sum, whether all numbers are whole."""
+    """Per column, in one pass over all values: filled and numeric cells, extremes, sum, whether all numbers are whole; and of the values
+    that are not blank the shares that read like taxa, like lineage lists, like ranks, and whether most are files or paths."""
     number = F.col("_number")
     whole = F.abs(number - F.round(number)) <= 1e-8 + 1e-5 * F.abs(F.round(number))
+    share = lambda test: F.avg(F.when(~blank(F.col("value")), test.cast("int")))
+    text = trim_ws(F.col("value"))
     return cells.withColumn("_number", lenient_double(F.col("value"))).groupBy("table_id", "col_idx", "col_name").agg(
         F.count("value").alias("n_filled"), F.count(number).alias("n_numeric"), F.sum(number).alias("total"),
-        F.min(number).alias("lowest"), F.max(number).alias("highest"), F.bool_and(whole).alias("whole"))
+        F.min(number).alias("lowest"), F.max(number).alias("highest"), F.bool_and(whole).alias("whole"),
+        share(looks_taxonomic(text)).alias("taxa_fraction"), share(F.col("value").contains(";")).alias("list_fraction"), share(matches(text, V.RANK_PREFIX, True)).alias("rank_fraction"),
+        F.coalesce((share(matches(F.col("value"), V.READ_FILE_NAME, True)) > 0.5) | (share(matches(F.col("value"), V.TWO_SLASHES)) > 0.5), F.lit(False)).alias("pathlike"))
 
 
 def drop_empty(cells: DataFrame) -> DataFrame:
@@ -69,26 +74,14 @@ def numeric_columns(cells: DataFrame, min_frac: float, of_filled: bool = False)
     return sized.withColumn("fraction", F.col("n_numeric") / F.col("n_filled_rows")).where(F.col("fraction") > min_frac)
 
 
-def first_values(cells: DataFrame, k: int) -> DataFrame:
-    """First k filled values of every column in row order, with their position."""
-    spot = F.row_number().over(Window.partitionBy(*COL).orderBy("row_idx"))
-    return cells.where(~blank(F.col("value"))).withColumn("spot", spot).where(F.col("spot") <= k)
-
-
-def _pathlike(spot: Column, value: Column, k: int = 50) -> Column:
-    head = spot <= k
-    return (F.avg(F.when(head, matches(value, V.READ_FILE_NAME, True).cast("int"))) > 0.5) | (
-        F.avg(F.when(head, matches(value, V.TWO_SLASHES).cast("int"))) > 0.5)
-
-
 def pathlike_columns(cells: DataFrame) -> DataFrame:
-    """Columns whose first 50 filled values are mostly read files or paths."""
-    return first_values(cells, 50).groupBy(*COL).agg(_pathlike(F.col("spot"), F.col("value")).alias("pathlike")).where("pathlike").drop("pathlike")
+    """Columns whose values are mostly read files or paths."""
+    return column_stats(cells).where("pathlike").select(*COL)
 
 
-def taxa_fraction(cells: DataFrame, k: int = 300) -> DataFrame:
-    """Share of taxonomic values among the first k filled values of every column."""
-    return first_values(cells, k).groupBy(*COL).agg(F.avg(looks_taxonomic(trim_ws(F.col("value"))).cast("int")).alias("taxa_fraction"))
+def taxa_fraction(cells: DataFrame) -> DataFrame:
+    """Share of taxonomic values among the values of every column that has any."""
+    return column_stats(cells).where("taxa_fraction IS NOT NULL").select(*COL, "taxa_fraction")
 
 
 def sniff(cells: DataFrame, known_ids: DataFrame | None = None, axis_aware: bool = True) -> DataFrame:
@@ -106,25 +99,21 @@ def sniff(cells: DataFrame, known_ids: DataFrame | None = None, axis_aware: bool
         F.bool_or(matches(F.col("col_name"), V.SAMPLE_HEADER, True)).alias("_samp"), F.count_if("numeric").alias("n_numeric_cols"),
         F.coalesce(F.avg(F.when(low != "", looks_taxonomic(trim_ws(F.col("col_name"))).cast("int"))), F.lit(0.0)).alias("_col_best"))
 
-    label_spot = F.row_number().over(Window.partitionBy("table_id").orderBy("col_idx"))  # one row per column here
-    labels = stats.where(~F.col("numeric")).select("table_id", "col_idx", "col_name").withColumn("_place", label_spot).where("_place <= 3")
-    scored = first_values(cells.join(labels.select(*COL), COL, "left_semi"), 300)
-    taxon_id = trim_ws(F.col("value"))
+    labels = stats.where(~F.col("numeric") & F.col("taxa_fraction").isNotNull()).select(*COL, "col_name", F.col("taxa_fraction").alias("_f"), F.col("pathlike").alias("_path"))
     if known_ids is None:
-        scored = scored.withColumn("_known", F.lit(False))
+        scored = labels.withColumn("_idf", F.lit(0.0))
         header = header.withColumn("_id_col_best", F.lit(0.0))
     else:
         ids = known_ids.select("table_id", F.col("taxon_id").alias("_id")).distinct().withColumn("_known", F.lit(True))
-        scored = scored.withColumn("_id", taxon_id).join(ids, ["table_id", "_id"], "left").withColumn("_known", F.coalesce("_known", F.lit(False)))
+        text = cells.where(~blank(F.col("value"))).join(labels.select(*COL), COL, "left_semi").groupBy(*COL, trim_ws(F.col("value")).alias("_id")).agg(F.count(F.lit(1)).alias("_n"))
+        known = text.join(ids, ["table_id", "_id"], "left").groupBy(*COL).agg((F.sum(F.when(F.col("_known"), F.col("_n")).otherwise(0)) / F.sum("_n")).alias("_idf"))
+        scored = labels.join(known, COL)
         names = stats.select("table_id", trim_ws(F.col("col_name")).alias("_id")).join(ids, ["table_id", "_id"], "left")
         header = header.join(names.groupBy("table_id").agg(F.avg(F.coalesce("_known", F.lit(False)).cast("int")).alias("_id_col_best")), "table_id", "left")
-    scored = scored.groupBy(*COL).agg(
-        F.avg(looks_taxonomic(taxon_id).cast("int")).alias("_f"), F.avg(F.col("_known").cast("int")).alias("_idf"),
-        _pathlike(F.col("spot"), F.col("value")).alias("_path"))
-    usable = labels.join(scored, COL).where(~F.col("_path"))
+    usable = scored.where(~F.col("_path"))
     best = usable.groupBy("table_id").agg(
-        F.max_by(F.struct(F.col("_f").alias("f"), "col_idx", "col_name"), F.struct("_f", -F.col("_place"))).alias("_row"),
-        F.max_by(F.struct(F.col("_idf").alias("f"), "col_idx", "col_name"), F.struct("_idf", -F.col("_place"))).alias("_idrow"))
+        F.max_by(F.struct(F.col("_f").alias("f"), "col_idx", "col_name"), F.struct("_f", -F.col("col_idx"))).alias("_row"),
+        F.max_by(F.struct(F.col("_idf").alias("f"), "col_idx", "col_name"), F.struct("_idf", -F.col("col_idx"))).alias("_idrow"))
 
     v = sizes.join(header, "table_id").join(best, "table_id", "left")
     row_best = F.coalesce(F.col("_row.f"), F.lit(0.0))
@@ -194,14 +183,11 @@ def lookup_tables(cells: DataFrame) -> DataFrame:
     other = cells.where("col_idx > 0")
     numeric = column_stats(other).join(sizes, "table_id").groupBy("table_id").agg(
         F.avg(F.col("n_numeric") / F.col("n_rows")).alias("_numeric"))
-    text = trim_ws(F.col("value"))
-    per_col = first_values(other, 200).groupBy(*COL).agg(
-        F.avg(F.col("value").contains(";").cast("int")).alias("_semi"), F.avg(looks_taxonomic(F.col("value")).cast("int")).alias("_taxa"),
-        F.avg(matches(text, V.RANK_PREFIX, True).cast("int")).alias("_rank"))
-    single = F.when((F.col("_semi") > 0.3) & (F.col("_taxa") > 0.5), F.col("col_idx"))
+    per_col = column_stats(other).where("taxa_fraction IS NOT NULL")
+    single = F.when((F.col("list_fraction") > 0.3) & (F.col("taxa_fraction") > 0.5), F.col("col_idx"))
     # column lists are bounded by the header of one file
     judged = per_col.groupBy("table_id").agg(
-        F.min(single).alias("_single"), F.array_sort(F.collect_list(F.when(F.col("_rank") > 0.3, F.col("col_idx")))).alias("_multi"))
+        F.min(single).alias("_single"), F.array_sort(F.collect_list(F.when(F.col("rank_fraction") > 0.3, F.col("col_idx")))).alias("_multi"))
     judged = judged.join(numeric, "table_id").where("_numeric <= 0.2")
     mode = F.when(F.col("_single").isNotNull(), F.lit("single_col")).when(F.size("_multi") >= 2, F.lit("multi_col"))
     cols = F.when(F.col("_single").isNotNull(), F.array("_single")).otherwise(F.col("_multi"))
@@ -222,22 +208,24 @@ def id_to_lineage(cells: DataFrame, lookups: DataFrame) -> DataFrame:
 
 
 def triage_tables(cells: DataFrame, names: DataFrame | None = None) -> DataFrame:
-    """Conservative class of a table from its name, header, first 8 rows and numbers: table_id, triage."""
-    cells = drop_empty(cells)
-    stats = column_stats(cells)
-    row_spot = F.dense_rank().over(Window.partitionBy("table_id").orderBy("row_idx"))
-    head = cells.withColumn("_r", row_spot).where("_r <= 8 AND value IS NOT NULL")
-    # header plus eight rows: bounded by the width of one file
-    body = head.groupBy("table_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_r", "col_idx", "value"))), lambda s: s["value"]), " ").alias("_body"))
-    header = stats.groupBy("table_id").agg(
+    """Conservative class of a table from its name, its headers, all its values and its numbers: table_id, triage.
+
+    A pattern counts when it fits the name, the header line or any cell; cells are tested where they lie, nothing is joined to one text.
+    """
+    filled = cells.where("value IS NOT NULL")
+    patterns = [pattern for _, pattern in V.TRIAGE_TEXT] + [V.TRIAGE_ABUNDANCE]
+    columns = column_stats(filled).where("n_filled > 0")
+    numeric = F.col("n_numeric") / F.col("n_filled") >= 0.9
+    header = columns.groupBy("table_id").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("col_idx", "col_name"))), lambda s: s["col_name"]), " ").alias("_header"),
-        F.count_if(F.col("n_numeric") / F.col("n_filled") >= 0.9).alias("_numeric"),
-        F.coalesce(F.bool_or((F.col("n_numeric") / F.col("n_filled") >= 0.9) & (F.col("lowest") < 0)), F.lit(False)).alias("_negative"))
-    both = header.join(body, "table_id", "left")
+        F.count_if(numeric).alias("_numeric"), F.coalesce(F.bool_or(numeric & (F.col("lowest") < 0)), F.lit(False)).alias("_negative"))
+    body = filled.groupBy("table_id").agg(*[F.bool_or(matches(F.lower("value"), p)).alias(f"_b{i}") for i, p in enumerate(patterns)])
+    both = header.join(body, "table_id")
     both = both.join(names, "table_id", "left") if names is not None else both.withColumn("name", F.col("table_id"))
-    preview = F.lower(F.concat_ws(" ", "name", "_header", "_body"))
-    branches = [(matches(preview, pattern), F.lit(label)) for label, pattern in V.TRIAGE_TEXT]
-    branches += [((F.col("_numeric") < 2) | F.col("_negative"), F.lit("needs_review")), (matches(preview, V.TRIAGE_ABUNDANCE), F.lit("possible_abundance"))]
+    head = F.lower(F.concat_ws(" ", "name", "_header"))
+    found = [matches(head, p) | F.col(f"_b{i}") for i, p in enumerate(patterns)]
+    branches = [(hit, F.lit(label)) for hit, (label, _) in zip(found, V.TRIAGE_TEXT)]
+    branches += [((F.col("_numeric") < 2) | F.col("_negative"), F.lit("needs_review")), (found[-1], F.lit("possible_abundance"))]
     return both.select("table_id", case_when(branches, F.lit("needs_review")).alias("triage"))
 
 

@@ -12,31 +12,31 @@ from ..functions.rules import blank, case_when, reasons
 from ..functions.text import nonblank, truthy
 
 
-def sample_inventory(files: DataFrame, runs: DataFrame) -> DataFrame:
+def sample_inventory(files: DataFrame, runs: DataFrame, keys: Sequence[str] = ("sample",)) -> DataFrame:
     """One row per sample: runs, files, pairing, files on disk, open questions.
 
-    files: sample, run, file, on_disk; runs: run, library_layout, isolation_source.
+    files: keys, run, file, on_disk; runs: run, library_layout, isolation_source. Where papers share samples, the paper is a key.
     """
-    per_run = files.groupBy("sample", "run").agg(F.count(F.lit(1)).alias("n"), F.count_if("on_disk").alias("d"))
+    per_run = files.groupBy(*keys, "run").agg(F.count(F.lit(1)).alias("n"), F.count_if("on_disk").alias("d"))
     meta = per_run.join(runs, "run", "left")
-    per = meta.groupBy("sample").agg(
+    per = meta.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_runs"), F.sum("n").alias("n_files"), F.sum("d").alias("n_on_disk"), F.bool_and(F.col("n") == 2).alias("_pairs"),
         F.min_by(F.upper("library_layout"), "run").alias("library_layout"), F.min_by("isolation_source", "run").alias("isolation_source"))
     pairing = case_when([(F.col("library_layout") != "PAIRED", F.lit("single-end")), (F.col("_pairs"), F.lit("complete"))], F.lit("INCOMPLETE"))
     todo = reasons([(F.col("n_runs") > 1, "several runs for one sample"), (F.col("library_layout").isNull(), "archive metadata unavailable"),
                     (F.lower(F.coalesce("isolation_source", F.lit(""))).isin("", "missing"), "isolation source not given")], "; ")
-    return per.select("sample", "n_runs", "n_files", "n_on_disk", "library_layout", pairing.alias("pairing_status"),
+    return per.select(*keys, "n_runs", "n_files", "n_on_disk", "library_layout", pairing.alias("pairing_status"),
                       F.when(F.col("n_on_disk") == F.col("n_files"), F.lit("complete")).otherwise(F.lit("INCOMPLETE")).alias("download_status"), todo.alias("open_questions"))
 
 
-def run_to_sample(files: DataFrame) -> DataFrame:
+def run_to_sample(files: DataFrame, keys: Sequence[str] = ("sample",)) -> DataFrame:
     """Runs and experiments per sample, how several runs are to be treated, and what blocks the sample.
 
-    files: sample, run, experiment, library_layout, branch (one row per FASTQ file).
+    files: keys, run, experiment, library_layout, branch (one row per FASTQ file of the key).
     """
-    per_run = files.groupBy("sample", "run").agg(
+    per_run = files.groupBy(*keys, "run").agg(
         F.count(F.lit(1)).alias("n"), F.min("experiment").alias("experiment"), F.min("library_layout").alias("library_layout"), F.min("branch").alias("branch"))
-    per = per_run.groupBy("sample").agg(
+    per = per_run.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_runs"), F.min("experiment").alias("_e1"), F.max("experiment").alias("_e2"), F.min_by("library_layout", "run").alias("library_layout"),
         F.min_by("branch", "run").alias("branch"), F.bool_and(F.col("n") == 2).alias("_pairs"))
     one = F.col("_e1").eqNullSafe(F.col("_e2"))
@@ -46,12 +46,12 @@ def run_to_sample(files: DataFrame) -> DataFrame:
         ((F.upper("library_layout") == "PAIRED") & ~F.col("_pairs"), "paired library with files missing"),
         ((F.col("n_runs") > 1) & ~one, "runs across several experiments"), (F.coalesce(F.col("branch"), F.lit(V.UNRESOLVED)) == V.UNRESOLVED, "assay unresolved"),
         (F.col("branch") == "unsupported_isolate_genome", "isolate or host genome, not a community")], "; ")
-    return per.select("sample", "n_runs", "library_layout", "branch", merge.alias("multi_run_handling"), blockers.alias("blockers"))
+    return per.select(*keys, "n_runs", "library_layout", "branch", merge.alias("multi_run_handling"), blockers.alias("blockers"))
 
 
-def first_run_metadata(files: DataFrame, runs: DataFrame, columns: Sequence[str]) -> DataFrame:
+def first_run_metadata(files: DataFrame, runs: DataFrame, columns: Sequence[str], keys: Sequence[str] = ("sample",)) -> DataFrame:
     """Metadata of a sample = metadata of its first run."""
-    first = files.groupBy("sample").agg(F.min("run").alias("run"))
+    first = files.groupBy(*keys).agg(F.min("run").alias("run"))
     return first.join(runs.select("run", *columns), "run", "left")
 
 
@@ -159,7 +159,7 @@ def split_controls(samples: DataFrame, alias: str, flag: Column, prefixes: Colum
     flagged = truthy(flag.cast("string"))
     named = F.coalesce(F.exists(listed, lambda p: F.startswith(F.col(alias), p)), F.lit(False))
     why = reasons([
-        (flagged, F.concat(F.lit("flagged as technical control ("), F.coalesce(F.substring(evidence, 1, 120) if evidence is not None else F.lit(None).cast("string"), F.lit("no evidence recorded")), F.lit(")"))),
+        (flagged, F.concat(F.lit("flagged as technical control ("), F.coalesce(evidence if evidence is not None else F.lit(None).cast("string"), F.lit("no evidence recorded")), F.lit(")"))),
         (named, "alias prefix listed for exclusion")], "; ")
     tagged = samples.withColumn("excluded_because", why)
     return tagged.where("excluded_because = ''").drop("excluded_because"), tagged.where("excluded_because <> ''")

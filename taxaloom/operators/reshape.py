@@ -123,28 +123,23 @@ def duplicate_text(report: DataFrame, keys: Sequence[str], sep: str = ";") -> Da
     return report.groupBy(*keys).agg(listed.alias("raw_values"))
 
 
-def table_matrices(long: DataFrame, max_cells: int = V.MATRIX_CELL_CAP, max_rows: int = V.LONG_ROW_CAP) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(cells, duplicates, rejected) of every table at once.
+def table_matrices(long: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(cells, duplicates, sizes) of every table at once, whatever its size.
 
     ``cells`` holds one row per (table, sample, column) with the value or blank; it is the matrix in sparse form, ready
-    for ``safe_pivot`` table by table. Tables whose dense form would pass the caps go to ``rejected`` with their sizes.
+    for ``safe_pivot`` with the columns of one table. ``sizes`` says how large each dense matrix would be.
     """
     named = long.withColumn("col_name", safe_name(F.col("taxon")))
-    sized = matrix_sizes(named, max_cells, max_rows)
-    rejected = sized.where("rejected")
-    kept = named.join(rejected.select("table_id"), "table_id", "left_anti")
     index = ["table_id", "sample_id"]
-    return single_cells(kept, index, "col_name", "value"), duplicate_report(kept, index, "col_name", "value"), rejected
+    return single_cells(named, index, "col_name", "value"), duplicate_report(named, index, "col_name", "value"), matrix_sizes(named)
 
 
-def matrix_sizes(named: DataFrame, max_cells: int, max_rows: int) -> DataFrame:
-    """Dense size of each table's matrix and whether it is over a cap; both distinct counts are two-step aggregates."""
+def matrix_sizes(named: DataFrame) -> DataFrame:
+    """Samples, taxa, long rows and dense cells of each table; both distinct counts are two-step aggregates."""
     rows = named.groupBy("table_id", "sample_id").agg(F.count(F.lit(1)).alias("_n"))
     samples = rows.groupBy("table_id").agg(F.count(F.lit(1)).alias("n_samples"), F.sum("_n").alias("n_long_rows"))
     taxa = named.select("table_id", "col_name").distinct().groupBy("table_id").agg(F.count(F.lit(1)).alias("n_taxa"))
-    size = F.col("n_samples") * F.col("n_taxa")
-    return samples.join(taxa, "table_id").withColumns({
-        "n_cells": size, "rejected": (size > max_cells) | (F.col("n_long_rows") > max_rows)})
+    return samples.join(taxa, "table_id").withColumn("n_cells", F.col("n_samples") * F.col("n_taxa"))
 
 
 def taxonomy_table(long: DataFrame, lookup: DataFrame | None = None) -> DataFrame:

@@ -16,7 +16,7 @@ from ..functions.rules import blank, bucket, case_when, matches
 from ..functions.taxa import (
     disease_bucket, feature_domain, host_of, ictv_rank, known_taxon, normalise_disease, paper_domain, unit_bucket,
 )
-from ..functions.text import clip, first_nonblank, lenient_int, lower_keys, nonblank, share
+from ..functions.text import first_nonblank, lenient_int, lower_keys, nonblank, share
 from .ordering import counted_positions, dominant, top_k, value_at
 
 NOT_A_HOST_COLUMN = r"(^|_)host(_|$)"
@@ -240,8 +240,8 @@ def deepest_rank(lineage: DataFrame, ranks: Sequence[str] = V.LINEAGE_RANKS) ->
 
 
 def disease_catalogue(samples: DataFrame, disease: str = "disease", raw: str = "disease_raw", paper: str = "paper_folder") -> DataFrame:
-    """Samples, papers, category and merged spellings per disease. Spellings are clipped and made distinct before they are joined."""
-    named = samples.where(F.col(disease).isNotNull()).groupBy(disease, paper, clip(F.col(raw), 60).alias("_raw")).agg(F.count(F.lit(1)).alias("_n"))
+    """Samples, papers, category and merged spellings per disease. Spellings are made distinct before they are joined."""
+    named = samples.where(F.col(disease).isNotNull()).groupBy(disease, paper, F.col(raw).alias("_raw")).agg(F.count(F.lit(1)).alias("_n"))
     papers = named.groupBy(disease, paper).agg(F.sum("_n").alias("_n")).groupBy(disease).agg(F.sum("_n").alias("n_samples"), F.count(F.lit(1)).alias("n_papers"))
     spellings = named.select(disease, "_raw").distinct().groupBy(disease).agg(
         F.array_join(F.array_sort(F.collect_list("_raw")), " | ").alias("raw_variants_merged"))
@@ -249,9 +249,9 @@ def disease_catalogue(samples: DataFrame, disease: str = "disease", raw: str = "
     return with_share(out, "n_samples", "share_of_disease_samples")
 
 
-def unmapped(df: DataFrame, fields: dict[str, str], k: int = 400, width: int = 80) -> DataFrame:
+def unmapped(df: DataFrame, fields: dict[str, str], k: int = 400) -> DataFrame:
     """Most common raw values per field, so that the rules can be extended from data. ``fields``: label -> column."""
-    pairs = F.array(*[F.struct(F.lit(n).alias("field"), clip(nonblank(F.col(c).cast("string")), width).alias("raw_value")) for n, c in fields.items()])
+    pairs = F.array(*[F.struct(F.lit(n).alias("field"), nonblank(F.col(c).cast("string")).alias("raw_value")) for n, c in fields.items()])
     counted = df.select(F.inline(pairs)).where("raw_value IS NOT NULL").groupBy("field", "raw_value").agg(F.count(F.lit(1)).alias("n_samples"))
     return top_k(counted, ["field"], k, [F.col("n_samples").desc(), F.col("raw_value").asc()])
 
@@ -287,7 +287,7 @@ def paper_overview(papers: DataFrame) -> DataFrame:
     n_samples, n_features = lenient_int(F.col("n_samples").cast("string")), lenient_int(F.col("n_features").cast("string"))
     unit = unit_bucket(F.col("main_matrix_unit"))
     return papers.select(
-        F.trim("paper_folder").alias("paper_folder"), "doi", clip(F.col("title"), 200).alias("title"), "status", n_samples.alias("n_samples"), n_features.alias("n_features"),
+        F.trim("paper_folder").alias("paper_folder"), "doi", "title", "status", n_samples.alias("n_samples"), n_features.alias("n_features"),
         (n_samples * n_features).alias("n_cells"), bucket(F.col("feature_level"), V.ROW_RANKS, "Mixed / other").alias("paper_rank"),
         paper_domain(described).alias("paper_domain"), hint.alias("host_hint"), bucket(F.col("feature_level"), V.ASSAYS).alias("paper_assay"),
         unit.alias("abundance_unit"), F.startswith(unit, F.lit("Relative")).alias("is_relative"), F.startswith(unit, F.lit("Read count")).alias("is_count"),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed_values as V
 from ..functions.rules import any_of, case_when, matches, reasons
 from ..functions.taxa import disease_bucket
-from ..functions.text import clip, lenient_double, nonblank
+from ..functions.text import lenient_double, nonblank
 from .reshape import is_nonzero
 from .stats import counter_table
 
@@ -28,7 +28,7 @@ def resolve_labels(df: DataFrame, row: str = "row") -> DataFrame:
     disease = F.coalesce(*[F.when(stated(cell(m, c)), nonblank(cell(m, c))) for c in V.DISEASE_COLUMNS], F.lit(""))
     extra = F.filter(F.map_entries(m), lambda e: matches(e["key"], V.LABEL_COLUMN, True) & ~e["key"].isin(V.SAMPLE_COLUMNS) & nonblank(e["value"]).isNotNull())
     joined = F.array_join(F.transform(extra, lambda e: F.concat_ws("=", e["key"], nonblank(e["value"]))), "; ")
-    return df.withColumns({"disease": disease, "source_label_fields": clip(joined, 600)})
+    return df.withColumns({"disease": disease, "source_label_fields": joined})
 
 
 def usability_columns(subject: Column, timepoint: Column, group: Column) -> dict[str, Column]:

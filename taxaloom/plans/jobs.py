@@ -98,11 +98,11 @@ def verify_tables(found: DataFrame, meta: DataFrame, axis_aware: bool = True) ->
     }
 
 
-def extract_tables(long: DataFrame, files: DataFrame, lookup: DataFrame | None = None, max_cells: int = V.MATRIX_CELL_CAP, max_rows: int = V.LONG_ROW_CAP) -> dict[str, DataFrame]:
-    """Matrices, taxonomy, manifest and samples of accepted tables; over-cap tables are listed, not pivoted. files: source_file, sha256."""
-    matrix, duplicates, rejected = reshape.table_matrices(long, max_cells, max_rows)
+def extract_tables(long: DataFrame, files: DataFrame, lookup: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Matrices, taxonomy, manifest and samples of all accepted tables, with the size of each matrix. files: source_file, sha256."""
+    matrix, duplicates, sizes = reshape.table_matrices(long)
     manifest = reshape.table_manifest(long, duplicates, files)
-    return {"matrix_cells": matrix, "duplicates": duplicates, "rejected": rejected, "taxonomy": reshape.taxonomy_table(long, lookup),
+    return {"matrix_cells": matrix, "duplicates": duplicates, "sizes": sizes, "taxonomy": reshape.taxonomy_table(long, lookup),
             "manifest": manifest, "samples": reshape.samples_from_tables(long, manifest.select("table_id", "source_file"))}
 
 
@@ -248,19 +248,20 @@ def sample_mapping(files: DataFrame, runs: DataFrame, claims: DataFrame, default
     """
     branch = branch_of(F.col("library_strategy"), F.col("library_source"), F.col("library_selection"))["branch"]
     typed = files.join(runs.withColumn("branch", branch), "run", "left")
-    samples = metadata.run_to_sample(typed)
+    own = ["paper", "sample"]      # papers may share a sample: each counts its own files and claims
+    samples = metadata.run_to_sample(typed, own)
     resolved = metadata.merge_defaults(claims, defaults)
     problems = metadata.validate_claims(resolved, files.select("paper", "sample"))
     columns = reshape.claims_to_columns(resolved)
     control = claims.groupBy("paper", "sample").agg(F.bool_or("is_technical_control").alias("is_technical_control"))
-    alias = metadata.first_run_metadata(files, runs, ["sample_alias"])
-    joined = files.select("paper", "sample").distinct().join(samples, "sample").join(columns, ["paper", "sample"], "left").join(control, ["paper", "sample"], "left").join(alias.select("sample", "sample_alias"), "sample", "left")
+    alias = metadata.first_run_metadata(files, runs, ["sample_alias"], own)
+    joined = files.select("paper", "sample").distinct().join(samples, own).join(columns, own, "left").join(control, own, "left").join(alias.select(*own, "sample_alias"), own, "left")
     joined = joined.withColumns({"is_technical_control": F.coalesce("is_technical_control", F.lit(False)),
                                  "own_id": F.when(~F.col("paper_sample_id").isin(V.UNRESOLVED, V.NOT_REPORTED), F.col("paper_sample_id")), "accession": F.col("sample")})
     handled = metadata.with_handle(joined, ["paper"], "sample", ["own_id", "sample_alias", "accession"])
     blockers = handled.groupBy("paper").agg(F.count_if(F.col("blockers") != "").alias("n_blockers"))
     gate = metadata.metadata_gate(metadata.gate_facts(handled).join(blockers, "paper").join(facts, "paper", "left").na.fill({"n_missing_facts": len(V.KEY_FACTS)}))
-    inventory = metadata.sample_inventory(files, runs.select("run", "library_layout", "isolation_source"))
+    inventory = metadata.sample_inventory(files, runs.select("run", "library_layout", "isolation_source"), own)
     return {"inventory": inventory, "samples": handled, "problems": problems, "gate": gate}
 
 
@@ -322,24 +323,32 @@ def coverage_matrices(aln: DataFrame, lengths: DataFrame, samples: DataFrame, mi
 
 
 def profile_matrices(profile: DataFrame, samples: DataFrame, genomes: Sequence[str] | None = None) -> dict[str, DataFrame]:
-    """Zero-filled sample x genome grids out of profile rows (sample, genome, taxonomic_abundance, sequence_abundance)."""
+    """Features and the long profile (sample, genome, taxonomic_abundance, sequence_abundance; a pair without a row is a measured zero).
+
+    With a list of ``genomes`` also the zero-filled wide grids of these.
+    """
     first = ordering.first_by(profile.select("genome", "contig_name", "adjusted_ani"), ["genome"], ["contig_name"])
-    listed = list(genomes) if genomes is not None else [r[0] for r in profile.select("genome").distinct().orderBy("genome").limit(10001).collect()]
-    if len(listed) > 10000:
-        raise ValueError("more than 10,000 genomes: keep the long profile")
+    names = ("taxonomic_abundance", "sequence_abundance")
+    long = profile.groupBy("sample", "genome").agg(*[F.sum(c).alias(c) for c in names])
+    if genomes is None:
+        return {"features": first, "long": long}
     base = samples.select("sample").distinct().join(profile, "sample", "left")
-    grids = {c: reshape.zero_filled(base, "sample", "genome", c, listed) for c in ("taxonomic_abundance", "sequence_abundance")}
-    return {"features": first, **grids}
+    grids = {c: reshape.zero_filled(base, "sample", "genome", c, list(genomes)) for c in names}
+    return {"features": first, "long": long, **grids}
 
 
-def asv_tables(counts: DataFrame, steps: DataFrame, samples: DataFrame, insert_p99: int) -> dict[str, DataFrame]:
+def asv_tables(counts: DataFrame, steps: DataFrame, samples: DataFrame, inserts: DataFrame) -> dict[str, DataFrame]:
     """ASV table after denoising: length window, ids, relative abundance, tracking and the merge verdict.
 
-    counts: paper, sample, sequence, n (n > 0); steps: paper, sample, step, n; samples: paper, sample.
+    counts: paper, sample, sequence, n (n > 0); steps: paper, sample, step, n; samples: paper, sample;
+    inserts: paper, insert_p99 (each paper has its own window; a paper without one keeps all lengths).
     """
     size = F.length("sequence")
-    lengths = reads.length_window(counts, size, insert_p99 - 60, insert_p99 + 20, F.col("n"), ["paper"])
-    kept = counts.where(size.between(insert_p99 - 60, insert_p99 + 20))
+    p99 = F.col("insert_p99")
+    within = counts.join(inserts.select("paper", "insert_p99"), "paper", "left")
+    low, high = F.coalesce(p99 - 60, F.lit(0)), F.coalesce(p99 + 20, F.lit(2**31 - 1))
+    lengths = reads.length_window(within, size, low, high, F.col("n"), ["paper", "insert_p99"]).drop("insert_p99")
+    kept = within.where(size.between(low, high)).select(*counts.columns)
     # commonest sequence first, as ids are usually read
     totals = kept.groupBy("paper", "sequence").agg(F.sum("n").alias("total")).withColumn("_order", -F.col("total"))
     ids = ordering.ranked(totals, ["paper"], "_order", ["sequence"], name="spot").select("paper", "sequence", F.format_string("ASV%04d", "spot").alias("asv"))
@@ -351,9 +360,9 @@ def asv_tables(counts: DataFrame, steps: DataFrame, samples: DataFrame, insert_p
 def registry(book: DataFrame, plans: DataFrame, papers: DataFrame) -> dict[str, DataFrame]:
     """Class, methods and risks of every paper, with the counts that must balance.
 
-    book: paper, step, status, updated_utc, ...; plans: paper, branch, status; papers: as in ``paper_risks`` without status.
+    book: paper, step, status, updated_utc, ordinal (row number in the ledger, so that equal stamps have an order), ...; plans: paper, branch, status; papers: as in ``paper_risks`` without status.
     """
-    now = ordering.stored(ledger.registry(book, ["paper", "step"], ["updated_utc"]))
+    now = ordering.stored(ledger.registry(book, ["paper", "step"], ["updated_utc", "ordinal"]))
     final = now.groupBy("paper").agg(
         F.max(F.when(F.col("step") == "3", F.col("status"))).alias("status"), F.bool_or((F.col("step") == "3") & (F.col("state") == "done")).alias("completed"),
         F.bool_or(F.col("state") == "failed").alias("failed"), F.bool_or(F.col("state") == "open").alias("in_progress"))

@@ -106,10 +106,10 @@ cols AS (SELECT table_id, col_idx, col_name, count(value) AS nf, count(*) FILTER
 c2 AS (SELECT cols.*, nn / filled > 0.8 AS num FROM cols JOIN sizes USING (table_id)),
 head AS (SELECT table_id, bool_or(lower(trim(col_name)) IN {_RANK_LIST}) AS tax, bool_or(regexp_matches(col_name, '(?i){V.ABUNDANCE_HEADER}')) AS ab, bool_or(regexp_matches(col_name, '(?i){V.SAMPLE_HEADER}')) AS sa,
   count(*) FILTER (num) AS nnum, avg(regexp_matches(col_name, {_TAXON})::int) AS cb FROM c2 GROUP BY 1),
-lab AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY table_id ORDER BY col_idx) AS place FROM c2 WHERE NOT num) WHERE place <= 3),
-firsts AS (SELECT * FROM (SELECT cells.*, place, row_number() OVER (PARTITION BY table_id, col_idx ORDER BY row_idx) AS spot FROM cells JOIN lab USING (table_id, col_idx) WHERE trim(cells.value) <> '') WHERE spot <= 300),
+lab AS (SELECT *, col_idx AS place FROM c2 WHERE NOT num),
+firsts AS (SELECT cells.*, place FROM cells JOIN lab USING (table_id, col_idx) WHERE trim(cells.value) <> ''),
 sc AS (SELECT table_id, col_idx, any_value(col_name) AS col_name, any_value(place) AS place, avg(regexp_matches(trim(value), {_TAXON})::int) AS f, avg((table_id = 'bare_ids' AND value LIKE 'TAX%')::int) AS idf,
-  coalesce(avg(CASE WHEN spot <= 50 THEN regexp_matches(value, '(?i){V.READ_FILE_NAME}')::int END) > 0.5 OR avg(CASE WHEN spot <= 50 THEN regexp_matches(value, '[/\\\\].*[/\\\\]')::int END) > 0.5, false) AS path FROM firsts GROUP BY 1, 2),
+  coalesce(avg(regexp_matches(value, '(?i){V.READ_FILE_NAME}')::int) > 0.5 OR avg(regexp_matches(value, '[/\\\\].*[/\\\\]')::int) > 0.5, false) AS path FROM firsts GROUP BY 1, 2),
 best AS (SELECT table_id, max(f) AS rb, arg_max(col_name, (f, -place)) AS rcol, max(idf) AS idr, arg_max(col_name, (idf, -place)) AS idcol FROM sc WHERE NOT path GROUP BY 1),
 v AS (SELECT s.*, tax, ab, sa, nnum, cb, coalesce(rb, 0) AS rb, rcol, coalesce(idr, 0) AS idr, idcol, greatest(coalesce(rb, 0), cb) AS frac FROM sizes s JOIN head USING (table_id) LEFT JOIN best USING (table_id)),
 w AS (SELECT *, frac < 0.5 AND idr > frac AS rescued, n_rows < 5 OR n_cols < 2 AS small, tax AND ab AND sa AND n_rows >= 10 AS longf, nnum < 3 AS few FROM v),
@@ -163,8 +163,7 @@ _TRIAGE = ["part", "orders", "documents"]
 @query(f"""
 WITH cells(table_id, row_idx, col_idx, col_name, value) AS ({_plain_sql(_TRIAGE)}),
 st AS (SELECT table_id, col_idx, col_name, count(value) AS nf, count(*) FILTER (regexp_matches(trim(value), {_NUM})) AS nn, min(CASE WHEN regexp_matches(trim(value), {_NUM}) THEN value::double END) AS lo FROM cells GROUP BY ALL),
-rk AS (SELECT *, dense_rank() OVER (PARTITION BY table_id ORDER BY row_idx) AS r FROM cells),
-b AS (SELECT table_id, string_agg(value, ' ' ORDER BY r, col_idx) AS body FROM rk WHERE r <= 8 GROUP BY 1),
+b AS (SELECT table_id, string_agg(value, chr(10)) AS body FROM cells GROUP BY 1),
 h AS (SELECT table_id, string_agg(col_name, ' ' ORDER BY col_idx) AS header, count(*) FILTER (nn / nf >= 0.9) AS num, coalesce(bool_or(nn / nf >= 0.9 AND lo < 0), false) AS neg FROM st GROUP BY 1),
 p AS (SELECT *, lower(concat_ws(' ', CASE table_id WHEN 'part' THEN 'OTU sizes' WHEN 'orders' THEN 'prices' ELSE 'texts' END, header, body)) AS preview FROM h JOIN b USING (table_id))
 SELECT table_id, CASE WHEN regexp_matches(preview, 'number of gene hits|kegg level|brite hierarchies') THEN 'functional_summary'
@@ -202,12 +201,12 @@ def pathlike_columns(t: Tables):
 
 
 @query("""
-WITH n AS (SELECT DISTINCT p_brand, split_part(p_name, ' ', 1) || CASE WHEN p_size > 25 THEN '.1' ELSE '' END AS c FROM part WHERE p_size % 2 = 0 OR p_size > 40)
+WITH n AS (SELECT DISTINCT p_brand, split_part(p_name, ' ', 1) || CASE WHEN p_size > 25 THEN '.1' ELSE '' END AS c FROM part)
 SELECT p_brand, c AS col, CASE WHEN c LIKE '%.1' AND EXISTS (SELECT 1 FROM n m WHERE m.p_brand = n.p_brand AND m.c || '.1' = n.c) THEN replace(c, '.1', '') ELSE c END AS original_name FROM n
 """)
 def undedupe_names(t: Tables):
     word = F.element_at(F.split("p_name", " "), 1)
-    names = t.part.where("p_size % 2 = 0 OR p_size > 40").select("p_brand", F.concat(word, F.when(F.col("p_size") > 25, ".1").otherwise("")).alias("col")).distinct()
+    names = t.part.select("p_brand", F.concat(word, F.when(F.col("p_size") > 25, ".1").otherwise("")).alias("col")).distinct()
     return reshape.undedupe_names(names, ["p_brand"], "col")
 
 
@@ -243,12 +242,15 @@ def wide_to_long(t: Tables):
 
 
 @query("""
-WITH m AS (SELECT l_suppkey AS table_id, count(DISTINCT l_orderkey) AS n_samples, count(*) AS n_long_rows, count(DISTINCT p_name) AS n_taxa FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1)
-SELECT table_id, n_samples, n_long_rows, n_taxa, n_samples * n_taxa AS n_cells, n_samples * n_taxa > 38000 OR n_long_rows > 620 AS rejected FROM m
+WITH l AS (SELECT l_suppkey AS table_id, l_orderkey AS sample_id, regexp_replace(p_name, '[^A-Za-z0-9_]+', '_', 'g') AS col_name, l_quantity AS v FROM lineitem JOIN part ON l_partkey = p_partkey),
+c AS (SELECT table_id, sample_id, col_name, count(*) AS n_values, CASE WHEN count(*) = 1 THEN max(v) END AS value FROM l GROUP BY ALL),
+m AS (SELECT table_id, count(DISTINCT sample_id) AS n_samples, count(*) AS n_long_rows, count(DISTINCT col_name) AS n_taxa FROM l GROUP BY 1)
+SELECT c.table_id, sample_id, col_name, n_values, value, n_samples, n_long_rows, n_taxa, n_samples * n_taxa AS n_cells FROM c JOIN m USING (table_id)
 """)
-def matrix_guard(t: Tables):
-    named = _supplier_long(t).select("table_id", "sample_id", F.col("p_name").alias("col_name"))
-    return reshape.matrix_sizes(named, 38000, 620)
+def matrix_cells(t: Tables):
+    long = _supplier_long(t).withColumn("taxon", F.col("p_name"))
+    found, _, sizes = reshape.table_matrices(long)
+    return found.join(sizes, "table_id").select("table_id", "sample_id", "col_name", "n_values", "value", "n_samples", "n_long_rows", "n_taxa", "n_cells")
 
 
 def _supplier_long(t: Tables) -> DataFrame:

@@ -55,8 +55,8 @@ def test_verify_and_extract_tables(spark):
     done = jobs.extract_tables(out["long"], files, lookup)
     manifest = done["manifest"].first()
     assert (manifest.n_samples, manifest.n_taxa, manifest.n_duplicate_cells, manifest.sha256) == (3, 5, 3, "h1")
-    assert done["rejected"].count() == 0 and done["taxonomy"].first().phylum == "Firmicutes"
-    assert jobs.extract_tables(out["long"], files, max_cells=5)["rejected"].count() == 1
+    sizes = done["sizes"].first()
+    assert (sizes.n_samples, sizes.n_taxa, sizes.n_cells) == (3, 5, 15) and done["taxonomy"].first().phylum == "Firmicutes"
 
 
 @pytest.fixture(scope="module")
@@ -138,6 +138,9 @@ def test_mapping_plan_and_registry(spark):
     sample = {r["sample"]: r for r in out["samples"].collect()}
     assert sample["S1"].handle == "sample_alias" and sample["S2"].sample_label == "al2" and sample["S1"].host_species == "human"
     assert out["gate"].first().gate == "pass_quantification_only"
+    shared = files.union(files.where("sample = 'S1'").withColumn("paper", F.lit("other")))
+    both = {(r.paper, r["sample"]): r.blockers for r in jobs.sample_mapping(shared, runs, claims, defaults, facts)["samples"].collect()}
+    assert len(both) == 3 and set(both.values()) == {""}  # a sample of two papers keeps its complete pair
 
     samples = spark.createDataFrame([("p", "S1", "al1", False, "", "amplicon", "human gut"), ("p", "S2", "Blank_1", False, "", "amplicon", "human gut"), ("q", "S3", "c", False, "", "rna", ""), ("r", "S4", "d", False, "", "dna_virome", "mouse gut")],
                                     "paper string, sample string, sample_alias string, is_technical_control boolean, metadata_evidence string, branch string, host_text string")
@@ -147,7 +150,7 @@ def test_mapping_plan_and_registry(spark):
     assert {r.paper: (r.resolved, r.status) for r in plan["branches"].collect()} == {"p": ("amplicon_16s", "ready"), "q": ("rna", "unsupported"), "r": ("dna_virome", "blocked")}
     assert [r["sample"] for r in plan["dropped"].collect()] == ["S2"] and {r.paper: r.verdict for r in plan["plan"].collect()} == {"p": "runs", "q": "blocked", "r": "blocked"}
 
-    book = spark.createDataFrame([("p", "3", "failed", 1), ("p", "3", "done", 2), ("q", "3", "failed", 1), ("r", "2", "running", 1), ("s", "3", "preflight_ok", 1)], "paper string, step string, status string, updated_utc int")
+    book = spark.createDataFrame([("p", "3", "failed", 2, 1), ("p", "3", "done", 2, 2), ("q", "3", "failed", 1, 3), ("r", "2", "running", 1, 4), ("s", "3", "preflight_ok", 1, 5)], "paper string, step string, status string, updated_utc int, ordinal int")
     plans = spark.createDataFrame([("p", "amplicon_16s", "done"), ("q", "rna", "unsupported")], "paper string, branch string, status string")
     risk = spark.createDataFrame([("p", "pass", True, 0.5, 0)], "paper string, gate string, grouped_supported boolean, chimera_retention double, n_deferred int")
     reg = jobs.registry(book, plans, risk)
@@ -164,11 +167,11 @@ def test_coverage_profile_and_asv(spark):
     assert [(r["sample"], r.genome, r.relative_abundance) for r in out["relative_abundance"].collect()] == [("s1", "g", 1.0)]
     assert {r["sample"]: (r.genomes_with_any_read, r.genomes_detected) for r in out["mapping_stats"].collect()} == {"s1": (1, 1), "s2": (1, 0), "s3": (0, 0)}
     profile = spark.createDataFrame([("s1", "g", 60.0, 50.0, "c2", "99"), ("s1", "h", 40.0, 50.0, "c1", "98")], "sample string, genome string, taxonomic_abundance double, sequence_abundance double, contig_name string, adjusted_ani string")
-    grid = {r["sample"]: (r.g, r.h) for r in jobs.profile_matrices(profile, names)["taxonomic_abundance"].collect()}
+    grid = {r["sample"]: (r.g, r.h) for r in jobs.profile_matrices(profile, names, ["g", "h"])["taxonomic_abundance"].collect()}
     assert grid == {"s1": (60.0, 40.0), "s2": (0.0, 0.0), "s3": (0.0, 0.0)}
     counts = spark.createDataFrame([("p", "s1", "A" * 253, 30), ("p", "s1", "C" * 252, 10), ("p", "s2", "A" * 253, 5), ("p", "s2", "G" * 100, 7)], "paper string, sample string, sequence string, n long")
     steps = spark.createDataFrame([("p", "s1", "raw", 3000), ("p", "s1", "filtered", 2000), ("p", "s1", "merged", 1000), ("p", "s1", "nonchimeric", 900)], "paper string, sample string, step string, n long")
-    asv = jobs.asv_tables(counts, steps, counts.select("paper", "sample"), 253)
+    asv = jobs.asv_tables(counts, steps, counts.select("paper", "sample"), spark.createDataFrame([("p", 253)], "paper string, insert_p99 int"))
     assert {r.asv: len(r.sequence) for r in asv["asvs"].collect()} == {"ASV0001": 253, "ASV0002": 252}
     assert sorted((r["sample"], r.asv, r.relative_abundance) for r in asv["relative_abundance"].collect()) == [("s1", "ASV0001", 0.75), ("s1", "ASV0002", 0.25), ("s2", "ASV0001", 1.0)]
     assert {r.length: r.kept for r in asv["lengths"].collect()} == {100: False, 252: True, 253: True} and asv["verdict"].first().verdict == "ok"
