@@ -70,7 +70,8 @@ class Batch:
             none = np.zeros(SPAN, np.uint64)
             held = kernels.sliding(np.concatenate([none, low, none]), SPAN + 1, np.maximum)
             self.at = np.flatnonzero((held == grams) & (room >= GRAM))
-            self.hash = grams[self.at] & U(2**64 - 256)                 # the low byte is used for counts
+            # minimal hashes crowd at small values; scrambled again they fill all buckets alike. The low byte is used for counts
+            self.hash = kernels.mix(grams[self.at]) & U(2**64 - 256)
             del grams, low, held
         self.row, self.room = row, room
         self.known, self.slot = np.unique(self.hash, return_inverse=True)
@@ -207,6 +208,14 @@ def _send_contexts(table: pa.Table, replies: pa.Table, names: tuple[str, str, st
     return _table(rows)
 
 
+def _found(starts: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Interval of each row; sorted look-ups stay in the processor's cache."""
+    order = np.argsort(rows)
+    out = np.empty(len(rows), np.int64)
+    out[order] = np.searchsorted(starts, rows[order], "right") - 1
+    return out
+
+
 class RunIndex:
     """Run-compressed Burrows-Wheeler transform of short texts, each with its key."""
 
@@ -247,28 +256,31 @@ class RunIndex:
         packed = np.zeros(n, np.uint64)
         for j in range(8):
             packed = (packed << U(8)) | np.where(left > j, text[j:j + n], END).astype(np.uint64)
-        tie = np.where(left < 8, owner, 0)
-        order = np.lexsort((tie, packed))
-        fresh = np.ones(n, bool)
-        fresh[1:] = (packed[order][1:] != packed[order][:-1]) | (tie[order][1:] != tie[order][:-1])
-        rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(fresh) - 1
+        # ties of suffixes that end within eight bytes are broken by their texts' order
+        rank = RunIndex._ranked(packed)
+        rank = RunIndex._ranked(rank.astype(np.uint64) * U(n + 1) + np.where(left < 8, owner + 1, 0).astype(np.uint64))
         prefixes, have = rank, 8
         while have < WIDE + 1:
             ahead = np.minimum(np.arange(n) + have, n - 1)
             pair = rank.astype(np.uint64) * U(n + 1) + np.where(left >= have, rank[ahead] + 1, 0).astype(np.uint64)
-            order = np.argsort(pair, kind="stable")
-            fresh = np.concatenate([[True], pair[order][1:] != pair[order][:-1]])
-            rank = np.empty(n, np.int64)
-            rank[order] = np.cumsum(fresh) - 1
+            rank = RunIndex._ranked(pair)
             have *= 2
             if have == 32:
                 prefixes = rank
         return rank, prefixes
 
+    @staticmethod
+    def _ranked(values: np.ndarray) -> np.ndarray:
+        """Dense rank of every value."""
+        order = np.argsort(values)
+        ordered = values[order]
+        rank = np.empty(len(values), np.int64)
+        rank[order] = np.cumsum(np.concatenate([[0], ordered[1:] != ordered[:-1]]))
+        return rank
+
     def step(self, row: np.ndarray) -> np.ndarray:
         """Row of the suffix one byte longer."""
-        run = np.searchsorted(self.run, row, "right") - 1
+        run = _found(self.run, row)
         return self.base[run] + row - self.run[run]
 
     def earlier(self) -> np.ndarray:
@@ -282,7 +294,7 @@ class RunIndex:
             if have >= LENGTH:
                 start = self.sizes[alive] - have
                 ok = start <= SPAN
-                found = self.sample[np.searchsorted(self.same, row[alive[ok]], "right") - 1] < self.keys[alive[ok]]
+                found = self.sample[_found(self.same, row[alive[ok]])] < self.keys[alive[ok]]
                 out[alive[ok], start[ok]] = found
         return out
 
@@ -294,6 +306,19 @@ def _first_of(groups: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return low[groups]
 
 
+def _may_match(text: np.ndarray, anchor: np.ndarray) -> np.ndarray:
+    """Contexts that share half of the bytes around their anchor, on one side, with another context of it; equal strings need that."""
+    out = np.zeros(len(text), bool)
+    half = SPAN // 2
+    for side in (text[:, SPAN - half:SPAN], text[:, SPAN + GRAM:SPAN + GRAM + half]):
+        whole = np.flatnonzero((side != END).all(axis=1))
+        padded = np.concatenate([side[whole], np.zeros((len(whole), -half % 8), np.uint8)], axis=1)
+        key = _row_hashes(padded)[:, 0] + kernels.mix(anchor[whole].astype(np.uint64) + U(1))
+        _, which, held = np.unique(key, return_inverse=True, return_counts=True)
+        out[whole[held[which] > 1]] = True
+    return out
+
+
 def _answer(table: pa.Table) -> pa.Table:
     """Masks of contexts (bit j: the string that starts j bytes before the anchor goes), and bits of strings."""
     sent = [x for x in _ordered(table) if x[1] == 1]
@@ -310,8 +335,7 @@ def _answer(table: pa.Table) -> pa.Table:
         mask[lead] = 0
         _, one = np.unique(whole[lead], return_index=True)
         one = lead[one]
-        many = np.bincount(anchor[one], minlength=anchor.max() + 1)[anchor[one]] > 1
-        chosen = one[many]
+        chosen = one[_may_match(text[one], anchor[one])]
         if len(chosen):
             index = RunIndex(text[chosen], keys[chosen])
             before = (text[chosen][:, :SPAN] != END).sum(axis=1)
