@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 import csv
-import gzip
 import io
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -97,7 +96,7 @@ def _fields(line: Column, sep: str) -> Column:
     """Fields of one line; quotes may hide the separator and double quotes stand for one."""
     pattern = f'{sep}("(?:[^"]|"")*"|[^{sep}]*)'
     raw = F.regexp_extract_all(F.concat(F.lit(sep), line), F.lit(pattern), F.lit(1))
-    return F.transform(raw, lambda f: F.when(f.rlike('^".*"$'), F.replace(F.substring(f, F.lit(2), F.length(f) - 2), F.lit('""'), F.lit('"'))).otherwise(f))
+    return F.transform(raw, lambda f: F.when(f.rlike('(?s)^".*"$'), F.replace(F.substring(f, F.lit(2), F.length(f) - 2), F.lit('""'), F.lit('"'))).otherwise(f))
 
 
 def _lines(spark: SparkSession, path: Paths) -> DataFrame:
@@ -112,58 +111,77 @@ def _lines(spark: SparkSession, path: Paths) -> DataFrame:
     return spark.read.text(path).select(F.col("_metadata.file_path").alias("table_id"), (F.shiftleft(block, 33) + number).alias("line_idx"), text.alias("line"))
 
 
-def _headers(lines: DataFrame) -> DataFrame:
-    """Separator, header line and header fields per file.
+def _records(lines: DataFrame) -> DataFrame:
+    """Lines with the pieces of records that run over line breaks inside quotes joined again.
 
-    Separators are tried in order and the first that gives more than one column wins. Leading ``#`` lines (of the first five)
-    are skipped; the last of them is the header if it splits into several fields itself.
+    Only files in which single lines hold an odd number of quotes but the file an even one are touched; a line begins a record if the
+    quotes before it are balanced. Where a file's quotes do not balance either, its lines stay as they are and ``odd`` marks them.
     """
-    from ..operators.ordering import top_k
+    from ..operators.ordering import running_total
+
+    quotes = F.length("line") - F.length(F.replace(F.col("line"), F.lit('"'), F.lit("")))
+    counted = lines.withColumn("_quotes", quotes)
+    judged = counted.groupBy("table_id").agg(F.bool_or(F.col("_quotes") % 2 == 1).alias("_broken"), (F.sum("_quotes") % 2 == 1).alias("_open"))
+    torn = judged.where("_broken AND NOT _open").select("table_id")
+    open_ended = judged.where("_open").select("table_id", F.lit(True).alias("odd"))
+    plain = counted.join(torn, "table_id", "left_anti").join(open_ended, "table_id", "left")
+    plain = plain.select("table_id", "line_idx", "line", (F.coalesce("odd", F.lit(False)) & (F.col("_quotes") % 2 == 1)).alias("odd"))
+    placed = running_total(counted.join(torn, "table_id", "left_semi"), ["table_id"], "line_idx", F.col("_quotes"), name="_before")
+    start = F.when(F.col("_before") % 2 == 0, F.col("line_idx"))
+    number = F.max(start).over(Window.partitionBy("table_id").orderBy("line_idx"))
+    joined = placed.withColumn("_record", number).groupBy("table_id", "_record").agg(F.array_sort(F.collect_list(F.struct("line_idx", "line"))).alias("_l"))
+    whole = joined.select("table_id", F.col("_record").alias("line_idx"), F.array_join(F.transform("_l", lambda x: x["line"]), "\n").alias("line"), F.lit(False).alias("odd"))
+    return plain.unionByName(whole)
+
 
-    head = top_k(lines.where("line <> ''"), ["table_id"], 6, [F.col("line_idx").asc()])
-    firsts = head.groupBy("table_id").agg(F.array_sort(F.collect_list(F.struct("line_idx", "line"))).alias("h"))
-    top5 = F.slice("h", 1, 5)
-    plain = F.array_position(F.transform(top5, lambda s: ~F.startswith(F.ltrim(s["line"]), F.lit("#"))), F.lit(True))
-    n_hash = F.when(plain > 0, plain - 1).otherwise(F.size(top5)).cast("int")
-    counted = firsts.withColumn("n_hash", n_hash)
+def _headers(lines: DataFrame) -> DataFrame:
+    """Separator, header line and header fields per file; ``sep`` is blank where no separator splits the header.
+
+    Separators are tried in order and the first that gives more than one column wins. The header is the first line that is no ``#`` note, or
+    the last note before it if that splits into several fields itself. Any number of notes may come first.
+    """
+    filled = lines.where("line <> ''")
+    note = F.startswith(F.ltrim(F.col("line")), F.lit("#"))
+    row = F.struct("line_idx", "line")
+    plain = filled.groupBy("table_id").agg(F.min_by(row, F.when(~note, F.col("line_idx"))).alias("plain"))
+    before = filled.where(note).join(plain, "table_id").where("plain IS NULL OR line_idx < plain.line_idx")
+    notes = before.groupBy("table_id").agg(F.max_by(row, F.col("line_idx")).alias("note"))
+    both = plain.join(notes, "table_id", "left")
 
     def option(sep: str) -> Column:
-        last_hash = F.try_element_at("h", F.greatest(F.col("n_hash"), F.lit(1)))["line"]
-        several = F.size(F.filter(F.split(last_hash, sep), lambda f: F.trim(f) != "")) > 1
-        at = F.when((F.col("n_hash") > 0) & several, F.col("n_hash")).otherwise(F.col("n_hash") + 1)
-        row = F.try_element_at("h", at)
-        return F.struct(F.lit(sep).alias("sep"), row["line_idx"].alias("header_idx"), _fields(row["line"], sep).alias("header"))
+        several = F.coalesce(F.size(F.filter(F.split("note.line", sep), lambda f: F.trim(f) != "")) > 1, F.lit(False))
+        chosen = F.when(several, F.col("note")).otherwise(F.col("plain"))
+        return F.struct(F.lit(sep).alias("sep"), chosen["line_idx"].alias("header_idx"), _fields(chosen["line"], sep).alias("header"))
 
     options = F.array(*[option(s) for s in SEPARATORS])
     usable = F.filter(options, lambda o: F.coalesce(F.size(o["header"]) > 1, F.lit(False)))
-    return counted.where(F.size("h") > 0).select("table_id", F.try_element_at(usable, F.lit(1)).alias("o")).where("o IS NOT NULL").select("table_id", "o.*")
+    return both.select("table_id", F.try_element_at(usable, F.lit(1)).alias("o")).select("table_id", "o.*")
 
 
-def _parsed(spark: SparkSession, path: Paths, max_rows: int | None = None) -> DataFrame:
-    """Body lines with the header of their file and their own fields: table_id, line_idx, line, header, f."""
-    from ..operators.ordering import top_k
-
-    lines = _lines(spark, path)
-    body = lines.where("line <> ''").join(_headers(lines), "table_id").where("line_idx > header_idx")
-    if max_rows is not None:
-        body = top_k(body, ["table_id"], max_rows, [F.col("line_idx").asc()])
+def _parsed(lines: DataFrame) -> DataFrame:
+    """Body records with the header of their file and their own fields: table_id, line_idx, line, odd, header, f."""
+    body = lines.where("line <> ''").join(_headers(lines).where("sep IS NOT NULL"), "table_id").where("line_idx > header_idx")
     split = F.when(F.col("sep") == ",", _fields(F.col("line"), ",")).when(F.col("sep") == "\t", _fields(F.col("line"), "\t")).otherwise(_fields(F.col("line"), ";"))
-    return body.select("table_id", "line_idx", "line", "header", split.alias("f"))
+    return body.select("table_id", "line_idx", "line", "odd", "header", split.alias("f"))
 
 
-def read_table_cells(spark: SparkSession, path: Paths, max_rows: int | None = None, missing: Sequence[str] | None = V.MISSING_TEXT) -> tuple[DataFrame, DataFrame]:
-    """(cells, malformed lines) of delimited files of any dialect, parsed in parallel inside and across files.
+def read_table_cells(spark: SparkSession, path: Paths, missing: Sequence[str] | None = V.MISSING_TEXT) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(cells, malformed lines, unreadable files) of delimited files of any dialect, parsed in parallel inside and across files.
 
-    Short lines are padded with missing cells; lines with too many fields are reported, not guessed at. ``max_rows`` is
-    the preview mode: only the first rows of each file.
+    Short lines are padded with missing cells; lines with too many fields, or with a quote that never closes, are reported, not guessed at;
+    a file that no separator splits is reported with the reason.
     """
-    parsed = _parsed(spark, path, max_rows)
-    extra = F.size("f") > F.size("header")
-    cells = parsed.where(~extra).select("table_id", F.col("line_idx").alias("row_idx"), "f", F.posexplode("header").alias("col_idx", "col_name"))
+    lines = _records(_lines(spark, path))
+    parsed = _parsed(lines)
+    reason = F.when(F.col("odd"), "quote that never closes").when(F.size("f") > F.size("header"), "more fields than the header")
+    judged = parsed.withColumn("reason", reason)
+    cells = judged.where("reason IS NULL").select("table_id", F.col("line_idx").alias("row_idx"), "f", F.posexplode("header").alias("col_idx", "col_name"))
     value = F.try_element_at("f", F.col("col_idx") + 1)
     if missing is not None:
         value = F.when(~value.isin(list(missing)), value)
-    return cells.select("table_id", "row_idx", "col_idx", "col_name", value.alias("value")), parsed.where(extra).select("table_id", "line_idx", "line")
+    unreadable = _headers(lines).where("sep IS NULL").select("table_id", F.lit("no separator splits the header").alias("reason"))
+    return (cells.select("table_id", "row_idx", "col_idx", "col_name", value.alias("value")),
+            judged.where("reason IS NOT NULL").select("table_id", "line_idx", "line", "reason"), unreadable)
 
 
 def read_rows_as_map(spark: SparkSession, path: Paths, key: Column | None = None, multi_line: bool = False) -> DataFrame:
@@ -196,27 +214,24 @@ def read_rows_as_map(spark: SparkSession, path: Paths, key: Column | None = None
     pairs = F.transform("header", lambda h, i: F.struct(h.alias("key"), F.coalesce(F.try_element_at("f", i + 1), F.lit("")).alias("value"), i.alias("i")))
     kept = F.filter(pairs, lambda p: (p["key"] != "") & (F.array_position("header", p["key"]) == p["i"] + 1))
     row = F.map_from_entries(F.transform(kept, lambda p: F.struct(p["key"], p["value"])))
-    return _parsed(spark, path).withColumn("path", F.col("table_id")).select(folder.alias("paper_folder"), F.col("line_idx").alias("row_idx"), row.alias("row"))
-
-
-def read_fastq(spark: SparkSession, path: Paths, n: int | None = None) -> DataFrame:
-    """Reads of FASTQ files (plain or gzip): path, read_idx, header, seq, qual. Files are independent tasks."""
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for file_path, content in zip(batch["path"], batch["content"]):
-                raw = io.BytesIO(content)
-                stream = io.TextIOWrapper(gzip.GzipFile(fileobj=raw) if content[:2] == b"\x1f\x8b" else raw, encoding="ascii", errors="replace")
-                chunk: list[tuple] = []
-                for i, record in enumerate(zip(stream, stream, stream, stream)):
-                    if n is not None and i >= n:
-                        break
-                    header, seq, _, qual = (x.strip() for x in record)
-                    chunk.append((file_path, i, header, seq, qual))
-                    if len(chunk) == 20000:
-                        yield pd.DataFrame(chunk, columns=["path", "read_idx", "header", "seq", "qual"])
-                        chunk = []
-                yield pd.DataFrame(chunk, columns=["path", "read_idx", "header", "seq", "qual"])
-
-    return files.mapInPandas(parse, "path string, read_idx bigint, header string, seq string, qual string")
+    return _parsed(_records(_lines(spark, path))).withColumn("path", F.col("table_id")).select(folder.alias("paper_folder"), F.col("line_idx").alias("row_idx"), row.alias("row"))
+
+
+def read_fastq(spark: SparkSession, path: Paths, n: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(reads, broken records) of FASTQ files, plain or gzip: path, read_idx, header, seq, qual; ``n`` keeps the first reads of each file.
+
+    Files are read as lines and split as usual; a line's rank in its file says to which record it belongs. A last record with lines
+    missing, or one whose sequence and qualities differ in length, is broken: path, read_idx, n_lines.
+    """
+    from ..operators.ordering import ranked
+
+    lines = _lines(spark, path).withColumnRenamed("table_id", "path")
+    placed = ranked(lines, ["path"], "line_idx", name="_spot").withColumn("_spot", F.col("_spot") - 1)
+    record, part = F.floor(F.col("_spot") / 4), F.col("_spot") % 4
+    text = lambda i: F.max(F.when(F.col("_part") == i, F.trim("line")))
+    found = placed.select("path", record.alias("read_idx"), part.alias("_part"), "line").groupBy("path", "read_idx").agg(
+        F.count(F.lit(1)).alias("n_lines"), text(0).alias("header"), text(1).alias("seq"), text(3).alias("qual"))
+    if n is not None:
+        found = found.where(F.col("read_idx") < n)
+    whole = F.coalesce((F.col("n_lines") == 4) & (F.length("seq") == F.length("qual")), F.lit(False))
+    return found.where(whole).select("path", "read_idx", "header", "seq", "qual"), found.where(~whole & (F.col("header") != "")).select("path", "read_idx", "n_lines")

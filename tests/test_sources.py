@@ -41,7 +41,10 @@ def test_table_cells_of_any_dialect(spark, tmp_path):
     put(tmp_path, "t/prose.csv", "# a note\nname,x,x\n\"q,1\",2,\"say \"\"hi\"\"\"\nshort,5\nlong,1,2,3\n")
     put(tmp_path, "t/semi.txt", "﻿a;b\r\n1;\r\n")
     put(tmp_path, "t/one.txt", "no separator here\n")
-    cells, bad = readers.read_table_cells(spark, [str(tmp_path / "t")])
+    put(tmp_path, "t/notes.tsv", "".join(f"# note {i}\n" for i in range(9)) + "#OTU ID\ts1\nA\t1\n")
+    put(tmp_path, "t/torn.csv", "id,note,n\n1,\"two\nlines\",5\n2,plain,6\n")
+    put(tmp_path, "t/open.csv", "id,note\n1,5\" pipe\n2,x\n")
+    cells, bad, unreadable = readers.read_table_cells(spark, [str(tmp_path / "t")])
     got = {}
     for r in cells.collect():
         got.setdefault(r.table_id.rsplit("/", 1)[1], {}).setdefault(r.row_idx, {})[r.col_idx] = (r.col_name, r.value)
@@ -49,9 +52,11 @@ def test_table_cells_of_any_dialect(spark, tmp_path):
     assert table["biom.tsv"] == [[("#OTU ID", "A"), ("s1", "1"), ("s2", "2")], [("#OTU ID", "B"), ("s1", None), ("s2", None)]]
     assert table["prose.csv"] == [[("name", "q,1"), ("x", "2"), ("x", 'say "hi"')], [("name", "short"), ("x", "5"), ("x", None)]]
     assert table["semi.txt"] == [[("a", "1"), ("b", None)]] and "one.txt" not in table
-    assert [r.line for r in bad.collect()] == ["long,1,2,3"]
-    preview, _ = readers.read_table_cells(spark, str(tmp_path / "t" / "biom.tsv"), max_rows=1)
-    assert preview.count() == 3
+    assert table["notes.tsv"] == [[("#OTU ID", "A"), ("s1", "1")]]
+    assert table["torn.csv"] == [[("id", "1"), ("note", "two\nlines"), ("n", "5")], [("id", "2"), ("note", "plain"), ("n", "6")]]
+    assert table["open.csv"] == [[("id", "2"), ("note", "x")]]
+    assert sorted((r.line, r.reason) for r in bad.collect()) == [('1,5" pipe', "quote that never closes"), ("long,1,2,3", "more fields than the header")]
+    assert [r.table_id.rsplit("/", 1)[1] for r in unreadable.collect()] == ["one.txt"]
 
 
 def test_cells_of_a_split_file_keep_line_order(spark, tmp_path):
@@ -59,7 +64,7 @@ def test_cells_of_a_split_file_keep_line_order(spark, tmp_path):
     path = put(tmp_path, "big.csv", text)
     spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
     try:
-        cells, bad = readers.read_table_cells(spark, path)
+        cells, bad, _ = readers.read_table_cells(spark, path)
         values = [int(r.value) for r in cells.where("col_idx = 1").orderBy("row_idx").collect()]
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
@@ -83,9 +88,11 @@ def test_coverage_and_fastq(spark, tmp_path):
         readers.read_coverage(spark, put(tmp_path, "empty.tsv", "#rname\n"))
     put(tmp_path, "f/a_1.fastq.gz", "@h1 x\nACGT\n+\nIIII\n@h2\nAC\n+\nII\n")
     put(tmp_path, "f/b.fastq", "@h3\nGG\n+\n!!\n")
-    reads = readers.read_fastq(spark, str(tmp_path / "f"))
-    assert sorted((r.read_idx, r.header, r.seq, r.qual) for r in reads.collect()) == [(0, "@h1 x", "ACGT", "IIII"), (0, "@h3", "GG", "!!"), (1, "@h2", "AC", "II")]
-    assert readers.read_fastq(spark, str(tmp_path / "f"), n=1).count() == 2
+    put(tmp_path, "f/cut.fastq", "@h4\nGG\n+\n!!\n@h5\nGG\n+\n")
+    reads, broken = readers.read_fastq(spark, str(tmp_path / "f"))
+    assert sorted((r.read_idx, r.header, r.seq, r.qual) for r in reads.collect()) == [(0, "@h1 x", "ACGT", "IIII"), (0, "@h3", "GG", "!!"), (0, "@h4", "GG", "!!"), (1, "@h2", "AC", "II")]
+    assert [(r.path.rsplit("/", 1)[1], r.read_idx, r.n_lines) for r in broken.collect()] == [("cut.fastq", 1, 3)]
+    assert readers.read_fastq(spark, str(tmp_path / "f"), n=1)[0].count() == 3
 
 
 def test_parallel_lists_and_manifest(spark, tmp_path):
