@@ -242,13 +242,13 @@ def idempotent_append(t: Tables):
 
 
 @query("""
-WITH a AS (SELECT DISTINCT l_partkey FROM lineitem WHERE l_shipdate >= TIMESTAMP '1996-01-01' AND l_shipdate < TIMESTAMP '1996-02-01'),
-b AS (SELECT DISTINCT l_partkey FROM lineitem WHERE l_shipdate >= TIMESTAMP '1997-01-01' AND l_shipdate < TIMESTAMP '1997-02-01')
+WITH a AS (SELECT DISTINCT l_partkey FROM lineitem WHERE l_returnflag = 'R'),
+b AS (SELECT DISTINCT l_partkey FROM lineitem WHERE l_returnflag <> 'R')
 SELECT coalesce(a.l_partkey, b.l_partkey) AS l_partkey, CASE WHEN b.l_partkey IS NULL THEN 'only_left' WHEN a.l_partkey IS NULL THEN 'only_right' ELSE 'both' END AS side FROM a FULL JOIN b ON a.l_partkey = b.l_partkey
 """)
 def set_diff_both(t: Tables):
-    month = lambda y: t.lineitem.where((F.col("l_shipdate") >= F.lit(f"{y}-01-01").cast("timestamp")) & (F.col("l_shipdate") < F.lit(f"{y}-02-01").cast("timestamp")))
-    return ledger.compare_sets(month(1996), month(1997), "l_partkey")
+    returned = F.col("l_returnflag") == "R"
+    return ledger.compare_sets(t.lineitem.where(returned), t.lineitem.where(~returned), "l_partkey")
 
 
 @query("""
@@ -331,13 +331,11 @@ def triage_cost(t: Tables):
 
 @query("""
 SELECT o_orderkey, any_value(l_partkey) AS l_partkey, any_value(l_suppkey) AS l_suppkey FROM (
-  SELECT o_orderkey, l_partkey, l_suppkey, row_number() OVER (PARTITION BY o_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS r FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey
-  WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')) WHERE r = 1 GROUP BY 1
+  SELECT o_orderkey, l_partkey, l_suppkey, row_number() OVER (PARTITION BY o_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS r FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey) WHERE r = 1 GROUP BY 1
 """)
 def first_lookup(t: Tables):
     first = ordering.first_by(t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_partkey", "l_suppkey"), ["o_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey"])
-    wanted = t.orders.join(t.customer.where("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("o_custkey")), "o_custkey", "left_semi")
-    return wanted.select("o_orderkey").join(first, "o_orderkey", "left").select("o_orderkey", "l_partkey", "l_suppkey")
+    return t.orders.select("o_orderkey").join(first, "o_orderkey", "left").select("o_orderkey", "l_partkey", "l_suppkey")
 
 
 @query("SELECT o_orderkey, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_totalprice DESC, o_orderkey) AS ordinal FROM orders")

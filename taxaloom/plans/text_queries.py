@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import bases, rules, taxa, text
@@ -269,6 +270,39 @@ def html_sections(t: Tables):
     return found.select("page_id", F.md5("full_text").alias("text_md5"), "availability_text")
 
 
+_PART_TITLES = ["Data availability", "Associated data", "Results"]
+
+
+def _marked_up(t: Tables) -> DataFrame:
+    """A well-formed article per page: a part under one of three titles that links to the page, and a methods part with a deposition sentence."""
+    url = F.replace(F.col("url"), F.lit("&"), F.lit("&amp;"))
+    title = F.element_at(F.array(*[F.lit(x) for x in _PART_TITLES]), (F.col("page_id") % 3 + 1).cast("int"))
+    body = F.concat(F.lit('<article xmlns:xlink="http://www.w3.org/1999/xlink"><body><sec><title>'), title, F.lit('</title><p>Page '), F.col("page_id").cast("string"),
+                    F.lit(' is at <ext-link xlink:href="'), url, F.lit('">its   place</ext-link></p></sec><sec><title>Methods</title><p>Reads were deposited at '), url,
+                    F.lit('</p><p>Nothing else</p></sec></body></article>'))
+    return t.pages.select("page_id", body.alias("xml"))
+
+
+@query(f"""
+WITH p AS (SELECT page_id, url, list_extract({_PART_TITLES}, (page_id % 3 + 1)::int) AS title FROM pages)
+SELECT page_id, title AS section, 'Page ' || page_id || ' is at its place' AS text, url AS hrefs FROM p WHERE title <> 'Results'
+UNION ALL SELECT page_id, 'Methods', 'Reads were deposited at ' || url, '' FROM p
+""")
+def availability_parts(t: Tables):
+    found = links.availability_sections(_marked_up(t), "page_id", "xml")
+    return found.select("page_id", "section", "text", F.array_join("hrefs", " ").alias("hrefs"))
+
+
+@query(f"""
+WITH p AS (SELECT page_id, url, list_extract({_PART_TITLES}, (page_id % 3 + 1)::int) AS title FROM pages)
+SELECT page_id, md5(title || 'Page ' || page_id || ' is at its placeMethodsReads were deposited at ' || url || 'Nothing else') AS text_md5,
+  CASE WHEN title <> 'Results' THEN title || 'Page ' || page_id || ' is at its place' ELSE '' END AS availability_text FROM p
+""")
+def marked_up_sections(t: Tables):
+    found = links.fulltext_sections(_marked_up(t), "xml")
+    return found.select("page_id", F.md5("full_text").alias("text_md5"), "availability_text")
+
+
 @query("""
 WITH o AS (SELECT o_orderstatus, o_orderkey + 1 AS a, o_orderkey + 1 + length(o_orderpriority) AS b FROM orders)
 SELECT o_orderstatus, count(*) AS n_orders, sum(b - a + 2)::bigint AS n_supported, 0::bigint AS n_unsupported, sum((a + b) * (b - a + 1) / 2)::bigint AS checksum FROM o GROUP BY 1
