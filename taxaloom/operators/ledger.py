@@ -56,6 +56,15 @@ def residual(df: DataFrame, filed: Sequence[DataFrame], key: str, label: str = "
     return df.select(key).distinct().join(known, key, "left_anti").withColumn("category", F.lit(label))
 
 
+def file_by(df: DataFrame, key: str, rules: dict[str, Column], label: str = "Not yet categorised") -> DataFrame:
+    """Distinct keys with the category whose rule holds, or the residual one, in one scan; two rules that hold for one row raise at run time."""
+    hits = F.filter(F.array(*[F.when(rule, F.lit(name)) for name, rule in rules.items()]), lambda x: x.isNotNull())
+    filed = df.select(key, hits.alias("_hits"))
+    clash = F.raise_error(F.concat(F.lit("sets overlap at "), F.col(key).cast("string"))).cast("string")
+    category = F.when(F.size("_hits") > 1, clash).otherwise(F.coalesce(F.try_element_at("_hits", F.lit(1)), F.lit(label)))
+    return filed.select(key, category.alias("category")).distinct()
+
+
 def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that are blank or held by more than one row."""
     missing = F.greatest(*[F.col(k).isNull() | (F.trim(F.col(k).cast("string")) == "") for k in keys], F.lit(False))

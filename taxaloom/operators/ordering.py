@@ -133,7 +133,7 @@ def with_range(df: DataFrame, order: str, name: str = "_range", ranges: int = RA
     found = df.agg(quantiles.alias("q"), F.min(position).alias("lo"), F.max(position).alias("hi"), F.count(F.lit(1)).alias("n")).first()
     splits = sorted(set(found.q or []))
     coarse = _range_of(position, splits)
-    parts = min(1024, -(-found.n // (ranges * rows_per_range)))
+    parts = -(-found.n // (ranges * rows_per_range))
     if parts <= 1 or not splits:
         return df.withColumn(name, coarse)
     borders = F.array(*[F.lit(float(b)) for b in (found.lo, *splits, found.hi)])

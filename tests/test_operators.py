@@ -374,6 +374,10 @@ def test_ledger_sets(spark):
     assert rows(ledger.append_new(a, b, ["k"])) == [(1,), (2,), (2,)]
     with pytest.raises(ValueError, match="overlap"):
         ledger.require_disjoint({"a": a, "b": b}, "k")
+    filed = ledger.file_by(a, "k", {"low": F.col("k") < 2, "high": F.col("k") > 3})
+    assert all(r.category == ("low" if r.k < 2 else "high" if r.k > 3 else "Not yet categorised") for r in filed.collect())
+    with pytest.raises(Exception, match="overlap"):
+        ledger.file_by(a, "k", {"x": F.lit(True), "y": F.lit(True)}).collect()
     with pytest.raises(ValueError, match="repeated"):
         ledger.require_unique(a, ["k"])
     assert ledger.check_partition(a, [a.where("k < 3"), a.where("k >= 3")], ["k"]).first().balances
