@@ -20,6 +20,7 @@ HEADLINE = [
 
 def main() -> None:
     from taxaloom.plans import registered
+    from taxaloom.operators.ordering import drop_stored
     from taxaloom.session import local_session
 
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -36,6 +37,7 @@ def main() -> None:
         # the whole result is computed and thrown away, nothing travels to the driver
         queries[name](spark, folder).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - start, 3)
+        drop_stored(spark)
     spark.stop()
     print(json.dumps({"metric": "total_wall_time", "value": round(sum(times.values()), 3), "unit": "sec", "queries": times, "sf": os.path.basename(folder.rstrip("/")).removeprefix("sf")}))
 

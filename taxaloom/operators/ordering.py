@@ -46,14 +46,30 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+_STORED: dict[str, list[str]] = {}
+
+
 def stored(df: DataFrame) -> DataFrame:
-    """Write an intermediate table once where several outputs read it; readers prune columns and survive lost executors."""
+    """Write an intermediate table once where several outputs read it; readers prune columns and survive lost executors.
+
+    The table stays until ``drop_stored``: results are lazy, so only the caller knows when they have been written.
+    """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/tables/{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _STORED.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_stored(spark: SparkSession) -> int:
+    """Delete the intermediate tables this session has stored; call it when the results that read them are written. Returns how many went."""
+    paths = _STORED.pop(spark.sparkContext.applicationId, [])
+    for name in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return len(paths)
+
+
 def _row_struct(df: DataFrame, keys: Sequence[str]) -> Column:
     return F.struct(*[c for c in df.columns if c not in keys])
 

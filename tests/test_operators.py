@@ -154,6 +154,17 @@ def test_links_and_sections(spark):
     assert rows(links.mine_dois(text, "id", "t")) == [(1, "https://doi.org/10.5281/zenodo.5")]
 
 
+def test_stored_tables_are_dropped_together(spark):
+    import os
+
+    ordering.drop_stored(spark)
+    kept = ordering.stored(spark.range(5))
+    assert kept.count() == 5
+    folder = f"{ordering.shared_folder(spark)}/tables"
+    before = len(os.listdir(folder))
+    assert ordering.drop_stored(spark) == 1 and len(os.listdir(folder)) == before - 1 and ordering.drop_stored(spark) == 0
+
+
 def test_ranges_of_any_length_become_rows(spark):
     df = spark.createDataFrame([(1, "SRR1-25000; ERR9-3"), (2, "none")], "k int, t string")
     found, refused = links.expand_range_rows(df, ["k"], "t")
