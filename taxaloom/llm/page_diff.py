@@ -45,6 +45,8 @@ OTHER = {"nav", "footer", "aside", "form", "dialog", "menu"}
 OTHER_WORDS = set("ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner cookie cookies consent notice notices gdpr alert sidebar menu nav navbar navigation breadcrumb breadcrumbs footer newsletter subscribe subscription signup share sharing social related recommended popup modal overlay widget widgets toolbar login pagination pager copyright".split())
 COMMENT_WORDS = {"comment", "comments", "respond", "replies", "reply", "disqus", "discussion"}
 HEAD_WORDS = {"header", "masthead", "topbar"}
+# a name like "with-sidebar" or "has-ads" describes a frame, not a sidebar or an advert
+FRAME_WORDS = {"has", "with", "no", "without", "layout", "wrapper", "container"}
 
 _TAG = re.compile(r"""<!--.*?(?:-->|$)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.S)
 _NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
@@ -61,7 +63,11 @@ class Place:
 
 
 def _enter(place: Place, tag: str, attributes: str) -> Place:
-    words = {w for m in _NAMED.finditer(attributes) for w in _WORD.findall(m.group(1).lower())} if attributes else set()
+    words = set()
+    for m in _NAMED.finditer(attributes or ""):
+        for name in m.group(1).strip("\"'").lower().split():
+            own = set(_WORD.findall(name))
+            words |= own if not own & FRAME_WORDS else set()
     if words & COMMENT_WORDS or place.other == "comment":
         return Place(place.main, "comment")
     if tag in MAIN or "main" in words and not place.main:

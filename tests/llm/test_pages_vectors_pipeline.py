@@ -44,6 +44,8 @@ def test_places():
     found = page_diff.lines("<body><header>Site</header><div class='cookie-notice'>c</div><main><header><h1>T&amp;X</h1></header><p>a<b>b</b>  c<br>d<p>e</p>"
                             "<div id=ad-1><p>buy</p></div><section id='comments'><article><p>nice</p></article></section><form>f</form></main><aside>s</aside>")
     assert [t for t, p in found if not p.other] == ["T&X", "ab c d", "e"]
+    framed = page_diff.lines("<div class='page has-sidebar'><div class=\"content\">text</div><div class='sidebar left'>s</div></div>")
+    assert [t for t, p in framed if not p.other] == ["text"]
 
 
 def test_longest_common_subsequence():
