@@ -190,8 +190,9 @@ def drop_empty_cells(t: Tables):
     return cells.drop_empty(cells.cells_of(wide, "orders", "o_orderkey", ["a", "b", "c"])).groupBy("col_name").agg(n_rows())
 
 
-@query("""
-SELECT 'path' AS col_name FROM pages HAVING count(*) > 0 UNION ALL SELECT 'file' FROM pages HAVING count(*) > 0
+@query(f"""
+WITH c AS (SELECT 'path' AS col_name, url AS v FROM pages UNION ALL SELECT 'file', 'r' || page_id || '_1.fastq.gz' FROM pages UNION ALL SELECT 'hash', md5(html) FROM pages)
+SELECT col_name FROM c GROUP BY 1 HAVING avg(regexp_matches(v, '(?i){V.READ_FILE_NAME}')::int) > 0.5 OR avg(regexp_matches(v, '[/\\\\].*[/\\\\]')::int) > 0.5
 """)
 def pathlike_columns(t: Tables):
     wide = t.pages.select("page_id", F.col("url").alias("path"), F.concat(F.lit("r"), "page_id", F.lit("_1.fastq.gz")).alias("file"), F.md5("html").alias("hash"))
