@@ -168,7 +168,8 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     drawn = tape.select("*", F.inline_outer(readings))
     owned = split_quotas(sources, depth, block_words, seed)
     blocks = owned.where("blocks > 0").select(F.col("sid").alias("_sid"), "shard", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("blocks") - 1)).alias("_block"))
-    dealt = drawn.join(blocks, (F.col("sid") == F.col("_sid")) & (F.col("block") == F.col("_block")), "left")
+    # the blocks grow with the corpus and Spark cannot foresee how many an explode makes, so a broadcast is ruled out
+    dealt = drawn.join(blocks.hint("merge"), (F.col("sid") == F.col("_sid")) & (F.col("block") == F.col("_block")), "left")
     return dealt.select("key", "source", "size", "source_size", "target", "before", "epoch", F.coalesce("words", F.lit(0)).alias("words"), "shard",
                         F.xxhash64(F.lit(seed), F.lit("spot"), "key", "epoch").alias("spot"))
 
