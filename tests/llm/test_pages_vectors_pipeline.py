@@ -40,6 +40,25 @@ def test_template_lines_go_and_articles_stay(spark):
     assert page_diff.extract(df.limit(0)).count() == 0
 
 
+def test_template_behind_many_copies_and_on_thin_pages(spark):
+    def plain(host, path, *own):
+        return f"https://{host}{path}", "<div>Template of the site, top</div>" + "".join(f"<div>{t}</div>" for t in own) + "<div>Template of the site, bottom</div>"
+
+    body = "one article in many places, long enough to be most of each page"
+    rows = [plain("copies.example", f"/m/{k:03}", body) for k in range(40)]
+    rows += [plain("near.example", f"/m/{k:04}", body, f"print {k}") for k in range(1300)]
+    rows += [plain("near.example", f"/{x}", f"{x} is another article, and it is as long as is needed to differ") for x in ("a", "z")]
+    rows += [plain("copies.example", f"/{x}", f"{x} is another article, and it is as long as is needed to differ") for x in ("a", "z")]
+    rows += [plain("thin.example", f"/{k:04}", f"thin {k}") for k in range(700)]
+    rows += [plain("two.example", f"/{k}", body, f"print {k}") for k in range(2)]
+    df = spark.createDataFrame([(i, u, h) for i, (u, h) in enumerate(rows)], "page_id long, url string, html string")
+    got = {r["url"]: r["text"] for r in page_diff.extract(df).collect()}
+    assert {t for u, t in got.items() if "copies.example/m" in u} == {body}
+    assert all(got[f"https://near.example/m/{k:04}"] == f"{body}\nprint {k}" for k in range(1300))
+    assert all(got[f"https://thin.example/{k:04}"] == f"thin {k}" for k in range(700))
+    assert all(body in got[f"https://two.example/{k}"] for k in range(2))          # nothing tells template from article
+
+
 def test_places():
     found = page_diff.lines("<body><header>Site</header><div class='cookie-notice'>c</div><main><header><h1>T&amp;X</h1></header><p>a<b>b</b>  c<br>d<p>e</p>"
                             "<div id=ad-1><p>buy</p></div><section id='comments'><article><p>nice</p></article></section><form>f</form></main><aside>s</aside>")
