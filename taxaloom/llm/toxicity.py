@@ -1,9 +1,10 @@
 """Toxicity of whole texts after noisy-channel restoration of disguised words.
 
 1.  A character trigram model is counted over all documents; its size depends on the alphabet, its counts on the corpus.
-2.  Words that look disguised (a sign or digit inside a word, a letter three times, single letters in a row) become lattices: every sign
-    offers the letters it may stand for, a run of one letter offers one or two, separators offer nothing.  Viterbi decoding under the
-    trigram model picks the reading; it replaces the word if it reads like a word of the corpus.
+2.  Words that look disguised (a sign or digit inside a word, a letter three times, single letters or signs in a row) become lattices: every sign
+    offers the letters it may stand for, a run of one letter offers one or two, separators offer nothing or, between single letters, the
+    border of two words.  Viterbi decoding under the trigram model picks the reading of words of any length; it replaces the word if it reads
+    like words of the corpus.  Only hexadecimal codes are left alone.
 3.  Evidence is learned from at most ``SAMPLE`` labelled documents, the ones with the smallest hashed ids outside the held-out part, near
     copies counted once: words and word beginnings that toxic documents hold far more often than others.
 4.  A document's evidence is the sum over its distinct words; a logistic curve fitted on the sample turns it into a score.
@@ -54,7 +55,12 @@ _SIGN[[ord(c) for c in READINGS]] = True
 
 _SIGNS = "".join(map(re.escape, READINGS))
 _SPELLED = rf"(?<![^\W\d_])(?:[^\W\d_][ .\-_*]){{3,}}[^\W\d_](?![^\W\d_])"     # single letters in a row
-_TOKEN = re.compile(rf"(?P<spelled>{_SPELLED})|[\w{_SIGNS}]++")
+_ONE = rf"(?:[^\W\d_]|[{_SIGNS}])"
+_MIXED = rf"(?<![\w{_SIGNS}])(?:{_ONE}[ .\-_*]){{3,}}{_ONE}(?![\w{_SIGNS}])"      # single letters and signs in a row
+_TOKEN = re.compile(rf"(?P<mixed>{_MIXED})|(?P<spelled>{_SPELLED})|[\w{_SIGNS}]++")
+_SEPARATE = re.compile(rf"(?P<spelled>{_SPELLED})|[\w{_SIGNS}]++")
+_SINGLE = re.compile(r"[^\W\d_]")
+_CODE = re.compile(r"[0-9a-f]{9,}", re.I)
 _DISGUISED = re.compile(rf"[^\W\d_][{_SIGNS}]|[{_SIGNS}][^\W\d_]|([^\W\d_])\1\1", re.I)
 
 
@@ -92,21 +98,32 @@ class Restorer:
         self.limit = -2.8 * usual          # mean log probability a letter below which a reading is no word
 
     def __call__(self, text: str) -> str:
-        return _TOKEN.sub(lambda m: self.read(m.group(0)) if m["spelled"] or _DISGUISED.search(m.group(0)) else m.group(0), text)
-
-    def read(self, word: str) -> str:
-        if word not in self.known:
+        return _TOKEN.sub(self._restored, text)
+
+    def _restored(self, m: re.Match) -> str:
+        word = m.group(0)
+        if m.groupdict().get("mixed"):
+            read = self.read(word, True) if _SINGLE.search(word) else word
+            return read if read != word else _SEPARATE.sub(self._restored, word)       # letters may still read well without the signs beside them
+        return self.read(word, bool(m["spelled"])) if m["spelled"] or _DISGUISED.search(word) else word
+
+    def read(self, word: str, spelled: bool = False) -> str:
+        if len(word) > 100:          # seldom met twice
+            return self._decode(word, spelled)
+        if (word, spelled) not in self.known:
             if len(self.known) > 200_000:
                 self.known.clear()
-            self.known[word] = self._decode(word)
-        return self.known[word]
-
-    def _lattice(self, word: str) -> list[list[tuple[str, float]]]:
-        """Readings with channel log probabilities for every run of one character."""
-        runs = re.findall(r"((.)\2*)", word.lower(), re.S)
-        out = []
-        for run, c in runs:
-            if c.isalpha():
+            self.known[word, spelled] = self._decode(word, spelled)
+        return self.known[word, spelled]
+
+    def _lattice(self, word: str, spelled: bool) -> list[list[tuple[str, float]]]:
+        """Readings with channel log probabilities for every run of one character; gaps of a spelled run, at its odd places, may be borders of words."""
+        out, at = [], 0
+        for run, c in re.findall(r"((.)\2*)", word.lower(), re.S) if not spelled else [(c, c) for c in word.lower()]:
+            gap, at = spelled and at % 2 == 1, at + len(run)
+            if gap:
+                out.append([("", -0.2), (" ", -1.6)])
+            elif c.isalpha():
                 out.append([(c, 0.0 if len(run) == 1 else -0.7)] + ([(c + c, -0.7 if len(run) == 2 else -0.9)] if len(run) > 1 else []))
             elif c in READINGS:
                 letters = READINGS[c]
@@ -118,25 +135,30 @@ class Restorer:
                 return []
         return out
 
-    def _decode(self, word: str) -> str:
-        numeric = len(word) > 8 and 2 * sum(c.isalpha() for c in word) < len(word)      # a number or a code
-        lattice = self._lattice(word) if len(word) <= 60 and not numeric else []
+    def _decode(self, word: str, spelled: bool) -> str:
+        code = _CODE.fullmatch(word) and 2 * sum(c.isalpha() for c in word) < len(word)
+        lattice = self._lattice(word, spelled) if not code else []
         if not lattice:
             return word
-        states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+        states: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}      # the reading is a chain of (letters, chain before)
         for options in lattice:
-            step: dict[tuple[int, int], tuple[float, str]] = {}
+            step: dict[tuple[int, int], tuple[float, tuple | None]] = {}
             for (a, b), (score, done) in states.items():
                 for letters, cost in options:
                     x, y, total = a, b, score + cost
                     for c in letters:
-                        z = ord(c) - 96 if "a" <= c <= "z" else 27
+                        z = ord(c) - 96 if "a" <= c <= "z" else 0 if c == " " else 27
                         total += self.model[x][y][z]
                         x, y = y, z
                     if (x, y) not in step or step[x, y][0] < total:
-                        step[x, y] = (total, done + letters)
+                        step[x, y] = (total, (letters, done))
             states = step
-        score, best = max((score + self.model[a][b][0], done) for (a, b), (score, done) in states.items())
+        score, chain = max(((score + self.model[a][b][0], done) for (a, b), (score, done) in states.items()), key=lambda s: s[0])
+        parts = []
+        while chain:
+            letters, chain = chain
+            parts.append(letters)
+        best = "".join(reversed(parts))
         return best if len(best) > 2 and score >= self.limit * (len(best) + 1) else word
 
 
@@ -149,8 +171,9 @@ def _suspects(flat: np.ndarray, borders: np.ndarray) -> np.ndarray:
     hit = _SIGN[flat] & (before | after)
     low = np.concatenate([flat | 0x20, np.zeros(2, np.uint8)])
     hit |= letter[:n] & (low[:n] == low[1:n + 1]) & (low[:n] == low[2:n + 2])
-    single = np.concatenate([letter[:n] & ~before & ~after, np.zeros(4, bool)])
-    hit |= single[:n] & single[2:n + 2] & single[4:n + 4]
+    alone = ~before & ~after
+    single, unit = np.concatenate([letter[:n] & alone, np.zeros(4, bool)]), np.concatenate([(letter[:n] | _SIGN[flat]) & alone, np.zeros(4, bool)])
+    hit |= unit[:n] & unit[2:n + 2] & unit[4:n + 4] & (single[:n] | single[2:n + 2] | single[4:n + 4])
     total = np.concatenate([[0], np.cumsum(hit)])
     return np.flatnonzero(total[borders[1:]] > total[borders[:-1]])
 

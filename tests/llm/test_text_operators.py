@@ -396,3 +396,18 @@ def test_restoration():
     restore = toxicity.Restorer(np.log(counts / counts.sum(axis=2, keepdims=True)))
     assert [restore.read(w) for w in ("1d10t", "m0r0n", "l.o.s.e.r", "i d i o t", "tra$h", "looooser", "worthle55")] == ["idiot", "moron", "loser", "idiot", "trash", "loser", "worthless"]
     assert restore("a 1d10t in 2024 or 0641917ea4e9feb9 l o s e r") == "a idiot in 2024 or 0641917ea4e9feb9 loser"
+
+
+def test_restoration_of_any_length():
+    counts = np.full((28, 28, 28), 0.01)
+    for text in ["you are a pathetic worthless idiot and loser", "stupidity is a pathetic thing", "the river is a good place and you are worthless"] * 20:
+        codes = [0, 0, *[ord(c) - 96 if c != " " else 0 for c in text], 0]
+        for a, b, c in zip(codes, codes[1:], codes[2:]):
+            counts[a, b, c] += 1
+    restore = toxicity.Restorer(np.log(counts / counts.sum(axis=2, keepdims=True)))
+    phrase = "you are a pathetic worthless idiot and loser"
+    assert restore(" ".join(phrase.replace(" ", ""))) == phrase
+    assert [restore(w) for w in ("w0r7h1355", "57up1d17y", "1 d 1 0 t", "w o r t h l e s s", "1 2 3 4 5")] == ["worthless", "stupidity", "idiot", "worthless", "1 2 3 4 5"]
+    assert restore("id" + "i" * 90 + "0t") == "idiot"
+    for text in ("1 d 1 0 t", "l o s e r"):
+        assert len(toxicity._suspects(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text)]))) == 1
