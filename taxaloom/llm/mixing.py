@@ -55,18 +55,22 @@ def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, ceiling:
 
 
 def on_tape(sizes: DataFrame, sources: DataFrame, seed: int = SEED, range_rows: int = RANGE_ROWS) -> DataFrame:
-    """Each document's words before it on its source's tape (``before``), with the source's columns."""
+    """Each document's words before it on its source's tape (``before``), with the source's columns.
+
+    ``row`` numbers the documents of one source and hash range; it tells apart equal keys without words, which share their ``before``.
+    """
     known = sources.withColumnRenamed("source", "_source")
     placed = sizes.join(known, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
     spot = F.xxhash64(F.lit(seed), F.col("key"))
     unit = (F.shiftrightunsigned(spot, 11).cast("double")) / float(1 << 53)
     ranges = F.greatest(F.lit(1), F.ceil(F.col("rows") / range_rows))
     placed = placed.withColumn("spot", F.shiftrightunsigned(spot, 11)).withColumn("range", F.floor(unit * ranges))
-    inside = Window.partitionBy("sid", "range").orderBy("spot", "key", "size").rowsBetween(Window.unboundedPreceding, -1)
+    by_spot = Window.partitionBy("sid", "range").orderBy("spot", "key", "size")
+    inside = by_spot.rowsBetween(Window.unboundedPreceding, -1)
     # one row a range in this window
     earlier = Window.partitionBy("sid").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = placed.groupBy("sid", "range").agg(F.sum("size").alias("n")).select("sid", "range", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset"))
-    summed = placed.withColumn("before", F.coalesce(F.sum("size").over(inside), F.lit(0)))
+    summed = placed.withColumn("before", F.coalesce(F.sum("size").over(inside), F.lit(0))).withColumn("row", F.row_number().over(by_spot))
     return summed.join(offsets, ["sid", "range"]).withColumn("before", F.col("before") + F.col("offset")).drop("range", "offset", "spot")
 
 
@@ -148,8 +152,8 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
         block_words: int = BLOCK_WORDS, shard_blocks: int = SHARD_BLOCKS, seed: int = SEED) -> DataFrame:
     """One row for every draw, and one with ``words`` 0 for a document that is not drawn.
 
-    Columns: key, source, size, source_size, target, before, epoch (which reading of the tape), words (taken by this draw; fewer than
-    ``size`` only where the quota ends inside the document), shard and spot (order inside the shard).
+    Columns: key, source, size, source_size, target, before, row (tells apart documents without words of one key), epoch (which reading of the
+    tape), words (taken by this draw; fewer than ``size`` only where the quota ends inside the document), shard and spot (order inside the shard).
     """
     prepare(docs.sparkSession)
     sizes = stored(sized(docs, key, text, source))
@@ -170,13 +174,13 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     blocks = owned.where("blocks > 0").select(F.col("sid").alias("_sid"), "shard", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("blocks") - 1)).alias("_block"))
     # the blocks grow with the corpus and Spark cannot foresee how many an explode makes, so a broadcast is ruled out
     dealt = drawn.join(blocks.hint("merge"), (F.col("sid") == F.col("_sid")) & (F.col("block") == F.col("_block")), "left")
-    return dealt.select("key", "source", "size", "source_size", "target", "before", "epoch", F.coalesce("words", F.lit(0)).alias("words"), "shard",
+    return dealt.select("key", "source", "size", "source_size", "target", "before", "row", "epoch", F.coalesce("words", F.lit(0)).alias("words"), "shard",
                         F.xxhash64(F.lit(seed), F.lit("spot"), "key", "epoch").alias("spot"))
 
 
 def taken(draws: DataFrame) -> DataFrame:
     """One row a document: how many words of it the mix takes."""
-    return draws.groupBy("key", "source", "size", "source_size", "target", "before").agg(F.sum("words").alias("taken"), F.count("shard").alias("draws"))
+    return draws.groupBy("key", "source", "size", "source_size", "target", "before", "row").agg(F.sum("words").alias("taken"), F.count("shard").alias("draws"))
 
 
 def drawn_rows(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", length: str | None = "n_chars", **options) -> DataFrame:

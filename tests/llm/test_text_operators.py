@@ -235,6 +235,13 @@ def test_mix_edges(empty, twice, docs):
     assert out.schema.simpleString() == docs.schema.simpleString()
 
 
+def test_mix_keeps_every_row(spark, twice):
+    rows = mixing.taken(mixing.mix(twice)).collect()
+    assert sorted((r["key"] or 0, r["size"], r["taken"]) for r in rows) == [(0, 0, 0), (0, 60, 60), (1, 60, 60), (1, 60, 60), (2, 60, 60), (3, 0, 0), (3, 0, 0)]
+    blank = spark.createDataFrame([(None, t, s) for t in ("", None, " ") for s in ("a", None) for _ in range(9)], "doc_id long, text string, source string")
+    assert mixing.taken(mixing.mix(blank)).count() == 54
+
+
 def test_hypergeometric_draws(spark):
     rows = spark.range(4000).select(mixing.hypergeometric(F.lit(30), F.lit(70), F.lit(40), mixing._uniform(F.lit(3), F.col("id"))).alias("k")).collect()
     k = np.array([r["k"] for r in rows])
