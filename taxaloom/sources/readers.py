@@ -7,7 +7,7 @@ import io
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -127,10 +127,11 @@ def _records(lines: DataFrame) -> DataFrame:
     plain = counted.join(torn, "table_id", "left_anti").join(open_ended, "table_id", "left")
     plain = plain.select("table_id", "line_idx", "line", (F.coalesce("odd", F.lit(False)) & (F.col("_quotes") % 2 == 1)).alias("odd"))
     placed = running_total(counted.join(torn, "table_id", "left_semi"), ["table_id"], "line_idx", F.col("_quotes"), name="_before")
-    start = F.when(F.col("_before") % 2 == 0, F.col("line_idx"))
-    number = F.max(start).over(Window.partitionBy("table_id").orderBy("line_idx"))
-    joined = placed.withColumn("_record", number).groupBy("table_id", "_record").agg(F.array_sort(F.collect_list(F.struct("line_idx", "line"))).alias("_l"))
-    whole = joined.select("table_id", F.col("_record").alias("line_idx"), F.array_join(F.transform("_l", lambda x: x["line"]), "\n").alias("line"), F.lit(False).alias("odd"))
+    starts = (F.col("_before") % 2 == 0).cast("long")
+    # records are numbered by the same range cut, so the lines of one file never meet in one task
+    numbered = running_total(placed, ["table_id"], "line_idx", starts, name="_record").withColumn("_record", F.col("_record") + starts)
+    joined = numbered.groupBy("table_id", "_record").agg(F.array_sort(F.collect_list(F.struct("line_idx", "line"))).alias("_l"))
+    whole = joined.select("table_id", F.col("_l")[0]["line_idx"].alias("line_idx"), F.array_join(F.transform("_l", lambda x: x["line"]), "\n").alias("line"), F.lit(False).alias("odd"))
     return plain.unionByName(whole)
 
 

@@ -1,6 +1,7 @@
 """Readers and sinks on literal files."""
 
 import gzip
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -121,3 +122,13 @@ def test_sinks(spark, tmp_path):
         assert spark.read.parquet(str(tmp_path / "swap")).count() == n
     writers.split_outputs(df, "k", str(tmp_path / "parts"))
     assert sorted(p.name for p in (tmp_path / "parts").glob("k=*")) == ["k=a", "k=b"]
+
+
+def test_records_never_sort_a_file_in_one_task(spark):
+    rows = [("a", 0, "id,note"), ("a", 1, '1,"two'), ("a", 2, 'and "" more'), ("a", 3, 'lines"'), ("a", 4, "2,x"), ("b", 0, "id"), ("b", 1, "3"), ("c", 0, 'id,"n'), ("c", 1, "n")]
+    records = readers._records(spark.createDataFrame(rows, "table_id string, line_idx long, line string"))
+    got = sorted(tuple(r) for r in records.select("table_id", "line_idx", "line", "odd").collect())
+    assert got == [("a", 0, "id,note", False), ("a", 1, '1,"two\nand "" more\nlines"', False), ("a", 4, "2,x", False), ("b", 0, "id", False), ("b", 1, "3", False),
+                   ("c", 0, 'id,"n', True), ("c", 1, "n", False)]
+    plan = records._jdf.queryExecution().analyzed().toString()
+    assert "windowspecdefinition(table_id#" in plan and not re.search(r"windowspecdefinition\(table_id#\d+L?, line_idx#", plan)
