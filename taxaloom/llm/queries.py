@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, line_dedup, mixing, ngram_join, packing, page_diff, quality, suffix_dedup, toxicity, vp_search, wavelet
+from . import common, fill_middle, line_dedup, mixing, ngram_join, packing, page_diff, quality, suffix_dedup, toxicity, vp_search, wavelet
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -106,3 +106,31 @@ def op10_run_length_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op9_histogram_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Place of every piece of every document in sequences of at most 4096 tokens."""
     return packing.pack(_table(spark, folder, "documents"))
+
+@query
+def op13_fill_middle(spark: SparkSession, folder: str) -> DataFrame:
+    """Form, cuts and digests of every document rewritten to fill its middle in, and of the text rebuilt from that."""
+    rewritten = fill_middle.transform(_table(spark, folder, "documents").select("doc_id", "text")).select("doc_id", "fim.*")
+    digests = [F.sha2(F.col(c), 256).alias(f"{c}_sha256") for c in ("output", "restored")]
+    return fill_middle.restore(rewritten).select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
+SQL["op13_fill_middle"] = """
+WITH given AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS units, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+drawn AS (
+  SELECT doc_id, text, units, len(units)::BIGINT AS n,
+         ('0x' || substr(h, 1, 8))::BIGINT % (len(units) + 1) AS one, ('0x' || substr(h, 9, 8))::BIGINT % (len(units) + 1) AS two,
+         ('0x' || substr(h, 17, 8))::BIGINT % 100 AS three, ('0x' || substr(h, 25, 8))::BIGINT % 100 AS four FROM given),
+cut AS (
+  SELECT doc_id, text, n,
+         array_to_string(units[1:least(one, two)], '') AS prefix, array_to_string(units[least(one, two) + 1:greatest(one, two)], '') AS middle,
+         array_to_string(units[greatest(one, two) + 1:], '') AS suffix,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR three >= 90 THEN 'plain'
+              WHEN four < 20 THEN 'spm' ELSE 'psm' END AS form FROM drawn)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM cut
+"""
