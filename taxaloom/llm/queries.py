@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, fill_middle, line_dedup, mixing, ngram_join, packing, page_diff, quality, suffix_dedup, toxicity, vp_search, wavelet
+from . import common, fill_middle, license_scan, line_dedup, mixing, ngram_join, packing, page_diff, quality, suffix_dedup, toxicity, vp_search, wavelet
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -134,3 +134,10 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS pre
        sha256(text) AS restored_sha256
 FROM cut
 """
+
+
+@query
+def op12_license_signatures(spark: SparkSession, folder: str) -> DataFrame:
+    """Places of the base phrases, all licence labels and a score of every document."""
+    wanted = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
+    return license_scan.scan(_table(spark, folder, "documents").select("doc_id", "text")).select("doc_id", *[f"licences.{c}" for c in wanted])
