@@ -14,7 +14,7 @@ CONFIDENCE = {TAG: 0.99, GRANT: 0.95, TEXT: 0.9, VERSIONED: 0.8, NAMED: 0.6, VAG
 FRAGMENTS = {
     "{lic}": "licen[sc]e",
     "{licd}": "licen[sc]ed",
-    "{v}": "(?:version |versions |v |ver |rev )?",
+    "{v}": "(?:versions? |ver ?|rev |v ?)?",
     "{gap}": "(?:[^ ]+ ){0,4}",
     "{later}": "(?:or|and) (?:at your option )?(?:any )?(?:later|newer|above|higher|greater)",
     "{spdx}": "spdx {lic} identifier",
