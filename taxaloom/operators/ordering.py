@@ -2,12 +2,14 @@
 
 "First seen" is always an explicit order column, never the accident of partition order.  One-row-per-key
 results are aggregates (combined before the shuffle).  Ranks and running totals do not put a key's rows
-into one task: each key is cut into ranges of the order column, ranges are totalled with a small aggregate,
-and only the rows of one (key, range) meet in a task.
+into one task: rows are sorted into ranges of (keys, order, ties) and written once, ranges are totalled with a
+small aggregate, and only the rows of one range meet in a task, however many share a key or an order value.
 """
 
 from __future__ import annotations
 
+import functools
+import operator
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -17,10 +19,6 @@ from pyspark.sql import functions as F
 
 from ..functions.text import letter_suffix
 
-RANGES = 64
-ROWS_PER_RANGE = 2_000_000
-
-
 _LOCAL_FOLDERS: dict[str, str] = {}
 
 
@@ -124,67 +122,52 @@ def top_k_fold(df: DataFrame, label: str, n: str, k: int = 5, order: str | None
     return head.unionByName(other.select(F.format_string("Other (%d categories)", F.col("m")).alias("label"), "n"))
 
 
-def _range_of(c: Column, splits: list[float]) -> Column:
-    """Index of the range a value falls in, as a balanced tree of comparisons."""
-    if not splits:
-        return F.lit(0)
-
-    def node(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(c < F.lit(splits[mid]), node(lo, mid)).otherwise(node(mid + 1, hi))
+def in_ranges(df: DataFrame, by: Sequence[str], ranges: int | None = None) -> DataFrame:
+    """``df`` sorted by all of ``by``, written once, with ``_at``: the number of its range times 2^33 plus its place in the range.
 
-    return F.coalesce(node(0, len(splits)), F.lit(0))
+    Spark samples the borders on the composite of all columns, so rows that agree in the first ones are still dealt evenly; only rows that agree in
+    all of them meet. The number of ranges is the session's number of shuffle partitions, as for any other exchange, unless it is given. Sampling
+    reads ``df`` once more: store it first where it is expensive and has no exchange of its own.
+    """
+    spread = df.repartitionByRange(*([ranges] if ranges else []), *by)
+    return stored(spread.sortWithinPartitions(*by).withColumn("_at", F.monotonically_increasing_id()))
 
 
-def with_range(df: DataFrame, order: str, name: str = "_range", ranges: int = RANGES, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
-    """Add the range a row's order value falls in; ranges grow with the data so that one range fits a task.
-
-    A bounded number of approximate quantiles splits the values; large tables split every quantile range again by linear
-    position. Where the borders lie affects balance, never the result.
-    """
-    position = F.col(order).cast("double")
-    quantiles = F.percentile_approx(position, [i / ranges for i in range(1, ranges)], 10 * ranges)
-    found = df.agg(quantiles.alias("q"), F.min(position).alias("lo"), F.max(position).alias("hi"), F.count(F.lit(1)).alias("n")).first()
-    splits = sorted(set(found.q or []))
-    coarse = _range_of(position, splits)
-    parts = -(-found.n // (ranges * rows_per_range))
-    if parts <= 1 or not splits:
-        return df.withColumn(name, coarse)
-    borders = F.array(*[F.lit(float(b)) for b in (found.lo, *splits, found.hi)])
-    placed = df.withColumn("_coarse", coarse)
-    low, high = F.element_at(borders, F.col("_coarse") + 1), F.element_at(borders, F.col("_coarse") + 2)
-    fine = F.coalesce(F.floor(F.try_divide(position - low, high - low) * parts), F.lit(0))
-    fine = F.greatest(F.lit(0), F.least(F.lit(parts - 1), fine))
-    return placed.withColumn(name, F.col("_coarse") * parts + fine).drop("_coarse")
+def _null_safe(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
+    return functools.reduce(operator.and_, [left[a].eqNullSafe(right[b]) for a, b in pairs])
 
 
 def running_total(df: DataFrame, keys: Sequence[str], order: str, weight: Column | None = None, name: str = "total_before",
-                  ties: Sequence[str] = (), ranges: int = RANGES, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
-    """Sum of ``weight`` over the rows of the key that come before this row (``order`` is a number or a time)."""
-    weight = F.lit(1) if weight is None else weight
-    cut = with_range(df.withColumn("_weight", weight), order, ranges=ranges, rows_per_range=rows_per_range)
+                  ties: Sequence[str] = (), ranges: int | None = None, whole: str | None = None) -> DataFrame:
+    """Sum of ``weight`` over the rows of the key that come before this row, and, if ``whole`` names a column, over all rows of the key.
+
+    Rows equal in keys, order and ties take their places in any order. Without a weight the sum is a place and needs no second exchange.
+    """
+    counted = weight is None
+    cut = in_ranges(df if counted else df.withColumn("_weight", weight), [*keys, order, *ties], ranges)
+    cut = cut.withColumn("_range", F.shiftrightunsigned("_at", 33))
     groups = [*keys, "_range"]
-    sums = cut.groupBy(*groups).agg(F.sum("_weight").alias("_sum"))
-    # one row per range of a key meets in this window, never the rows themselves
-    before = Window.partitionBy(*keys or [F.lit(0)]).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.withColumn("_offset", F.coalesce(F.sum("_sum").over(before), F.lit(0))).drop("_sum")
-    renamed = sums.select(*[F.col(k).alias(f"_k_{k}") for k in groups], "_offset")
-    match = None
-    for k in groups:
-        cond = F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-        match = cond if match is None else match & cond
-    joined = cut.join(renamed, match, "inner")
-    inner = Window.partitionBy(*groups).orderBy(order, *ties).rowsBetween(Window.unboundedPreceding, -1)
-    total = F.col("_offset") + F.coalesce(F.sum("_weight").over(inner), F.lit(0))
-    return joined.withColumn(name, total).select(*df.columns, name)
-
-
-def ranked(df: DataFrame, keys: Sequence[str], order: str, ties: Sequence[str] = (), name: str = "ordinal",
-           ranges: int = RANGES, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+    total = F.count(F.lit(1)) if counted else F.sum("_weight")
+    sums = cut.groupBy(*groups).agg(total.alias("_sum"), F.min("_at").alias("_first"))
+    # one row per range of a key meets in these windows, never the rows themselves
+    one_key = Window.partitionBy(*keys or [F.lit(0)])
+    before = one_key.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offset, all_of_key = F.coalesce(F.sum("_sum").over(before), F.lit(0)), F.sum("_sum").over(one_key)
+    sums = sums.select(*[F.col(k).alias(f"_k_{k}") for k in groups], offset.alias("_offset"), all_of_key.alias("_whole"), "_first")
+    if counted:
+        spot = F.col("_at") - F.col("_first")
+    else:
+        inner = Window.partitionBy(*groups).orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+        spot = F.col("_inner")
+        cut = cut.withColumn("_inner", F.coalesce(F.sum("_weight").over(inner), F.lit(0)))
+    joined = cut.join(sums, _null_safe(cut, sums, [(k, f"_k_{k}") for k in groups]))
+    added = [(F.col("_offset") + spot).alias(name), *([F.col("_whole").alias(whole)] if whole else [])]
+    return joined.select(*df.columns, *added)
+
+
+def ranked(df: DataFrame, keys: Sequence[str], order: str, ties: Sequence[str] = (), name: str = "ordinal", ranges: int | None = None) -> DataFrame:
     """1-based position of a row within its key."""
-    out = running_total(df, keys, order, name=name, ties=ties, ranges=ranges, rows_per_range=rows_per_range)
+    out = running_total(df, keys, order, name=name, ties=ties, ranges=ranges)
     return out.withColumn(name, F.col(name).cast("bigint") + 1)
 
 
@@ -225,10 +208,7 @@ def systematic_sample(df: DataFrame, k: int, keys: Sequence[str], order: str) ->
 def counted_positions(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Distinct values of a key with how many rows hold them (_c), how many come before (_before) and the key's rows (n)."""
     counted = df.select(*keys, F.col(value).alias("_v")).where("_v IS NOT NULL").groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    placed = running_total(counted, keys, "_v", F.col("_c"), name="_before")
-    if not keys:
-        return placed.withColumn("n", counted.agg(F.sum("_c")).scalar())
-    return placed.join(counted.groupBy(*keys).agg(F.sum("_c").alias("n")), list(keys))
+    return running_total(counted, keys, "_v", F.col("_c"), name="_before", whole="n")
 
 
 def value_at(spot: Column) -> Column:

@@ -46,7 +46,7 @@ def test_ranks_and_running_totals(events):
         want[i] = spot[k]
     got = ordering.ranked(df, ["k"], "n", ["id"], ranges=8).select("id", "ordinal")
     assert dict(got.collect()) == want
-    fine = ordering.ranked(df, ["k"], "n", ["id"], ranges=4, rows_per_range=10).select("id", "ordinal")
+    fine = ordering.ranked(df, ["k"], "n", ["id"], ranges=60).select("id", "ordinal")
     assert dict(fine.collect()) == want
     before, total = {}, Counter()
     for i, k, _, n in sorted(data, key=lambda r: r[0]):
@@ -55,6 +55,31 @@ def test_ranks_and_running_totals(events):
     assert dict(ordering.running_total(df, ["k"], "id", F.col("n"), ranges=8).select("id", "total_before").collect()) == before
 
 
+def test_one_order_value_is_spread_over_all_ranges(spark):
+    df = spark.range(20_000).select(F.lit("k").alias("k"), F.lit(1.5).alias("same"), "id")
+    sizes = [r["count"] for r in ordering.in_ranges(df, ["k", "same", "id"], 8).groupBy(F.shiftrightunsigned("_at", 33)).count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 2 * 20_000 / 8
+    got = ordering.ranked(df, ["k"], "same", ["id"], ranges=8)
+    assert got.where("ordinal != id + 1").count() == 0
+
+
+def test_places_of_null_keys_orders_and_equal_rows(spark):
+    data = [(None, None), (None, 3), (None, None), ("a", None), ("a", 2), ("a", 2), ("a", 1)]
+    df = spark.createDataFrame(data, "k string, n int").repartition(3)
+    got = ordering.running_total(df, ["k"], "n", name="before", whole="n_key", ranges=4)
+    assert sorted(tuple(map(str, r)) for r in got.collect()) == sorted(tuple(map(str, r)) for r in [
+        (None, None, 0, 3), (None, None, 1, 3), (None, 3, 2, 3), ("a", None, 0, 4), ("a", 1, 1, 4), ("a", 2, 2, 4), ("a", 2, 3, 4)])
+    weighed = ordering.running_total(df, ["k"], "n", F.coalesce("n", F.lit(10)), whole="n_key", ranges=4).where("k = 'a'")
+    assert sorted((r.n or 0, r.total_before, r.n_key) for r in weighed.collect()) == [(0, 0, 15), (1, 10, 15), (2, 11, 15), (2, 13, 15)]
+
+
+def test_quantiles_read_their_input_once(spark, monkeypatch, tmp_path):
+    spark.range(1000).selectExpr("id % 3 AS k", "id AS n").write.parquet(str(tmp_path / "given"))
+    given = spark.read.parquet(str(tmp_path / "given"))
+    plan = ordering.exclusive_quantiles(given, ["k"], "n", [5, 50])._jdf.queryExecution().executedPlan().toString()
+    assert "given" not in plan and plan.count("FileScan parquet") == 2  # the stored ranges, for their sums and for their rows
+
+
 def test_quantiles_match_exclusive_method(events, spark):
     data, df = events
     got = {(r.k, r.percent): r.quantile for r in ordering.exclusive_quantiles(df, ["k"], "n", [1, 5, 50, 95, 99]).collect()}
