@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import string
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, fill_middle, license_scan, line_dedup, mixing, ngram_join, packing, page_diff, quality, suffix_dedup, toxicity, vp_search, wavelet
+from . import common, fill_middle, license_scan, line_dedup, merkle, mixing, ngram_join, packing, page_diff, quality, suffix_dedup, toxicity, vp_search, wavelet
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -141,3 +142,81 @@ def op12_license_signatures(spark: SparkSession, folder: str) -> DataFrame:
     """Places of the base phrases, all licence labels and a score of every document."""
     wanted = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
     return license_scan.scan(_table(spark, folder, "documents").select("doc_id", "text")).select("doc_id", *[f"licences.{c}" for c in wanted])
+
+
+def _lower(text: Column) -> Column:
+    """A-Z lower-cased, nothing else."""
+    return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
+
+
+@query
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Leaf, subroot, root and proof of every document, and whether it still verifies after a third of the texts were tampered with."""
+    docs = _table(spark, folder, "documents")
+    whole = [docs[c] for c in ("doc_id", "source", "lang", "n_chars")]
+    hit = F.coalesce(F.crc32(docs["doc_id"].cast("string")) % 3 == 0, F.lit(False))
+    tampered = F.when(hit, merkle.leaf_of(*whole, _lower(docs["text"]))).alias("tampered")
+    found = merkle.manifest(docs.select("doc_id", "lang", merkle.leaf_of(*whole, docs["text"]).alias("leaf"), tampered))
+    opened = found.select("doc_id", "leaf", "tampered", "merkle.*").withColumn("folded_root", merkle.fold(F.coalesce("tampered", "leaf"), F.col("proof")))
+    proof = F.sha2(merkle.proof_text(F.col("proof")), 256).alias("proof_sha256")
+    return opened.select("doc_id", "leaf", "subroot", "root", proof, "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def _leaf_sql(text: str) -> str:
+    parts = [f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen({c}::VARCHAR) || ':' || {c} END" for c in ("doc_id", "source", "lang", "n_chars", text)]
+    return "sha256(" + " || ".join(parts) + ")"
+
+
+def _levels_sql(name: str, levels: int) -> str:
+    """Tables name1, name2, ...: each the parents of the one before."""
+    return ", ".join(
+        f"""{name}{h + 1} AS (
+  SELECT lang, place // 8 AS place, sha256(string_agg(node, '' ORDER BY place)) AS node, any_value((width + 7) // 8) AS width
+  FROM {name}{h} WHERE width > 1 GROUP BY lang, place // 8)""" for h in range(levels))
+
+
+def _folds_sql(name: str, nodes: str, levels: int) -> str:
+    """Tables name1, name2, ...: documents, each folded with its siblings one level further."""
+    left, right = "array_to_string(met[1:f.place % 8], '')", "array_to_string(met[f.place % 8 + 2:], '')"
+    return ", ".join(
+        f"""{name}{h + 1} AS (
+  SELECT f.* EXCLUDE (place, acc, proof), f.place // 8 AS place, CASE WHEN met IS NULL THEN acc ELSE sha256({left} || acc || {right}) END AS acc,
+         CASE WHEN met IS NULL THEN proof ELSE proof || {left} || {right} END AS proof
+  FROM {name}{h} f LEFT JOIN (SELECT lang, place // 8 AS run, list(node ORDER BY place) AS met FROM {nodes}{h} WHERE width > 1 GROUP BY ALL) r
+    ON f.lang = r.lang AND f.place // 8 = r.run)""" for h in range(levels))
+
+
+def _tops_sql(name: str, levels: int) -> str:
+    return " UNION ALL ".join(f"SELECT lang, node FROM {name}{h} WHERE width = 1" for h in range(levels + 1))
+
+
+def _merkle_sql(levels: int) -> str:
+    """Trees of up to 8^levels leaves, one level after the other; a table of CRC-32 steps finds the documents that are tampered with."""
+    lowered = f"translate(text, '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
+    return f"""
+WITH RECURSIVE crc(doc_id, bytes, c, k) AS (
+  SELECT DISTINCT doc_id, doc_id::VARCHAR, 4294967295::BIGINT, 0 FROM documents WHERE doc_id IS NOT NULL
+  UNION ALL
+  SELECT doc_id, CASE WHEN k % 9 = 0 THEN bytes[2:] ELSE bytes END,
+         CASE WHEN k % 9 = 0 THEN xor(c, ascii(bytes)::BIGINT) ELSE xor(c >> 1, CASE WHEN c % 2 = 1 THEN 3988292384::BIGINT ELSE 0::BIGINT END) END, k + 1
+  FROM crc WHERE k % 9 > 0 OR bytes <> ''),
+hit AS (SELECT doc_id AS hit_id, xor(max_by(c, k), 4294967295::BIGINT) % 3 = 0 AS hit FROM crc GROUP BY doc_id),
+given AS (
+  SELECT doc_id, coalesce('=' || lang, '-') AS lang, {_leaf_sql('text')} AS leaf, CASE WHEN hit THEN {_leaf_sql(lowered)} ELSE {_leaf_sql('text')} END AS found
+  FROM documents LEFT JOIN hit ON doc_id = hit_id),
+placed AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place, count(*) OVER (PARTITION BY lang) AS width FROM given),
+n0 AS (SELECT lang, place, leaf AS node, width FROM placed),
+{_levels_sql('n', levels)},
+subroots AS (SELECT *, row_number() OVER (ORDER BY lang) - 1 AS place FROM ({_tops_sql('n', levels)})),
+t0 AS (SELECT '' AS lang, place, node, count(*) OVER () AS width FROM subroots),
+{_levels_sql('t', levels)},
+root AS ({_tops_sql('t', levels)}),
+f0 AS (SELECT doc_id, lang, leaf, place, found AS acc, '' AS proof FROM placed),
+{_folds_sql('f', 'n', levels)},
+g0 AS (SELECT doc_id, '' AS lang, leaf, s.node AS subroot, s.place, acc, proof FROM f{levels} f JOIN subroots s ON f.lang = s.lang),
+{_folds_sql('g', 't', levels)}
+SELECT doc_id, leaf, subroot, root.node AS root, sha256(proof) AS proof_sha256, acc AS folded_root, acc = root.node AS verified FROM g{levels}, root
+"""
+
+
+SQL["op11_merkle_manifest"] = _merkle_sql(7)
