@@ -66,27 +66,43 @@ def op6_noisy_channel_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    """Repeated lines of every document, with their places, and a digest of the text without them."""
-    cut = line_dedup.dedup(_table(spark, folder, "documents").select("doc_id", "text")).select("doc_id", "cut.*")
+    """Repeated passages of every document, with their places, and a digest of the text without them."""
+    cut = line_dedup.dedup(_table(spark, folder, "documents").select("doc_id", "text"), unit="passage").select("doc_id", "cut.*")
     return cut.select("doc_id", "n_units", "n_removed", "removed_chars", "spans", F.md5("kept_text").alias("kept_md5"))
 
 
-SQL["op7_line_dedup"] = """
-WITH given AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+#: Segments are long lines and runs of short ones; their pieces part the text; pieces of few words belong to the unit before them.
+SQL["op7_line_dedup"] = rf"""
+WITH given AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS rows FROM documents),
 lines AS (
-  SELECT doc_id, line, pos, length(line) AS n,
-         lower(trim(regexp_replace(line, '[ \t\n\v\f\r]+', ' ', 'g'), ' ')) AS plain
-  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM given)),
+  SELECT doc_id, pos, line || CASE WHEN pos < last THEN chr(10) ELSE '' END AS line, len(regexp_extract_all(line, '[^ \t\n\v\f\r]+')) >= {line_dedup.LEAST} AS long
+  FROM (SELECT doc_id, unnest(rows) AS line, generate_subscripts(rows, 1) AS pos, len(rows) AS last FROM given)),
+marked AS (SELECT *, long OR coalesce(lag(long) OVER (PARTITION BY doc_id ORDER BY pos), true) AS starts FROM lines),
+numbered AS (SELECT *, sum(starts::INT) OVER (PARTITION BY doc_id ORDER BY pos) AS seg FROM marked),
+segments AS (SELECT doc_id, seg, string_agg(line, '' ORDER BY pos) AS body, bool_or(long) AS long FROM numbered GROUP BY doc_id, seg),
+cut AS (
+  SELECT doc_id, seg, CASE WHEN long THEN regexp_extract_all(body, '{line_dedup.clause_pattern(line_dedup.LEAST)}')
+                           ELSE regexp_extract_all(body, '{line_dedup.lines_pattern(line_dedup.LEAST)}') END AS pieces FROM segments),
+pieces AS (
+  SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY seg, k) AS pos, piece, len(regexp_extract_all(piece, '[^ \t\n\v\f\r]+')) >= {line_dedup.LEAST} AS full_one
+  FROM (SELECT doc_id, seg, unnest(pieces) AS piece, generate_subscripts(pieces, 1) AS k FROM cut)),
+owned AS (SELECT *, sum((full_one OR pos = 1)::INT) OVER (PARTITION BY doc_id ORDER BY pos) AS unit FROM pieces),
+units AS (SELECT doc_id, unit, string_agg(piece, '' ORDER BY pos) AS body FROM owned GROUP BY doc_id, unit),
 placed AS (
-  SELECT *, coalesce(sum(n + 1) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start,
-         plain <> '' AND length(plain) - length(replace(plain, ' ', '')) >= 4 AS counted
-  FROM lines),
-judged AS (SELECT *, counted AND row_number() OVER (PARTITION BY counted, plain ORDER BY doc_id, pos) > 1 AS gone FROM placed)
-SELECT doc_id, count(*) FILTER (WHERE counted) AS n_units, count(*) FILTER (WHERE gone) AS n_removed,
-       coalesce(sum(n) FILTER (WHERE gone), 0)::BIGINT AS removed_chars,
-       coalesce(string_agg(start::BIGINT || '-' || (start + n)::BIGINT, ';' ORDER BY pos) FILTER (WHERE gone), '') AS spans,
-       md5(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_md5
-FROM judged GROUP BY doc_id
+  SELECT *, coalesce(sum(length(body)) OVER (PARTITION BY doc_id ORDER BY unit ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+              + length(body) - length(regexp_replace(body, '^[ \t\n\v\f\r]+', '')) AS start,
+         length(regexp_replace(regexp_replace(body, '^[ \t\n\v\f\r]+', ''), '[ \t\n\v\f\r]+$', '')) AS n,
+         lower(trim(regexp_replace(body, '[ \t\n\v\f\r]+', ' ', 'g'), ' ')) AS plain
+  FROM units),
+judged AS (SELECT *, plain <> '' AS counted, plain <> '' AND row_number() OVER (PARTITION BY plain ORDER BY doc_id, unit) > 1 AS gone FROM placed),
+summed AS (
+  SELECT doc_id, count(*) FILTER (WHERE counted) AS n_units, count(*) FILTER (WHERE gone) AS n_removed, coalesce(sum(n) FILTER (WHERE gone), 0)::BIGINT AS removed_chars,
+         coalesce(string_agg(start::BIGINT || '-' || (start + n)::BIGINT, ';' ORDER BY unit) FILTER (WHERE gone), '') AS spans,
+         md5(coalesce(string_agg(body, '' ORDER BY unit) FILTER (WHERE NOT gone), '')) AS kept_md5
+  FROM judged GROUP BY doc_id)
+SELECT doc_id, coalesce(n_units, 0) AS n_units, coalesce(n_removed, 0) AS n_removed, coalesce(removed_chars, 0) AS removed_chars, coalesce(spans, '') AS spans,
+       coalesce(kept_md5, md5('')) AS kept_md5
+FROM documents LEFT JOIN summed USING (doc_id)
 """
 
 

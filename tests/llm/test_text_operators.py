@@ -174,16 +174,82 @@ def test_line_dedup(docs, corpus):
         kept, at, spans = [], 0, []
         for line in (text or "").split("\n"):
             plain = re.sub(r"[ \t\n\v\f\r]+", " ", line).strip(" ").lower()
-            if plain and plain.count(" ") >= 4 and plain in seen:
+            if plain and plain in seen:
                 spans.append(f"{at}-{at + len(line)}")
             else:
                 kept.append(line)
-                if plain and plain.count(" ") >= 4:
-                    seen.add(plain)
+                seen |= {plain} - {""}
             at += len(line) + 1
         assert (got[i]["spans"], got[i]["kept_text"], got[i]["n_removed"]) == (";".join(spans), "\n".join(kept), len(spans))
 
 
+def plain_units(text, least):
+    """Passages as lists of (start, end) of words, word by word."""
+    found = [(m.start(), m.end()) for m in re.finditer(r"[^ \t\n\v\f\r]+", text)]
+    lines = collections.defaultdict(list)
+    for a, b in found:
+        lines[text.count("\n", 0, a)].append((a, b))
+    pieces, short = [], []
+
+    def close():
+        if short:
+            pieces.append(list(short))
+            short.clear()
+
+    for _, here in sorted(lines.items()):
+        if len(here) < least:
+            short.extend(here)
+            if len(short) >= least:
+                close()
+            continue
+        close()
+        piece = []
+        for k, (a, b) in enumerate(here):
+            piece.append((a, b))
+            if len(piece) >= least and text[b - 1] in ".!?,;:" and k + 1 < len(here):
+                pieces.append(piece)
+                piece = []
+        if piece:
+            pieces.append(piece)
+    close()
+    units = []
+    for piece in pieces:
+        if units and len(piece) < least:
+            units[-1] += piece
+        else:
+            units.append(piece)
+    return [(u[0][0], u[-1][1]) for u in units]
+
+
+def test_passages_are_met_inside_lines(spark, docs, corpus):
+    rng = random.Random(5)
+    made, shared = [], []
+    for i in range(60):
+        w = ["".join(rng.choice("abcdef") for _ in range(rng.randint(1, 5))) + rng.choice(["", "", "", "", ".", ",", ";", "!", "\n", "\n \n", "\t"]) for _ in range(rng.randint(0, 160))]
+        if shared and i % 3 == 0:
+            at = rng.randint(0, len(w))
+            w[at:at] = rng.choice(shared)
+        elif len(w) > 80:
+            shared.append(w[9:75])
+        made.append(rng.choice(["", " ", "\n\n"]) + " ".join(w))
+    rows = [(i, t) for i, t, _ in corpus] + [(1000 + i, t) for i, t in enumerate(made)]
+    got = by_id(line_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), unit="passage").select("doc_id", "cut.*"))
+    seen, hit = set(), 0
+    for i, text in sorted(rows):
+        units = plain_units(text or "", line_dedup.LEAST)
+        gone = []
+        for a, b in units:
+            plain = " ".join(re.split(r"[ \t\n\v\f\r]+", text[a:b])).lower()
+            if plain in seen:
+                gone.append((a, b))
+            seen.add(plain)
+        assert (got[i]["n_units"], got[i]["spans"], got[i]["removed_chars"]) == (len(units), ";".join(f"{a}-{b}" for a, b in gone), sum(b - a for a, b in gone)), i
+        left = "".join(c for k, c in enumerate(text or "") if not any(a <= k < b for a, b in gone)) if len(text or "") < 5000 else None
+        assert left is None or got[i]["kept_text"].split() == left.split()
+        hit += i >= 1000 and bool(gone)
+    assert hit >= 12
+
+
 def test_line_dedup_edges(spark, empty, twice):
     assert line_dedup.dedup(empty).count() == 0
     found = line_dedup.dedup(twice)
