@@ -12,7 +12,7 @@ import functools
 import operator
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -47,15 +47,21 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 _STORED: dict[str, list[str]] = {}
 
 
+def scratch(spark: SparkSession) -> str:
+    """Path for a folder of files that ``drop_stored`` deletes."""
+    path = f"{shared_folder(spark)}/tables/{uuid.uuid4().hex}"
+    _STORED.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
 def stored(df: DataFrame) -> DataFrame:
     """Write an intermediate table once where several outputs read it; readers prune columns and survive lost executors.
 
     The table stays until ``drop_stored``: results are lazy, so only the caller knows when they have been written.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/tables/{uuid.uuid4().hex}"
+    path = scratch(spark)
     df.write.parquet(path)
-    _STORED.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -137,32 +143,63 @@ def _null_safe(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str
     return functools.reduce(operator.and_, [left[a].eqNullSafe(right[b]) for a, b in pairs])
 
 
+def running(df: DataFrame, keys: Sequence[str], order: str, sums: Mapping[str, Column] | None = None, highs: Mapping[str, Column] | None = None,
+            ties: Sequence[str] = (), ranges: int | None = None, wholes: Mapping[str, str] | None = None) -> DataFrame:
+    """Sums and maxima over the rows of the key that come before this row; a maximum over no row, or over nulls only, is null.
+
+    ``sums`` and ``highs`` name the new columns, ``wholes`` names columns for whole sums of a key (new name -> name of the sum). Rows equal in keys, order
+    and ties take their places in any order. Prefixes have two levels: inside a range over its rows, and over one row for each range of a key.
+    """
+    sums, highs, wholes = dict(sums or {}), dict(highs or {}), dict(wholes or {})
+    given = df.withColumns({**{f"_w_{n}": c for n, c in sums.items()}, **{f"_w_{n}": c for n, c in highs.items()}})
+    cut = in_ranges(given, [*keys, order, *ties], ranges).withColumn("_range", F.shiftrightunsigned("_at", 33))
+    groups = [*keys, "_range"]
+    found = cut.groupBy(*groups).agg(*[F.sum(f"_w_{n}").alias(f"_w_{n}") for n in sums], *[F.max(f"_w_{n}").alias(f"_w_{n}") for n in highs])
+    one_key = Window.partitionBy(*keys or [F.lit(0)])
+    before = one_key.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    carried = [F.coalesce(F.sum(f"_w_{n}").over(before), F.lit(0)).alias(f"_c_{n}") for n in sums]
+    carried += [F.max(f"_w_{n}").over(before).alias(f"_c_{n}") for n in highs]
+    carried += [F.sum(f"_w_{n}").over(one_key).alias(f"_c_{new}") for new, n in wholes.items()]
+    found = found.select(*[F.col(k).alias(f"_k_{k}") for k in groups], *carried)
+    inner = Window.partitionBy(*groups).orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    cut = cut.withColumns({**{f"_i_{n}": F.coalesce(F.sum(f"_w_{n}").over(inner), F.lit(0)) for n in sums}, **{f"_i_{n}": F.max(f"_w_{n}").over(inner) for n in highs}})
+    joined = cut.join(found, _null_safe(cut, found, [(k, f"_k_{k}") for k in groups]))
+    return joined.select(*df.columns, *[(F.col(f"_c_{n}") + F.col(f"_i_{n}")).alias(n) for n in sums],
+                         *[F.greatest(f"_c_{n}", f"_i_{n}").alias(n) for n in highs], *[F.col(f"_c_{n}").alias(n) for n in wholes])
+
+
 def running_total(df: DataFrame, keys: Sequence[str], order: str, weight: Column | None = None, name: str = "total_before",
                   ties: Sequence[str] = (), ranges: int | None = None, whole: str | None = None) -> DataFrame:
     """Sum of ``weight`` over the rows of the key that come before this row, and, if ``whole`` names a column, over all rows of the key.
 
-    Rows equal in keys, order and ties take their places in any order. Without a weight the sum is a place and needs no second exchange.
+    Without a weight the sum is a place, which the sorted range knows already, so there is no second exchange.
     """
-    counted = weight is None
-    cut = in_ranges(df if counted else df.withColumn("_weight", weight), [*keys, order, *ties], ranges)
-    cut = cut.withColumn("_range", F.shiftrightunsigned("_at", 33))
+    if weight is not None:
+        return running(df, keys, order, {name: weight}, ties=ties, ranges=ranges, wholes={whole: name} if whole else None)
+    cut = in_ranges(df, [*keys, order, *ties], ranges).withColumn("_range", F.shiftrightunsigned("_at", 33))
     groups = [*keys, "_range"]
-    total = F.count(F.lit(1)) if counted else F.sum("_weight")
-    sums = cut.groupBy(*groups).agg(total.alias("_sum"), F.min("_at").alias("_first"))
+    found = cut.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
     # one row per range of a key meets in these windows, never the rows themselves
     one_key = Window.partitionBy(*keys or [F.lit(0)])
-    before = one_key.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offset, all_of_key = F.coalesce(F.sum("_sum").over(before), F.lit(0)), F.sum("_sum").over(one_key)
-    sums = sums.select(*[F.col(k).alias(f"_k_{k}") for k in groups], offset.alias("_offset"), all_of_key.alias("_whole"), "_first")
-    if counted:
-        spot = F.col("_at") - F.col("_first")
-    else:
-        inner = Window.partitionBy(*groups).orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
-        spot = F.col("_inner")
-        cut = cut.withColumn("_inner", F.coalesce(F.sum("_weight").over(inner), F.lit(0)))
-    joined = cut.join(sums, _null_safe(cut, sums, [(k, f"_k_{k}") for k in groups]))
-    added = [(F.col("_offset") + spot).alias(name), *([F.col("_whole").alias(whole)] if whole else [])]
-    return joined.select(*df.columns, *added)
+    offset = F.coalesce(F.sum("_n").over(one_key.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    found = found.select(*[F.col(k).alias(f"_k_{k}") for k in groups], offset.alias("_offset"), F.sum("_n").over(one_key).alias("_whole"), "_first")
+    joined = cut.join(found, _null_safe(cut, found, [(k, f"_k_{k}") for k in groups]))
+    return joined.select(*df.columns, (F.col("_offset") + F.col("_at") - F.col("_first")).alias(name), *([F.col("_whole").alias(whole)] if whole else []))
+
+
+def machine_states(df: DataFrame, keys: Sequence[str], order: str, from_0: Column, from_1: Column, name: str = "state", ranges: int | None = None) -> DataFrame:
+    """State (0 or 1) in which a machine of two states meets each row, in order, from state 0; a row sends 0 to ``from_0`` and 1 to ``from_1``.
+
+    A row keeps, swaps or sets the state. So the state is what was set last, turned over as often as rows swapped since; both are prefixes, and a
+    range of rows composes to one such map whatever its length.
+    """
+    lit = lambda c: c.cast("long")
+    mapped = df.withColumns({"_f0": lit(from_0), "_f1": lit(from_1)})
+    swaps = running(mapped, keys, order, {"_swaps": lit((F.col("_f0") == 1) & (F.col("_f1") == 0))}, ranges=ranges)
+    # what a row sets, as it would have to be before all swaps to give this now
+    set_here = F.when(F.col("_f0") == F.col("_f1"), F.struct(F.col(order).alias("o"), ((F.col("_f0") + F.col("_swaps")) % 2).alias("v")))
+    done = running(swaps, keys, order, highs={"_set": set_here}, ranges=ranges)
+    return done.select(*df.columns, ((F.coalesce("_set.v", F.lit(0)) + F.col("_swaps")) % 2).cast("int").alias(name))
 
 
 def ranked(df: DataFrame, keys: Sequence[str], order: str, ties: Sequence[str] = (), name: str = "ordinal", ranges: int | None = None) -> DataFrame:

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import csv
-import io
+import hashlib
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -77,13 +76,39 @@ def https_url(c: Column) -> Column:
     return F.when(c.rlike("^https?://"), c).otherwise(F.concat(F.lit("https://"), F.regexp_replace(c, "^ftp://", "")))
 
 
+HEAD = 512  # bytes in which a web page shows itself
+_CHUNK = 4 << 20
+
+
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """SHA-256 and first bytes of each file, read from its file system in chunks, so that memory does not depend on its size."""
+    from pyarrow import fs
+
+    for batch in batches:
+        digests, heads = [], []
+        for path in batch.column("path").to_pylist():
+            system, name = fs.FileSystem.from_uri(path)
+            digest, head = hashlib.sha256(), b""
+            with system.open_input_stream(name) as stream:
+                while chunk := stream.read(_CHUNK):
+                    head = head or chunk[:HEAD]
+                    digest.update(chunk)
+            digests.append(digest.hexdigest())
+            heads.append(head)
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(digests, pa.string()), pa.array(heads, pa.binary())], names=["path", "length", "sha256", "head"])
+
+
 def file_manifest(spark: SparkSession, path: Paths) -> DataFrame:
-    """File, size, SHA-256 and whether the content is a web page put in place of the file."""
+    """File, size, SHA-256 and whether the content is a web page put in place of the file.
+
+    Files of any size: Spark lists them and deals them by size, a task streams the bytes of its files through their file system, and no row holds content.
+    """
     from ..functions.text import flag_challenge_page
 
-    files = spark.read.format("binaryFile").load(path)
-    return files.select(F.element_at(F.split("path", "/"), -1).alias("file_name"), "path", F.col("length").alias("size_bytes"),
-                        F.sha2("content", 256).alias("sha256"), flag_challenge_page(F.col("content")).alias("is_challenge_page"))
+    files = spark.read.format("binaryFile").load(path).select(F.replace("path", F.lit(" "), F.lit("%20")).alias("path"), "length")
+    found = files.mapInArrow(_digests, "path string, length long, sha256 string, head binary").withColumn("path", F.replace("path", F.lit("%20"), F.lit(" ")))
+    return found.select(F.element_at(F.split("path", "/"), -1).alias("file_name"), "path", F.col("length").alias("size_bytes"), "sha256",
+                        flag_challenge_page(F.col("head")).alias("is_challenge_page"))
 
 
 # ---------------------------------------------------------------------------
@@ -93,10 +118,16 @@ SEPARATORS = [",", "\t", ";"]
 
 
 def _fields(line: Column, sep: str) -> Column:
-    """Fields of one line; quotes may hide the separator and double quotes stand for one."""
-    pattern = f'{sep}("(?:[^"]|"")*"|[^{sep}]*)'
-    raw = F.regexp_extract_all(F.concat(F.lit(sep), line), F.lit(pattern), F.lit(1))
-    return F.transform(raw, lambda f: F.when(f.rlike('(?s)^".*"$'), F.replace(F.substring(f, F.lit(2), F.length(f) - 2), F.lit('""'), F.lit('"'))).otherwise(f))
+    """Fields of one record; a quote opens only at the start of a field, may hide the separator, and two stand for one."""
+    quoted = '"[^"]*+(?:""[^"]*+)*+"'
+    raw = F.regexp_extract_all(F.concat(F.lit(sep), line), F.lit(f"{sep}({quoted}[^{sep}]*+|[^{sep}]*+)"), F.lit(1))
+
+    def plain(f: Column) -> Column:
+        inside = F.regexp_extract(f, f"^{quoted}", 0)
+        opened = F.replace(F.substring(inside, F.lit(2), F.length(inside) - 2), F.lit('""'), F.lit('"'))
+        return F.when(inside != "", F.concat(opened, F.substring(f, F.length(inside) + 1, F.length(f)))).otherwise(f)
+
+    return F.transform(raw, plain)
 
 
 def _lines(spark: SparkSession, path: Paths) -> DataFrame:
@@ -111,32 +142,86 @@ def _lines(spark: SparkSession, path: Paths) -> DataFrame:
     return spark.read.text(path).select(F.col("_metadata.file_path").alias("table_id"), (F.shiftleft(block, 33) + number).alias("line_idx"), text.alias("line"))
 
 
-def _records(lines: DataFrame) -> DataFrame:
-    """Lines with the pieces of records that run over line breaks inside quotes joined again.
+def _line_map(line: Column, sep: Column, inside: bool) -> Column:
+    """What a line does to a reader that meets it inside or outside a quoted field: state at its end, separators outside quotes, broken closings.
 
-    Only files in which single lines hold an odd number of quotes but the file an even one are touched; a line begins a record if the
-    quotes before it are balanced. Where a file's quotes do not balance either, its lines stay as they are and ``odd`` marks them.
+    A quote opens only at the start of a field; a quote that closes must be followed by a separator or the line's end, after blanks or none.
+    """
+    parts = F.split(F.concat(line, sep), '"')  # the line's end is a separator, too
+    steps = F.zip_with(F.slice(parts, F.lit(1), F.size(parts) - 1), F.slice(parts, F.lit(2), F.size(parts) - 1), lambda x, y: F.struct(x.alias("before"), y.alias("behind")))
+    seps = lambda text: F.length(text) - F.length(F.replace(text, sep, F.lit("")))
+
+    def acc(state: Column, n: Column, bad: Column, fresh: Column) -> Column:
+        return F.struct(state.cast("int").alias("state"), n.cast("int").alias("seps"), bad.cast("int").alias("bad"), fresh.alias("fresh"))
+
+    def at_quote(a: Column, step: Column) -> Column:
+        before, behind = step["before"], step["behind"]
+        opens = F.endswith(before, sep) | (a["fresh"] & (before == ""))
+        # 0 outside, 1 inside, 2 behind a quote that closes unless another one follows at once
+        state = F.when(a["state"] == 1, 2).when((a["state"] == 2) & (before == ""), 1).when(opens, 1).otherwise(0)
+        closed = (state == 2) & (behind != "")
+        fine = F.startswith(F.ltrim(behind), sep)
+        counted = F.when(closed | (state == 0), seps(behind)).otherwise(0)
+        return acc(F.when(closed, 0).otherwise(state), a["seps"] + counted, a["bad"] + (closed & ~fine).cast("int"), F.lit(False))
+
+    start = acc(F.lit(int(inside)), F.lit(0) if inside else seps(F.element_at(parts, 1)), F.lit(0), F.lit(not inside))
+    return F.aggregate(steps, start, at_quote, lambda a: F.struct(a["state"], (a["seps"] - (a["state"] != 1).cast("int")).alias("seps"), a["bad"]))
+
+
+def _long_records(lines: DataFrame, lone: str | None) -> tuple[DataFrame, DataFrame]:
+    """(records over several lines: table_id, line_idx, last), (lines that open a quote: table_id, line_idx).
+
+    Every line is mapped for both states it may be met in, so no line waits for the ones before it. A line that opens a quote could begin a record up to
+    the next line that leaves the quoted state. It does if no closing between is broken and the record has no more fields than the header, unless an
+    earlier record runs into it; whether one does is again a machine of two states over the closing lines. Only lines with quotes take part, without
+    their text.
     """
-    from ..operators.ordering import running_total
-
-    quotes = F.length("line") - F.length(F.replace(F.col("line"), F.lit('"'), F.lit("")))
-    counted = lines.withColumn("_quotes", quotes)
-    judged = counted.groupBy("table_id").agg(F.bool_or(F.col("_quotes") % 2 == 1).alias("_broken"), (F.sum("_quotes") % 2 == 1).alias("_open"))
-    torn = judged.where("_broken AND NOT _open").select("table_id")
-    open_ended = judged.where("_open").select("table_id", F.lit(True).alias("odd"))
-    plain = counted.join(torn, "table_id", "left_anti").join(open_ended, "table_id", "left")
-    plain = plain.select("table_id", "line_idx", "line", (F.coalesce("odd", F.lit(False)) & (F.col("_quotes") % 2 == 1)).alias("odd"))
-    placed = running_total(counted.join(torn, "table_id", "left_semi"), ["table_id"], "line_idx", F.col("_quotes"), name="_before")
-    starts = (F.col("_before") % 2 == 0).cast("long")
-    # records are numbered by the same range cut, so the lines of one file never meet in one task
-    numbered = running_total(placed, ["table_id"], "line_idx", starts, name="_record").withColumn("_record", F.col("_record") + starts)
-    joined = numbered.groupBy("table_id", "_record").agg(F.array_sort(F.collect_list(F.struct("line_idx", "line"))).alias("_l"))
-    whole = joined.select("table_id", F.col("_l")[0]["line_idx"].alias("line_idx"), F.array_join(F.transform("_l", lambda x: x["line"]), "\n").alias("line"), F.lit(False).alias("odd"))
-    return plain.unionByName(whole)
-
-
-def _headers(lines: DataFrame) -> DataFrame:
-    """Separator, header line and header fields per file; ``sep`` is blank where no separator splits the header.
+    from ..operators.ordering import machine_states, running, stored
+
+    heads = stored(_headers(lines, lone).where("sep IS NOT NULL").select("table_id", "sep", "header_idx", F.size("header").alias("width")))
+    quoted = lines.where(F.contains("line", F.lit('"'))).join(heads, "table_id").where("line_idx >= header_idx")
+    maps = quoted.select("table_id", "line_idx", "header_idx", _line_map(F.col("line"), F.col("sep"), False).alias("out"), _line_map(F.col("line"), F.col("sep"), True).alias("in"))
+    closes = F.col("in.state") != 1
+    marks = running(maps, ["table_id"], "line_idx", {"part": closes.cast("long"), "seps": F.col("in.seps").cast("long"), "bad": F.col("in.bad").cast("long")})
+    marks = stored(marks.select("table_id", "line_idx", "header_idx", "part", closes.alias("closes"), (F.col("out.state") == 1).alias("opens"), F.col("out.seps").alias("own"),
+                                (F.col("seps") + F.col("in.seps")).alias("seps"), (F.col("bad") + F.col("in.bad")).alias("bad")))
+    # a part of a file ends with the line that closes
+    ends = marks.where("closes").select("table_id", "part", F.col("line_idx").alias("last"), F.col("seps").alias("end_seps"), F.col("bad").alias("end_bad"))
+    openers = marks.where("opens").withColumn("part", F.col("part") + F.col("closes").cast("long")).join(ends, ["table_id", "part"])
+    openers = openers.where("bad = end_bad").withColumn("fields", F.col("own") + F.col("end_seps") - F.col("seps") + 1)
+    own_width = openers.where("line_idx = header_idx").select("table_id", F.col("fields").alias("own_width"))
+    widths = heads.join(own_width, "table_id", "left").select("table_id", F.coalesce("own_width", "width").alias("width"))
+    whole = openers.join(widths, "table_id").where("fields <= width")
+    first = whole.groupBy("table_id", "part").agg(F.min(F.when(~F.col("closes"), F.col("line_idx"))).alias("first"), F.max(F.when(F.col("closes"), F.col("line_idx"))).alias("border"))
+    parts = ends.select("table_id", "part", "last").join(first, ["table_id", "part"], "left")
+    # state 1: a record ends with the line before this part, so that line begins none
+    met = machine_states(parts, ["table_id"], "part", F.col("first").isNotNull() | F.col("border").isNotNull(), F.col("first").isNotNull())
+    begin = F.when((F.col("state") == 0) & F.col("border").isNotNull(), F.col("border")).otherwise(F.col("first"))
+    return met.select("table_id", begin.alias("line_idx"), "last").where("line_idx IS NOT NULL"), marks.where("opens").select("table_id", "line_idx")
+
+
+def _records(lines: DataFrame, lone: str | None = None) -> DataFrame:
+    """Records of all files: table_id, line_idx, line, odd. Lines of a record over line breaks are joined; ``odd`` marks a quote that never closes."""
+    from ..operators.ordering import running, stored
+
+    found, opening = _long_records(lines, lone)
+    found = stored(found)
+    odd = opening.join(found, ["table_id", "line_idx"], "left_anti").withColumn("odd", F.lit(True))
+    torn = found.select("table_id").distinct()
+    plain = lines.join(torn, "table_id", "left_anti")
+    # in files with long records a line belongs to the last record that began before it, if that has not ended
+    starts = lines.join(torn, "table_id", "left_semi").join(found, ["table_id", "line_idx"], "left")
+    last = running(starts, ["table_id"], "line_idx", highs={"_open": F.when(F.col("last").isNotNull(), F.struct("line_idx", "last"))})
+    within = F.coalesce(F.col("line_idx") <= F.col("_open.last"), F.lit(False))
+    owned = last.select("table_id", F.when(within, F.col("_open.line_idx")).otherwise(F.col("line_idx")).alias("_record"), "line_idx", "line")
+    joined = owned.groupBy("table_id", "_record").agg(F.array_sort(F.collect_list(F.struct("line_idx", "line"))).alias("_l"))
+    whole = joined.select("table_id", F.col("_record").alias("line_idx"), F.array_join(F.transform("_l", lambda x: x["line"]), "\n").alias("line"))
+    records = plain.select("table_id", "line_idx", "line").unionByName(whole).join(odd, ["table_id", "line_idx"], "left")
+    return records.select("table_id", "line_idx", "line", F.coalesce("odd", F.lit(False)).alias("odd"))
+
+
+def _headers(lines: DataFrame, lone: str | None = None) -> DataFrame:
+    """Separator, header line and header fields per file; ``sep`` is blank, or ``lone``, where no separator splits the header.
 
     Separators are tried in order and the first that gives more than one column wins. The header is the first line that is no ``#`` note, or
     the last note before it if that splits into several fields itself. Any number of notes may come first.
@@ -156,12 +241,13 @@ def _headers(lines: DataFrame) -> DataFrame:
 
     options = F.array(*[option(s) for s in SEPARATORS])
     usable = F.filter(options, lambda o: F.coalesce(F.size(o["header"]) > 1, F.lit(False)))
-    return both.select("table_id", F.try_element_at(usable, F.lit(1)).alias("o")).select("table_id", "o.*")
+    found = F.try_element_at(usable, F.lit(1)) if lone is None else F.coalesce(F.try_element_at(usable, F.lit(1)), option(lone))
+    return both.select("table_id", found.alias("o")).select("table_id", "o.*")
 
 
-def _parsed(lines: DataFrame) -> DataFrame:
+def _parsed(lines: DataFrame, lone: str | None = None) -> DataFrame:
     """Body records with the header of their file and their own fields: table_id, line_idx, line, odd, header, f."""
-    body = lines.where("line <> ''").join(_headers(lines).where("sep IS NOT NULL"), "table_id").where("line_idx > header_idx")
+    body = lines.where("line <> ''").join(_headers(lines, lone).where("sep IS NOT NULL"), "table_id").where("line_idx > header_idx")
     split = F.when(F.col("sep") == ",", _fields(F.col("line"), ",")).when(F.col("sep") == "\t", _fields(F.col("line"), "\t")).otherwise(_fields(F.col("line"), ";"))
     return body.select("table_id", "line_idx", "line", "odd", "header", split.alias("f"))
 
@@ -185,37 +271,19 @@ def read_table_cells(spark: SparkSession, path: Paths, missing: Sequence[str] |
             judged.where("reason IS NOT NULL").select("table_id", "line_idx", "line", "reason"), unreadable)
 
 
-def read_rows_as_map(spark: SparkSession, path: Paths, key: Column | None = None, multi_line: bool = False) -> DataFrame:
+def read_rows_as_map(spark: SparkSession, path: Paths, key: Column | None = None) -> DataFrame:
     """Rows of files that each have their own header: paper_folder, row_idx, row map(header -> text).
 
-    ``key`` turns the file path (column ``path``) into the paper; default: the parent folder. ``multi_line`` is for files with
-    line breaks inside quotes; such files cannot be split and are read one per task.
+    ``key`` turns the file path (column ``path``) into the paper; default: the parent folder. Line breaks inside quotes are fine, and files are split as
+    usual; ``row_idx`` grows along a file. A file that no separator splits has one column.
     """
     folder = F.element_at(F.split("path", "/"), -2) if key is None else key
-    if multi_line:
-        files = spark.read.format("binaryFile").load(path).select("path", "content")
-
-        def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            csv.field_size_limit(1 << 30)
-            for batch in batches:
-                for file_path, content in zip(batch["path"], batch["content"]):
-                    reader = csv.reader(io.StringIO(content.decode("utf-8-sig"), newline=""))
-                    header = next(reader, [])
-                    chunk: list[tuple] = []
-                    for i, row in enumerate(reader):
-                        chunk.append((file_path, i, dict(zip(header, row))))
-                        if len(chunk) == 5000:
-                            yield pd.DataFrame(chunk, columns=["path", "row_idx", "row"])
-                            chunk = []
-                    yield pd.DataFrame(chunk, columns=["path", "row_idx", "row"])
-
-        rows = files.mapInPandas(parse, "path string, row_idx bigint, row map<string,string>")
-        return rows.select(folder.alias("paper_folder"), "row_idx", "row")
-    # a line already holds its whole row, so the map is built in place; of repeated headers the first counts
+    # a record holds its whole row, so the map is built in place; of repeated headers the first counts
     pairs = F.transform("header", lambda h, i: F.struct(h.alias("key"), F.coalesce(F.try_element_at("f", i + 1), F.lit("")).alias("value"), i.alias("i")))
     kept = F.filter(pairs, lambda p: (p["key"] != "") & (F.array_position("header", p["key"]) == p["i"] + 1))
     row = F.map_from_entries(F.transform(kept, lambda p: F.struct(p["key"], p["value"])))
-    return _parsed(_records(_lines(spark, path))).withColumn("path", F.col("table_id")).select(folder.alias("paper_folder"), F.col("line_idx").alias("row_idx"), row.alias("row"))
+    records = _records(_lines(spark, path), lone=",")
+    return _parsed(records, lone=",").withColumn("path", F.col("table_id")).select(folder.alias("paper_folder"), F.col("line_idx").alias("row_idx"), row.alias("row"))
 
 
 def read_fastq(spark: SparkSession, path: Paths, n: int | None = None) -> tuple[DataFrame, DataFrame]:

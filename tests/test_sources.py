@@ -1,8 +1,10 @@
 """Readers and sinks on literal files."""
 
 import gzip
-import re
+import hashlib
+import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -55,8 +57,8 @@ def test_table_cells_of_any_dialect(spark, tmp_path):
     assert table["semi.txt"] == [[("a", "1"), ("b", None)]] and "one.txt" not in table
     assert table["notes.tsv"] == [[("#OTU ID", "A"), ("s1", "1")]]
     assert table["torn.csv"] == [[("id", "1"), ("note", "two\nlines"), ("n", "5")], [("id", "2"), ("note", "plain"), ("n", "6")]]
-    assert table["open.csv"] == [[("id", "2"), ("note", "x")]]
-    assert sorted((r.line, r.reason) for r in bad.collect()) == [('1,5" pipe', "quote that never closes"), ("long,1,2,3", "more fields than the header")]
+    assert table["open.csv"] == [[("id", "1"), ("note", '5" pipe')], [("id", "2"), ("note", "x")]]
+    assert [(r.line, r.reason) for r in bad.collect()] == [("long,1,2,3", "more fields than the header")]
     assert [r.table_id.rsplit("/", 1)[1] for r in unreadable.collect()] == ["one.txt"]
 
 
@@ -76,7 +78,7 @@ def test_cells_of_a_split_file_keep_line_order(spark, tmp_path):
 def test_rows_as_map(spark, tmp_path):
     put(tmp_path, "m/P1/sample_metadata.csv", "Sample_ID,Host\nS1,pig\n")
     put(tmp_path, "m/P2/sample_metadata.csv", "id,note\nS2,\"a\nb\"\n")
-    rows = {r.paper_folder: r.row for r in readers.read_rows_as_map(spark, str(tmp_path / "m" / "*"), multi_line=True).collect()}
+    rows = {r.paper_folder: r.row for r in readers.read_rows_as_map(spark, str(tmp_path / "m" / "*")).collect()}
     assert rows == {"P1": {"Sample_ID": "S1", "Host": "pig"}, "P2": {"id": "S2", "note": "a\nb"}}
     plain = readers.read_rows_as_map(spark, str(tmp_path / "m" / "P1")).first()
     assert plain.paper_folder == "P1" and plain.row == {"Sample_ID": "S1", "Host": "pig"}
@@ -124,11 +126,114 @@ def test_sinks(spark, tmp_path):
     assert sorted(p.name for p in (tmp_path / "parts").glob("k=*")) == ["k=a", "k=b"]
 
 
-def test_records_never_sort_a_file_in_one_task(spark):
-    rows = [("a", 0, "id,note"), ("a", 1, '1,"two'), ("a", 2, 'and "" more'), ("a", 3, 'lines"'), ("a", 4, "2,x"), ("b", 0, "id"), ("b", 1, "3"), ("c", 0, 'id,"n'), ("c", 1, "n")]
-    records = readers._records(spark.createDataFrame(rows, "table_id string, line_idx long, line string"))
-    got = sorted(tuple(r) for r in records.select("table_id", "line_idx", "line", "odd").collect())
-    assert got == [("a", 0, "id,note", False), ("a", 1, '1,"two\nand "" more\nlines"', False), ("a", 4, "2,x", False), ("b", 0, "id", False), ("b", 1, "3", False),
-                   ("c", 0, 'id,"n', True), ("c", 1, "n", False)]
-    plan = records._jdf.queryExecution().analyzed().toString()
-    assert "windowspecdefinition(table_id#" in plan and not re.search(r"windowspecdefinition\(table_id#\d+L?, line_idx#", plan)
+RECORDS = {
+    "inches": ("id,note\n1,5\" pipe\n2,plain\n3,6\" pipe\n4,x\n", ["1,5\" pipe", "2,plain", "3,6\" pipe", "4,x"], []),
+    "torn": ("id,note,n\n1,\"two\nand \"\" more\n\nlines\",5\n2,x,6\n", ["1,\"two\nand \"\" more\n\nlines\",5", "2,x,6"], []),
+    "open at the end": ("id,note\n1,x\n2,\"open\n3,y\n", ["1,x", "3,y"], ["2,\"open"]),
+    "open before quoted": ("id,note\n1,\"open\n2,x\n3,\"quoted, fine\"\n4,y\n", ["2,x", "3,\"quoted, fine\"", "4,y"], ["1,\"open"]),
+    "open before a whole field": ("id,note\n1,\"open\n2,x\n3,\"quoted\"\n4,y\n", ["2,x", "3,\"quoted\"", "4,y"], ["1,\"open"]),
+    "record after record": ("a,b\n\"x\ny\",\"p\nq\"\n\"u\nv\",\"r\ns\"\n1,2\n", ["\"x\ny\",\"p\nq\"", "\"u\nv\",\"r\ns\"", "1,2"], []),
+    "torn header": ("c,\"a\nb\"\n1,\"x\ny\"\n2,3\n", ["1,\"x\ny\"", "2,3"], []),
+    "all open": ("a,b\n1,\"x\n2,\"y\n3,\"z\n", [], ["1,\"x", "2,\"y", "3,\"z"]),
+    "empty quotes": ("a,b\n\"\",1\n2,\"\"\n3,\"\n\"\n", ["\"\",1", "2,\"\"", "3,\"\n\""], []),
+}
+
+
+@pytest.mark.parametrize("size", [None, "16"])
+def test_records_of_files_as_they_are(spark, tmp_path, size):
+    for name, (text, _, _) in RECORDS.items():
+        put(tmp_path, f"r/{name}.csv", text)
+    rows = []
+    for name, (text, _, _) in RECORDS.items():
+        rows += [(name, i, line) for i, line in enumerate(text.split("\n")[:-1])]
+    given = spark.createDataFrame(rows, "table_id string, line_idx long, line string").repartition(3)
+    if size:
+        spark.conf.set("spark.sql.shuffle.partitions", size)
+    try:
+        parsed = readers._parsed(readers._records(given)).collect()
+        cells, bad, _ = readers.read_table_cells(spark, str(tmp_path / "r"), missing=None)
+        files = {(r.table_id.rsplit("/", 1)[1][:-4].replace("%20", " "), r.line) for r in bad.collect()}
+        n_rows = cells.select("table_id", "row_idx").distinct().count()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    for name, (_, good, wrong) in RECORDS.items():
+        mine = sorted((r for r in parsed if r.table_id == name), key=lambda r: r.line_idx)
+        assert [r.line for r in mine if not r.odd] == good, name
+        assert [r.line for r in mine if r.odd] == wrong, name
+    assert files == {(name, line) for name, (_, _, wrong) in RECORDS.items() for line in wrong}
+    assert n_rows == sum(len(good) for _, good, _ in RECORDS.values())
+
+
+def sequential_records(lines, width):
+    """The same rule, read line after line: (records, lines with a quote that never closes)."""
+    def read(line, inside):
+        state, n, bad, start = int(inside), 0, 0, not inside
+        i = 0
+        while i < len(line):
+            c = line[i]
+            if state == 1:
+                if c == '"' and line[i + 1:i + 2] == '"':
+                    i += 1
+                elif c == '"':
+                    state = 0
+                    rest = line[i + 1:].lstrip(" ")
+                    bad += rest != "" and rest[0] != ","
+                start = False
+            elif c == ",":
+                n, start = n + 1, True
+            else:
+                state, start = (1 if c == '"' and start else 0), False
+            i += 1
+        return state, n, bad
+
+    out, odd, i = [], [], 0
+    while i < len(lines):
+        state, n, _ = read(lines[i], False)
+        if state == 0:
+            out.append(lines[i])
+            i += 1
+            continue
+        j, broken = i + 1, 0
+        while j < len(lines):
+            end, m, bad = read(lines[j], True)
+            n, broken = n + m, broken + bad
+            if end == 0:
+                break
+            j += 1
+        if j < len(lines) and not broken and n + 1 <= width:
+            out.append("\n".join(lines[i:j + 1]))
+            i = j + 1
+        else:
+            odd.append(lines[i])
+            i += 1
+    return out, odd
+
+
+def test_records_agree_with_reading_line_after_line(spark):
+    rng = random.Random(11)
+    tables, rows = {}, []
+    for t in range(150):
+        body = ["".join(rng.choice(['"', '"', '""', ",", ",", "x", " ", ',"', '",']) for _ in range(rng.randint(0, 6))) for _ in range(rng.randint(1, 14))]
+        lines = ["a,b,c", *[x for x in body if x]]
+        tables[str(t)] = lines
+        rows += [(str(t), 7 * i, line) for i, line in enumerate(lines)]
+    given = spark.createDataFrame(rows, "table_id string, line_idx long, line string").repartition(5)
+    got = {}
+    for r in readers._records(given).orderBy("table_id", "line_idx").collect():
+        got.setdefault(r.table_id, ([], []))[r.odd].append(r.line)
+    for t, lines in tables.items():
+        assert got[t] == sequential_records(lines, 3), lines
+    assert sum("\n" in line for good, _ in got.values() for line in good) > 30
+
+
+def test_digests_of_large_files_are_streamed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(readers, "_CHUNK", 1000)
+    data = bytes(range(256)) * 400
+    put(tmp_path, "big file.bin", data)
+    put(tmp_path, "empty.bin", b"")
+    df = readers.file_manifest(spark, str(tmp_path))
+    got = {r.file_name: (r.size_bytes, r.sha256) for r in df.collect()}
+    assert got == {"big file.bin": (len(data), hashlib.sha256(data).hexdigest()), "empty.bin": (0, hashlib.sha256(b"").hexdigest())}
+    assert "content" not in df._jdf.queryExecution().executedPlan().toString()
+    batch = pa.record_batch({"path": [(tmp_path / "big file.bin").as_uri()], "length": [len(data)]})
+    assert next(readers._digests(iter([batch]))).column("head")[0].as_py() == data[:512]
