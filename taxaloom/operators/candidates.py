@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
 from ..functions.rules import all_matches, case_when, matches, reasons
 from ..functions.text import nonblank, normalize_id
-from .ordering import cut_lineage
+from .components import components
+from .ordering import cut_lineage, stored
 
 
 def merge_hits(df: DataFrame, key: str, sets: Sequence[str], scalars: Sequence[str], order: str) -> DataFrame:
@@ -25,33 +27,68 @@ def merge_hits(df: DataFrame, key: str, sets: Sequence[str], scalars: Sequence[s
     return df.where(F.coalesce(F.trim(F.col(key).cast("string")), F.lit("")) != "").groupBy(key).agg(*aggs)
 
 
-def _identifiers(df: DataFrame, row: str, id_cols: Sequence[str]) -> DataFrame:
-    ids = F.array_distinct(F.array_compact(F.array(*[nonblank(normalize_id(F.col(c).cast("string"))) for c in id_cols])))
-    return df.select(row, F.explode(ids).alias("identifier"))
+def _identifiers(id_cols: Sequence[str]) -> Column:
+    return F.array_distinct(F.array_compact(F.array(*[nonblank(normalize_id(F.col(c).cast("string"))) for c in id_cols])))
 
 
-def add_allowlist(papers: DataFrame, allow: DataFrame, id_cols: Sequence[str], order: str) -> DataFrame:
-    """Rows of the allow-list to add: those none of whose identifiers is known, in file order among themselves.
+#: Rows of a component that one task passes over; it holds their identifiers.
+COMPONENT_ROWS = 5_000_000
 
-    Every identifier keeps its smallest open position; a row that holds the smallest position of all its
-    identifiers is taken, rows that share an identifier with a taken row are dropped, and the rest goes round
-    again. No pairs of rows are formed; the number of rounds is the length of the longest chain of shared
-    identifiers.
+
+def add_allowlist(papers: DataFrame, allow: DataFrame, id_cols: Sequence[str], order: str, component_rows: int = COMPONENT_ROWS) -> DataFrame:
+    """Rows of the allow-list to add: those none of whose identifiers is known or stands in a row that was added before, in file order.
+
+    Rows that share identifiers, over any number of others, form a component. Components are independent, so each is passed over once in file order,
+    many of them in a task; rows that share nothing are added at once. Only a component beyond ``component_rows`` is worked off in rounds instead.
     """
-    known = _identifiers(papers.withColumn("_row", F.lit(0)), "_row", id_cols).select("identifier").distinct()
-    edges = _identifiers(allow, order, id_cols)
-    hit = edges.join(known, "identifier", "left_semi").select(order).distinct()
-    open_edges = cut_lineage(edges.join(hit, order, "left_anti"))
-    taken: DataFrame | None = None
+    known = papers.select(F.explode(_identifiers(id_cols)).alias("identifier")).distinct()
+    named = allow.select(F.col(order).alias("_o"), _identifiers(id_cols).alias("_ids")).where(F.size("_ids") > 0)
+    edges = named.select("_o", F.explode("_ids").alias("identifier"))
+    hit = edges.join(known, "identifier", "left_semi").select("_o").distinct()
+    still = stored(named.join(hit, "_o", "left_anti"))
+    edges = still.select("_o", F.explode("_ids").alias("identifier"))
+    # every row is linked to the first holder of each of its identifiers: no pairs within an identifier
+    first = edges.groupBy("identifier").agg(F.min("_o").alias("_first"))
+    found, _ = components(edges.join(first, "identifier"), "_o", "_first")
+    roots = still.join(found.withColumnRenamed("node", "_o"), "_o", "left")
+    sizes = found.groupBy("root").agg(F.count(F.lit(1)).alias("_rows"))
+    large = stored(sizes.where(F.col("_rows") > component_rows).select("root"))
+    alone = roots.where("root IS NULL").select("_o")
+    small = roots.where("root IS NOT NULL").join(large, "root", "left_anti")
+    passed = small.repartition("root").sortWithinPartitions("root", "_o").select("root", "_o", "_ids").mapInArrow(_first_holders, still.select("_o").schema)
+    taken = alone.unionByName(passed)
+    if not large.isEmpty():
+        taken = taken.unionByName(_in_rounds(roots.join(large, "root", "left_semi").select("_o", F.explode("_ids").alias("identifier"))))
+    return allow.join(taken.withColumnRenamed("_o", order), order, "left_semi")
+
+
+def _first_holders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows, sorted by component and order, none of whose identifiers an added row of the component holds."""
+    now, used = None, set()
+    for batch in batches:
+        keep = []
+        for i, (root, ids) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist())):
+            if root != now:
+                now, used = root, set()
+            if used.isdisjoint(ids):
+                used.update(ids)
+                keep.append(i)
+        yield pa.RecordBatch.from_arrays([batch.column(1).take(pa.array(keep, pa.int64()))], names=["_o"])
+
+
+def _in_rounds(open_edges: DataFrame) -> DataFrame:
+    """The same choice without a pass: a row first in all its identifiers is added, rows that share one with it go, the rest goes round again."""
+    taken = open_edges.select("_o").where(F.lit(False))
+    open_edges = cut_lineage(open_edges)
     while not open_edges.isEmpty():
-        first = open_edges.groupBy("identifier").agg(F.min(order).alias("_first"))
-        judged = open_edges.join(first, "identifier").groupBy(order).agg(F.bool_and(F.col(order) == F.col("_first")).alias("_win"))
-        winners = judged.where("_win").select(order)
-        used = open_edges.join(winners, order, "left_semi").select("identifier").distinct()
-        losers = open_edges.join(used, "identifier", "left_semi").select(order).distinct()
-        taken = winners if taken is None else taken.unionByName(winners)
-        open_edges = cut_lineage(open_edges.join(losers, order, "left_anti"))
-    return allow.join(taken, order, "left_semi") if taken is not None else allow.where(F.lit(False))
+        first = open_edges.groupBy("identifier").agg(F.min("_o").alias("_first"))
+        judged = open_edges.join(first, "identifier").groupBy("_o").agg(F.bool_and(F.col("_o") == F.col("_first")).alias("_win"))
+        winners = judged.where("_win").select("_o")
+        used = open_edges.join(winners, "_o", "left_semi").select("identifier").distinct()
+        losers = open_edges.join(used, "identifier", "left_semi").select("_o").distinct()
+        taken = taken.unionByName(winners)
+        open_edges = cut_lineage(open_edges.join(losers, "_o", "left_anti"))
+    return taken
 
 
 def archive_values(df: DataFrame, key: str, columns: Sequence[str], sep: str = ";") -> DataFrame:

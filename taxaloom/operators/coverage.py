@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
+from .ordering import running
 
 
 def identity_filter(aln: DataFrame, min_identity: float) -> DataFrame:
@@ -20,29 +21,24 @@ def identity_counts(aln: DataFrame, keys: Sequence[str], keep: Column) -> DataFr
     return aln.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_before"), F.count_if(F.coalesce(keep, F.lit(False))).alias("n_after"))
 
 
-def union_length(intervals: DataFrame, keys: Sequence[str], block: int = 65536, start: str = "start", end: str = "end") -> DataFrame:
+def union_length(intervals: DataFrame, keys: Sequence[str], ranges: int | None = None, start: str = "start", end: str = "end") -> DataFrame:
     """Length covered by half-open integer intervals per key, with their number and summed length.
 
-    Intervals are cut at fixed block borders, where coverage is additive, and only the longest interval per start
-    position is kept. So one (key, block) never holds more than ``block`` rows, however deep the coverage.
+    Of the intervals with one start the longest is kept, and each adds what lies beyond the farthest end so far. That end is a running maximum carried
+    over sorted ranges, so an interval stays one row whatever its length, and neither a deep nor a long key meets in one task.
     """
-    valid = intervals.where(F.col(end) > F.col(start))
     totals = intervals.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_intervals"), F.sum(F.greatest(F.col(end) - F.col(start), F.lit(0))).alias("summed_length"))
-    first, last = F.floor(F.col(start) / block), F.floor((F.col(end) - 1) / block)
-    cut = valid.select(*keys, start, end, F.explode(F.sequence(first, last)).alias("_b"))
-    cut = cut.select(*keys, "_b", F.greatest(F.col(start), F.col("_b") * block).alias("_s"), F.least(F.col(end), (F.col("_b") + 1) * block).alias("_e"))
-    longest = cut.groupBy(*keys, "_b", "_s").agg(F.max("_e").alias("_e"))
-    before = Window.partitionBy(*keys, "_b").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
-    reach = F.coalesce(F.max("_e").over(before), F.col("_s"))
-    new = longest.withColumn("_new", F.greatest(F.col("_e") - F.greatest(reach, F.col("_s")), F.lit(0)))
-    covered = new.groupBy(*keys).agg(F.sum("_new").alias("covered_length"))
+    longest = intervals.where(F.col(end) > F.col(start)).groupBy(*keys, F.col(start).alias("_s")).agg(F.max(end).alias("_e"))
+    reached = running(longest, keys, "_s", highs={"_reach": F.col("_e")}, ranges=ranges)
+    new = F.greatest(F.col("_e") - F.greatest("_reach", "_s"), F.lit(0))
+    covered = reached.groupBy(*keys).agg(F.sum(new).alias("covered_length"))
     return totals.join(covered, list(keys), "left").na.fill({"covered_length": 0})
 
 
-def interval_coverage(aln: DataFrame, lengths: DataFrame, block: int = 65536) -> DataFrame:
+def interval_coverage(aln: DataFrame, lengths: DataFrame) -> DataFrame:
     """Per (sample, genome): reads, covered bases, breadth, mean depth. lengths: genome, length."""
-    base = union_length(aln, ["sample", "genome"], block).join(lengths, "genome")
+    base = union_length(aln, ["sample", "genome"]).join(lengths, "genome")
     return base.select("sample", "genome", F.col("n_intervals").alias("reads"), F.col("covered_length").alias("covered_bases"),
                        (F.col("covered_length") / F.col("length")).alias("breadth"), (F.col("summed_length") / F.col("length")).alias("mean_depth"))
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +14,7 @@ from ..functions.rules import matches
 from ..functions.taxa import sample_flags, split_taxonomy, table_domain
 from ..functions.text import lenient_double, nonblank, safe_name, trim_ws
 from .cells import COL, column_stats, table_sizes
+from .ordering import running_total, stored
 
 
 def undedupe_names(names: DataFrame, keys: Sequence[str], column: str, name: str = "original_name") -> DataFrame:
@@ -87,23 +90,61 @@ def single_cells(df: DataFrame, index: Sequence[str], column: str, value: str) -
         F.count(F.lit(1)).alias("n_values"), F.when(F.count(F.lit(1)) == 1, F.max(value)).alias(value))
 
 
-def safe_pivot(df: DataFrame, index: Sequence[str], column: str, value: str, columns: Sequence | None = None,
-               name: str = "{}") -> tuple[DataFrame, DataFrame]:
-    """(wide, duplicates): never sums repeats, never writes zero for an absent pair.
-
-    Without an explicit column list the distinct headers are read first and refused beyond the engine's pivot limit.
-    """
-    if columns is None:
-        limit = int(df.sparkSession.conf.get("spark.sql.pivotMaxValues"))
-        found = df.select(column).distinct().orderBy(column).limit(limit + 1).collect()
-        if len(found) > limit:
-            raise ValueError(f"more than {limit} columns: keep the long form (see table_matrices)")
-        columns = [r[0] for r in found]
+def safe_pivot(df: DataFrame, index: Sequence[str], column: str, value: str, columns: Sequence, name: str = "{}") -> tuple[DataFrame, DataFrame]:
+    """(wide, duplicates) for a known list of columns: never sums repeats, never writes zero for an absent pair. ``dense_lines`` takes any number."""
     cells = single_cells(df, index, column, value)
     picks = [F.max(F.when(F.col(column) == F.lit(c), F.col(value))).alias(name.format(c)) for c in columns]
     return cells.groupBy(*index).agg(*picks), duplicate_report(df, index, column, value)
 
 
+def column_dictionary(cells: DataFrame, table: str, column: str) -> DataFrame:
+    """Columns of every table with their 0-based places in the order of their names, and how many the table has."""
+    return running_total(cells.select(table, column).distinct(), [table], column, name="col_no", whole="n_cols")
+
+
+def dense_lines(cells: DataFrame, table: str, row: str, column: str, value: str, sep: str = "\t", missing: str = "") -> DataFrame:
+    """Dense matrices of all tables as lines of text, whatever their width: table, line_no (grows along a table), line.
+
+    The first line of a table holds its column names. Cells are sorted once by (table, row, place of the column), and a task fills the gaps between
+    them as they pass by, so nothing is pivoted, no header is collected, and a task holds one line. A pair with several values is blank, as in
+    ``single_cells``; a separator or line break inside a name becomes a blank.
+    """
+    text = lambda c: F.regexp_replace(F.col(c).cast("string"), "[\t\r\n" + re.escape(sep) + "]", " ")
+    places = stored(column_dictionary(cells, table, column))
+    body = single_cells(cells, [table, row], column, value).join(places, [table, column])
+    inside = body.select(F.col(table).alias("t"), F.lit(True).alias("body"), F.col(row).alias("o"), text(row).alias("r"), "col_no", "n_cols", text(value).alias("v"))
+    head = places.select(F.col(table).alias("t"), F.lit(False).alias("body"), F.lit(None).cast(cells.schema[row].dataType).alias("o"), F.lit(row).alias("r"), "col_no", "n_cols", text(column).alias("v"))
+    spread = head.unionByName(inside).repartitionByRange("t", "body", "o").sortWithinPartitions("t", "body", "o", "col_no")
+    # all cells of a line are in one range, because they agree in what the ranges are cut by
+    kind = cells.schema[table].dataType.simpleString()
+    lines = spread.mapInArrow(lambda batches: _fill_gaps(batches, sep, missing), f"t {kind}, line string")
+    return lines.select(F.col("t").alias(table), F.monotonically_increasing_id().alias("line_no"), "line")
+
+
+def _fill_gaps(batches: Iterator[pa.RecordBatch], sep: str, missing: str) -> Iterator[pa.RecordBatch]:
+    """Sorted cells to lines; a line may run over batches."""
+    now: tuple | None = None
+    parts: list[str] = []
+    width = 0
+
+    def line() -> str:
+        return sep.join([now[3], *parts, *[missing] * (width - len(parts))])
+
+    for batch in batches:
+        tables, lines = [], []
+        for t, body, o, r, at, n, v in zip(*(c.to_pylist() for c in batch.columns)):
+            if now is None or (t, body, o) != now[:3]:
+                if now is not None:
+                    tables.append(now[0])
+                    lines.append(line())
+                now, parts, width = (t, body, o, r if r is not None else missing), [], n
+            parts += [missing] * (at - len(parts))
+            parts.append(v if v is not None else missing)
+        yield pa.RecordBatch.from_arrays([pa.array(tables, batch.column(0).type), pa.array(lines, pa.string())], names=["t", "line"])
+    if now is not None:
+        yield pa.RecordBatch.from_arrays([pa.array([now[0]], batch.column(0).type), pa.array([line()], pa.string())], names=["t", "line"])
+
+
 def duplicate_report(df: DataFrame, index: Sequence[str], column: str, value: str) -> DataFrame:
     """Every pair with more than one value: one row per (pair, raw value) with how often that value occurs.
 
@@ -127,7 +168,7 @@ def table_matrices(long: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(cells, duplicates, sizes) of every table at once, whatever its size.
 
     ``cells`` holds one row per (table, sample, column) with the value or blank; it is the matrix in sparse form, ready
-    for ``safe_pivot`` with the columns of one table. ``sizes`` says how large each dense matrix would be.
+    for ``dense_lines``. ``sizes`` says how large each dense matrix would be.
     """
     named = long.withColumn("col_name", safe_name(F.col("taxon")))
     index = ["table_id", "sample_id"]

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ..functions import fixed_values as V
 from ..functions.rules import case_when
 from ..operators import candidates, cells, coverage, ordering, reads, reshape, viral
+from ..operators.ordering import scratch
+from ..sources import writers
 from .catalog import Tables, n_rows, query
 
 # ---------------------------------------------------------------------------
@@ -225,6 +227,25 @@ def safe_pivot(t: Tables):
     return wide
 
 
+@query("""
+WITH rows AS (SELECT DISTINCT l_returnflag, l_linenumber FROM lineitem), cols AS (SELECT DISTINCT l_returnflag, l_orderkey FROM lineitem),
+c AS (SELECT l_returnflag, l_linenumber, l_orderkey, CASE WHEN count(*) = 1 THEN max(l_quantity)::varchar END AS q FROM lineitem GROUP BY ALL),
+body AS (
+  SELECT l_returnflag, l_linenumber::varchar AS label, l_linenumber || chr(9) || string_agg(coalesce(q, ''), chr(9) ORDER BY l_orderkey) AS line
+  FROM rows JOIN cols USING (l_returnflag) LEFT JOIN c USING (l_returnflag, l_linenumber, l_orderkey) GROUP BY l_returnflag, l_linenumber),
+head AS (SELECT l_returnflag, 'l_linenumber' AS label, 'l_linenumber' || chr(9) || string_agg(l_orderkey::varchar, chr(9) ORDER BY l_orderkey) AS line FROM cols GROUP BY 1)
+SELECT l_returnflag, label, md5(line) AS line_md5, length(line) AS n_chars FROM (FROM body UNION ALL FROM head)
+""")
+def dense_matrices(t: Tables):
+    """Tables with one column per order, far beyond what a pivot takes, written as text and read back."""
+    folder = scratch(t.spark)
+    lines = reshape.dense_lines(t.lineitem, "l_returnflag", "l_linenumber", "l_orderkey", "l_quantity")
+    writers.write_dense(lines, "l_returnflag", folder)
+    read = t.spark.read.text(folder)
+    label = F.substring_index("value", "\t", 1)
+    return read.select(F.col("l_returnflag").cast("string"), label.alias("label"), F.md5("value").alias("line_md5"), F.length("value").cast("bigint").alias("n_chars"))
+
+
 @query("""
 WITH c AS (SELECT l_orderkey, l_linenumber, l_quantity::varchar AS raw_value, count(*) AS n_of_value FROM lineitem GROUP BY ALL),
 s AS (SELECT l_orderkey, l_linenumber, sum(n_of_value)::bigint AS n_values FROM c GROUP BY ALL HAVING sum(n_of_value) > 1)
@@ -337,7 +358,7 @@ SELECT e.user_id, count(*) AS n_intervals, sum(greatest(e.e - e.s, 0))::bigint A
 def interval_coverage(t: Tables):
     start = F.unix_micros(F.col("ts").cast("timestamp"))
     spans = t.events.select("user_id", start.alias("start"), (start + F.round("value").cast("bigint") * 1_000_000).alias("end"))
-    return coverage.union_length(spans, ["user_id"], block=60_000_000)
+    return coverage.union_length(spans, ["user_id"])
 
 
 @query("""
@@ -350,7 +371,7 @@ def mapping_stats(t: Tables):
     start = F.unix_seconds(F.col("ts").cast("timestamp"))
     aln = t.events.select(F.col("user_id").alias("sample"), F.col("event_type").alias("genome"), start.alias("start"), (start + F.round("value").cast("bigint")).alias("end")).where("end > start")
     lengths = t.events.select(F.col("event_type").alias("genome")).distinct().withColumn("length", F.lit(10000))
-    return coverage.mapping_stats(coverage.interval_coverage(aln, lengths, 4096), 0.4, 0.42)
+    return coverage.mapping_stats(coverage.interval_coverage(aln, lengths), 0.4, 0.42)
 
 
 @query("SELECT l_suppkey, count(*) AS n_before, count(*) FILTER (l_tax * 100 <= 0.25 * l_quantity) AS n_after FROM lineitem GROUP BY 1")

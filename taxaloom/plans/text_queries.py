@@ -338,6 +338,18 @@ def identity_join(t: Tables):
     return candidates.add_allowlist(papers, allow, ["doi", "pmid"], "s_suppkey").select("s_suppkey", "s_nationkey")
 
 
+@query("""
+WITH a AS (SELECT o_orderkey, o_orderkey - row_number() OVER (ORDER BY o_orderkey) AS run FROM orders WHERE o_custkey % 200 > 0),
+placed AS (SELECT o_orderkey, row_number() OVER (PARTITION BY run ORDER BY o_orderkey) AS spot FROM a)
+SELECT o_orderkey FROM placed WHERE spot % 2 = 1
+""")
+def identity_chain(t: Tables):
+    """Rows that share an identifier with the next one, in chains of hundreds: every other one is added."""
+    allow = t.orders.where(F.col("o_custkey") % 200 > 0).select("o_orderkey", F.format_string("10.1/%d", "o_orderkey").alias("doi"), F.format_string("10.1/%d", F.col("o_orderkey") + 1).alias("pmid"))
+    papers = t.region.select(F.lit("10.1/none").alias("doi"), F.lit(None).cast("string").alias("pmid"))
+    return candidates.add_allowlist(papers, allow, ["doi", "pmid"], "o_orderkey").select("o_orderkey")
+
+
 @query("SELECT c_nationkey, string_agg(DISTINCT c_mktsegment, ';' ORDER BY c_mktsegment) AS c_mktsegment FROM customer GROUP BY 1")
 def distinct_joined(t: Tables):
     return candidates.archive_values(t.customer, "c_nationkey", ["c_mktsegment"])

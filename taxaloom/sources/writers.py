@@ -49,3 +49,8 @@ def replace_dir(df: DataFrame, path: str) -> None:
 def split_outputs(df: DataFrame, column: str, path: str, fmt: str = "parquet") -> None:
     """One folder per value of the column in one write."""
     df.write.mode("overwrite").option("header", True).partitionBy(column).format(fmt).save(path)
+
+
+def write_dense(lines: DataFrame, table: str, path: str) -> None:
+    """Lines of ``reshape.dense_lines``: a folder per table, whose files in the order of their names are its matrix."""
+    lines.select(table, "line").write.mode("overwrite").partitionBy(table).text(path)

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from taxaloom.functions import fixed_values as V
+from taxaloom.operators import components as graph
 from taxaloom.operators import candidates, cells, coverage, ledger, links, metadata, ordering, reads, reshape, stats, viral
 
 
@@ -132,6 +133,65 @@ def test_allowlist_keeps_greedy_file_order(spark):
     assert sorted(r.file_order for r in candidates.add_allowlist(papers, allow, ["doi", "pmid"], "file_order").collect()) == want == [2, 4, 7]
 
 
+def greedy(data):
+    used, want = set(), []
+    for i, *ids in sorted(data):
+        own = {x for x in ids if x}
+        if own and not own & used:
+            want.append(i)
+            used |= own
+    return want
+
+
+@pytest.mark.parametrize("limit", [candidates.COMPONENT_ROWS, 6])
+def test_allowlist_of_tangled_rows(spark, limit):
+    rng = random.Random(2)
+    data = [(i, f"a{rng.randint(0, 160)}", rng.choice([None, f"b{rng.randint(0, 90)}", f"a{rng.randint(0, 160)}"])) for i in rng.sample(range(1000), 250)]
+    allow = spark.createDataFrame(data, "file_order int, doi string, pmid string").repartition(5)
+    papers = spark.createDataFrame([("none", None)], "doi string, pmid string")
+    got = candidates.add_allowlist(papers, allow, ["doi", "pmid"], "file_order", limit)
+    assert sorted(r.file_order for r in got.collect()) == greedy(data)
+
+
+def test_a_long_chain_takes_few_rounds(spark):
+    n = 10_000
+    rng = random.Random(3)
+    names = rng.sample(range(10 * n), n)
+    links_ = spark.createDataFrame([(names[i], names[i + 1]) for i in range(n - 1)] + [(-1, -2), (-5, -5)], "a long, b long").repartition(4)
+    found, rounds = graph.components(links_, "a", "b")
+    roots = dict(found.collect())
+    assert rounds < 20 and len(roots) == n + 2 and {roots[x] for x in names} == {min(names)} and roots[-1] == roots[-2] == -2
+
+
+def test_one_long_interval_stays_one_row(spark, monkeypatch):
+    met = []
+    monkeypatch.setattr(coverage, "running", lambda df, *a, **k: met.append(df.count()) or ordering.running(df, *a, **k))
+    df = spark.createDataFrame([("s", "g", 0, 3_000_000_000), ("s", "g", 5, 9), ("s", "g", 2_999_999_999, 3_000_000_005)], "sample string, genome string, start long, end long")
+    assert coverage.union_length(df, ["sample", "genome"]).first().covered_length == 3_000_000_005 and met == [3]
+
+
+def test_dense_lines_of_any_width(spark):
+    rng = random.Random(8)
+    data = [(rng.choice("ab"), rng.choice([None, "r1", "r2", "r\t3"]), f"c{rng.randint(0, 60):02}", float(rng.randint(0, 3))) for _ in range(300)]
+    data += [("c", "only", f"w{i:05}", 1.0) for i in range(12_000)] + [("c", "other", "w00003", None), ("c", "other", "w11999", 2.0)]
+    df = spark.createDataFrame(data, "t string, r string, c string, v double").repartition(5)
+    got = {}
+    for x in reshape.dense_lines(df, "t", "r", "c", "v", missing="NA").orderBy("line_no").collect():
+        got.setdefault(x.t, []).append(x.line.split("\t"))
+    for table, lines in got.items():
+        cols = sorted({c for t, _, c, _ in data if t == table})
+        assert lines[0] == ["r", *cols]
+        values = defaultdict(list)
+        for t, r, c, v in data:
+            if t == table:
+                values[r, c].append(v)
+        want = []
+        for r in sorted({r for r, _ in values}, key=lambda x: (x is not None, x or "")):
+            cells_ = [values.get((r, c), []) for c in cols]
+            want.append([(r or "NA").replace("\t", " "), *[str(v[0]) if len(v) == 1 and v[0] is not None else "NA" for v in cells_]])
+        assert lines[1:] == want
+
+
 def test_merge_hits_first_nonblank(spark):
     df = spark.createDataFrame([(1, "k", "q2", " "), (2, "k", "q1", "t"), (3, "k", "q2", "u"), (4, "", "q1", "x")], "o int, key string, q string, title string")
     assert rows(candidates.merge_hits(df, "key", ["q"], ["title"], "o")) == [("k", ["q1", "q2"], "t")]
@@ -274,7 +334,7 @@ def test_triage_and_cell_filters(spark):
 
 def test_safe_pivot_never_sums_or_zeroes(spark):
     df = spark.createDataFrame([("s1", "a", 1.0), ("s1", "b", 2.0), ("s1", "b", 3.0), ("s2", "a", None), ("s2", "c", 0.0), ("s3", "c", 4.0), ("s3", "c", 4.0)], "s string, t string, v double")
-    wide, dup = reshape.safe_pivot(df, ["s"], "t", "v")
+    wide, dup = reshape.safe_pivot(df, ["s"], "t", "v", ["a", "b", "c"])
     assert rows(wide.select("s", "a", "b", "c").na.fill(-1)) == [("s1", 1.0, -1.0, -1.0), ("s2", -1.0, -1.0, 0.0), ("s3", -1.0, -1.0, -1.0)]
     assert rows(reshape.duplicate_text(dup, ["s", "t"])) == [("s1", "b", "2.0;3.0"), ("s3", "c", "4.0;4.0")]
     sizes = reshape.matrix_sizes(df.selectExpr("'t' table_id", "s sample_id", "t col_name")).first()
@@ -285,7 +345,7 @@ def test_long_wide_long_round_trip(spark):
     rng = random.Random(1)
     data = {(f"s{rng.randint(0, 9)}", f"t{rng.randint(0, 5)}"): float(rng.randint(0, 5)) for _ in range(40)}
     df = spark.createDataFrame([(*k, v) for k, v in data.items()], "s string, t string, v double")
-    wide, _ = reshape.safe_pivot(df, ["s"], "t", "v")
+    wide, _ = reshape.safe_pivot(df, ["s"], "t", "v", sorted({t for _, t in data}))
     back = cells.cells_of(wide.withColumn("r", F.substring("s", 2, 3)), "x", "r", [c for c in wide.columns if c != "s"]).where("value IS NOT NULL")
     assert {(f"s{r.row_idx}", r.col_name): float(r.value) for r in back.collect()} == data
 
@@ -304,8 +364,8 @@ def test_union_length_against_sets(spark):
     want = defaultdict(set)
     for s, g, a, b in data:
         want[s, g] |= set(range(a, b))
-    for block in (7, 64, 65536):
-        got = {(r.sample, r.genome): r.covered_length for r in coverage.union_length(df, ["sample", "genome"], block).collect()}
+    for ranges in (1, 7, 64):
+        got = {(r.sample, r.genome): r.covered_length for r in coverage.union_length(df, ["sample", "genome"], ranges).collect()}
         assert got == {k: len(v) for k, v in want.items()}
     lengths = spark.createDataFrame([("g", 20), ("h", 300)], "genome string, length long")
     cov = coverage.interval_coverage(df.where("sample = 'c'"), lengths).first()
