@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
@@ -41,6 +41,15 @@ def counter_table(df: DataFrame, key: str, value: str = "n", weight: str | None
     return with_share(df.groupBy(key).agg(measure.alias(value)), value)
 
 
+def counter_tables(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``counter_table`` of several columns in one pass over the rows: column, label, n, share."""
+    labels = F.coalesce(*[F.when(F.grouping(c) == 0, F.struct(F.lit(c).alias("column"), F.col(c).alias("label"))) for c in columns])
+    counted = df.groupingSets([[c] for c in columns], *columns).agg(F.count(F.lit(1)).alias("n"), labels.alias("_l"))
+    # every grouping set counts each row once; its sum is over as many rows as there are labels
+    total = F.sum("n").over(Window.partitionBy("_l.column"))
+    return counted.select("_l.column", "_l.label", "n", share(F.col("n"), total).alias("share"))
+
+
 def median_of(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Exact median per key from counted distinct values (no per-key list of all rows)."""
     lo, hi = F.floor((F.col("n") + 1) / 2), F.floor(F.col("n") / 2) + 1

@@ -172,12 +172,15 @@ def database_stats(papers: DataFrame, queues: DataFrame, rescued: DataFrame, sam
     long_domains = overview.select(F.inline(F.array(*[F.struct(F.lit(d).alias("domain"), F.col(c).alias("n")) for d, c in zip(V.DOMAIN_LABELS, domains)])))
     by_rank = lambda r: catalogue.where(F.col("true_rank") == r).drop("true_rank")
     n_rows = stats.whole(overview, total(F.when(F.col("n_feature_rows") > 0, F.col("n_feature_rows")).otherwise(F.col("n_features"))))
+    # the counters of a fact table are grouping sets of one aggregate
+    of_samples = ordering.stored(stats.counter_tables(samples, ["sample_type_class", "disease_class", "host_class"]))
+    of_papers = ordering.stored(stats.counter_tables(overview.withColumn("status", F.coalesce(nonblank(F.col("status")), F.lit("unknown"))), ["assay", "abundance_unit", "status"]))
+    counter = lambda df, c, n: df.where(F.col("column") == c).select(F.col("label").alias(c), F.col("n").alias(n), "share")
     return {
         "01_papers_included": overview, "02_summary_headline": headline, "03_feature_domain": stats.counter_table(long_domains, "domain", "n_features", "n"),
-        "05_sample_type": stats.counter_table(samples, "sample_type_class", "n_samples"), "06_disease_status": stats.counter_table(samples, "disease_class", "n_samples"),
-        "07_host": stats.counter_table(samples, "host_class", "n_samples"), "08_assay": stats.counter_table(overview, "assay", "n_papers"),
-        "09_abundance_unit": stats.counter_table(overview, "abundance_unit", "n_papers"),
-        "10_paper_status": stats.counter_table(overview.withColumn("status", F.coalesce(nonblank(F.col("status")), F.lit("unknown"))), "status", "n_papers"),
+        "05_sample_type": counter(of_samples, "sample_type_class", "n_samples"), "06_disease_status": counter(of_samples, "disease_class", "n_samples"),
+        "07_host": counter(of_samples, "host_class", "n_samples"), "08_assay": counter(of_papers, "assay", "n_papers"),
+        "09_abundance_unit": counter(of_papers, "abundance_unit", "n_papers"), "10_paper_status": counter(of_papers, "status", "n_papers"),
         "11_metadata_completeness": stats.completeness(overview, fields), "12_excluded_papers": excluded,
         "13_taxon_catalog_phylum": by_rank("phylum"), "14_taxon_catalog_genus": by_rank("genus"), "15_taxon_catalog_species": by_rank("species"),
         "16_matrix_row_rank": stats.row_rank_table(overview, features), "17_lineage_depth": stats.lineage_depth(lineage, columns, stats.whole(overview, F.count(F.lit(1))), n_rows),
