@@ -57,12 +57,19 @@ def residual(df: DataFrame, filed: Sequence[DataFrame], key: str, label: str = "
 
 
 def file_by(df: DataFrame, key: str, rules: dict[str, Column], label: str = "Not yet categorised") -> DataFrame:
-    """Distinct keys with the category whose rule holds, or the residual one, in one scan; two rules that hold for one row raise at run time."""
-    hits = F.filter(F.array(*[F.when(rule, F.lit(name)) for name, rule in rules.items()]), lambda x: x.isNotNull())
-    filed = df.select(key, hits.alias("_hits"))
-    clash = F.raise_error(F.concat(F.lit("sets overlap at "), F.col(key).cast("string"))).cast("string")
-    category = F.when(F.size("_hits") > 1, clash).otherwise(F.coalesce(F.try_element_at("_hits", F.lit(1)), F.lit(label)))
-    return filed.select(key, category.alias("category")).distinct()
+    """Distinct keys with the category whose rule holds for one of their rows, or the residual one; a key with two categories raises at run time.
+
+    One aggregate: the rules that hold are gathered per key, so rows of one key that fall in two sets are noticed wherever they lie.
+    """
+    held = df.groupBy(key).agg(*[F.bool_or(F.coalesce(rule, F.lit(False))).alias(f"_r{i}") for i, rule in enumerate(rules.values())])
+    return held.select(key, _only(F.col(key), {name: F.col(f"_r{i}") for i, name in enumerate(rules)}, label).alias("category"))
+
+
+def _only(key: Column, held: dict[str, Column], otherwise: str | None) -> Column:
+    """Name of the one condition that holds; two of them raise."""
+    names = F.array_compact(F.array(*[F.when(c, F.lit(name)) for name, c in held.items()]))
+    clash = F.raise_error(F.concat(F.lit("sets overlap at "), key.cast("string"), F.lit(": "), F.array_join(names, ", "))).cast("string")
+    return F.when(F.size(names) > 1, clash).otherwise(F.coalesce(F.try_element_at(names, F.lit(1)), F.lit(otherwise)))
 
 
 def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -72,21 +79,20 @@ def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def require_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Pass the rows through, raise when a key is blank or repeated."""
-    bad = repeated_keys(df, keys).limit(5).collect()
-    if bad:
-        raise ValueError(f"keys {list(keys)} blank or repeated, e.g. {[tuple(r)[:-1] for r in bad]}")
-    return df
+    """The rows; a blank or repeated key raises when they are read, so the check costs no job of its own."""
+    rest = [c for c in df.columns if c not in keys]
+    held = df.groupBy(*keys).agg(F.any_value(F.struct(F.lit(1).alias("_"), *rest)).alias("_row"), F.count(F.lit(1)).alias("_n"))
+    missing = F.greatest(*[F.col(k).isNull() | (F.trim(F.col(k).cast("string")) == "") for k in keys], F.lit(False))
+    shown = F.concat_ws(", ", *[F.coalesce(F.col(k).cast("string"), F.lit("null")) for k in keys])
+    checked = F.when((F.col("_n") > 1) | missing, F.raise_error(F.concat(F.lit("key blank or repeated: "), shown)).cast("boolean")).otherwise(F.lit(True))
+    return held.where(checked).select(*[c if c in keys else F.col("_row")[c].alias(c) for c in df.columns])
 
 
 def require_disjoint(frames: dict[str, DataFrame], key: str) -> DataFrame:
-    """Tagged union of the sets; raise when a key sits in two of them."""
-    tagged = [f.select(key).distinct().withColumn("category", F.lit(name)) for name, f in frames.items()]
-    union = reduce(lambda a, b: a.unionByName(b), tagged)
-    clash = union.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(5).collect()
-    if clash:
-        raise ValueError(f"sets overlap, e.g. {[r[0] for r in clash]}")
-    return union
+    """Keys of all sets with the set's name; a key that sits in two of them raises when the rows are read."""
+    tagged = reduce(lambda a, b: a.unionByName(b), [f.select(key).withColumn("category", F.lit(name)) for name, f in frames.items()])
+    held = tagged.groupBy(key).agg(*[F.bool_or(F.col("category") == name).alias(f"_s{i}") for i, name in enumerate(frames)])
+    return held.select(key, _only(F.col(key), {name: F.col(f"_s{i}") for i, name in enumerate(frames)}, None).alias("category"))
 
 
 def check_partition(parent: DataFrame, parts: Sequence[DataFrame], measures: Sequence[str]) -> DataFrame:

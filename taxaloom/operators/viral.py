@@ -9,6 +9,7 @@ from ..functions import fixed_values as V
 from ..functions.rules import any_of, case_when, matches, reasons
 from ..functions.taxa import disease_bucket
 from ..functions.text import lenient_double, nonblank
+from .ordering import running_total, stored
 from .reshape import is_nonzero
 from .stats import counter_table
 
@@ -74,6 +75,27 @@ def blocks(cells: DataFrame, keys: list[str], sample: str, feature: str, value:
     return out.withColumn("share_nonzero", F.try_divide(F.col("n_nonzero"), F.col("n_cells")))
 
 
+def block_places(members: DataFrame, block: str, member: str, name: str) -> DataFrame:
+    """Members of all blocks with their global places: the block's offset (sizes of the blocks before it) plus the place inside the block."""
+    inside = running_total(members.select(block, member).distinct(), [block], member, name="_local", whole="_size")
+    sizes = inside.select(block, "_size").distinct()
+    offsets = running_total(sizes, [], block, F.col("_size"), name="_offset").select(block, "_offset")
+    return inside.join(offsets, block).select(block, member, (F.col("_offset") + F.col("_local")).cast("bigint").alias(name))
+
+
+def block_diagonal(cells: DataFrame, block: str, sample: str, feature: str, value: str, samples: DataFrame | None = None,
+                   features: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(coordinates, rows, columns) of one matrix of all blocks: block, row, col, value of every nonzero cell, and what each row and column stands for.
+
+    Blocks share no row and no column, so the matrix is block-diagonal in the order of the blocks. ``samples`` and ``features`` (block, member) say
+    which rows and columns there are, also those without a nonzero cell; the members that occur in ``cells`` otherwise.
+    """
+    rows = stored(block_places(cells if samples is None else samples, block, sample, "row"))
+    columns = stored(block_places(cells if features is None else features, block, feature, "col"))
+    placed = cells.where(is_nonzero(F.col(value))).join(rows, [block, sample]).join(columns, [block, feature])
+    return placed.select(block, "row", "col", value), rows, columns
+
+
 def completeness_text(samples: DataFrame, key: str = "paper_folder", level: str = "metadata_completeness") -> DataFrame:
     """Histogram of completeness levels per paper as text, most common first (five possible levels)."""
     counted = samples.groupBy(key, level).agg(F.count(F.lit(1)).alias("n"))

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
@@ -43,24 +43,26 @@ def screened(papers: DataFrame) -> DataFrame:
 
 def link_table(papers: DataFrame, documents: DataFrame, denied: Sequence[str] = V.TOOL_REPOSITORIES) -> tuple[DataFrame, DataFrame]:
     """(papers with availability text, links). papers: paper_id, pmid, pmcid, doi, title, abstract; documents: paper_id, xml."""
-    docs = links.fulltext_sections(documents, "xml").join(papers.select("paper_id", "title", "abstract", "pmcid", "pmid", "doi"), "paper_id", "right")
-    docs = docs.withColumn("_text", F.concat_ws(" ", "title", "abstract", "full_text"))
-    accession = links.deny_repos(links.mine_accessions(docs, "paper_id", "_text"), "repository", "accession", denied)
-    accession = accession.select("paper_id", "repository", "accession", F.lit("").alias("raw_url"), F.lit("accession").alias("link_type"))
-    raw = docs.where(F.col("xml").isNotNull())
-    number = links.mine_accessions(raw.withColumn("_raw", links.unescape(F.col("xml"))), "paper_id", "_raw", [("bioproject", V.PROJECT_NUMBER)])
-    number = number.select("paper_id", "repository", "accession", F.lit("").alias("raw_url"), F.lit("accession").alias("link_type"))
-    supplement = papers.where(nonblank(F.col("pmcid")).isNotNull()).select(
-        "paper_id", F.lit("europepmc_supp").alias("repository"), F.col("pmcid").alias("accession"), F.lit("").alias("raw_url"), F.lit("accession").alias("link_type"))
-    urls = links.mine_urls(raw, "paper_id", "xml").select(
-        "paper_id", F.lit("url").alias("repository"), F.lit("").alias("accession"), F.col("url").alias("raw_url"), F.lit("data_url").alias("link_type"))
-    rows = accession.unionByName(number).unionByName(supplement).unionByName(urls).distinct()
-    source = F.when(F.col("xml").isNotNull(), "fulltext").otherwise("abstract")
-    found = rows.join(docs.select("paper_id", "pmid", "pmcid", "doi", source.alias("source")), "paper_id")
-    counts = rows.groupBy("paper_id").agg(F.count(F.lit(1)).alias("n_data_links"))
-    out = docs.join(counts, "paper_id", "left").select(
-        "paper_id", F.col("xml").isNotNull().alias("fulltext_available"), "availability_text", F.coalesce("n_data_links", F.lit(0)).alias("n_data_links"))
-    return out, found
+    text = links.fulltext_sections(documents, "xml")
+    docs = text.join(papers.select("paper_id", "title", "abstract", "pmcid", "pmid", "doi"), "paper_id", "right")
+
+    def link(repository: Column, accession: Column, url: Column, kind: str) -> Column:
+        return F.struct(repository.alias("repository"), accession.alias("accession"), url.alias("raw_url"), F.lit(kind).alias("link_type"))
+
+    blank_text = F.lit("")
+    of_accession = lambda a: link(a["repository"], a["accession"], blank_text, "accession")
+    named = F.filter(links.accession_links(F.concat_ws(" ", "title", "abstract", "full_text")), lambda a: ~links.is_denied(a["repository"], a["accession"], denied))
+    numbers = links.accession_links(links.unescape(F.col("xml")), [("bioproject", V.PROJECT_NUMBER)])
+    supplement = F.filter(F.array(F.col("pmcid")), lambda c: nonblank(c).isNotNull())
+    kinds = [F.transform(named, of_accession), F.transform(numbers, of_accession),
+             F.transform(supplement, lambda c: link(F.lit("europepmc_supp"), c, blank_text, "accession")),
+             F.transform(links.url_links(F.col("xml")), lambda u: link(F.lit("url"), blank_text, u, "data_url"))]
+    # one array of links a document: its mark-up is parsed and mined once, whatever reads the two results
+    every = F.array_distinct(F.flatten(F.filter(F.array(*kinds), lambda k: k.isNotNull())))
+    mined = ordering.stored(docs.select("paper_id", "pmid", "pmcid", "doi", "availability_text", F.col("xml").isNotNull().alias("fulltext_available"), every.alias("_links")))
+    out = mined.select("paper_id", "fulltext_available", "availability_text", F.size("_links").cast("bigint").alias("n_data_links"))
+    source = F.when(F.col("fulltext_available"), "fulltext").otherwise("abstract")
+    return out, mined.select("paper_id", F.inline("_links"), "pmid", "pmcid", "doi", source.alias("source"))
 
 
 def datasets(found: DataFrame, listings: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
@@ -211,7 +213,8 @@ def viral_dataset(papers: DataFrame, sample_rows: DataFrame, feature_rows: DataF
     observed = reshape.domain_blocks(matrix, features).join(kinds.select("paper_folder", F.col("main_matrix_unit").alias("abundance_unit")), "paper_folder")
     viral_cells = matrix.join(features.select("paper_folder", "feature_id").distinct(), ["paper_folder", "feature_id"], "left_semi")
     blocks = viral.blocks(viral_cells, ["paper_folder"], "sample_id", "feature_id", "value").join(viral.completeness_text(samples), "paper_folder", "left").join(kinds, "paper_folder", "left")
-    return {"features": features, "samples": samples, "abundance_long": observed, "blocks": blocks, **viral.viral_summaries(features, samples)}
+    coordinates, rows, columns = viral.block_diagonal(viral_cells, "paper_folder", "sample_id", "feature_id", "value")
+    return {"features": features, "samples": samples, "abundance_long": observed, "blocks": blocks, "matrix": coordinates, "matrix_rows": rows, "matrix_columns": columns, **viral.viral_summaries(features, samples)}
 
 
 def filtering_tree(overview: DataFrame, integrated: DataFrame, queues: Sequence[tuple[str, str, DataFrame]], status_files: dict[str, DataFrame]) -> DataFrame:
@@ -220,13 +223,12 @@ def filtering_tree(overview: DataFrame, integrated: DataFrame, queues: Sequence[
     overview and integrated: paper_folder (unique), integrated also n_samples, n_features; queues: (key, label, paper_folder rows) in order.
     """
     key = "paper_folder"
-    ledger.require_unique(overview, [key])
-    ledger.require_unique(integrated, [key])
+    overview, integrated = ledger.require_unique(overview, [key]), ledger.require_unique(integrated, [key])
     taken = ledger.require_disjoint({name: q for name, _, q in queues}, key) if queues else integrated.limit(0).select(key, F.lit("").alias("category"))
-    stray = taken.join(integrated, key, "left_anti").limit(5).collect()
-    if stray:
-        raise ValueError(f"a queue lists papers that are not integrated: {[r[0] for r in stray]}")
-    tagged = integrated.select(key, "n_samples", "n_features").join(taken, key, "left")
+    # a queue lists integrated papers only: a key of the right side alone raises when the tree is read
+    both = integrated.select(key, "n_samples", "n_features", F.lit(True).alias("_in")).join(taken, key, "full_outer")
+    stray = F.raise_error(F.concat(F.lit("a queue lists a paper that is not integrated: "), F.col(key).cast("string"))).cast("boolean")
+    tagged = both.where(F.when(F.col("_in").isNull(), stray).otherwise(F.lit(True)))
     tree = stats.filter_tree(tagged, [(k, label, F.col("category") == k) for k, label, _ in queues], ["n_samples", "n_features"])
     rename = lambda c: F.when(F.col(c) == "all", "integrated").otherwise(F.col(c))
     inside = tree.withColumns({"node_id": rename("node_id"), "parent_id": F.when(F.col("node_id") == "all", "all").otherwise(rename("parent_id"))})

@@ -102,6 +102,7 @@ def file_manifest(spark: SparkSession, path: Paths) -> DataFrame:
     """File, size, SHA-256 and whether the content is a web page put in place of the file.
 
     Files of any size: Spark lists them and deals them by size, a task streams the bytes of its files through their file system, and no row holds content.
+    Empty files have no row, because Spark lists none of them.
     """
     from ..functions.text import flag_challenge_page
 

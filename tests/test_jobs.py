@@ -34,6 +34,17 @@ def test_links_to_candidates(spark):
     assert {r.paper_id: (r.final_status, r.data_category) for r in status.collect()} == {"p1": ("abundance_ready", "processed"), "p2": ("no_data_link_found", "unknown")}
 
 
+def test_mark_up_is_parsed_once(spark, monkeypatch):
+    plans = []
+    keep = ordering.stored
+    monkeypatch.setattr(ordering, "stored", lambda df: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or keep(df))
+    papers = spark.createDataFrame([("p1", "1", "PMC1", "10.1/a", "t", "none")], "paper_id string, pmid string, pmcid string, doi string, title string, abstract string")
+    info, found = jobs.link_table(papers, spark.createDataFrame([("p1", "<a><p>SRR100001 https://zenodo.org/records/123</p></a>")], "paper_id string, xml string"))
+    assert [p.count("_read_sections") for p in plans] == [plans[0].count("_read_sections")] and plans[0].count("ArrowEvalPython") == 1
+    for df in (info, found):
+        assert "ArrowEvalPython" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_verify_and_extract_tables(spark):
     def table(tid, header, body):
         return [(tid, i, j, h, row[j]) for i, row in enumerate(body) for j, h in enumerate(header)]
@@ -120,8 +131,10 @@ def test_filtering_tree(spark, base):
     tree = {r.node_id: (r.parent_id, r.papers, r.n_samples) for r in jobs.filtering_tree(overview, integrated, queues, {"No data": key("X")}).collect()}
     assert tree["all"] == ("", 5, None) and tree["integrated"] == ("all", 3, 10) and tree["after_manual"] == ("integrated", 2, 5) and tree["drop_sample"] == ("after_manual", 1, 2)
     assert tree["not_integrated"][1] == 2 and tree["status_not_yet_categorised"] == ("not_integrated", 1, None) and tree["status_no_data"][1] == 1
-    with pytest.raises(ValueError, match="overlap"):
-        jobs.filtering_tree(overview, integrated, [("a", "A", key("P3")), ("b", "B", key("P3"))], {})
+    with pytest.raises(Exception, match="overlap"):
+        jobs.filtering_tree(overview, integrated, [("a", "A", key("P3")), ("b", "B", key("P3"))], {}).collect()
+    with pytest.raises(Exception, match="not integrated: X"):
+        jobs.filtering_tree(overview, integrated, [("a", "A", key("X"))], {}).collect()
 
 
 def test_mapping_plan_and_registry(spark):

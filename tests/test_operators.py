@@ -468,20 +468,47 @@ def test_ledger_sets(spark):
     a, b = spark.createDataFrame([(1,), (2,), (2,), (3,)], "k int"), spark.createDataFrame([(3,), (4,)], "k int")
     assert rows(ledger.compare_sets(a, b, "k")) == [(1, "only_left"), (2, "only_left"), (3, "both"), (4, "only_right")]
     assert rows(ledger.append_new(a, b, ["k"])) == [(1,), (2,), (2,)]
-    with pytest.raises(ValueError, match="overlap"):
-        ledger.require_disjoint({"a": a, "b": b}, "k")
+    with pytest.raises(Exception, match="overlap"):
+        ledger.require_disjoint({"a": a, "b": b}, "k").collect()
+    assert rows(ledger.require_disjoint({"a": a, "b": b.where("k > 3")}, "k")) == [(1, "a"), (2, "a"), (3, "a"), (4, "b")]
     filed = ledger.file_by(a, "k", {"low": F.col("k") < 2, "high": F.col("k") > 3})
     assert all(r.category == ("low" if r.k < 2 else "high" if r.k > 3 else "Not yet categorised") for r in filed.collect())
     with pytest.raises(Exception, match="overlap"):
         ledger.file_by(a, "k", {"x": F.lit(True), "y": F.lit(True)}).collect()
-    with pytest.raises(ValueError, match="repeated"):
-        ledger.require_unique(a, ["k"])
+    two_rows = spark.createDataFrame([("k", 1), ("k", 9), ("m", 1)], "key string, n int").repartition(3)
+    with pytest.raises(Exception, match="overlap at k: low, high"):
+        ledger.file_by(two_rows, "key", {"low": F.col("n") < 5, "high": F.col("n") > 5}).collect()
+    for wrong in (a, spark.createDataFrame([(" ",)], "k string"), spark.createDataFrame([(None,)], "k string")):
+        with pytest.raises(Exception, match="blank or repeated"):
+            ledger.require_unique(wrong, ["k"]).count()
+    assert ledger.require_unique(two_rows, ["key", "n"]).columns == ["key", "n"] and rows(ledger.require_unique(two_rows, ["key", "n"])) == rows(two_rows)
     assert ledger.check_partition(a, [a.where("k < 3"), a.where("k >= 3")], ["k"]).first().balances
     with pytest.raises(Exception, match="add up"):
         ledger.check_partition(a, [a.where("k < 2")], ["k"]).collect()
     assert rows(ledger.without(a.distinct(), [b], spark.createDataFrame([(3,)], "k int"), ["k"])) == [(1,), (2,), (3,)]
 
 
+def test_block_diagonal_places(spark):
+    rng = random.Random(4)
+    data = [(p, f"s{rng.randint(0, 6)}", f"f{rng.randint(0, 4)}", rng.choice(["0", "", "3", "<LOD", None])) for p in ("P1", "P10", "P2") for _ in range(20)]
+    cells_ = spark.createDataFrame(data, "p string, s string, f string, v string").repartition(4)
+    listed = spark.createDataFrame([(p, f"s{i}") for p in ("P0", "P1", "P10", "P2") for i in range(7)], "p string, s string")
+    got, rows_, columns = viral.block_diagonal(cells_, "p", "s", "f", "v", samples=listed)
+    row = {(r.p, r.s): r.row for r in rows_.collect()}
+    assert row == {x: i for i, x in enumerate(sorted((p, f"s{i}") for p in ("P0", "P1", "P10", "P2") for i in range(7)))}
+    col = {(r.p, r.f): r.col for r in columns.collect()}
+    assert col == {x: i for i, x in enumerate(sorted({(p, f) for p, _, f, _ in data}))}
+    assert rows(got) == sorted((p, row[p, s], col[p, f], v) for p, s, f, v in data if v not in ("0", "", None))
+
+
+def test_counters_of_several_columns_read_the_rows_once(spark):
+    df = spark.createDataFrame([("a", "x"), ("a", None), ("b", "x"), (None, "y")], "k string, v string")
+    got = stats.counter_tables(df, ["k", "v"])
+    assert {(r.column, r.label): (r.n, r.share) for r in got.collect()} == {
+        ("k", "a"): (2, 0.5), ("k", "b"): (1, 0.25), ("k", None): (1, 0.25), ("v", "x"): (2, 0.5), ("v", "y"): (1, 0.25), ("v", None): (1, 0.25)}
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1
+
+
 def test_filter_tree_balances(spark):
     df = spark.createDataFrame([(1, "m", 5), (2, None, 7), (3, "s", 1), (4, "m", 2)], "id int, q string, n long")
     tree = {r.node_id: (r.n_rows, r.n) for r in stats.filter_tree(df.withColumn("n_rows", F.lit(1)), [("m", "M", F.col("q") == "m"), ("s", "S", F.col("q") == "s")], ["n_rows"]).collect()}

@@ -118,10 +118,13 @@ def test_sinks(spark, tmp_path):
     target = str(tmp_path / "log")
     assert writers.append_rows(df, target, ["k"]) == 2
     more = spark.createDataFrame([("b", 9), ("c", 3), ("c", 4)], "k string, n int")
-    assert writers.append_rows(more, target, ["k"]) == 2 and spark.read.parquet(target).count() == 4
+    assert writers.append_rows(more, target, ["k"]) == 2 and writers.read_table(spark, target).count() == 4
+    assert writers.append_rows(more, target, ["k"]) == 0 and writers.read_table(spark, target).count() == 4
     for n in (1, 2):
-        writers.replace_dir(df.where(F.col("n") <= n), str(tmp_path / "swap"))
-        assert spark.read.parquet(str(tmp_path / "swap")).count() == n
+        assert writers.replace_table(df.where(F.col("n") <= n), str(tmp_path / "swap")) == n
+        assert writers.read_table(spark, str(tmp_path / "swap")).count() == n
+    with pytest.raises(FileNotFoundError):
+        writers.read_table(spark, str(tmp_path / "nothing"))
     writers.split_outputs(df, "k", str(tmp_path / "parts"))
     assert sorted(p.name for p in (tmp_path / "parts").glob("k=*")) == ["k=a", "k=b"]
 
@@ -230,10 +233,46 @@ def test_digests_of_large_files_are_streamed(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(readers, "_CHUNK", 1000)
     data = bytes(range(256)) * 400
     put(tmp_path, "big file.bin", data)
-    put(tmp_path, "empty.bin", b"")
+    put(tmp_path, "one.bin", b"x")
     df = readers.file_manifest(spark, str(tmp_path))
     got = {r.file_name: (r.size_bytes, r.sha256) for r in df.collect()}
-    assert got == {"big file.bin": (len(data), hashlib.sha256(data).hexdigest()), "empty.bin": (0, hashlib.sha256(b"").hexdigest())}
+    assert got == {"big file.bin": (len(data), hashlib.sha256(data).hexdigest()), "one.bin": (1, hashlib.sha256(b"x").hexdigest())}
     assert "content" not in df._jdf.queryExecution().executedPlan().toString()
     batch = pa.record_batch({"path": [(tmp_path / "big file.bin").as_uri()], "length": [len(data)]})
     assert next(readers._digests(iter([batch]))).column("head")[0].as_py() == data[:512]
+
+
+@pytest.mark.parametrize("step", ["write", "rename", "create", "delete"])
+@pytest.mark.parametrize("keep", [True, False])
+def test_a_crash_between_any_two_steps_leaves_a_readable_table(spark, tmp_path, monkeypatch, step, keep):
+    path = str(tmp_path / "t")
+    old, new = spark.range(3), spark.range(3, 8)
+    writers.replace_table(old, path)
+
+    def crash(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch:
+        if step == "create":  # the write of the rows themselves is lost
+            bad = new.select(F.when(F.col("id") == 7, F.raise_error(F.lit("lost"))).otherwise(F.col("id")).alias("id"))
+        else:
+            bad = new
+            patch.setattr(writers._Files, step, crash)
+        with pytest.raises(Exception, match="lost"):
+            writers._commit(bad, path, keep)
+            writers.recover(spark, path)
+    now = sorted(r.id for r in writers.read_table(spark, path).collect())
+    assert now == ([0, 1, 2] if step != "delete" else list(range(8)) if keep else [3, 4, 5, 6, 7])
+    writers.recover(spark, path)
+    assert sorted(r.id for r in writers.read_table(spark, path).collect()) == now
+    assert len(list((tmp_path / "t").glob("data-*"))) == len(list((tmp_path / "t" / "_pointers").glob("[0-9]*"))) + (step == "delete" and keep)
+
+
+def test_a_second_writer_does_not_replace_a_pointer(spark, tmp_path):
+    path = str(tmp_path / "t")
+    writers.replace_table(spark.range(1), path)
+    files = writers._Files(spark, path)
+    files.write(f"{path}/_pointers/draft-x", "data-x")
+    with pytest.raises(OSError, match="another writer"):
+        files.rename(f"{path}/_pointers/draft-x", f"{path}/_pointers/{1:012d}")
+    assert writers.read_table(spark, path).count() == 1
