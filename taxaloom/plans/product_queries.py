@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
-from ..operators import viral
-from ..operators.ordering import scratch
+from ..functions import text
+from ..operators import links, viral
+from ..operators.ordering import scratch, stored
 from ..sources import writers
 from . import jobs
-from .catalog import Tables, query
+from .catalog import Tables, pick, query
 
 
 @query("""
@@ -126,3 +127,131 @@ def filtering_tree(t: Tables):
     integrated = t.customer.where(_IN).select(key, (F.col("c_custkey") % 50).alias("n_samples"), F.col("c_nationkey").cast("bigint").alias("n_features"))
     queues = [("manual", "Manual review", keys(_IN, _MANUAL)), ("sample", "Missing samples", keys(_IN, _SAMPLE))]
     return jobs.filtering_tree(t.customer.select(key), integrated, queues, {name: keys(f"NOT ({_IN})", c) for name, c in _FILED.items()})
+
+
+# ---------------------------------------------------------------------------
+# registry of runs
+# ---------------------------------------------------------------------------
+_STEP = "CASE event_type WHEN 'purchase' THEN '3' WHEN 'error' THEN '2' ELSE '1' END"
+_STATUS = pick("event_id", ["done", "failed", "running", "done_partial", "no_space", "preflight_ok", "done"])
+_PLAN = {"paper": "user_id", "branch": pick("user_id", ["amplicon_16s", "rna", "viral_mapping", "dna_shotgun_bacteria", "amplicon_other"]), "status": pick("user_id", ["done", "unsupported", "blocked"])}
+_RISK = {"paper": "user_id", "gate": pick("user_id", ["pass_quantification_only", "pass", "pass", "pass"]), "grouped_supported": "user_id % 5 <> 0",
+         "chimera_retention": "CAST(user_id % 10 AS DOUBLE) / 10", "n_deferred": "CASE WHEN user_id % 6 = 0 THEN 2 ELSE 0 END"}
+
+
+def _select(cells: dict[str, str]) -> str:
+    return ", ".join(f"{e} AS {c}" for c, e in cells.items())
+
+
+def _registry_sql() -> str:
+    names = lambda values: ", ".join(map(_quoted, values))
+    risks = ["starts_with(gate, 'pass_quantification_only') OR NOT grouped_supported", f"chimera_retention < {V.MIN_CHIMERA_RETENTION}", "n_deferred > 0"]
+    found = ", ".join(f"CASE WHEN {c} THEN {_quoted(r)} END" for c, r in zip(risks, V.RISK_ORDER))
+    methods = " ".join(f"WHEN '{b}' THEN '{m}'" for b, m in V.BRANCH_METHODS.items())
+    return f"""
+WITH users AS (SELECT DISTINCT user_id FROM events), plans AS (SELECT {_select(_PLAN)} FROM users), papers AS (SELECT {_select(_RISK)} FROM users),
+now AS (SELECT user_id AS paper, {_STEP} AS step, arg_max({_STATUS}, (ts, event_id)) AS status FROM events GROUP BY ALL),
+final AS (
+  SELECT paper, max(status) FILTER (step = '3') AS status, coalesce(bool_or(step = '3' AND status IN ({names(V.FINISHED_STATUSES)})), false) AS completed, bool_or(status IN ({names(V.FAILED_STATUSES)})) AS failed
+  FROM now GROUP BY 1),
+level1 AS (
+  SELECT paper, final.status, CASE WHEN completed THEN 'completed' WHEN plans.status = 'unsupported' THEN 'method_missing' WHEN failed THEN 'failed' ELSE 'in_progress' END AS level1
+  FROM final JOIN plans USING (paper)),
+risks AS (
+  SELECT paper, coalesce({found}, 'none') AS first, concat_ws(';', {found}) AS every FROM level1 JOIN papers USING (paper) WHERE level1 = 'completed'),
+methods AS (SELECT paper, CASE branch {methods} END AS method FROM plans JOIN level1 USING (paper) WHERE level1 = 'completed' AND plans.status = 'done')
+SELECT 'level1' AS kind, paper, level1 AS label, '' AS more FROM level1
+UNION ALL SELECT 'risk', paper, first, CASE WHEN every = '' THEN 'none' ELSE every END FROM risks
+UNION ALL SELECT 'method', paper, method, '' FROM methods WHERE method IS NOT NULL
+UNION ALL SELECT 'counts', NULL, (SELECT count(*) FROM level1)::varchar, (SELECT count(*) FROM risks)::varchar
+"""
+
+
+@query(_registry_sql())
+def run_registry(t: Tables):
+    """Class, risks and methods of every paper of a ledger, and the totals they add up to."""
+    book = t.events.select(F.col("user_id").alias("paper"), F.expr(_STEP).alias("step"), F.expr(_STATUS).alias("status"), F.col("ts").alias("updated_utc"), F.col("event_id").alias("ordinal"))
+    users = t.events.select("user_id").distinct()
+    out = jobs.registry(book, users.select(*[F.expr(e).alias(c) for c, e in _PLAN.items()]), users.select(*[F.expr(e).alias(c) for c, e in _RISK.items()]))
+    row = lambda df, kind, paper, label, more: df.select(F.lit(kind).alias("kind"), paper.alias("paper"), label.alias("label"), more.alias("more"))
+    nothing = F.lit("")
+    stacked = row(out["level1"], "level1", F.col("paper"), F.col("level1"), nothing).unionByName(row(out["risks"], "risk", F.col("paper"), F.col("primary"), F.col("all_labels")))
+    stacked = stacked.unionByName(row(out["methods"], "method", F.col("paper"), F.col("method"), nothing))
+    balanced = out["counts"].where("level1_balances AND risk_balances")
+    return stacked.unionByName(row(balanced, "counts", F.lit(None).cast("bigint"), F.col("level1_total").cast("string"), F.col("n_completed").cast("string")))
+
+
+# ---------------------------------------------------------------------------
+# reads to tables
+# ---------------------------------------------------------------------------
+_ASV = {"paper": "concat('P', l_suppkey % 5)", "sample": "concat('S', l_orderkey % 30)", "sequence": "repeat(substr('ACGT', CAST(l_partkey % 4 AS INT) + 1, 1), CAST(180 + l_partkey % 100 AS INT))"}
+_INSERTS = [(f"P{i}", 230 + 5 * i) for i in range(4)]
+
+
+@query(f"""
+WITH c AS (SELECT {_select(_ASV)}, sum(l_quantity)::bigint AS n FROM lineitem GROUP BY ALL),
+w AS (SELECT * FROM (VALUES {', '.join(map(str, _INSERTS))}) v(paper, p99)),
+k AS (SELECT c.* FROM c LEFT JOIN w USING (paper) WHERE length(sequence) BETWEEN coalesce(p99 - 60, 0) AND coalesce(p99 + 20, 1000000)),
+ids AS (SELECT paper, sequence, printf('ASV%04d', row_number() OVER (PARTITION BY paper ORDER BY total DESC, sequence)) AS asv FROM (SELECT paper, sequence, sum(n) AS total FROM k GROUP BY ALL))
+SELECT paper, sample, asv, length(sequence)::int AS n_bases, n, round(n / sum(n) OVER (PARTITION BY paper, sample), 6) AS relative_abundance FROM k JOIN ids USING (paper, sequence)
+""")
+def asv_shares(t: Tables):
+    """Sequences within each paper's length window, named by rank, with their share of the sample."""
+    cells = t.lineitem.select(*[F.expr(e).alias(c) for c, e in _ASV.items()], "l_quantity").groupBy(*_ASV).agg(F.sum("l_quantity").cast("bigint").alias("n"))
+    cells = stored(cells)
+    steps = cells.groupBy("paper", "sample").agg(F.sum("n").alias("n")).select("paper", "sample", F.lit("raw").alias("step"), "n")
+    inserts = t.region.limit(1).select(F.inline(F.array(*[F.struct(F.lit(p).alias("paper"), F.lit(n).alias("insert_p99")) for p, n in _INSERTS])))
+    out = jobs.asv_tables(cells, steps, cells.select("paper", "sample"), inserts)
+    share = out["relative_abundance"]
+    return share.select("paper", "sample", "asv", F.length("sequence").alias("n_bases"), "n", F.round("relative_abundance", 6).alias("relative_abundance"))
+
+
+_ALN = {"sample": "user_id % 40", "genome": "event_type", "a": "(event_id * 37) % 20000", "len": "CAST(round(value) AS BIGINT) + 1", "nm": "event_id % 29"}
+_LENGTH, _BREADTH, _DEPTH = 20000, 0.05, 0.06
+
+
+@query(f"""
+WITH r AS (SELECT {_select(_ALN)} FROM events), k AS (SELECT sample, genome, a AS s, a + len AS e FROM r WHERE nm <= (1::double - 0.9::double) * len),
+o AS (SELECT *, max(e) OVER (PARTITION BY sample, genome ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS m FROM k),
+c AS (SELECT sample, genome, count(*) AS reads, sum(greatest(e - greatest(s, coalesce(m, s)), 0))::bigint AS covered_bases, sum(e - s) / {_LENGTH}.0 AS mean_depth FROM o GROUP BY ALL),
+d AS (SELECT *, covered_bases / {_LENGTH}.0 AS breadth FROM c), hits AS (SELECT *, mean_depth / sum(mean_depth) OVER (PARTITION BY sample) AS share FROM d WHERE breadth >= {_BREADTH} AND mean_depth >= {_DEPTH})
+SELECT sample, genome, reads, covered_bases, round(breadth, 6) AS breadth, round(mean_depth, 6) AS mean_depth, round(share, 6) AS relative_abundance,
+       count(*) OVER (PARTITION BY genome) AS n_samples_detected FROM hits
+""")
+def detected_genomes(t: Tables):
+    """Genomes covered well enough by alignments of sufficient identity, and their share of a sample."""
+    aln = t.events.select(*[F.expr(e).alias(c) for c, e in _ALN.items()])
+    aln = aln.select("sample", "genome", F.col("a").alias("start"), (F.col("a") + F.col("len")).alias("end"), "nm", F.col("len").alias("read_len"))
+    lengths = t.events.select(F.col("event_type").alias("genome")).distinct().withColumn("length", F.lit(_LENGTH))
+    out = jobs.coverage_matrices(aln, lengths, aln.select("sample"), 0.9, _BREADTH, _DEPTH)
+    found = out["relative_abundance"].join(out["features"].select("genome", "n_samples_detected"), "genome")
+    rounded = [F.round(c, 6).alias(c) for c in ("breadth", "mean_depth", "relative_abundance")]
+    return found.select("sample", "genome", "reads", "covered_bases", *rounded, "n_samples_detected")
+
+
+# ---------------------------------------------------------------------------
+# small functions
+# ---------------------------------------------------------------------------
+_NAME = "concat('Müller-', c_name, CASE WHEN c_custkey % 2 = 0 THEN ' AB' ELSE '' END, CASE WHEN c_custkey % 3 = 0 THEN ', Other C' ELSE '' END)"
+_CITED = "concat('at 10.5281/zenodo.', c_custkey, '; and https://doi.org/10.5061/dryad.x', c_custkey, ' or (10.6084/m9.figshare.', c_custkey, ').')"
+
+
+@query(rf"""
+WITH u AS (SELECT c_custkey, list_distinct([c_mktsegment, c_name, 'BUILDING', 'z']) AS l FROM customer),
+d AS (SELECT c_custkey, unnest(regexp_extract_all({_CITED}, '(^|[^/\w.])(10\.(?:6084|5281|5061)/[^\s<>"''\[\];,]+)', 2)) AS doi FROM customer)
+SELECT c.c_custkey, array_to_string(list_sort(l), ';') AS united, '10.1/' || CASE WHEN c.c_custkey % 2 = 0 THEN lower(c_name) ELSE 'x' || c.c_custkey END AS paper_key,
+       regexp_replace(regexp_replace(strip_accents(trim(split_part({_NAME.replace('c_custkey', 'c.c_custkey')}, ',', 1))), '(^|\s)[A-Z]{{1,3}}$', ''), '[^A-Za-z]', '', 'g') AS surname,
+       printf('%.1f%%', c.c_custkey % 7 * 100 / 7.0) AS share, CASE WHEN c.c_custkey % 4 = 0 THEN c_mktsegment ELSE c_name END AS first_filled,
+       (SELECT string_agg('https://doi.org/' || regexp_replace(doi, '[.,;:)]+$', ''), ' ' ORDER BY doi) FROM d WHERE d.c_custkey = c.c_custkey) AS dois
+FROM customer c JOIN u USING (c_custkey)
+""")
+def small_functions(t: Tables):
+    """Joined lists, keys of papers, surnames, shares as text, first filled columns and cited DOIs."""
+    even = F.col("c_custkey") % 2 == 0
+    headers = F.create_map(F.lit(" Name "), F.when(F.col("c_custkey") % 4 == 0, " ").otherwise(F.col("c_name")), F.lit("segment"), F.col("c_mktsegment"))
+    return t.customer.select(
+        "c_custkey", text.union_values(F.concat_ws("; ", "c_mktsegment", "c_name"), F.concat_ws(";", F.lit("BUILDING"), "c_name", F.lit("z"), F.lit(""))).alias("united"),
+        text.paper_key(F.when(even, F.concat(F.lit(" https://DOI.org/10.1/"), "c_name")), F.concat(F.lit("10.1/X"), "c_custkey")).alias("paper_key"),
+        text.ascii_surname(F.expr(_NAME)).alias("surname"), text.share_text(F.col("c_custkey") % 7, F.lit(7)).alias("share"),
+        text.first_nonblank(text.lower_keys(headers), ["none", "name", "segment"]).alias("first_filled"),
+        F.array_join(F.array_sort(links.doi_links(F.expr(_CITED))), " ").alias("dois"))

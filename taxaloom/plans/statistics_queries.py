@@ -10,13 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
 from . import jobs
-from .catalog import Tables, query
-
-
-def pick(k: str, values: Sequence[str | None]) -> str:
-    """One of the values by a whole number; the same text in both engines."""
-    texts = ["CAST(NULL AS STRING)" if v is None else f"'{v}'" for v in values]
-    return f"CASE CAST(({k}) % {len(values)} AS INT) " + " ".join(f"WHEN {i} THEN {t}" for i, t in enumerate(texts)) + " END"
+from .catalog import Tables, pick, query
 
 
 # Suppliers stand for papers, line items for their samples, parts for their features.
