@@ -15,6 +15,7 @@ from ..functions import fixed_values as V
 from ..functions.rules import blank, case_when, matches
 from ..functions.taxa import looks_taxonomic
 from ..functions.text import lenient_double, nonblank, trim_ws
+from .ordering import stored
 
 COL = ["table_id", "col_idx"]
 
@@ -58,6 +59,15 @@ def column_stats(cells: DataFrame) -> DataFrame:
         F.coalesce((share(matches(F.col("value"), V.READ_FILE_NAME, True)) > 0.5) | (share(matches(F.col("value"), V.TWO_SLASHES)) > 0.5), F.lit(False)).alias("pathlike"))
 
 
+def column_facts(cells: DataFrame) -> DataFrame:
+    """``column_stats`` beside the sizes of each column's table, written once: every judgement about tables reads these few rows, not the cells."""
+    return stored(column_stats(cells).join(table_sizes(cells), "table_id"))
+
+
+def sizes_of(facts: DataFrame) -> DataFrame:
+    return facts.select("table_id", "n_rows", "n_filled_rows", "n_cols").distinct()
+
+
 def drop_empty(cells: DataFrame) -> DataFrame:
     """Remove columns, then rows, without any filled cell."""
     filled = cells.where(F.col("value").isNotNull())
@@ -84,13 +94,14 @@ def taxa_fraction(cells: DataFrame) -> DataFrame:
     return column_stats(cells).where("taxa_fraction IS NOT NULL").select(*COL, "taxa_fraction")
 
 
-def sniff(cells: DataFrame, known_ids: DataFrame | None = None, axis_aware: bool = True) -> DataFrame:
-    """Verdict per table: is it an abundance table, which layout, which label column, which value type.
+def sniff(cells: DataFrame, known_ids: DataFrame | None = None, axis_aware: bool = True, facts: DataFrame | None = None) -> DataFrame:
+    """Verdict per table: is it an abundance table, which layout, which label column, which value type. ``facts`` are the cells' ``column_facts``.
 
     ``known_ids`` (table_id, taxon_id): ids a sibling lookup gives a lineage to; they rescue tables of bare ids.
     """
-    sizes = table_sizes(cells)
-    stats = column_stats(cells).where("n_filled > 0").join(sizes, "table_id")
+    facts = column_facts(cells) if facts is None else facts
+    sizes = sizes_of(facts)
+    stats = facts.where("n_filled > 0")
     stats = stats.withColumn("numeric", F.col("n_numeric") / F.col("n_filled_rows") > 0.80)
 
     low = F.lower(trim_ws(F.col("col_name")))
@@ -107,7 +118,7 @@ def sniff(cells: DataFrame, known_ids: DataFrame | None = None, axis_aware: bool
         ids = known_ids.select("table_id", F.col("taxon_id").alias("_id")).distinct().withColumn("_known", F.lit(True))
         text = cells.where(~blank(F.col("value"))).join(labels.select(*COL), COL, "left_semi").groupBy(*COL, trim_ws(F.col("value")).alias("_id")).agg(F.count(F.lit(1)).alias("_n"))
         known = text.join(ids, ["table_id", "_id"], "left").groupBy(*COL).agg((F.sum(F.when(F.col("_known"), F.col("_n")).otherwise(0)) / F.sum("_n")).alias("_idf"))
-        scored = labels.join(known, COL)
+        scored = stored(labels.join(known, COL))
         names = stats.select("table_id", trim_ws(F.col("col_name")).alias("_id")).join(ids, ["table_id", "_id"], "left")
         header = header.join(names.groupBy("table_id").agg(F.avg(F.coalesce("_known", F.lit(False)).cast("int")).alias("_id_col_best")), "table_id", "left")
     usable = scored.where(~F.col("_path"))
@@ -174,16 +185,14 @@ def value_type(cells: DataFrame, numeric: DataFrame, verdicts: DataFrame | None
          (F.col("_whole") & (F.col("_hi") > 10), F.lit("count"))], F.lit("unknown")).alias("value_type"))
 
 
-def lookup_tables(cells: DataFrame) -> DataFrame:
-    """Tables that map ids to lineages: one joined lineage column, or two and more columns of prefixed ranks.
+def lookup_tables(cells: DataFrame, facts: DataFrame | None = None) -> DataFrame:
+    """Tables that map ids to lineages: one joined lineage column, or two and more columns of prefixed ranks. ``facts`` are the cells' ``column_facts``.
 
     Result: table_id, mode, lineage_cols array<int>.
     """
-    sizes = table_sizes(cells)
-    other = cells.where("col_idx > 0")
-    numeric = column_stats(other).join(sizes, "table_id").groupBy("table_id").agg(
-        F.avg(F.col("n_numeric") / F.col("n_rows")).alias("_numeric"))
-    per_col = column_stats(other).where("taxa_fraction IS NOT NULL")
+    other = (column_facts(cells) if facts is None else facts).where("col_idx > 0")
+    numeric = other.groupBy("table_id").agg(F.avg(F.col("n_numeric") / F.col("n_rows")).alias("_numeric"))
+    per_col = other.where("taxa_fraction IS NOT NULL")
     single = F.when((F.col("list_fraction") > 0.3) & (F.col("taxa_fraction") > 0.5), F.col("col_idx"))
     # column lists are bounded by the header of one file
     judged = per_col.groupBy("table_id").agg(

@@ -6,14 +6,14 @@ import re
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
 from ..functions.rules import matches
 from ..functions.taxa import sample_flags, split_taxonomy, table_domain
 from ..functions.text import lenient_double, nonblank, safe_name, trim_ws
-from .cells import COL, column_stats, table_sizes
+from .cells import COL, column_facts
 from .ordering import running_total, stored
 
 
@@ -25,9 +25,9 @@ def undedupe_names(names: DataFrame, keys: Sequence[str], column: str, name: str
     return out.withColumn(name, F.when(F.coalesce("_known", F.lit(False)), F.col("_base")).otherwise(F.col(column))).select(*names.columns, name)
 
 
-def column_roles(cells: DataFrame, verdicts: DataFrame) -> DataFrame:
-    """Role of every column of an accepted table: sample, taxon or value, with its restored name."""
-    stats = column_stats(cells).join(table_sizes(cells).select("table_id", "n_rows"), "table_id")
+def column_roles(cells: DataFrame, verdicts: DataFrame, facts: DataFrame | None = None) -> DataFrame:
+    """Role of every column of an accepted table: sample, taxon or value, with its restored name. ``facts`` are the cells' ``column_facts``."""
+    stats = (column_facts(cells) if facts is None else facts).select(*COL, "col_name", "n_numeric", "n_rows")
     stats = stats.withColumn("_mostly", F.col("n_numeric") / F.col("n_rows") > 0.5)
     cols = undedupe_names(stats, ["table_id"], "col_name").join(
         verdicts.where("is_abundance").select("table_id", "kind", "axis", "label_idx"), "table_id")
@@ -48,17 +48,17 @@ def column_roles(cells: DataFrame, verdicts: DataFrame) -> DataFrame:
     return cols.withColumns({"role": role, "name": name}).where("role IS NOT NULL").select("table_id", "col_idx", "role", "name", "kind", "axis")
 
 
-def to_long(cells: DataFrame, verdicts: DataFrame, meta: DataFrame | None = None) -> DataFrame:
+def to_long(cells: DataFrame, verdicts: DataFrame, meta: DataFrame | None = None, facts: DataFrame | None = None) -> DataFrame:
     """Long abundance rows of every accepted table. Missing cells stay rows with ``is_missing``; nothing becomes zero.
 
-    ``meta`` (table_id, paper_id, dataset_id, source_file) is joined when given.
+    ``meta`` (table_id, paper_id, dataset_id, source_file) is joined when given. The labels of a row are carried to its values in one exchange of cells;
+    a row without any label cell gives none.
     """
-    tagged = cells.join(column_roles(cells, verdicts), COL)
-    keys = ["table_id", "row_idx"]
-    labels = tagged.where("role <> 'value'").groupBy(*keys).agg(
-        F.max(F.when(F.col("role") == "sample", F.col("value"))).alias("_sample"),
-        F.max(F.when(F.col("role") == "taxon", F.col("value"))).alias("_taxon"))
-    rows = tagged.where("role = 'value'").join(labels, keys)
+    tagged = cells.join(column_roles(cells, verdicts, facts), COL)
+    row = Window.partitionBy("table_id", "row_idx")
+    label = lambda role: F.max(F.when(F.col("role") == role, F.col("value"))).over(row)
+    labelled = F.max(F.col("role") != "value").over(row)
+    rows = tagged.withColumns({"_sample": label("sample"), "_taxon": label("taxon"), "_labelled": labelled}).where("role = 'value' AND _labelled")
     by_rows, by_cols = F.col("axis") == "rows", F.col("axis") == "cols"
     number = lenient_double(F.col("value"))
     long = rows.select(

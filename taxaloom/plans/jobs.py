@@ -83,13 +83,14 @@ def candidate_papers(papers: DataFrame, grouped: DataFrame, members: DataFrame)
 
 def verify_tables(found: DataFrame, meta: DataFrame, axis_aware: bool = True) -> dict[str, DataFrame]:
     """Verdicts, long rows, single cells and duplicates of all tables. found: cells (stored); meta: table_id, paper_id, dataset_id, source_file."""
-    lookups = ordering.stored(cells.lookup_tables(found))
+    facts = cells.column_facts(found)
+    lookups = ordering.stored(cells.lookup_tables(found, facts))
     ids = cells.id_to_lineage(found, lookups)
     # a lookup serves every table of its own deposit
     deposit = meta.select("table_id", "dataset_id")
     known = ids.join(deposit, "table_id").select("dataset_id", "taxon_id").distinct().join(deposit, "dataset_id").select("table_id", "taxon_id")
-    verdicts = ordering.stored(cells.sniff(found, known, axis_aware))
-    long = reshape.to_long(found, verdicts, meta)
+    verdicts = ordering.stored(cells.sniff(found, known, axis_aware, facts))
+    long = reshape.to_long(found, verdicts, meta, facts)
     long = long.withColumn("pipeline_source", all_matches(F.concat_ws(" ", "source_file", "table_id"), V.FILE_PROFILERS))
     named = ["dataset_id", "source_file", "sample_id"]
     verified = meta.join(verdicts, "table_id").groupBy("dataset_id").agg(F.bool_or(F.col("is_abundance") & ~F.col("needs_review")).alias("content_verified"))

@@ -68,11 +68,13 @@ def _known_ids(t: Tables) -> DataFrame:
     return cells.id_to_lineage(lookup, cells.lookup_tables(lookup))
 
 
-def _verdicts(t: Tables) -> tuple[DataFrame, DataFrame]:
+def _verdicts(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Cells, facts of their columns, verdicts."""
     found = _all_cells(t)
+    facts = cells.column_facts(found)
     ids = _known_ids(t).select(F.lit("bare_ids").alias("table_id"), "taxon_id")
     # one row per table, read by every later step
-    return found, ordering.stored(cells.sniff(found, ids))
+    return found, facts, ordering.stored(cells.sniff(found, ids, facts=facts))
 
 
 _NUM = r"'^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$'"
@@ -130,7 +132,7 @@ SELECT x.table_id, n_rows, n_cols, nnum AS n_numeric_cols, (NOT small AND (longf
     ELSE 'no taxonomic signal' END AS reason, CASE WHEN small OR longf OR few THEN 'unknown' ELSE coalesce(t, 'unknown') END AS value_type FROM x LEFT JOIN vt ON x.table_id = vt.table_id
 """)
 def sniff_tables(t: Tables):
-    _, verdicts = _verdicts(t)
+    _, _, verdicts = _verdicts(t)
     return verdicts.drop("label_idx").withColumn("score", F.round("score", 6))
 
 
@@ -144,8 +146,8 @@ UNION ALL SELECT 'bare_ids', 'TAX' || s_nationkey, '', value FROM supplier JOIN
 SELECT table_id, taxon, kingdom, 'unknown' AS domain, count(*) AS n, count(*) FILTER (value IS NULL) AS n_missing, round(sum(value::double), 4) AS total FROM l GROUP BY ALL
 """)
 def long_rows(t: Tables):
-    found, verdicts = _verdicts(t)
-    long = reshape.to_long(found, verdicts)
+    found, facts, verdicts = _verdicts(t)
+    long = reshape.to_long(found, verdicts, facts=facts)
     return long.groupBy("table_id", "taxon", "kingdom", "domain").agg(n_rows(), F.count_if("is_missing").alias("n_missing"), F.round(F.sum("value"), 4).alias("total"))
 
 
