@@ -15,25 +15,29 @@ documents like others.  An empty table gives an empty result.  Only key, text an
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import prepare, stored
+from .common import free_name, prepare, stored
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
 CEILING = 3
 BLOCK_WORDS = 1024
 SHARD_BLOCKS = 4096
+UNDRAWN_GROUPS = 4096
 RANGE_ROWS = 1000
+DEAL_LEVELS = 8  # levels of the tree between which its nodes are dealt out again
 SEED = 17
 
 
 def sized(docs: DataFrame, key: str, text: str, source: str) -> DataFrame:
-    """key, source, size: words of the whole text."""
-    return docs.select(F.col(key).alias("key"), F.col(source).alias("source"), F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
+    """key, source, seal (hash of the text), size: words of the whole text."""
+    return docs.select(F.col(key).alias("key"), F.col(source).alias("source"), F.xxhash64(text).alias("seal"), F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, ceiling: int = CEILING) -> DataFrame:
@@ -57,20 +61,22 @@ def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, ceiling:
 def on_tape(sizes: DataFrame, sources: DataFrame, seed: int = SEED, range_rows: int = RANGE_ROWS) -> DataFrame:
     """Each document's words before it on its source's tape (``before``), with the source's columns.
 
-    ``row`` numbers the documents of one source and hash range; it tells apart equal keys without words, which share their ``before``.
+    ``row`` numbers the documents of one source and hash range; it tells apart equal keys without words, which share their ``before``. ``copy`` numbers
+    the rows that agree in key, text and source.
     """
     known = sources.withColumnRenamed("source", "_source")
     placed = sizes.join(known, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
-    spot = F.xxhash64(F.lit(seed), F.col("key"))
+    spot = F.xxhash64(F.lit(seed), F.col("key"), F.col("seal"))
     unit = (F.shiftrightunsigned(spot, 11).cast("double")) / float(1 << 53)
     ranges = F.greatest(F.lit(1), F.ceil(F.col("rows") / range_rows))
     placed = placed.withColumn("spot", F.shiftrightunsigned(spot, 11)).withColumn("range", F.floor(unit * ranges))
-    by_spot = Window.partitionBy("sid", "range").orderBy("spot", "key", "size")
+    by_spot = Window.partitionBy("sid", "range").orderBy("spot", "key", "seal", "size")
     inside = by_spot.rowsBetween(Window.unboundedPreceding, -1)
     # one row a range in this window
     earlier = Window.partitionBy("sid").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = placed.groupBy("sid", "range").agg(F.sum("size").alias("n")).select("sid", "range", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset"))
     summed = placed.withColumn("before", F.coalesce(F.sum("size").over(inside), F.lit(0))).withColumn("row", F.row_number().over(by_spot))
+    summed = summed.withColumn("copy", F.row_number().over(Window.partitionBy("sid", "range", "spot", "key", "seal").orderBy("size")))
     return summed.join(offsets, ["sid", "range"]).withColumn("before", F.col("before") + F.col("offset")).drop("range", "offset", "spot")
 
 
@@ -125,12 +131,19 @@ def hypergeometric(good: Column, bad: Column, draws: Column, u: Column) -> Colum
     return _let(given, lambda a: _let(limits(a), pick)).cast("long")
 
 
+def _tasks(df: DataFrame, depth: int) -> int:
+    """Tasks for the nodes of a level of the tree: no more than there are nodes, or than an exchange has."""
+    return max(1, min(1 << depth, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+
+
 def split_quotas(sources: DataFrame, depth: int, block_words: int = BLOCK_WORDS, seed: int = SEED) -> DataFrame:
     """sid, shard, first, blocks: the stretch of each source's blocks that a shard owns."""
     quota = F.ceil(F.round("target") / block_words).cast("long")
     root = sources.agg(F.array_sort(F.collect_list(F.struct("sid", quota.alias("n")))).alias("quotas"))
     nodes = root.select(F.lit(0).cast("long").alias("node"), "quotas")
     for level in range(depth):
+        if level and level % DEAL_LEVELS == 0:
+            nodes = nodes.repartition(_tasks(sources, level), "node")
         total = F.aggregate("quotas", F.lit(0).cast("long"), lambda s, q: s + q["n"])
         start = F.struct(((total + 1) / 2).cast("long").alias("left"), total.alias("rest"), F.array().cast("array<bigint>").alias("out"))
 
@@ -152,8 +165,8 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
         block_words: int = BLOCK_WORDS, shard_blocks: int = SHARD_BLOCKS, seed: int = SEED) -> DataFrame:
     """One row for every draw, and one with ``words`` 0 for a document that is not drawn.
 
-    Columns: key, source, size, source_size, target, before, row (tells apart documents without words of one key), epoch (which reading of the
-    tape), words (taken by this draw; fewer than ``size`` only where the quota ends inside the document), shard and spot (order inside the shard).
+    Columns: key, source, seal, copy, size, source_size, target, before, row (tells apart documents without words of one key), epoch (which reading of
+    the tape), words (taken by this draw; fewer than ``size`` only where the quota ends inside the document), shard and position (in the shard, from 0).
     """
     prepare(docs.sparkSession)
     sizes = stored(sized(docs, key, text, source))
@@ -170,27 +183,38 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
 
     readings = F.filter(F.array(*[reading(e) for e in range(ceiling)]), lambda r: (r["words"] > 0))
     drawn = tape.select("*", F.inline_outer(readings))
-    owned = split_quotas(sources, depth, block_words, seed)
+    # dealt out before the blocks are made: a shard's blocks are made where the shard is
+    owned = split_quotas(sources, depth, block_words, seed).repartition(_tasks(docs, depth), "shard")
     blocks = owned.where("blocks > 0").select(F.col("sid").alias("_sid"), "shard", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("blocks") - 1)).alias("_block"))
     # the blocks grow with the corpus and Spark cannot foresee how many an explode makes, so a broadcast is ruled out
     dealt = drawn.join(blocks.hint("merge"), (F.col("sid") == F.col("_sid")) & (F.col("block") == F.col("_block")), "left")
-    return dealt.select("key", "source", "size", "source_size", "target", "before", "row", "epoch", F.coalesce("words", F.lit(0)).alias("words"), "shard",
-                        F.xxhash64(F.lit(seed), F.lit("spot"), "key", "epoch").alias("spot"))
+    spot = F.xxhash64(F.lit(seed), F.lit("spot"), "key", "seal", "copy", "epoch")
+    dealt = dealt.withColumn("spot", spot).withColumn("_deal", F.coalesce("shard", -1 - F.pmod("spot", F.lit(UNDRAWN_GROUPS))))
+    # a shard's draws hold at most the words of its blocks and those of the documents that run over its edges; documents that are not drawn meet in no shard
+    position = F.row_number().over(Window.partitionBy("_deal").orderBy("spot", "key", "seal", "copy", "epoch")) - 1
+    return dealt.select("key", "source", "seal", "copy", "size", "source_size", "target", "before", "row", "epoch", F.coalesce("words", F.lit(0)).alias("words"), "shard",
+                        F.when(F.col("shard").isNotNull(), position).alias("position"))
 
 
 def taken(draws: DataFrame) -> DataFrame:
-    """One row a document: how many words of it the mix takes."""
-    return draws.groupBy("key", "source", "size", "source_size", "target", "before", "row").agg(F.sum("words").alias("taken"), F.count("shard").alias("draws"))
+    """One row a document: how many words of it the mix takes, in how many draws, and where these stand (shard, position; at most one for each epoch)."""
+    place = F.when(F.col("shard").isNotNull(), F.struct("shard", "position"))
+    return draws.groupBy("key", "source", "size", "source_size", "target", "before", "row").agg(
+        F.sum("words").alias("taken"), F.count("shard").alias("draws"), F.array_sort(F.collect_list(place)).alias("places"))
 
 
 def drawn_rows(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", length: str | None = "n_chars", **options) -> DataFrame:
-    """The rows of ``docs``, each as often as it is drawn, a text on which the quota ends cut behind its last word taken."""
-    draws = mix(docs, key, text, source, **options).where("words > 0").select(F.col("key").alias("_key"), F.col("source").alias("_of"), F.col("size").alias("_size"), F.col("words").alias("_words"), F.col("epoch").alias("_epoch"))
-    # repeated rows of one key share their draws: the copies are numbered on neither side, so equal draws are merged
-    once = draws.groupBy("_key", "_of", "_size", "_epoch").agg(F.max("_words").alias("_words"))
-    counted = docs.withColumn("_n", F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)))
-    found = counted.join(once, F.col(key).eqNullSafe(F.col("_key")) & F.col(source).eqNullSafe(F.col("_of")) & (F.col("_n") == F.col("_size")))
-    head = F.rtrim(F.array_join(F.slice(F.regexp_extract_all(text, F.lit(r"([^\x20\x09-\x0D]+[\x20\x09-\x0D]*)"), F.lit(1)), F.lit(1), F.col("_words").cast("int")), ""))
-    new = F.when(F.col("_words") < F.col("_size"), head).otherwise(F.col(text))
+    """The rows of ``docs``, each as often as it is drawn, shard by shard in the order of the mix; a text on which the quota ends is cut behind its last word taken."""
+    mark = free_name(docs.columns, "_mix")
+    draws = mix(docs, key, text, source, **options).where("words > 0")
+    draws = draws.select(*[F.col(c).alias(f"{mark}_{c}") for c in ("key", "source", "seal", "copy", "size", "words", "shard", "position")])
+    # rows that agree in key, text and source are numbered on both sides, so each meets its own draws
+    same = Window.partitionBy(key, f"{mark}_own", source).orderBy(F.xxhash64(*docs.columns))
+    numbered = docs.withColumn(f"{mark}_own", F.xxhash64(text)).withColumn(f"{mark}_nth", F.row_number().over(same))
+    pairs = [(key, "key"), (source, "source"), (f"{mark}_own", "seal"), (f"{mark}_nth", "copy")]
+    found = numbered.join(draws, functools.reduce(operator.and_, [F.col(a).eqNullSafe(F.col(f"{mark}_{b}")) for a, b in pairs]))
+    words, shard, position = (F.col(f"{mark}_{c}") for c in ("words", "shard", "position"))
+    head = F.rtrim(F.array_join(F.slice(F.regexp_extract_all(text, F.lit(r"([^\x20\x09-\x0D]+[\x20\x09-\x0D]*)"), F.lit(1)), F.lit(1), words.cast("int")), ""))
+    new = F.when(words < F.col(f"{mark}_size"), head).otherwise(F.col(text))
     columns = [new.alias(c) if c == text else F.length(new).cast(docs.schema[c].dataType).alias(c) if c == length else F.col(c) for c in docs.columns]
-    return found.select(*columns)
+    return found.repartition(shard).sortWithinPartitions(shard, position).select(*columns)

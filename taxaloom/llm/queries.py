@@ -47,9 +47,10 @@ def op3_wavelet_shards(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op4_source_mix(spark: SparkSession, folder: str) -> DataFrame:
-    """Words that the mix takes of every document."""
+    """Words that the mix takes of every document, and the shards and positions it takes them to."""
     found = mixing.taken(mixing.mix(_table(spark, folder, "documents")))
-    return found.select(F.col("key").alias("doc_id"), "size", "source_size", "target", "taken", "source", "draws")
+    places = F.array_join(F.transform("places", lambda p: F.concat_ws(":", p["shard"].cast("string"), p["position"].cast("string"))), " ").alias("places")
+    return found.select(F.col("key").alias("doc_id"), "size", "source_size", "target", "taken", "source", "draws", places)
 
 
 @query
