@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
 from ..functions import text
-from ..operators import links, viral
+from ..operators import cells, links, metadata, reshape, stats, viral
 from ..operators.ordering import scratch, stored
 from ..sources import writers
 from . import jobs
@@ -140,7 +142,7 @@ _RISK = {"paper": "user_id", "gate": pick("user_id", ["pass_quantification_only"
 
 
 def _select(cells: dict[str, str]) -> str:
-    return ", ".join(f"{e} AS {c}" for c, e in cells.items())
+    return ", ".join(f'{e} AS "{c}"' for c, e in cells.items())
 
 
 def _registry_sql() -> str:
@@ -255,3 +257,81 @@ def small_functions(t: Tables):
         text.ascii_surname(F.expr(_NAME)).alias("surname"), text.share_text(F.col("c_custkey") % 7, F.lit(7)).alias("share"),
         text.first_nonblank(text.lower_keys(headers), ["none", "name", "segment"]).alias("first_filled"),
         F.array_join(F.array_sort(links.doi_links(F.expr(_CITED))), " ").alias("dois"))
+
+
+# ---------------------------------------------------------------------------
+# viral summaries, first runs, samples of tables
+# ---------------------------------------------------------------------------
+_KINDS = {"paper_folder": "concat('P', s_suppkey)", "row_rank": pick("s_suppkey", ["vOTU / viral genome", "OTU", "Species"]), "n_features": "CAST(10 AS BIGINT)", "n_viral_features": "CAST(s_suppkey % 11 AS BIGINT)"}
+_RANKS = {r: pick(f"p_partkey * {i + 3} + {i}", [f"{r} a", "", None, f"{r} b"]) for i, r in enumerate(V.VIRAL_RANKS)}
+_RECOVERY = {"P3": "VLP-enriched virome", "P7": "filtered VLP"}
+_STATES = {"disease_status": pick("c_custkey", ["healthy", "case", "control", "not reported", "", "odd", None]), "metadata_completeness": pick("c_custkey", ["full", "grouped", "ids_only"])}
+
+
+def _viral_sql() -> str:
+    status = " ".join(f"WHEN regexp_matches(lower(trim(disease_status)), {_quoted(p)}){f' AND regexp_matches(lower(trim(disease_status)), {_quoted(also)})' if also else ''} THEN {_quoted(label)}"
+                      for label, p, also in V.DISEASE_STATUS)
+    deepest = "CASE " + " ".join(f"WHEN trim(coalesce(\"{r}\", '')) <> '' THEN '{r}'" for r in reversed(V.VIRAL_RANKS)) + " ELSE 'No taxonomy' END"
+    methods = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in _RECOVERY.items())
+    counted = "SELECT '{}' AS tbl, {} AS label, count(*) AS n, round(count(*) / sum(count(*)) OVER (), 6) AS share FROM {} GROUP BY 2"
+    return f"""
+WITH kinds AS (
+  SELECT *, CASE WHEN row_rank = 'vOTU / viral genome' OR n_viral_features >= n_features THEN 'viral_dedicated' ELSE 'mixed' END AS matrix_type,
+         CASE paper_folder {methods} ELSE '{V.DEFAULT_RECOVERY}' END AS method FROM (SELECT {_select(_KINDS)} FROM supplier)),
+f AS (SELECT concat('P', p_partkey % 10 + 1) AS paper_folder, {_select(_RANKS)} FROM part),
+features AS (SELECT *, {deepest} AS deep FROM f JOIN kinds USING (paper_folder)), samples AS (SELECT {_select(_STATES)} FROM customer)
+{counted.format('matrix_type', 'matrix_type', 'kinds')}
+UNION ALL {counted.format('viral_rank_depth', "CASE WHEN deep = 'No taxonomy' THEN deep WHEN deep IN ('family', 'kingdom', 'species', 'class') THEN upper(left(deep, 1)) || substr(deep, 2) ELSE 'Other ranks' END", 'features')}
+UNION ALL {counted.format('viral_recovery_method', "CASE WHEN contains(method, 'VLP') THEN 'VLP-enriched virome' ELSE 'bulk shotgun / incidental' END", 'features')}
+UNION ALL {counted.format('viral_disease_status', f"CASE WHEN trim(coalesce(disease_status, '')) = '' THEN 'Not recorded' {status} ELSE 'Other label' END", 'samples')}
+UNION ALL {counted.format('viral_metadata_completeness', 'metadata_completeness', 'samples')}
+"""
+
+
+@query(_viral_sql())
+def viral_counts(t: Tables):
+    """Kinds of matrices, deepest ranks, recovery methods, disease states and completeness, each with its share."""
+    kinds = viral.matrix_type(t.supplier.select(*[F.expr(e).alias(c) for c, e in _KINDS.items()]), _RECOVERY)
+    features = t.part.select(F.concat(F.lit("P"), F.col("p_partkey") % 10 + 1).alias("paper_folder"), *[F.expr(e).alias(c) for c, e in _RANKS.items()])
+    features = features.join(kinds.select("paper_folder", "viral_recovery_method"), "paper_folder")
+    tables = viral.viral_summaries(features, t.customer.select(*[F.expr(e).alias(c) for c, e in _STATES.items()]))
+    tables["matrix_type"] = stats.counter_table(kinds, "matrix_type")
+    stacked = [df.select(F.lit(name).alias("tbl"), F.col(df.columns[0]).alias("label"), "n", F.round("share", 6).alias("share")) for name, df in tables.items()]
+    return functools.reduce(lambda a, b: a.unionByName(b), stacked)
+
+
+@query("""
+WITH first AS (SELECT l_orderkey AS sample, min('R' || l_partkey) AS run FROM lineitem GROUP BY 1)
+SELECT sample, first.run, p_brand, p_type FROM first LEFT JOIN part ON run = 'R' || p_partkey AND p_size > 5
+""")
+def first_runs(t: Tables):
+    """A sample takes its metadata from its first run, also where that has none."""
+    run = lambda c: F.concat(F.lit("R"), c).alias("run")
+    runs = t.part.where("p_size > 5").select(run("p_partkey"), "p_brand", "p_type")
+    return metadata.first_run_metadata(t.lineitem.select(F.col("l_orderkey").alias("sample"), run("l_partkey")), runs, ["p_brand", "p_type"]).select("sample", "run", "p_brand", "p_type")
+
+
+@query("""
+SELECT l_suppkey AS table_id, l_orderkey AS sample_id, max(CASE WHEN l_linenumber = 3 THEN 'blank_or_control' ELSE '' END) AS sample_flag,
+       max(CASE WHEN l_linenumber = 2 THEN 'WGS' WHEN l_linenumber = 4 THEN '16S' ELSE '' END) AS sequencing_type_hint, any_value(s_name) AS source_file
+FROM lineitem LEFT JOIN (SELECT * FROM supplier WHERE s_acctbal > 0) ON l_suppkey = s_suppkey GROUP BY 1, 2
+""")
+def table_samples(t: Tables):
+    """One row per table and sample, with its marks and what describes the table."""
+    flag, hint = F.when(F.col("l_linenumber") == 3, "blank_or_control").otherwise(""), F.when(F.col("l_linenumber") == 2, "WGS").when(F.col("l_linenumber") == 4, "16S").otherwise("")
+    long = t.lineitem.select(F.col("l_suppkey").alias("table_id"), F.col("l_orderkey").alias("sample_id"), flag.alias("sample_flag"), hint.alias("sequencing_type_hint"))
+    return reshape.samples_from_tables(long, t.supplier.where("s_acctbal > 0").select(F.col("s_suppkey").alias("table_id"), F.col("s_name").alias("source_file")))
+
+
+@query(r"""
+WITH c AS (
+  SELECT 0 AS col_idx, CASE WHEN c_custkey % 3 = 0 THEN c_custkey::varchar ELSE c_name END AS v FROM customer UNION ALL SELECT 1, CASE WHEN c_custkey % 4 > 0 THEN c_acctbal::varchar END FROM customer
+  UNION ALL SELECT 2, CASE WHEN c_custkey % 4 > 0 THEN '1e' || c_nationkey ELSE 'x' END FROM customer UNION ALL SELECT 3, NULL FROM customer)
+SELECT col_idx, round(count(*) FILTER (regexp_matches(v, '^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$')) / (SELECT count(*) FROM customer), 6) AS fraction FROM c GROUP BY 1 HAVING fraction > 0.5
+""")
+def numeric_columns(t: Tables):
+    """Columns that are mostly numbers, of all rows that hold anything."""
+    wide = t.customer.select("c_custkey", F.when(F.col("c_custkey") % 3 == 0, F.col("c_custkey").cast("string")).otherwise(F.col("c_name")).alias("a"), F.when(F.col("c_custkey") % 4 > 0, F.col("c_acctbal")).alias("b"),
+                             F.when(F.col("c_custkey") % 4 > 0, F.concat(F.lit("1e"), "c_nationkey")).otherwise("x").alias("c"), F.lit(None).cast("string").alias("d"))
+    found = cells.numeric_columns(cells.cells_of(wide, "customers", "c_custkey", ["a", "b", "c", "d"]), 0.5)
+    return found.select("col_idx", F.round("fraction", 6).alias("fraction"))
