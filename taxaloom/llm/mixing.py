@@ -22,6 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.ordering import running_total
 from .common import free_name, prepare, stored
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -29,7 +30,7 @@ WEIGHTS = (5, 2, 1)
 CEILING = 3
 BLOCK_WORDS = 1024
 SHARD_BLOCKS = 4096
-UNDRAWN_GROUPS = 4096
+STRETCH = 1024  # draws of a shard that are written together
 RANGE_ROWS = 1000
 DEAL_LEVELS = 8  # levels of the tree between which its nodes are dealt out again
 SEED = 17
@@ -189,11 +190,11 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     # the blocks grow with the corpus and Spark cannot foresee how many an explode makes, so a broadcast is ruled out
     dealt = drawn.join(blocks.hint("merge"), (F.col("sid") == F.col("_sid")) & (F.col("block") == F.col("_block")), "left")
     spot = F.xxhash64(F.lit(seed), F.lit("spot"), "key", "seal", "copy", "epoch")
-    dealt = dealt.withColumn("spot", spot).withColumn("_deal", F.coalesce("shard", -1 - F.pmod("spot", F.lit(UNDRAWN_GROUPS))))
-    # a shard's draws hold at most the words of its blocks and those of the documents that run over its edges; documents that are not drawn meet in no shard
-    position = F.row_number().over(Window.partitionBy("_deal").orderBy("spot", "key", "seal", "copy", "epoch")) - 1
-    return dealt.select("key", "source", "seal", "copy", "size", "source_size", "target", "before", "row", "epoch", F.coalesce("words", F.lit(0)).alias("words"), "shard",
-                        F.when(F.col("shard").isNotNull(), position).alias("position"))
+    names = ["key", "source", "seal", "copy", "size", "source_size", "target", "before", "row", "epoch", "words", "shard", "position"]
+    dealt = stored(dealt.withColumn("spot", spot).withColumn("words", F.coalesce("words", F.lit(0))))
+    # places in a shard are ranks over sorted ranges, so a shard of very many short documents is no task of its own
+    placed = running_total(dealt.where("shard IS NOT NULL"), ["shard"], "spot", ties=["key", "seal", "copy", "epoch"], name="position")
+    return placed.select(*names).unionByName(dealt.where("shard IS NULL").withColumn("position", F.lit(None).cast("long")).select(*names))
 
 
 def taken(draws: DataFrame) -> DataFrame:
@@ -217,4 +218,5 @@ def drawn_rows(docs: DataFrame, key: str = "doc_id", text: str = "text", source:
     head = F.rtrim(F.array_join(F.slice(F.regexp_extract_all(text, F.lit(r"([^\x20\x09-\x0D]+[\x20\x09-\x0D]*)"), F.lit(1)), F.lit(1), words.cast("int")), ""))
     new = F.when(words < F.col(f"{mark}_size"), head).otherwise(F.col(text))
     columns = [new.alias(c) if c == text else F.length(new).cast(docs.schema[c].dataType).alias(c) if c == length else F.col(c) for c in docs.columns]
-    return found.repartition(shard).sortWithinPartitions(shard, position).select(*columns)
+    # a task writes stretches of shards in their order
+    return found.repartition(shard, F.floor(position / STRETCH)).sortWithinPartitions(shard, position).select(*columns)
