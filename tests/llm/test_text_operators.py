@@ -313,43 +313,42 @@ def test_rows_drawn_are_the_words_taken(spark, docs, corpus):
     twenty = " ".join(f"w{i}" for i in range(20))
     rows = [(1, twenty, "b"), (1, twenty, "b"), (None, twenty, "b"), (None, twenty, "b"), (None, twenty.upper(), "b")] + [(10 + i, twenty, "a") for i in range(9)]
     given = spark.createDataFrame([(k, t, s, len(t), "x", 0) for k, t, s in rows], "doc_id long, text string, source string, n_chars long, _mix_key string, copy int").repartition(3)
-    for df in (given, docs):
-        for options in ({}, {"block_words": 16, "shard_blocks": 4}, {"weights": (1, 9)}):
-            got, want = collections.Counter(), collections.Counter()
-            for r in mixing.drawn_rows(df, **options).collect():
-                got[r["source"], r["doc_id"]] += len(words(r["text"]))
-                assert r["n_chars"] == len(r["text"])
-            for r in mixing.taken(mixing.mix(df, **options)).collect():
-                want[r["source"], r["key"]] += r["taken"]
-            assert got == +want
+    for df, options in ((given, {}), (given, {"weights": (1, 9)}), (docs, {"block_words": 64})):
+        got, want = collections.Counter(), collections.Counter()
+        for r in mixing.drawn_rows(df, **options).collect():
+            got[r["source"], r["doc_id"]] += len(words(r["text"]))
+            assert r["n_chars"] == len(r["text"])
+        for r in mixing.taken(mixing.mix(df, **options)).collect():
+            want[r["source"], r["key"]] += r["taken"]
+        assert got == +want
 
 
 def test_draws_stand_where_the_tree_puts_them(docs):
     one = mixing.mix(docs, block_words=16, shard_blocks=10 ** 6).where("words > 0").collect()
-    many = mixing.mix(docs, block_words=16, shard_blocks=8).where("words > 0").collect()
+    many = mixing.mix(docs, block_words=16, shard_blocks=160).where("words > 0").collect()
     assert {r["shard"] for r in one} == {0} and sorted(r["position"] for r in one) == list(range(len(one)))
     shards = collections.defaultdict(list)
     for r in many:
         shards[r["shard"]].append(r["position"])
-    assert len(shards) > 16 and all(sorted(v) == list(range(len(v))) for v in shards.values())
+    assert len(shards) > 8 and all(sorted(v) == list(range(len(v))) for v in shards.values())
     # a draw stands in the shard that the tree gave the block it begins in
     sources = mixing.source_targets(mixing.sized(docs, "doc_id", "text", "source"))
     names = {r["sid"]: r["source"] for r in sources.collect()}
     blocks = sum(-(-round(r["target"]) // 16) for r in sources.collect())
-    owned = mixing.split_quotas(sources, (-(-blocks // 8) - 1).bit_length(), block_words=16).collect()
+    owned = mixing.split_quotas(sources, (-(-blocks // 160) - 1).bit_length(), block_words=16).collect()
     for r in many:
         block = (r["source_size"] * r["epoch"] + r["before"]) // 16
         assert [o["shard"] for o in owned if names[o["sid"]] == r["source"] and o["first"] <= block < o["first"] + o["blocks"]] == [r["shard"]]
-    places = {(r["key"], r["source"]): r["places"] for r in mixing.taken(mixing.mix(docs, block_words=16, shard_blocks=8)).collect()}
-    assert places != {(r["key"], r["source"]): r["places"] for r in mixing.taken(mixing.mix(docs, block_words=16, shard_blocks=10 ** 6)).collect()}
+    assert {(r["key"], r["epoch"], r["shard"]) for r in one} != {(r["key"], r["epoch"], r["shard"]) for r in many}
 
 
 def test_rows_are_written_shard_by_shard(docs):
-    draws = {(r["key"], r["epoch"]): (r["shard"], r["position"]) for r in mixing.mix(docs, block_words=16, shard_blocks=8).where("words > 0").collect()}
-    keys = [[r["doc_id"] for r in part] for part in mixing.drawn_rows(docs, block_words=16, shard_blocks=8).rdd.glom().collect()]
-    one_epoch = {k: places for k in {k for k, _ in draws} if len(places := sorted(p for (x, _), p in draws.items() if x == k)) == 1}
+    options = {"block_words": 16, "shard_blocks": 160}
+    draws = {(r["key"], r["epoch"]): (r["shard"], r["position"]) for r in mixing.mix(docs, **options).where("words > 0").collect()}
+    keys = [[r["doc_id"] for r in part] for part in mixing.drawn_rows(docs, **options).rdd.glom().collect()]
+    once = {k: p for (k, _), p in draws.items() if sum(x == k for x, _ in draws) == 1}
     for part in keys:
-        spots = [one_epoch[k][0] for k in part if k in one_epoch]
+        spots = [once[k] for k in part if k in once]
         assert spots == sorted(spots)
     assert sum(map(len, keys)) == len(draws)
 
