@@ -187,14 +187,15 @@ def flag_challenge_page(content: Column) -> Column:
 
 
 def letter_suffix(n: Column) -> Column:
-    """1 -> a, 26 -> z, 27 -> aa ... (bijective base 26, up to four letters)."""
+    """1 -> a, 26 -> z, 27 -> aa ... (bijective base 26, as many letters as a whole number needs)."""
     m = n.cast("bigint")
-    a1, a2, a3 = 26, 26 + 26**2, 26 + 26**2 + 26**3
-
-    def letters(offset: int, width: int) -> Column:
-        rest = m - 1 - offset
-        return F.concat(*[F.char(F.lit(97) + F.floor(rest / 26**k) % 26) for k in range(width - 1, -1, -1)])
-
-    return case_when([(m <= 0, F.lit("")), (m <= a1, letters(0, 1)), (m <= a2, letters(a1, 2)), (m <= a3, letters(a2, 3))], letters(a3, 4))
+    powers = [26**k for k in range(14)]
+    # shorter suffixes come first: how many there are of each width says how wide this one is, and its place among those as wide
+    shorter = F.array(*[F.lit(sum(powers[1:k])).cast("bigint") for k in range(1, 15)])
+    width = F.size(F.filter(shorter, lambda s: s < m))
+    place = m - 1 - F.get(shorter, width - 1)
+    digits = F.reverse(F.slice(F.array(*[F.lit(p).cast("bigint") for p in powers]), F.lit(1), width))
+    letters = F.array_join(F.transform(digits, lambda p: F.char(F.lit(97) + F.call_function("div", place, p) % 26)), "")
+    return F.when(m <= 0, F.lit("")).when(m > 0, letters)
 
 

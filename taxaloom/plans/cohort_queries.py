@@ -79,9 +79,9 @@ def top_k_fold(t: Tables):
 
 
 @query("""
-WITH r AS (SELECT c_custkey, c_mktsegment AS b, row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_custkey) - 1 AS m FROM customer)
-SELECT c_custkey, b || CASE WHEN m = 0 THEN '' WHEN m <= 26 THEN chr((96 + m)::int) WHEN m <= 702 THEN chr((97 + (m - 27) // 26)::int) || chr((97 + (m - 27) % 26)::int)
-  WHEN m <= 18278 THEN chr((97 + (m - 703) // 676)::int) || chr((97 + ((m - 703) // 26) % 26)::int) || chr((97 + (m - 703) % 26)::int) END AS unique_name FROM r
+WITH RECURSIVE r AS (SELECT c_custkey, c_mktsegment AS b, row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_custkey) - 1 AS m FROM customer),
+s AS (SELECT c_custkey, b, m, '' AS suffix FROM r UNION ALL SELECT c_custkey, b, (m - 1) // 26, chr((97 + (m - 1) % 26)::int) || suffix FROM s WHERE m > 0)
+SELECT c_custkey, b || suffix AS unique_name FROM s WHERE m = 0
 """)
 def unique_names(t: Tables):
     return ordering.unique_names(t.customer.select("c_custkey", "c_mktsegment"), "c_mktsegment", "c_custkey").select("c_custkey", "unique_name")

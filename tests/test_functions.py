@@ -123,6 +123,20 @@ def test_small_text_functions(values):
     assert values(S.flag_challenge_page, [bytearray(b"<html>"), bytearray(b"a,b\n"), bytearray(b" " * 600 + b"<html")], "a binary") == [True, False, False]
 
 
+def test_letter_suffix_of_any_width(values):
+    def expected(n):
+        out = ""
+        while n > 0:
+            n, letter = divmod(n - 1, 26)
+            out = chr(97 + letter) + out
+        return out
+
+    sums = [sum(26**k for k in range(1, w + 1)) for w in range(1, 14)]
+    numbers = [0, 18_278, 18_279, 2**53 + 1, 2**63 - 1, *[s + d for s in sums for d in (-1, 0, 1)]]
+    assert values(S.letter_suffix, numbers, "a long") == [expected(n) for n in numbers]
+    assert values(S.letter_suffix, [None], "a long") == [None]
+
+
 def test_first_nonblank_on_map(spark):
     entries = [F.lit(v) for v in ("Host ", "", "HOST", "pig", "Organism", "rat")]
     df = spark.range(1).select(F.create_map(*entries).alias("m"))
