@@ -54,7 +54,8 @@ def to_long(cells: DataFrame, verdicts: DataFrame, meta: DataFrame | None = None
     ``meta`` (table_id, paper_id, dataset_id, source_file) is joined when given. The labels of a row are carried to its values in one exchange of cells;
     a row without any label cell gives none.
     """
-    tagged = cells.join(column_roles(cells, verdicts, facts), COL)
+    # written, so that Spark knows how few columns these are and sends no column's cells to one task
+    tagged = cells.join(stored(column_roles(cells, verdicts, facts)), COL)
     row = Window.partitionBy("table_id", "row_idx")
     label = lambda role: F.max(F.when(F.col("role") == role, F.col("value"))).over(row)
     labelled = F.max(F.col("role") != "value").over(row)
