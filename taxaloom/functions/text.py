@@ -174,10 +174,14 @@ def first_nonblank(row: Column, names: Sequence[str]) -> Column:
 
 def lower_keys(row: Column) -> Column:
     """Header names trimmed and lower-cased; of several spellings of one header the last one is kept."""
-    keyed = F.transform(F.map_entries(row), lambda e: F.struct(F.lower(trim_ws(e["key"])).alias("key"), e["value"].alias("value")))
-    indexed = F.transform(keyed, lambda e, i: F.struct(e["key"].alias("key"), e["value"].alias("value"), i.alias("i")))
-    last = F.filter(indexed, lambda e: ~F.exists(indexed, lambda o: (o["key"] == e["key"]) & (o["i"] > e["i"])))
-    return F.map_from_entries(F.transform(last, lambda e: F.struct(e["key"], e["value"])))
+    def kept(keys: Column, values: Column) -> Column:
+        last = lambda k, i: ~F.array_contains(F.slice(keys, i + 2, F.size(keys)), k)
+        return F.map_from_entries(F.filter(F.arrays_zip(keys.alias("key"), values.alias("value")), lambda e, i: last(e["key"], i)))
+
+    # a list of one binds the cleaned headers, so that they are cleaned once for each row; most rows hold each header once and need no search
+    bound = F.array(F.transform(F.map_keys(row), lambda k: F.lower(trim_ws(k))))
+    unique = lambda keys: F.size(F.array_distinct(keys)) == F.size(keys)
+    return F.transform(bound, lambda keys: F.when(unique(keys), F.map_from_arrays(keys, F.map_values(row))).otherwise(kept(keys, F.map_values(row))))[0]
 
 
 def flag_challenge_page(content: Column) -> Column:

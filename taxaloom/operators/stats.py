@@ -7,6 +7,7 @@ lower-cased header, so one job serves every paper.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from ..functions.taxa import (
     disease_bucket, feature_domain, host_of, ictv_rank, known_taxon, normalise_disease, paper_domain, unit_bucket,
 )
 from ..functions.text import first_nonblank, lenient_int, lower_keys, nonblank, share
-from .ordering import counted_positions, dominant, top_k, value_at
+from .ordering import counted_positions, dominant, stored, top_k, value_at
 
 NOT_A_HOST_COLUMN = r"(^|_)host(_|$)"
 KINGDOM_COLUMN = r"(^|_)(realm|kingdom|domain|superkingdom)(_|$)"
@@ -79,25 +80,37 @@ def excluded_cost(papers: DataFrame, queues: DataFrame, rescued: DataFrame, doma
 # samples
 # ---------------------------------------------------------------------------
 def classify_samples(rows: DataFrame, papers: DataFrame) -> DataFrame:
-    """Sample rows resolved to named columns. papers: paper_folder, host_hint."""
-    r = rows.withColumn("_m", lower_keys(F.col("row"))).join(papers.select("paper_folder", "host_hint"), "paper_folder", "left")
+    """Sample rows resolved to named columns. papers: paper_folder, host_hint.
+
+    Labels repeat over samples, so every rule runs once per distinct text; the answers are joined back.
+    """
     m = F.col("_m")
     pick = lambda *names: first_nonblank(m, names)
-    out = r.select(
-        "paper_folder", "row_idx", "host_hint", pick("sample_type", "sample_type_detail", "body_site").alias("sample_type"),
+    out = stored(rows.select("paper_folder", "row_idx", lower_keys(F.col("row")).alias("_m")).select(
+        "paper_folder", "row_idx", pick("sample_type", "sample_type_detail", "body_site").alias("sample_type"),
         pick("host", "host_species", "host_common_name", "organism").alias("host"), pick("disease_status", "disease_state").alias("disease_status"),
         pick("measurement_method", "assay", "sequencing_method").alias("method"), pick("disease", "disease_name").alias("disease_raw"),
         pick("experimental_group", "group", "treatment").alias("group"), pick("subject_id", "subject", "individual_id", "animal_id").alias("subject"),
         pick("timepoint", "time_point", "timepoint_description", "day").alias("timepoint"), pick("sex", "gender").alias("sex"),
-        pick("age_years", "age", "age_group", "age_bin").alias("age"))
-    return out.withColumns({
-        "sample_type_class": bucket(F.col("sample_type"), V.SAMPLE_TYPES, "Other / unspecified"),
-        "host_class": host_of(F.col("host"), F.col("sample_type"), F.col("host_hint")),
+        pick("age_years", "age", "age_group", "age_bin").alias("age")))
+    out = out.join(papers.select("paper_folder", "host_hint"), "paper_folder", "left")
+    out = per_value(out, ["sample_type"], {"sample_type_class": bucket(F.col("sample_type"), V.SAMPLE_TYPES, "Other / unspecified")})
+    out = per_value(out, ["host", "sample_type", "host_hint"], {"host_class": host_of(F.col("host"), F.col("sample_type"), F.col("host_hint"))})
+    out = per_value(out, ["disease_status"], {
         "disease_class": disease_bucket(F.col("disease_status")),
-        "assay": bucket(F.concat_ws(" ", "method", "sample_type"), V.ASSAYS),
-        "disease": nonblank(normalise_disease(F.col("disease_raw"))["name"]),
-        "is_labelled": F.col("disease_status").isNotNull() & ~matches(F.lower("disease_status"), V.UNLABELLED_STATUS),
-    })
+        "is_labelled": F.col("disease_status").isNotNull() & ~matches(F.lower("disease_status"), V.UNLABELLED_STATUS)})
+    out = per_value(out, ["method", "sample_type"], {"assay": bucket(F.concat_ws(" ", "method", "sample_type"), V.ASSAYS)})
+    return per_value(out, ["disease_raw"], {"disease": nonblank(normalise_disease(F.col("disease_raw"))["name"])})
+
+
+def per_value(df: DataFrame, columns: Sequence[str], answers: dict[str, Column]) -> DataFrame:
+    """``df`` with columns that depend on ``columns`` alone, worked out once for each of their distinct values, nulls included.
+
+    The answers are written, so that Spark broadcasts them where they are few and joins them by shuffles where they are many.
+    """
+    known = stored(df.select(*columns).distinct().select(*[F.col(c).alias(f"_of_{c}") for c in columns], *[a.alias(n) for n, a in answers.items()]))
+    same = reduce(lambda a, b: a & b, [df[c].eqNullSafe(known[f"_of_{c}"]) for c in columns])
+    return df.join(known, same, "left").drop(*[f"_of_{c}" for c in columns])
 
 
 def sample_facts(samples: DataFrame) -> DataFrame:

@@ -153,3 +153,10 @@ def test_bases(values):
     assert values(lambda c: B.find_approx(c, "ACGT", 1), ["TTACGTT", "TTACCTT", "GGGG", "AC"]) == [2, 2, -1, -1]
     assert values(B.phred, ["!I"]) == [[0, 40]]
     assert values(lambda c: B.passing_length(c, 1.0), [[0.4, 0.5, 0.2], [2.0], []], "a array<double>") == [2, 0, 0]
+
+
+def test_lower_keys_keeps_the_last_spelling(spark):
+    entries = [F.lit(v) for v in ("Host ", "a", "age", "1", "HOST", "b", "host", "c", " AGE", "2", "sex", "f")]
+    df = spark.range(1).select(F.create_map(*entries).alias("m"), F.create_map(F.lit(" A"), F.lit("x"), F.lit("b"), F.lit(None).cast("string")).alias("u"), F.lit(None).cast("map<string,string>").alias("n"))
+    got = df.select(S.lower_keys(F.col("m")), S.lower_keys(F.col("u")), S.lower_keys(F.col("n"))).first()
+    assert tuple(got) == ({"host": "c", "age": "2", "sex": "f"}, {"a": "x", "b": None}, None)
