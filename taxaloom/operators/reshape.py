@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -122,28 +123,46 @@ def dense_lines(cells: DataFrame, table: str, row: str, column: str, value: str,
     return lines.select(F.col("t").alias(table), F.monotonically_increasing_id().alias("line_no"), "line")
 
 
+#: a line from this many bytes on leaves the task in a batch of its own
+_LONG_LINE = 1 << 20
+
+
 def _fill_gaps(batches: Iterator[pa.RecordBatch], sep: str, missing: str) -> Iterator[pa.RecordBatch]:
-    """Sorted cells to lines; a line may run over batches."""
+    """Sorted cells to lines; a line may run over batches. What is known of a line is held as its bytes, not as one text for each cell."""
     now: tuple | None = None
-    parts: list[str] = []
-    width = 0
+    line, parts, filled, width = bytearray(), [], 0, 0
+    gap = sep + missing
 
-    def line() -> str:
-        return sep.join([now[3], *parts, *[missing] * (width - len(parts))])
+    def rows(tables: list, lines: list[bytearray]) -> pa.RecordBatch:
+        if len(lines) == 1:
+            offsets = np.array([0, len(lines[0])], "int32")
+            texts = pa.StringArray.from_buffers(1, pa.py_buffer(offsets), pa.py_buffer(lines[0]))
+        else:
+            texts = pa.array([bytes(x) for x in lines], pa.string())
+        return pa.RecordBatch.from_arrays([pa.array(tables, kind), texts], names=["t", "line"])
 
     for batch in batches:
+        kind = batch.column(0).type
         tables, lines = [], []
         for t, body, o, r, at, n, v in zip(*(c.to_pylist() for c in batch.columns)):
-            if now is None or (t, body, o) != now[:3]:
+            if now is None or (t, body, o) != now:
                 if now is not None:
+                    line += ("".join(parts) + gap * (width - filled)).encode()
                     tables.append(now[0])
-                    lines.append(line())
-                now, parts, width = (t, body, o, r if r is not None else missing), [], n
-            parts += [missing] * (at - len(parts))
-            parts.append(v if v is not None else missing)
-        yield pa.RecordBatch.from_arrays([pa.array(tables, batch.column(0).type), pa.array(lines, pa.string())], names=["t", "line"])
+                    lines.append(line)
+                    if len(line) >= _LONG_LINE:
+                        yield rows(tables, lines)
+                        tables, lines = [], []
+                now, line, parts, filled, width = (t, body, o), bytearray(), [r if r is not None else missing], 0, n
+            parts.append(gap * (at - filled) + sep + (v if v is not None else missing))
+            filled = max(filled, at) + 1
+        line += "".join(parts).encode()
+        parts = []
+        if lines:
+            yield rows(tables, lines)
     if now is not None:
-        yield pa.RecordBatch.from_arrays([pa.array([now[0]], batch.column(0).type), pa.array([line()], pa.string())], names=["t", "line"])
+        line += (gap * (width - filled)).encode()
+        yield rows([now[0]], [line])
 
 
 def duplicate_report(df: DataFrame, index: Sequence[str], column: str, value: str) -> DataFrame:
