@@ -42,7 +42,8 @@ def add_allowlist(papers: DataFrame, allow: DataFrame, id_cols: Sequence[str], o
     many of them in a task; rows that share nothing are added at once. Only a component beyond ``component_rows`` is worked off in rounds instead.
     """
     known = papers.select(F.explode(_identifiers(id_cols)).alias("identifier")).distinct()
-    named = allow.select(F.col(order).alias("_o"), _identifiers(id_cols).alias("_ids")).where(F.size("_ids") > 0)
+    # written before they are filtered, so that the identifiers are made once
+    named = stored(allow.select(F.col(order).alias("_o"), _identifiers(id_cols).alias("_ids"))).where(F.size("_ids") > 0)
     edges = named.select("_o", F.explode("_ids").alias("identifier"))
     hit = edges.join(known, "identifier", "left_semi").select("_o").distinct()
     still = stored(named.join(hit, "_o", "left_anti"))
