@@ -44,6 +44,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+#: Rows and bytes of an Arrow batch of whole texts, so that a Python worker's memory depends on no number of rows.
+TEXT_BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20)}
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Whole texts go to Python in batches of few bytes from here on; only a text beyond the bound makes a larger one."""
+    for key, value in TEXT_BATCH.items():
+        spark.conf.set(key, value)
+
+
 _STORED: dict[str, list[str]] = {}
 
 
