@@ -8,6 +8,7 @@ white space.  Distinct units of a batch are encoded once and remembered by the w
 from __future__ import annotations
 
 import os
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -70,9 +71,10 @@ class UnitEncoder:
         self.sizes, self.ids = np.zeros(0, np.int64), np.zeros(0, np.uint32)
 
     def _learn(self, hashes: np.ndarray, texts: list[str]) -> None:
-        found = [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        # only ids are asked for, so the tokenizer need not follow offsets
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         sizes = np.fromiter(map(len, found), np.int64, len(found))
-        ids = np.fromiter((i for x in found for i in x), np.uint32, int(sizes.sum()))
+        ids = np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))
         where = len(self.ids) + np.cumsum(sizes) - sizes
         at = np.searchsorted(self.hashes, hashes)
         self.hashes, self.where, self.sizes = (np.insert(old, at, new) for old, new in ((self.hashes, hashes), (self.where, where), (self.sizes, sizes)))

@@ -46,13 +46,16 @@ class WaveletMatrix:
         width = -(-n // BLOCK_BITS) * (BLOCK_BITS // 8)
         planes = np.zeros((depth, width), np.uint8)
         zeros = np.zeros(depth, np.int64)
-        order = ids.astype(np.uint32)
+        order = ids.astype(np.uint16 if depth <= 16 else np.uint32)
         for k in range(depth):
-            bit = (order >> np.uint32(depth - 1 - k)) & np.uint32(1) == 1
+            bit = order & order.dtype.type(1 << depth - 1 - k) != 0
             packed = np.packbits(bit, bitorder="little")
             planes[k, :len(packed)] = packed
             zeros[k] = n - np.count_nonzero(bit)
-            order = np.concatenate([order[~bit], order[bit]])
+            below = np.empty_like(order)
+            np.compress(~bit, order, out=below[:zeros[k]])
+            np.compress(bit, order, out=below[zeros[k]:])
+            order = below
         per_block = np.bitwise_count(planes).reshape(depth, -1, BLOCK_BITS // 8).sum(axis=2, dtype=np.uint32)
         ones = np.concatenate([np.zeros((depth, 1), np.uint32), np.cumsum(per_block, axis=1, dtype=np.uint32)], axis=1)
         return cls(n, planes, zeros, ones)

@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -466,6 +467,27 @@ def test_wavelet_edges(spark, empty, twice, tmp_path):
     assert sorted(r["doc_id"] or 0 for r in rows) == [0, 0, 1, 1, 2, 3, 3] and sum(r["n_tokens"] == 1 for r in rows) == 3
 
 
+def test_units_are_encoded_without_offsets():
+    coder = tokens.UnitEncoder(tokens.public_path(wavelet.VOCABULARY), True)
+    texts = ["it's  one\n\ntwo", "", "\u00e9t\u00e9 na\u00efve \u4e2d\u6587 <|endoftext|> x\ny", None]
+    want = [coder.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+    class Bare:
+        """Only what costs no offsets."""
+
+        encode_batch_fast = staticmethod(coder.tokenizer.encode_batch_fast)
+
+    coder.tokenizer = Bare
+    ids, borders = coder.encode(pa.array(texts))
+    assert [ids[a:b].tolist() for a, b in zip(borders[:-1], borders[1:])] == want
+
+
+@pytest.mark.parametrize("depth", [16, 17])
+def test_wavelet_of_any_depth_decodes(depth):
+    ids = np.random.default_rng(4).integers(0, 1 << depth, 5000, dtype=np.uint32)
+    assert (wavelet.WaveletMatrix.build(ids, depth).decode() == ids).all()
+
+
 def test_wavelet_queries():
     rng = np.random.default_rng(1)
     for n, kinds in ((1, 3), (513, 300), (5000, 50257)):
