@@ -209,15 +209,17 @@ def _records(lines: DataFrame, lone: str | None = None) -> DataFrame:
     found = stored(found)
     odd = opening.join(found, ["table_id", "line_idx"], "left_anti").withColumn("odd", F.lit(True))
     torn = found.select("table_id").distinct()
-    plain = lines.join(torn, "table_id", "left_anti")
-    # in files with long records a line belongs to the last record that began before it, if that has not ended
-    starts = lines.join(torn, "table_id", "left_semi").join(found, ["table_id", "line_idx"], "left")
+    plain = lines.join(torn, "table_id", "left_anti").select("table_id", "line_idx", "line")
+    # in files with long records a line belongs to the last record that began before it, if that has not ended; places are enough to tell
+    held = lines.join(torn, "table_id", "left_semi")
+    starts = held.select("table_id", "line_idx").join(found, ["table_id", "line_idx"], "left")
     last = running(starts, ["table_id"], "line_idx", highs={"_open": F.when(F.col("last").isNotNull(), F.struct("line_idx", "last"))})
-    within = F.coalesce(F.col("line_idx") <= F.col("_open.last"), F.lit(False))
-    owned = last.select("table_id", F.when(within, F.col("_open.line_idx")).otherwise(F.col("line_idx")).alias("_record"), "line_idx", "line")
+    owner = last.where(F.col("line_idx") <= F.col("_open.last")).select("table_id", "line_idx", F.col("_open.line_idx").alias("_owner"))
+    owned = held.join(owner, ["table_id", "line_idx"], "left").select("table_id", F.coalesce("_owner", "line_idx").alias("_record"), "line_idx", "line")
     joined = owned.groupBy("table_id", "_record").agg(F.array_sort(F.collect_list(F.struct("line_idx", "line"))).alias("_l"))
     whole = joined.select("table_id", F.col("_record").alias("line_idx"), F.array_join(F.transform("_l", lambda x: x["line"]), "\n").alias("line"))
-    records = plain.select("table_id", "line_idx", "line").unionByName(whole).join(odd, ["table_id", "line_idx"], "left")
+    # joined to each part by itself: whole records are dealt by their places already
+    records = plain.join(odd, ["table_id", "line_idx"], "left").unionByName(whole.join(odd, ["table_id", "line_idx"], "left"))
     return records.select("table_id", "line_idx", "line", F.coalesce("odd", F.lit(False)).alias("odd"))
 
 

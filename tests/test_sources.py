@@ -8,6 +8,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from taxaloom.operators import ordering
 from taxaloom.sources import readers, writers
 
 
@@ -276,3 +277,12 @@ def test_a_second_writer_does_not_replace_a_pointer(spark, tmp_path):
     with pytest.raises(OSError, match="another writer"):
         files.rename(f"{path}/_pointers/draft-x", f"{path}/_pointers/{1:012d}")
     assert writers.read_table(spark, path).count() == 1
+
+
+def test_text_of_records_is_not_written_between(spark, tmp_path, monkeypatch):
+    met, keep = [], ordering.stored
+    monkeypatch.setattr(ordering, "stored", lambda df: met.append(df.columns) or keep(df))
+    (tmp_path / "a.csv").write_text('id,note\n1,"one\ntwo\n""three"""\n2,plain\n3,"torn\n4,"x\ny"\n')
+    got = sorted((r.line_idx, r.line, r.odd) for r in readers._records(readers._lines(spark, str(tmp_path / "a.csv"))).collect())
+    assert [x[1:] for x in got] == [("id,note", False), ('1,"one\ntwo\n""three"""', False), ("2,plain", False), ('3,"torn', True), ('4,"x\ny"', False)]
+    assert met and not any("line" in columns for columns in met)
