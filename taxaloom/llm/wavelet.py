@@ -28,6 +28,7 @@ MAGIC = b"WVM1"
 HEAD = struct.Struct("<4sIQQ")            # magic, planes, documents, ids
 BLOCK_BITS = 512
 SHARD_TOKENS = 1 << 20
+DECODED = 1 << 17                         # ids that are put in place at a time
 PART_BYTES = 24 << 20
 END = 0
 VOCABULARY = "byte_bpe_50k.json"
@@ -123,15 +124,20 @@ class WaveletMatrix:
 
     def decode(self) -> np.ndarray:
         """All ids in order, planes from the lowest up."""
-        low = np.zeros(self.n, np.uint32)
         depth = len(self.planes)
+        kind = np.uint16 if depth <= 16 else np.uint32
+        low = np.zeros(self.n, kind)
         for k in reversed(range(depth)):
-            bit = np.unpackbits(self.planes[k], count=self.n, bitorder="little").astype(bool)
-            out = np.empty(self.n, np.uint32)
-            out[~bit] = low[:self.zeros[k]]
-            out[bit] = low[self.zeros[k]:] | np.uint32(1 << (depth - 1 - k))
+            bit = np.unpackbits(self.planes[k], count=self.n, bitorder="little").view(bool)
+            out, zero, one = np.empty(self.n, kind), 0, int(self.zeros[k])
+            for lo in range(0, self.n, DECODED):
+                part, into = bit[lo:lo + DECODED], out[lo:lo + DECODED]
+                ones = np.flatnonzero(part)
+                into[np.flatnonzero(~part)] = low[zero:zero + len(part) - len(ones)]
+                into[ones] = low[one:one + len(ones)] | kind(1 << (depth - 1 - k))
+                zero, one = zero + len(part) - len(ones), one + len(ones)
             low = out
-        return low
+        return low.astype(np.uint32)
 
 
 def to_bytes(matrix: WaveletMatrix, keys: np.ndarray, borders: np.ndarray) -> bytes:

@@ -482,6 +482,44 @@ def test_units_are_encoded_without_offsets():
     assert [ids[a:b].tolist() for a, b in zip(borders[:-1], borders[1:])] == want
 
 
+def test_new_units_are_encoded_as_lines_of_few_texts():
+    coder = tokens.UnitEncoder(tokens.public_path(wavelet.VOCABULARY), True)
+    plain, given = coder.tokenizer, []
+
+    class Counted:
+        @staticmethod
+        def encode_batch_fast(texts, **kw):
+            given.extend(texts)
+            return plain.encode_batch_fast(texts, **kw)
+
+    coder.tokenizer = Counted
+    words = ["".join(chr(97 + i // 26 ** k % 26) for k in range(3)) for i in range(1000)]
+    texts = [" ".join(w + end for w in words) for end in ("", ".", ",", "###", "'s")]
+    ids, borders = coder.encode(pa.array(texts))
+    assert [ids[a:b].tolist() for a, b in zip(borders[:-1], borders[1:])] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    # words, their five ends and the five texts' first words, which have no space before them
+    assert len(given) <= 20 and sum(t.count("\n") for t in given) <= 1010
+
+
+def test_units_of_any_characters_have_the_ids_of_the_whole_text():
+    coder = tokens.UnitEncoder(tokens.public_path(wavelet.VOCABULARY), True)
+    pieces = [" ", "  ", "\n", "\r\n", "\t", "\x0b", "\x1c", "\x85", "\xa0", "\u1680", "\u2003", "\u3000", "\u200b", "a", "Z", "the", "7", "42", ".", ",", "'", "'s", "'re", "'T", "###", "_", "-", "\x00", "\x7f",
+              "\u00e9", "\u00df", "\u00d7", "\u00f7", "\u00aa", "\u00b5", "\u0301", "\u0436", "\u4e2d", "\u2019", "\U0001f600", "<|endoftext|>"]
+    rng = np.random.default_rng(11)
+    texts = ["".join(pieces[i] for i in rng.integers(0, len(pieces), n)) for n in rng.integers(0, 40, 3000)] + [a + b + c for a in pieces for b in pieces for c in ("", "x", " x", "\n")]
+    ids, borders = coder.encode(pa.array(texts))
+    want = [coder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [ids[a:b].tolist() for a, b in zip(borders[:-1], borders[1:])] == want
+
+
+@pytest.mark.parametrize("depth", [16, 17])
+def test_wavelet_longer_than_a_decoded_block(depth, monkeypatch):
+    monkeypatch.setattr(wavelet, "DECODED", 700)
+    for low, high in ((0, 1), ((1 << depth) - 1, 1 << depth), (0, 1 << depth)):
+        ids = np.random.default_rng(8).integers(low, high, 5000, dtype=np.uint32)
+        assert (wavelet.WaveletMatrix.build(ids, depth).decode() == ids).all()
+
+
 @pytest.mark.parametrize("depth", [16, 17])
 def test_wavelet_of_any_depth_decodes(depth):
     ids = np.random.default_rng(4).integers(0, 1 << depth, 5000, dtype=np.uint32)
