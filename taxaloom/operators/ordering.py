@@ -84,6 +84,23 @@ def drop_stored(spark: SparkSession) -> int:
     return len(paths)
 
 
+#: Rows that one task of ``counted`` holds.
+ROWS_A_TASK = 1 << 18
+
+
+def counted(df: DataFrame, keys: Sequence[str], within: Sequence[str], name: str = "n") -> DataFrame:
+    """How often each combination of ``keys`` occurs; afterwards rows that agree in ``within``, some of the keys, are in one task.
+
+    For keys that hardly repeat: rows are dealt to as many tasks as keep each at about ``ROWS_A_TASK``, so that a task's memory is set neither by the
+    splits of the files nor by the number of shuffle partitions. Equal rows are counted by part of the input first; a combination repeated without end
+    comes together as one row for each part.
+    """
+    parts = max(1, -(-df.count() // ROWS_A_TASK))
+    spread = df.select(*keys, F.spark_partition_id().alias("_from")).repartition(parts, *within, "_from")
+    once = spread.groupBy(*keys, "_from").agg(F.count(F.lit(1)).alias("_n"))
+    return once.repartition(parts, *within).groupBy(*keys).agg(F.sum("_n").alias(name))
+
+
 def _row_struct(df: DataFrame, keys: Sequence[str]) -> Column:
     return F.struct(*[c for c in df.columns if c not in keys])
 

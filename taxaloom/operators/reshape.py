@@ -15,7 +15,7 @@ from ..functions.rules import matches
 from ..functions.taxa import sample_flags, split_taxonomy, table_domain
 from ..functions.text import lenient_double, nonblank, safe_name, trim_ws
 from .cells import COL, column_facts
-from .ordering import running_total, stored
+from .ordering import counted, running_total, stored
 
 
 def undedupe_names(names: DataFrame, keys: Sequence[str], column: str, name: str = "original_name") -> DataFrame:
@@ -172,9 +172,9 @@ def duplicate_report(df: DataFrame, index: Sequence[str], column: str, value: st
     """
     keys = [*index, column]
     text = F.coalesce(F.col(value).cast("string"), F.lit("nan"))
-    counted = df.groupBy(*keys, text.alias("raw_value")).agg(F.count(F.lit(1)).alias("n_of_value"))
-    totals = counted.groupBy(*keys).agg(F.sum("n_of_value").alias("n_values")).where("n_values > 1")
-    return counted.join(totals, keys)
+    found = counted(df.select(*keys, text.alias("raw_value")), [*keys, "raw_value"], keys, "n_of_value")
+    # rows of a pair are in one task already, and a pair has one row for each of its different values
+    return found.withColumn("n_values", F.sum("n_of_value").over(Window.partitionBy(*keys))).where("n_values > 1")
 
 
 def duplicate_text(report: DataFrame, keys: Sequence[str], sep: str = ";") -> DataFrame:
@@ -272,8 +272,10 @@ def samples_from_tables(long: DataFrame, manifest: DataFrame) -> DataFrame:
 
 def table_manifest(long: DataFrame, duplicates: DataFrame, files: DataFrame) -> DataFrame:
     """Per table: distinct samples and taxa, domains, blank ids, repeated cells, and the hash of the table's own file."""
-    rows = long.groupBy("table_id", "sample_id").agg(F.count(F.lit(1)).alias("_n"), F.max("sample_flag").alias("_flag"))
-    samples = rows.groupBy("table_id").agg(F.count(F.lit(1)).alias("n_samples"), F.sum("_n").alias("n_rows"), F.count_if(F.col("_flag") != "").alias("n_control_samples"))
+    ids = ["table_id", "sample_id"]
+    flags = counted(long.select(*ids, F.coalesce(F.col("sample_flag") != "", F.lit(False)).alias("_control")), [*ids, "_control"], ids, "_n")
+    rows = flags.groupBy(*ids).agg(F.sum("_n").alias("_n"), F.bool_or("_control").alias("_control"))
+    samples = rows.groupBy("table_id").agg(F.count(F.lit(1)).alias("n_samples"), F.sum("_n").alias("n_rows"), F.count_if("_control").alias("n_control_samples"))
     kinds = long.select("table_id", "taxon", "domain", "source_file").distinct().groupBy("table_id").agg(
         F.count(F.lit(1)).alias("n_taxa"), F.array_join(F.array_sort(F.collect_set("domain")), ";").alias("domains"), F.max("source_file").alias("source_file"))
     repeats = duplicates.select("table_id", "sample_id", "col_name").distinct().groupBy("table_id").agg(F.count(F.lit(1)).alias("n_duplicate_cells"))
