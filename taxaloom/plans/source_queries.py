@@ -108,18 +108,20 @@ UNION ALL SELECT s_suppkey::varchar, s_name, NULL, 'gz' FROM supplier
 def headed_tables(t: Tables):
     """Comma, tab and compressed tab tables with a header and declared columns; quoted line breaks stay."""
     folder = scratch(t.spark)
-    t.customer.select("c_custkey", "c_name").write.options(**_WRITE).csv(f"{folder}/csv")
+    # each row names its table: rows without any value would be blank lines, which the tab dialect leaves out
+    kind = lambda k: F.lit(k).alias("kind")
+    t.customer.select("c_custkey", "c_name", kind("csv")).write.options(**_WRITE).csv(f"{folder}/csv")
     plain = F.regexp_replace("text", "\r\n|\r", "\n")
-    t.documents.select("doc_id", plain.alias("text"), "lang").write.options(**_WRITE, sep="\t").csv(f"{folder}/tsv")
-    t.supplier.select("s_suppkey", "s_name").write.options(**_WRITE, sep="\t", compression="gzip").csv(f"{folder}/gz")
+    t.documents.select("doc_id", plain.alias("text"), "lang", kind("tsv")).write.options(**_WRITE, sep="\t").csv(f"{folder}/tsv")
+    t.supplier.select("s_suppkey", "s_name", kind("gz")).write.options(**_WRITE, sep="\t", compression="gzip").csv(f"{folder}/gz")
 
-    def shaped(df: DataFrame, kind: str, other: str | None = None) -> DataFrame:
-        return df.select(F.col(df.columns[0]).alias("c_custkey"), F.col(df.columns[1]).alias("c_name"), (F.col(other) if other else F.lit(None).cast("string")).alias("other"), F.lit(kind).alias("kind"))
+    def shaped(df: DataFrame, other: str | None = None) -> DataFrame:
+        return df.select(F.col(df.columns[0]).alias("c_custkey"), F.col(df.columns[1]).alias("c_name"), (F.col(other) if other else F.lit(None).cast("string")).alias("other"), "kind")
 
-    comma = readers.read_csv(t.spark, f"{folder}/csv", "c_custkey string, c_name string")
-    tab = readers.read_tsv(t.spark, f"{folder}/tsv", "doc_id string, text string, lang string")
-    packed = readers.read_tsv(t.spark, f"{folder}/gz", "s_suppkey string, s_name string")
-    return shaped(comma, "csv").unionByName(shaped(tab, "tsv", "lang")).unionByName(shaped(packed, "gz"))
+    comma = readers.read_csv(t.spark, f"{folder}/csv", "c_custkey string, c_name string, kind string")
+    tab = readers.read_tsv(t.spark, f"{folder}/tsv", "doc_id string, text string, lang string, kind string")
+    packed = readers.read_tsv(t.spark, f"{folder}/gz", "s_suppkey string, s_name string, kind string")
+    return shaped(comma).unionByName(shaped(tab, "lang")).unionByName(shaped(packed))
 
 
 @query("""

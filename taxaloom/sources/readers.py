@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
@@ -17,8 +18,12 @@ Paths = str | Sequence[str]
 
 
 def read_csv(spark: SparkSession, path: Paths, schema: str | T.StructType | None = None, sep: str = ",") -> DataFrame:
-    """Text table with a header; byte-order mark, quoted line breaks and long fields are fine; every field stays text."""
-    reader = spark.read.options(header=True, multiLine=True, escape='"', sep=sep, enforceSchema=False, encoding="UTF-8")
+    """Text table with a header; byte-order mark, quoted line breaks and long fields are fine; every field stays text.
+
+    A field left out is missing, ``""`` is an empty text. Spark takes both for missing unless missing fields have a name of their own, which no file
+    holds as it is new in every call. The other escape stands for none: Spark's default of none takes NUL for one.
+    """
+    reader = spark.read.options(header=True, multiLine=True, escape='"', charToEscapeQuoteEscaping='"', sep=sep, enforceSchema=False, encoding="UTF-8", nullValue=uuid.uuid4().hex)
     return (reader.schema(schema) if schema is not None else reader).csv(path)
 
 

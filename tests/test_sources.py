@@ -4,10 +4,12 @@ import gzip
 import hashlib
 import random
 
+import duckdb
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from tests import oracle
 from taxaloom.operators import ordering
 from taxaloom.sources import readers, writers
 
@@ -31,6 +33,32 @@ def test_csv_dialects(spark, tmp_path):
     assert readers.read_tsv(spark, put(tmp_path, "b.tsv.gz", "x\ty\n1\t2\n")).count() == 1
 
 
+def test_headed_tables_keep_empty_texts_and_nul(spark, tmp_path):
+    path = put(tmp_path, "e.tsv", 'k\ttext\n1\t""\n2\t\n3\t"a\x00""b\x00"\n\t""\n4\t"""\x00\tb"\n')
+    want = [("1", ""), ("2", None), ("3", 'a\x00"b\x00'), ("4", '"\x00\tb')]
+    assert [tuple(r) for r in readers.read_tsv(spark, path, "k string, text string").collect()] == want
+    assert [tuple(r) for r in readers.read_tsv(spark, path).collect()] == want
+
+
+@pytest.fixture
+def odd_tables(spark, tmp_path):
+    """Customers, documents and suppliers with missing, empty and blank values, quotes and NUL."""
+    texts = [None, "", " ", "\t", "\n", "\r", "a\r\nb", '"', '"",', 'a\x00"b', '"\x00', "\x00", "null", "#", "\\\""]
+    two = [(i, v) for i, v in enumerate(texts)] + [(None, None), (None, "")]
+    three = [(10 * i + j, v, w) for i, v in enumerate(texts) for j, w in enumerate([None, "", "en", "\t"])] + [(None, None, None), (None, " ", "")]
+    spark.createDataFrame(two, "c_custkey long, c_name string").write.parquet(str(tmp_path / "customer.parquet"))
+    spark.createDataFrame(two, "s_suppkey long, s_name string").write.parquet(str(tmp_path / "supplier.parquet"))
+    spark.createDataFrame(three, "doc_id long, text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
+    return str(tmp_path)
+
+
+def test_headed_tables_agrees_with_sql_on_odd_values(spark, odd_tables):
+    con = duckdb.connect()
+    for name in ("customer", "supplier", "documents"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{odd_tables}/{name}.parquet/*.parquet'")
+    assert oracle.compare(spark, con, "headed_tables", odd_tables) is None
+
+
 def test_jsonl_and_documents(spark, tmp_path):
     path = put(tmp_path, "p.jsonl", '{"paper_id":"a","status":"done"}\n\n{broken\n{"paper_id":"b"}\n')
     good, bad = readers.read_jsonl(spark, path, "paper_id string, status string")
