@@ -148,12 +148,12 @@ def sliding(values: np.ndarray, width: int, best) -> np.ndarray:
 
 
 def gram_hashes(padded: np.ndarray, n: int, k: int) -> np.ndarray:
-    """Hashes of the k bytes that start at each of the first n positions; ``padded`` has 8 spare bytes or more behind them."""
-    h = np.zeros(n, np.uint64)
-    for j in range(0, k - k % 8, 8):
-        h += np.ndarray(n, "<u8", padded, j, (1,)) * ODD[j // 8 % 8]
-        h ^= h >> U(31)
-    if k % 8:
-        h += (np.ndarray(n, "<u8", padded, k - k % 8, (1,)) << U(64 - 8 * (k % 8))) * ODD[7]
-        h ^= h >> U(31)
-    return mix(h)
+    """Hashes of the k bytes (8 or more) that start at each of the first n positions; ``padded`` has 8 spare bytes or more behind them."""
+    word = np.ndarray(n + k - 8, "<u8", padded, 0, (1,)) * ODD[0]
+    word ^= word >> U(32)
+    h = word[:n] * ODD[1]
+    for i, at in enumerate([*range(8, k - 8, 8), k - 8]):
+        h += word[at:at + n] * ODD[2 + i % 6]
+    h ^= h >> U(32)
+    h *= ODD[4]
+    return h

@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -166,6 +167,58 @@ def test_run_index_steps_like_the_suffix_array():
     assert len(index.run) < index.n
 
 
+def test_suffix_dedup_sends_few_rows_for_its_bytes():
+    """Every batch sends a row to every bucket: at 6 GB (10 GB of text) that were 40 million rows, four times over."""
+    for total in (10**6, 10**8, 10**9, 10 * 10**9):
+        batches, bits = suffix_dedup._dealt(total)
+        assert batches * 2**bits <= 1 + total / 4000
+        assert total / batches <= 4 << 20 and total / 15 / 2**bits <= 1_000_000
+
+
+def cut_in_one_process(corpus, batches, bits, hot):
+    table = pa.table({"k": [i for i, _, _ in corpus], "t": [t for _, t, _ in corpus], "n": [i % batches for i, _, _ in corpus]})
+    names = ("k", "t", "n")
+    parts = {i: table.filter(pc.equal(table["n"], i)) for i in range(batches)}
+
+    def dealt(tables, column):
+        rows = pa.concat_tables(tables)
+        return {i: rows.filter(pc.equal(rows[column], i)) for i in rows[column].unique().to_pylist()}
+
+    shared = dealt([suffix_dedup._share_anchors(x, hot) for x in dealt([suffix_dedup._send_anchors(x, names, bits) for x in parts.values()], "bucket").values()], "batch")
+    sent = dealt([suffix_dedup._send_contexts(x, shared[i], names, bits) for i, x in parts.items()], "bucket")
+    answers = dealt([suffix_dedup._answer(x) for x in sent.values()], "batch")
+    replies = {i: pa.concat_tables([shared[i], answers.get(i, suffix_dedup._table([]))]) for i in parts}
+    wanted = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"]
+    return pa.concat_tables([suffix_dedup._cut(x, replies[i], names, bits, wanted) for i, x in parts.items()]).to_pylist()
+
+
+@pytest.mark.parametrize("batches,bits,hot,indexed,places", [(1, 0, 20_000, 1 << 11, 1 << 15), (7, 3, 20_000, 1, 64), (3, 2, 3, 50, 1000)])
+def test_suffix_dedup_in_parts(corpus, monkeypatch, batches, bits, hot, indexed, places):
+    """However the texts are dealt and however few contexts an index takes, the bytes that go are the same."""
+    monkeypatch.setattr(suffix_dedup, "INDEXED", indexed)
+    monkeypatch.setattr(suffix_dedup, "PLACES", places)
+    got = cut_in_one_process(corpus, batches, bits, hot)
+    assert {r["k"]: (r["n_n_bytes"], r["n_n_removed"], r["n_n_spans"], r["n_kept_sha256"]) for r in got} == brute_cut(corpus)
+    assert all(sum(x["end"] - x["start"] for x in r["n_spans"]) == r["n_n_removed"] for r in got)
+
+
+def test_orders_counts_and_marks_of_the_index():
+    rng = np.random.default_rng(1)
+    for top in (5, 2**63):
+        values = rng.integers(0, top, 1000, dtype=np.uint64)
+        order, ordered = suffix_dedup._in_order(values)
+        assert (order == np.argsort(values, kind="stable")).all() and (ordered == np.sort(values)).all()
+    begins = rng.random(300) < 0.2
+    begins[0] = True
+    assert (suffix_dedup.Marks(begins).of(np.arange(300)) == np.cumsum(begins) - 1).all()
+    n = np.array([0, 1, 2, 127, 128, 500, 10**6])
+    kept = suffix_dedup._long(suffix_dedup._short(n))
+    assert (kept[:5] == n[:5]).all() and (kept <= n).all() and (kept >= n * 0.9).all()
+    tags = np.array([[1, 2], [1, 3], [4, 2], [1, 2]], np.uint64)
+    group = suffix_dedup._equal(tags)
+    assert group[0] == group[3] and len(set(group)) == 3
+
+
 # line dedup ------------------------------------------------------------------------------------------------------------------
 
 def test_line_dedup(docs, corpus):
